@@ -6,6 +6,9 @@ from importlib import import_module
 
 #: query: module that has it
 MODULES = {
+    "op1_url_filters": "url_filters",
+    "op2_nearest_neighbours": "nearest",
+    "op5_packing": "packing",
     "op6_sharding": "sharding",
 }
 
