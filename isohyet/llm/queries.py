@@ -10,6 +10,7 @@ MODULES = {
     "op2_nearest_neighbours": "nearest",
     "op5_packing": "packing",
     "op6_sharding": "sharding",
+    "op7_sentencepiece": "sentencepiece_codec",
 }
 
 
