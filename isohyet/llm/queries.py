@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = {
     "op1_url_filters": "url_filters",
     "op2_nearest_neighbours": "nearest",
+    "op3_substring_dedup": "substring_dedup",
     "op5_packing": "packing",
     "op6_sharding": "sharding",
     "op7_sentencepiece": "sentencepiece_codec",
