@@ -12,6 +12,7 @@ MODULES = {
     "op5_packing": "packing",
     "op6_sharding": "sharding",
     "op7_sentencepiece": "sentencepiece_codec",
+    "op8_ngram_jaccard_join": "jaccard_join",
     "op9_suffix_array_dedup": "suffix_dedup",
 }
 
