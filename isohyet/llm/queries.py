@@ -9,6 +9,7 @@ MODULES = {
     "op1_url_filters": "url_filters",
     "op2_nearest_neighbours": "nearest",
     "op3_substring_dedup": "substring_dedup",
+    "op4_quality_classifier": "quality",
     "op5_packing": "packing",
     "op6_sharding": "sharding",
     "op7_sentencepiece": "sentencepiece_codec",
