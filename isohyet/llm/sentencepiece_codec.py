@@ -6,7 +6,8 @@ has a marker after another character, no piece can reach over the start of a mar
 each different word of a batch is encoded once, in one multithreaded call.  The original library encodes the same words;
 a word on which the two differ takes the original's ids and is counted in n_differing.
 
-Null texts have null ids; empty texts have none.  Decoding ids gives the normalised text back.
+Null texts have null ids; empty texts have none.  Decoding ids gives the normalised text back.  An empty table gives no
+rows; other columns stay, but for those called as the result's.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Words of which a worker keeps the ids; beyond that it starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 600_000
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -143,6 +144,12 @@ class Codec:
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.cuttable else None
         self.known: dict[str, bytes] = {}  # word: its ids as int32
         self.alone = [self.original.piece_to_id(MARK)]
+        self.bytes_of = [self._bytes_of(p, kind) for p, _, kind in self.model.pieces]
+
+    def _bytes_of(self, piece: str, kind: int) -> bytes:
+        if kind == BYTE:
+            return bytes([int(piece[3:5], 16)])
+        return piece.replace(MARK, " ").encode()
 
     def normalized(self, text: str) -> str:
         return self.normalizer.normalize_str(text)
@@ -186,7 +193,18 @@ class Codec:
         return [b"".join(map(of, text)) for text in cut], differ
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        """Texts of ids, by the bytes of their pieces; where these are no UTF-8, the library's decoder says what to put."""
+        out: list[str | None] = []
+        for x in ids:
+            try:
+                text = b"".join(map(self.bytes_of.__getitem__, x)).decode()
+                out.append(text[1:] if self.model.add_prefix and text[:1] == " " else text)
+            except UnicodeDecodeError:
+                out.append(None)
+        broken = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(broken, self.tokenizer.decode_batch([ids[i] for i in broken], skip_special_tokens=False)):
+            out[i] = x
+        return out
 
 
 @lru_cache(maxsize=4)
