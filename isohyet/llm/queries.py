@@ -15,6 +15,7 @@ MODULES = {
     "op7_sentencepiece": "sentencepiece_codec",
     "op8_ngram_jaccard_join": "jaccard_join",
     "op9_suffix_array_dedup": "suffix_dedup",
+    "op10_document_fingerprints": "fingerprints",
 }
 
 
