@@ -208,9 +208,9 @@ def arrow(rows: list[dict], types: pa.Schema) -> pa.RecordBatch:
 
 
 def returned(chunks: DataFrame, *sent: tuple[DataFrame, str]) -> DataFrame:
-    """chunks with what was sent back to each, a list of blobs by name."""
+    """chunks with what was sent back to each, a list of blobs by name.  Both sides are shuffled, at any size."""
     for df, name in sent:
-        chunks = chunks.join(df.groupBy("chunk").agg(F.collect_list(name).alias(name)), "chunk", "left")
+        chunks = chunks.join(df.groupBy("chunk").agg(F.collect_list(name).alias(name)).hint("merge"), "chunk", "left")
     return chunks
 
 

@@ -1,14 +1,13 @@
 """Similarity join of documents on their sets of word n-grams, by prefix trees.
 
-A document's set has its different n-grams of lower-case words (A-Z), as 64-bit hashes, in one global order (that of the
-hashes).  Two documents link when percent * |union| <= 100 * |intersection|.
+A document's set has its different n-grams of lower-case words (A-Z), as 64-bit hashes.  Two documents link when percent * |union| <= 100 * |intersection|.
 
 Which documents can link at all: sizes of linked sets lie in one size class or in neighbouring ones.  For each pair of
 classes the hashes are cut into one part more than two linked sets of these sizes can differ in, so linked sets agree in
 one whole part at least.  Each document sends a hash of each part, and those that agree in one go to the join.  (Parts
 that are empty count only where a document has so many that no full one need agree.)
 
-The join stores the sets of a group in a prefix tree and runs each set down it: sets with a common prefix share the
+The join stores the sets of a group in a prefix tree, rare grams first, and runs each set down it: sets with a common prefix share the
 counting of their overlap, and a subtree is left when what remains of both can't lift the overlap to what is needed.  A
 subtree whose sets are all connected to the one that comes down is left as well: the result is connectedness.  Groups are
 the components of agreeing parts; a group over block_docs documents is joined block by block, each pair of blocks in a
@@ -21,6 +20,7 @@ for a chunk or for the longest document.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, over, returned, spaced, word_hashes, word_spans
+from .chunks import Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, over, returned, spaced, unzip, word_hashes, word_spans, zip_
 from .common import mix, table, written
 from .components import components
 from .winnowing import class_starts
@@ -120,26 +120,33 @@ class Forest:
 
 
 class Node:
-    """grams: edge that leads here; sets: ends here; least, most: sizes of the sets below; members: those sets."""
+    """grams: edge that leads here; sets: those that end here; least, most: sizes of the members, the sets from here on;
+    depth: grams on the way here, the edge included."""
 
-    __slots__ = ("grams", "children", "sets", "least", "most", "members", "depth")
+    __slots__ = ("children", "depth", "grams", "least", "members", "most", "sets")
 
-    def __init__(self, grams: np.ndarray, depth: int, members: list[int], sizes: list[int]) -> None:
+    def __init__(self, grams: list[int], depth: int, members: list[int], sizes: list[int]) -> None:
         self.grams, self.depth, self.members = grams, depth, members
         self.least, self.most = min(sizes[i] for i in members), max(sizes[i] for i in members)
         self.children: list[Node] = []
         self.sets: list[int] = []
 
 
-def prefix_tree(sets: list[np.ndarray], order: list[int], sizes: list[int]) -> Node:
+def rare_first(sets: list[np.ndarray]) -> list[list[int]]:
+    """The sets with their grams numbered in order of frequency, so that what few sets have comes first."""
+    sizes = [len(s) for s in sets]
+    grams, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(grams), dtype=np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(grams))
+    return [np.sort(x).tolist() for x in np.split(rank[number], np.cumsum(sizes)[:-1])]
+
+
+def prefix_tree(sets: list[list[int]], order: list[int], sizes: list[int]) -> Node:
     """Compressed tree over sets in lexicographic order."""
     common = [0] * (len(order) + 1)
     for i in range(1, len(order)):
-        a, b = sets[order[i - 1]], sets[order[i]]
-        m = min(len(a), len(b))
-        differ = np.flatnonzero(a[:m] != b[:m])
-        common[i] = int(differ[0]) if len(differ) else m
-    root = Node(np.zeros(0, dtype=np.uint64), 0, order, sizes)
+        common[i] = next((k for k, (a, b) in enumerate(zip(sets[order[i - 1]], sets[order[i]])) if a != b), min(sizes[order[i - 1]], sizes[order[i]]))
+    root = Node([], 0, order, sizes)
     todo = [(root, 0, len(order), 0)]
     while todo:
         node, lo, hi, depth = todo.pop()
@@ -160,37 +167,43 @@ def prefix_tree(sets: list[np.ndarray], order: list[int], sizes: list[int]) -> N
     return root
 
 
-def tree_join(left: list[int], right: list[int], sets: list[np.ndarray], percent: int, forest: Forest) -> list[tuple[int, int]]:
+#: Grams of an edge between two looks at the bound.
+STEP = 8
+
+
+def tree_join(left: list[int], right: list[int], sets: list[list[int]], percent: int, forest: Forest) -> list[tuple[int, int]]:
     """Links that connect sets of left with sets of right which were not yet connected; all that is left unconnected
     has no link."""
     sizes = [len(s) for s in sets]
-    tree_sets = sorted(right, key=lambda i: sets[i].tolist())
-    if not tree_sets or not left:
+    if not right or not left:
         return []
-    root = prefix_tree(sets, tree_sets, sizes)
+    root = prefix_tree(sets, sorted(right, key=lambda i: sets[i]), sizes)
     links = []
     for x in left:
-        mine, size = set(sets[x].tolist()), sizes[x]
-        xs = sets[x]
+        xs, size = sets[x], sizes[x]
+        mine = set(xs)
         smallest, largest = -(-size * percent // 100), size * 100 // percent
-        stack = [(root, 0, 0)]
+        stack = [(root, 0)]
         while stack:
-            node, overlap, passed = stack.pop()
+            node, overlap = stack.pop()
             if node.most < smallest or node.least > largest:
                 continue
             here = forest.root(x)
             if all(forest.root(m) == here for m in node.members):
                 continue
-            if len(node.grams):
-                overlap += sum(g in mine for g in node.grams.tolist())
-                passed = int(np.searchsorted(xs, node.grams[-1], side="right"))
-            for y in node.sets:
-                if 100 * overlap >= percent * (size + sizes[y] - overlap) and forest.join(x, y):
-                    links.append((x, y))
-            # overlap that the smallest fitting set below needs at least
+            # overlap that the smallest fitting set from here on needs at least
             needed = -(-percent * (size + max(node.least, smallest)) // (100 + percent))
-            if overlap + min(size - passed, node.most - node.depth) >= needed:
-                stack += [(child, overlap, passed) for child in node.children]
+            grams, before = node.grams, node.depth - len(node.grams)
+            for k in range(0, len(grams), STEP):
+                part = grams[k : k + STEP]
+                overlap += sum(g in mine for g in part)
+                if overlap + min(size - bisect_right(xs, part[-1]), node.most - before - k - len(part)) < needed:
+                    break
+            else:
+                for y in node.sets:
+                    if 100 * overlap >= percent * (size + sizes[y] - overlap) and forest.join(x, y):
+                        links.append((x, y))
+                stack += [(child, overlap) for child in node.children]
     return links
 
 
@@ -211,7 +224,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
             yield {"bucket": int(bucket[a]), "chunk": chunk.id, "keys": keys[a:e].tobytes(), "ids": ids[a:e].tobytes()}
 
     def meet(t: pa.Table) -> pa.Table:
-        """Documents that agree in a part, each with the smallest of them (a = b: that one); once for each chunk."""
+        """For each chunk its documents that agree with others in a part, each with the smallest of them."""
         keys, ids = [as_array(x, "<u8") for x in t["keys"].to_pylist()], [as_array(x, "<i8") for x in t["ids"].to_pylist()]
         chunk = np.repeat(t["chunk"].to_numpy(), [len(x) for x in keys])
         keys, ids = np.concatenate(keys), np.concatenate(ids)
@@ -220,33 +233,45 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
         first = class_starts(keys)
         count = np.diff(np.r_[first, len(keys)])
         several = np.repeat(np.maximum.reduceat(ids, first) != ids[first], count) if len(first) else np.zeros(0, dtype=bool)
-        rows = np.unique(np.column_stack([chunk, np.repeat(ids[first], count), ids])[several], axis=0) if several.any() else np.zeros((0, 3), dtype=np.int64)
-        return pa.table({c: pa.array(rows[:, i], pa.int64()) for i, c in enumerate(("chunk", "a", "b"))})
+        rows = np.unique(np.column_stack([chunk, np.repeat(ids[first], count), ids])[several], axis=0)
+        edges = class_starts(rows[:, 0])
+        blobs = [zip_(np.ascontiguousarray(rows[a:e, 1:]).tobytes()) for a, e in zip(edges, np.r_[edges[1:], len(rows)])]
+        return pa.table({"chunk": pa.array(rows[edges, 0], pa.int64()), "pairs": pa.array(blobs, pa.binary())})
 
     sent = over(chunks, send, "bucket int, chunk long, keys binary, ids binary")
-    agree = written(sent.groupBy("bucket").applyInArrow(meet, "chunk long, a long, b long").distinct(), "agreeing")
+    met = sent.groupBy("bucket").applyInArrow(meet, "chunk long, pairs binary")
+
+    def different(t: pa.Table) -> pa.Table:
+        """A chunk's pairs from all buckets, once each."""
+        pairs = np.unique(np.concatenate([as_array(unzip(x), "<i8").reshape(-1, 2) for x in t["pairs"].to_pylist()]), axis=0)
+        return pa.table({"chunk": pa.array(np.full(len(pairs), t["chunk"][0].as_py()), pa.int64()), "a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    agree = written(met.groupBy("chunk").applyInArrow(different, "chunk long, a long, b long"), "agreeing")
     groups = components(agree.select("a", "b"))
-    asked = agree.select("chunk", "b").distinct()
+    # blocks by hash, so that none needs to be counted; every pair of blocks is a task
+    dealt = groups.join(groups.groupBy("component").agg(F.count("*").alias("_docs")), "component")
+    blocks = F.ceil(F.col("_docs") / block_docs).cast("int")
+    dealt = dealt.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least(o, F.col("_block")).alias("p"), F.greatest(o, F.col("_block")).alias("q")))
+    dealt = dealt.select(F.col("node").alias("b"), F.struct(F.col("node").alias("doc_id"), "component", "_block", pairs.alias("pairs")).alias("deal"))
+    deals = agree.select("chunk", "b").distinct().join(dealt, "b").select("chunk", "deal")
 
     def give(chunk: Chunk, row: dict) -> Iterator[dict]:
+        """Sizes of all documents, and the sets of those that agree with others, a row for each task that they go to."""
         grams, sizes = sets_of(chunk, n)
-        wanted = set(row["b"] or ())
         ends = np.cumsum(sizes)
+        deals = {d["doc_id"]: d for d in row["deal"] or ()}
         for i, doc_id in enumerate(chunk.doc_ids.tolist()):
-            yield {"doc_id": doc_id, "n_shingles": int(sizes[i]), "grams": grams[ends[i] - sizes[i] : ends[i]].tobytes() if doc_id in wanted and sizes[i] else None}
+            yield {"doc_id": doc_id, "n_shingles": int(sizes[i]), "component": None, "p": None, "q": None, "block": None, "grams": None}
+            if doc_id in deals and sizes[i]:
+                d = deals[doc_id]
+                for pair in d["pairs"]:
+                    yield {"doc_id": doc_id, "n_shingles": None, "component": d["component"], "p": pair["p"], "q": pair["q"], "block": d["_block"], "grams": grams[ends[i] - sizes[i] : ends[i]].tobytes()}
 
-    sets = written(over(returned(chunks, (asked, "b")), give, "doc_id long, n_shingles long, grams binary"), "sets")
-    members = sets.where("grams is not null").join(groups.withColumnRenamed("node", "doc_id"), "doc_id")
-    count = groups.groupBy("component").agg(F.count("*").alias("_docs"))
-    members = members.join(count, "component")
-    # blocks by hash, so that none needs to be counted; every pair of blocks is a task
-    blocks = F.ceil(F.col("_docs") / block_docs).cast("int")
-    members = members.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least(o, F.col("_block")).alias("p"), F.greatest(o, F.col("_block")).alias("q")))
-    dealt = members.withColumn("_pair", F.explode(pairs)).select("component", "_pair.p", "_pair.q", "_block", "doc_id", "grams")
+    sets = written(over(returned(chunks, (deals, "deal")), give, "doc_id long, n_shingles long, component long, p int, q int, block int, grams binary"), "sets")
 
     def join(t: pa.Table) -> pa.Table:
-        ids, blobs, block = t["doc_id"].to_numpy(), t["grams"].to_pylist(), t["_block"].to_numpy()
+        ids, blobs, block = t["doc_id"].to_numpy(), t["grams"].to_pylist(), t["block"].to_numpy()
         order = np.lexsort((np.arange(len(ids)), ids))
         sets = [as_array(blobs[i], "<u8") for i in order]
         ids, block = ids[order], block[order]
@@ -262,15 +287,16 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
             else:
                 reps.append(i)
         p, q = t["p"][0].as_py(), t["q"][0].as_py()
+        sets = rare_first(sets)
         if p == q:
             links += tree_join(reps, reps, sets, percent, forest)
         else:
             links += tree_join([i for i in reps if block[i] == p], [i for i in reps if block[i] == q], sets, percent, forest)
         return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
 
-    links = dealt.groupBy("component", "p", "q").applyInArrow(join, "a long, b long")
+    links = sets.where("grams is not null").select("component", "p", "q", "block", "doc_id", "grams").groupBy("component", "p", "q").applyInArrow(join, "a long, b long")
     found = components(links).withColumnRenamed("node", "doc_id")
-    rows = sets.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    rows = sets.where("grams is null").select("doc_id", "n_shingles").join(found, "doc_id", "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
