@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .common import mix, written
 
@@ -52,38 +53,53 @@ class Chunk:
     sizes: np.ndarray
     text: np.ndarray
     null: np.ndarray
+    rest: bytes | None = None
+
+    def others(self) -> list[dict]:
+        """The documents' other columns."""
+        return pa.ipc.open_stream(unzip(self.rest)).read_all().to_pylist() if self.rest else [{}] * len(self.doc_ids)
 
     @classmethod
     def of(cls, row: dict) -> Chunk:
-        return cls(row["chunk"], as_array(row["doc_ids"], "<i8"), as_array(row["sizes"], "<i8"), as_array(unzip(row["text"]), "u1"), as_array(row["nulls"], "?"))
+        return cls(row["chunk"], as_array(row["doc_ids"], "<i8"), as_array(row["sizes"], "<i8"), as_array(unzip(row["text"]), "u1"), as_array(row["nulls"], "?"), row["rest"])
 
 
-SCHEMA = "chunk long, doc_ids binary, sizes binary, nulls binary, text binary"
+SCHEMA = "chunk long, doc_ids binary, sizes binary, nulls binary, text binary, rest binary"
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunks of docs(doc_id, text) as a written table: which document is in which chunk is settled by it.
+    """The chunks of docs(doc_id, text and others) as a written table: which document is in which chunk is settled by it.
 
     Rows without doc_id are left out; a document longer than a chunk has one of its own.
     """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, rows, size = TaskContext.get().partitionId(), 0, [], 0
 
         def full() -> pa.RecordBatch:
             rows.sort(key=lambda r: (r[0], r[1] or b""))
+            rest = None
+            if others:
+                whole = pa.Table.from_batches([r[2] for r in rows]).combine_chunks()
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, whole.schema) as out:
+                    out.write_table(whole)
+                rest = zip_(sink.getvalue().to_pybytes())
             cols = {
                 "chunk": pa.array([(part << 32) + seq], pa.int64()),
                 "doc_ids": pa.array([np.array([r[0] for r in rows], dtype="<i8").tobytes()], pa.binary()),
                 "sizes": pa.array([np.array([len(r[1] or b"") for r in rows], dtype="<i8").tobytes()], pa.binary()),
                 "nulls": pa.array([np.array([r[1] is None for r in rows], dtype="?").tobytes()], pa.binary()),
                 "text": pa.array([zip_(b"".join(r[1] or b"" for r in rows))], pa.binary()),
+                "rest": pa.array([rest], pa.binary()),
             }
             return pa.RecordBatch.from_pydict(cols)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                rows.append((doc_id, text))
+            rest = batch.select(others) if others else None
+            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):
+                rows.append((doc_id, text, rest.slice(i, 1) if others else None))
                 size += len(text or b"") + 16
                 if size >= chunk_bytes:
                     yield full()
@@ -91,7 +107,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if rows:
             yield full()
 
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), *[F.col(f"`{c}`") for c in others])
     return written(docs.mapInArrow(run, SCHEMA), "chunks")
 
 
@@ -181,9 +197,9 @@ def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def over(chunks: DataFrame, f: Callable[[Chunk, dict], Iterator[dict]], schema: str, batch_rows: int = 4096) -> DataFrame:
+def over(chunks: DataFrame, f: Callable[[Chunk, dict], Iterator[dict]], schema: str | StructType, batch_rows: int = 4096) -> DataFrame:
     """Rows that f(chunk, row) yields for each chunk; row has what was joined to it."""
-    types = to_arrow_schema(chunks.sparkSession.createDataFrame([], schema).schema)
+    types = to_arrow_schema(schema if isinstance(schema, StructType) else chunks.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,35 +230,34 @@ def returned(chunks: DataFrame, *sent: tuple[DataFrame, str]) -> DataFrame:
     return chunks
 
 
-SENT = "bucket int, chunk long, keys binary, many binary"
+SENT = "bucket int, chunk long, keys binary, counts binary"
 
 
-def send_keys(chunk: Chunk, keys: np.ndarray, many: np.ndarray, n_buckets: int) -> Iterator[dict]:
-    """Different keys, ascending, to their buckets; many: the chunk alone makes the key a repeated one."""
+def send_keys(chunk: Chunk, keys: np.ndarray, counts: np.ndarray, n_buckets: int) -> Iterator[dict]:
+    """Different keys, ascending, to their buckets, and how often the chunk has them (255 stands for more)."""
     edges = bucket_edges(keys, n_buckets)
+    counts = np.minimum(counts, 255).astype(np.uint8)
     for b in np.flatnonzero(np.diff(edges)):
         s = slice(edges[b], edges[b + 1])
-        yield {"bucket": int(b), "chunk": chunk.id, "keys": keys[s].tobytes(), "many": np.packbits(many[s]).tobytes()}
+        yield {"bucket": int(b), "chunk": chunk.id, "keys": keys[s].tobytes(), "counts": counts[s].tobytes()}
 
 
-def repeated_keys(sent: DataFrame, hot_chunks: int) -> DataFrame:
-    """(chunk, repeated, hot): the keys of each chunk that it has many times or that other chunks have, and of those
-    the ones that over hot_chunks chunks have."""
+def repeated_keys(sent: DataFrame, hot_rows: int) -> DataFrame:
+    """(chunk, repeated, hot): the keys of each chunk that all chunks have twice or more, and of those the ones that they
+    have over hot_rows times."""
 
     def reduce(t: pa.Table) -> pa.Table:
-        chunk, blobs, many = t["chunk"].to_numpy(), t["keys"].to_pylist(), t["many"].to_pylist()
-        keys = [as_array(x, "<u8") for x in blobs]
+        chunk = t["chunk"].to_numpy()
+        keys = [as_array(x, "<u8") for x in t["keys"].to_pylist()]
         sizes = np.array([len(x) for x in keys])
-        flags = np.concatenate([np.unpackbits(as_array(m, "u1"), count=n).astype(bool) for m, n in zip(many, sizes)])
-        keys = np.concatenate(keys)
+        keys, counts = np.concatenate(keys), np.concatenate([as_array(x, "u1") for x in t["counts"].to_pylist()])
         order = np.argsort(keys, kind="stable")
         first = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
-        n = np.diff(np.r_[first, len(keys)])
-        twice = (n > 1) | np.maximum.reduceat(flags[order], first)
-        back = np.empty(len(keys), dtype=np.int8)
-        back[order] = np.repeat(twice.astype(np.int8) + (n > hot_chunks), n)
+        n = np.add.reduceat(counts[order], first, dtype=np.int64)
+        level = np.empty(len(keys), dtype=np.int8)
+        level[order] = np.repeat((n > 1).astype(np.int8) + (n > hot_rows), np.diff(np.r_[first, len(keys)]))
         ends = np.cumsum(sizes)
-        out = [(int(c), keys[e - m : e][back[e - m : e] > 0].tobytes(), keys[e - m : e][back[e - m : e] > 1].tobytes()) for c, m, e in zip(chunk, sizes, ends)]
+        out = [(int(c), keys[e - m : e][level[e - m : e] > 0].tobytes(), keys[e - m : e][level[e - m : e] > 1].tobytes()) for c, m, e in zip(chunk, sizes, ends)]
         out = [x for x in out if x[1]]
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "repeated": pa.array([x[1] for x in out], pa.binary()), "hot": pa.array([x[2] for x in out], pa.binary())})
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.scratch import collecting, remove, shared_dir, written
+
+__all__ = ["collecting", "remove", "shared_dir", "written"]
+
 #: A word is a run of characters outside this class (blank and the five control characters TAB to CR).
 SPACES = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACES}]+"
@@ -20,23 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="isohyet-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there, so a lost executor costs no recomputation and
-    values that depend on partitioning stay as they were first drawn."""
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def tasks(spark: SparkSession, rows: int, per_task: int) -> int:
     """Number of groups that holds each to about per_task rows."""
     return max(1, -(-rows // per_task))

@@ -22,10 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .chunks import Chunk, as_array, bucket_edges, buckets_for, chunked, gram_hashes, joined, member, over, returned, spaced, word_hashes, word_spans
 from .common import mix, table
-from .winnowing import class_starts, covered, repeated_anchors, winnow
+from .winnowing import class_starts, covered, repeated_anchors, runs_of, winnow
 
 CLEANED = "doc_id long, n_words long, n_removed long, is_null boolean, words binary"
 
@@ -50,10 +51,45 @@ def windows_of(chunk: Chunk, units, doc, length: int, k: int, repeated: np.ndarr
 
 def remove_repeats(docs: DataFrame, min_words: int = 13, seed_words: int = 5, *, chunk_bytes: int = 2 << 20) -> DataFrame:
     """(doc_id, n_words, n_removed, is_null, words) of docs(doc_id, text); words: those kept, by one space apart, UTF-8."""
+    return _removed(docs.select("doc_id", "text"), min_words, seed_words, chunk_bytes, clean_words, CLEANED)
+
+
+def without_repeats(docs: DataFrame, min_words: int = 13, seed_words: int = 5, *, chunk_bytes: int = 2 << 20) -> DataFrame:
+    """docs, all columns, their texts without the words that repeat and the spaces after these; n_chars is set anew if
+    there is one.  Other spaces stay, and a text that loses nothing is as it was."""
+    fields = [f for f in docs.schema if f.name not in ("doc_id", "text")]
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), *fields])
+    return _removed(docs, min_words, seed_words, chunk_bytes, clean_texts, schema).select(*[f"`{c}`" for c in docs.columns])
+
+
+def clean_words(chunk: Chunk, drop: np.ndarray, edges: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterator[dict]:
+    for i, doc_id in enumerate(chunk.doc_ids):
+        a, e = edges[i], edges[i + 1]
+        kept = np.flatnonzero(~drop[a:e]) + a
+        words = b" ".join([data[x:y] for x, y in zip(starts[kept].tolist(), ends[kept].tolist())])
+        yield {"doc_id": int(doc_id), "n_words": int(e - a), "n_removed": int(e - a - len(kept)), "is_null": bool(chunk.null[i]), "words": words}
+
+
+def clean_texts(chunk: Chunk, drop: np.ndarray, edges: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> Iterator[dict]:
+    stops = np.cumsum(chunk.sizes + 1) - 1
+    for i, (doc_id, other) in enumerate(zip(chunk.doc_ids, chunk.others())):
+        a, e = edges[i], edges[i + 1]
+        at, stop, parts = int(stops[i] - chunk.sizes[i]), int(stops[i]), []
+        for x, y in zip(*runs_of(drop[a:e])):
+            parts.append(data[at : starts[a + x]])
+            at = int(starts[a + y]) if a + y < e else stop
+        parts.append(data[at:stop])
+        text = None if chunk.null[i] else b"".join(parts).decode()
+        if "n_chars" in other:
+            other = other | {"n_chars": None if text is None else len(text)}
+        yield {"doc_id": int(doc_id), "text": text, **other}
+
+
+def _removed(docs: DataFrame, min_words: int, seed_words: int, chunk_bytes: int, emit, schema) -> DataFrame:
     chunks = chunked(docs, chunk_bytes)
     n_chunks = chunks.count()
     n_buckets = buckets_for(n_chunks)
-    anchors = repeated_anchors(chunks, n_chunks, prepared, min_words, seed_words, True, 1 << 40)
+    anchors = repeated_anchors(chunks, n_chunks, prepared, min_words, seed_words, True, 1 << 60)
 
     def extend(chunk: Chunk, row: dict) -> Iterator[dict]:
         """Each different window once, with the smallest id among its documents here."""
@@ -97,14 +133,9 @@ def remove_repeats(docs: DataFrame, min_words: int = 13, seed_words: int = 5, *,
                 least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.r_[first, len(ids)]))
                 drop = covered(len(units), at[(ids > least) | member(hashes, joined(row["gone"]))], min_words)
         edges = np.searchsorted(doc, np.arange(len(chunk.doc_ids) + 1))
-        data = text.tobytes()
-        for i, doc_id in enumerate(chunk.doc_ids):
-            a, e = edges[i], edges[i + 1]
-            kept = np.flatnonzero(~drop[a:e]) + a
-            words = b" ".join([data[x:y] for x, y in zip(starts[kept].tolist(), ends[kept].tolist())])
-            yield {"doc_id": int(doc_id), "n_words": int(e - a), "n_removed": int(e - a - len(kept)), "is_null": bool(chunk.null[i]), "words": words}
-
-    return over(returned(chunks, (anchors, "repeated"), (gone, "gone")), clean, CLEANED)
+        yield from emit(chunk, drop, edges, text.tobytes(), starts, ends)
+
+    return over(returned(chunks, (anchors, "repeated"), (gone, "gone")), clean, schema)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

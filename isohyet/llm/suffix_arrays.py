@@ -1,4 +1,4 @@
-"""Suffix arrays in numpy: Larsson-Sadakane refinement, Kasai's common prefixes, binary search in sorted rows."""
+"""Suffix arrays in numpy: Larsson-Sadakane refinement, Kasai's common prefixes, binary search in sorted places."""
 
 from __future__ import annotations
 
@@ -88,18 +88,29 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, lane: int = 2
     return out
 
 
-def search_rows(rows: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each sought row in sorted rows (the first that is not smaller), and whether it is there."""
-    low, high = np.zeros(len(sought), dtype=np.int64), np.full(len(sought), len(rows), dtype=np.int64)
+def search(head: np.ndarray, places: np.ndarray, sought: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each sought place of a text: how many of the sorted places have smaller strings, and whether one has the same.
+
+    head: eight_bytes of the text; strings have `length` bytes, 8 or more.
+    """
+    steps = np.array([*range(0, length - 7, 8), length - 8])
+    low, high = np.zeros(len(sought), dtype=np.int64), np.full(len(sought), len(places), dtype=np.int64)
+    there = np.zeros(len(sought), dtype=bool)
+    for i in range(0, len(sought), 16384):
+        s = slice(i, i + 16384)
+        low[s], there[s] = _search(head, places, sought[s], steps, low[s], high[s], there[s])
+    return low, there
+
+
+def _search(head, places, sought, steps, low, high, there):
     while (open_ := np.flatnonzero(low < high)).size:
         mid = (low[open_] + high[open_]) // 2
-        a, b = rows[mid], sought[open_]
-        first = (a != b).argmax(1)
+        a, b = head[places[mid][:, None] + steps], head[sought[open_][:, None] + steps]
+        differ = a != b
+        first = differ.argmax(1)
         pick = np.arange(len(open_))
         less = a[pick, first] < b[pick, first]
+        there[open_] |= ~differ.any(1)
         low[open_[less]] = mid[less] + 1
         high[open_[~less]] = mid[~less]
-    there = np.zeros(len(sought), dtype=bool)
-    inside = low < len(rows)
-    there[inside] = (rows[low[inside]] == sought[inside]).all(1)
     return low, there

@@ -3,12 +3,14 @@
 Strings of `length` bytes are judged.  Most of a corpus stands there once, so a suffix array of all of it would sort
 mostly strings that need no order.  First, chunks of documents exchange winnowed anchors (see winnowing): where no anchor
 of a string recurs, the string doesn't.  What is owned by recurring anchors goes, as segments of the text, to shards by
-anchor; a segment that a chunk has many times, it sends once.  An anchor in very many chunks (hot_chunks) sends its
-strings to shards by their own hashes instead, so that it is not one shard's work.
+anchor; a segment that a chunk has many times, it sends once.  An anchor that is there over hot_rows times (part of a line
+that very many documents share) would be too much for one shard: its strings go to shards by their own hashes, 128 bits
+each, and are compared by these.
 
-A shard sorts its segments in parts of bounded size: a suffix array by Larsson-Sadakane refinement, common prefixes by
-Kasai's rule, and so the classes of equal strings.  Parts are merged by binary search of one part's sorted classes in
-those of the parts before it.  The first place (smallest document, then smallest start) of each class keeps the string,
+A shard sorts its segments in parts of bounded size, one or more anchors to a part: a suffix array by Larsson-Sadakane
+refinement, common prefixes by Kasai's rule, and so the classes of equal strings.  An anchor whose segments are too many
+for one part has several, and these are merged by binary search of one part's sorted classes in those of the parts before
+it.  The first place (smallest document, then smallest start) of each class keeps the string,
 and each chunk removes it wherever else it has it.
 
 Strings never cross documents.  Null texts count as empty; texts shorter than a string lose nothing.  Rows that share a
@@ -27,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .chunks import MIXED, Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, joined, member, over, returned, unzip, zip_
 from .common import mix, table
-from .suffix_arrays import common_prefixes, eight_bytes, search_rows, suffix_array
+from .suffix_arrays import common_prefixes, eight_bytes, search, suffix_array
 from .winnowing import class_starts, covered, repeated_anchors, runs_of, winnow
 
-SEGMENTS = "bucket int, chunk long, keys binary, ids binary, starts binary, sizes binary, bytes binary"
+SEGMENTS = "bucket int, chunk long, hot boolean, keys binary, ids binary, starts binary, sizes binary, bytes binary"
 CLEANED = "doc_id long, n_bytes long, n_removed long, n_spans long, is_null boolean, kept binary"
 
 
@@ -46,6 +48,19 @@ def candidates(chunk: Chunk, row: dict, length: int, k: int):
     return anchors.where(member(anchors.key, joined(row["repeated"]))), mix(gram_hashes(units, length)), doc, np.cumsum(chunk.sizes) - chunk.sizes
 
 
+#: Another hash of bytes, for strings that are compared by hashes alone.
+OTHER = mix(MIXED ^ np.uint64(0xA5A5A5A55A5A5A5A))
+
+
+def second_hashes(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    powers = np.cumprod(np.full(length, 0xD1B54A32D192ED03, dtype=np.uint64))
+    out = np.empty(len(places), dtype=np.uint64)
+    for i in range(0, len(places), 8192):
+        p = places[i : i + 8192]
+        out[i : i + 8192] = (OTHER[text[p[:, None] + np.arange(length)]] * powers).sum(1, dtype=np.uint64)
+    return mix(out)
+
+
 def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, gone=None) -> np.ndarray:
     """Which items come after the first place of their group; all of a group of whose first item gone(item) holds."""
     order = np.lexsort((starts, ids, group))
@@ -60,66 +75,76 @@ def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, gone=No
     return later
 
 
+def parts_of(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of segments of at most so many bytes, or of one segment."""
+    start = total = 0
+    for i, n in enumerate(sizes.tolist()):
+        if total + n > most and i > start:
+            yield slice(start, i)
+            start, total = i, 0
+        total += n
+    yield slice(start, len(sizes))
+
+
 def later_strings(segments: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int, part_bytes: int) -> list[np.ndarray]:
     """For each segment, which of its strings stand earlier in another segment."""
-    out: list[np.ndarray] = []
-    rows = np.zeros((0, -(-length // 8)), dtype=np.uint64)  # sorted different strings of the parts so far
-    seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # of each part: its string's row, id, start
-    parts, size = [[]], 0
-    for i, s in enumerate(segments):
-        if size + len(s) > part_bytes and parts[-1]:
-            parts.append([])
-            size = 0
-        parts[-1].append(i)
-        size += len(s)
-    counts = []
-    for part in parts:
-        text = as_array(b"".join(segments[i] for i in part), "u1")
-        sizes = np.array([len(segments[i]) for i in part])
-        n = sizes - length + 1
-        first = np.cumsum(sizes) - sizes
-        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        places = np.repeat(first, n) + within
-        own_ids, own_starts = np.repeat(ids[part], n), np.repeat(starts[part], n) + within
-        order = suffix_array(text, length)
-        class_at = np.cumsum(common_prefixes(text, order, length) < length) - 1
-        is_place = np.zeros(len(text), dtype=bool)
-        is_place[places] = True
-        of_place = np.empty(len(text), dtype=np.int64)
-        of_place[order] = class_at
-        in_order = order[is_place[order]]  # strings, sorted
-        _, lead = np.unique(of_place[in_order], return_index=True)
-        leads = in_order[lead]
-        dense = np.full(int(class_at[-1]) + 1, -1, dtype=np.int64)
-        dense[of_place[leads]] = np.arange(len(leads))
-        head = eight_bytes(text)
-        cols = [head[np.minimum(leads + 8 * j, len(text) - 1)] for j in range(length // 8)]
-        if length % 8:
-            cols.append(head[leads + length - 8])
-        new = np.column_stack(cols)
-        at, there = search_rows(rows, new)
-        # place of each old and each new row in the merged order
+    text = as_array(b"".join(segments), "u1")
+    sizes = np.array([len(x) for x in segments], dtype=np.int64)
+    n = sizes - length + 1
+    begin = np.cumsum(sizes) - sizes
+    within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    places = np.repeat(begin, n) + within  # of all strings
+    is_place = np.zeros(len(text), dtype=bool)
+    is_place[places] = True
+    number = np.empty(len(text), dtype=np.int64)  # of the class of the string at a place
+    head = eight_bytes(text) if sizes.sum() > part_bytes else None
+    merged = np.zeros(0, dtype=np.int64)  # a place of each class of the parts so far, in order of the strings
+    seen = np.zeros(0, dtype=np.int64)  # places of the parts so far
+    for part in parts_of(sizes, part_bytes):
+        a, e = int(begin[part][0]), int(begin[part][-1] + sizes[part][-1])
+        order = suffix_array(text[a:e], length)
+        class_at = np.cumsum(common_prefixes(text[a:e], order, length) < length) - 1
+        strings = is_place[a:e][order]
+        own, own_class = order[strings] + a, class_at[strings]
+        lead = class_starts(own_class)
+        own_class = np.repeat(np.arange(len(lead)), np.diff(np.r_[lead, len(own)]))
+        if not len(merged):
+            merged, number[own], seen = own[lead], own_class, own
+            continue
+        at, there = search(head, merged, own[lead], length)
         fresh = np.flatnonzero(~there)
-        moved = np.arange(len(rows)) + np.searchsorted(at[fresh], np.arange(len(rows)), side="right")
-        target = np.empty(len(new), dtype=np.int64)
+        moved = np.arange(len(merged)) + np.searchsorted(at[fresh], np.arange(len(merged)), side="right")
+        target = moved[np.minimum(at, len(merged) - 1)]
         target[fresh] = at[fresh] + np.arange(len(fresh))
-        target[there] = moved[at[there]]
-        merged = np.empty((len(rows) + len(fresh), rows.shape[1]), dtype=np.uint64)
-        merged[moved], merged[target[fresh]] = rows, new[fresh]
-        rows = merged
-        seen = [(moved[r], a, b) for r, a, b in seen]
-        seen.append((target[dense[of_place[places]]], own_ids, own_starts))
-        counts += n.tolist()
-    later = later_places(*(np.concatenate(x) for x in zip(*seen)))
-    return np.split(later, np.cumsum(counts)[:-1]) if counts else out
-
-
-def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *, chunk_bytes: int = 2 << 20, part_bytes: int = 4 << 20, hot_chunks: int = 4096) -> DataFrame:
+        both = np.empty(len(merged) + len(fresh), dtype=np.int64)
+        both[moved], both[target[fresh]] = merged, own[lead][fresh]
+        number[seen] = moved[number[seen]]
+        number[own] = target[own_class]
+        merged, seen = both, np.concatenate([seen, own])
+    later = later_places(number[places], np.repeat(ids, n), np.repeat(starts, n) + within)
+    return np.split(later, np.cumsum(n)[:-1])
+
+
+def by_key(keys: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of sorted keys of at most so many bytes, or of one key."""
+    begins = class_starts(keys)
+    ends = np.r_[begins[1:], len(keys)]
+    total = np.r_[0, np.cumsum(sizes.astype(np.int64))]
+    start = 0
+    for begin, end in zip(begins.tolist(), ends.tolist()):
+        if begin > start and total[end] - total[start] > most:
+            yield slice(start, begin)
+            start = begin
+    if len(keys):
+        yield slice(start, len(keys))
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *, chunk_bytes: int = 2 << 20, part_bytes: int = 512 << 10, hot_rows: int = 20_000) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, is_null, kept) of docs(doc_id, text); kept: the remaining bytes."""
     chunks = chunked(docs, chunk_bytes)
     n_chunks = chunks.count()
-    n_buckets = buckets_for(n_chunks)
-    anchors = repeated_anchors(chunks, n_chunks, prepared, length, anchor_bytes, False, hot_chunks)
+    n_buckets = buckets_for(n_chunks, 6)
+    anchors = repeated_anchors(chunks, n_chunks, prepared, length, anchor_bytes, False, hot_rows)
 
     def send(chunk: Chunk, row: dict) -> Iterator[dict]:
         """The first of each different segment of the chunk."""
@@ -129,25 +154,50 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         if not len(found.key):
             return
         hot = member(found.key, joined(row["hot"]))
-        single = found.where(hot).windows()
-        key = np.concatenate([found.key[~hot], hashes[single]])
-        start = np.concatenate([found.start[~hot], single])
-        n = np.concatenate([found.n[~hot], np.ones(len(single), dtype=np.int64)])
+        key, start, n = found.where(~hot)
         # two strings, at the ends, cover a segment
         same = mix(hashes[start] + mix(hashes[start + n - 1]) + n.astype(np.uint64)) ^ key
         order = np.lexsort((start, same))
         keep = order[class_starts(same[order])]
-        keep = keep[np.argsort(bucket_of(key[keep], n_buckets), kind="stable")]
-        bucket = bucket_of(key[keep], n_buckets)
         data = chunk.text.tobytes()
-        edges = class_starts(bucket)
-        for a, e in zip(edges, np.r_[edges[1:], len(keep)]):
-            k = keep[a:e]
+        for bucket, k in dealt(keep, key):
             at, sizes, own = start[k], n[k] + length - 1, doc[start[k]]
             text = zip_(b"".join([data[x : x + y] for x, y in zip(at.tolist(), sizes.tolist())]))
-            yield {"bucket": int(bucket[a]), "chunk": chunk.id, "keys": key[k].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - doc_first[own]).tobytes(), "sizes": sizes.astype("<i4").tobytes(), "bytes": text}
+            yield {"bucket": bucket, "chunk": chunk.id, "hot": False, "keys": key[k].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - doc_first[own]).tobytes(), "sizes": sizes.astype("<i4").tobytes(), "bytes": text}
+        single = found.where(hot).windows()
+        order = np.lexsort((single, hashes[single]))
+        single = single[order[class_starts(hashes[single][order])]]
+        for bucket, k in dealt(np.arange(len(single)), hashes[single]):
+            at, own = single[k], doc[single[k]]
+            yield {"bucket": bucket, "chunk": chunk.id, "hot": True, "keys": hashes[at].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - doc_first[own]).tobytes(), "sizes": b"", "bytes": second_hashes(chunk.text, at, length).tobytes()}
+
+    def dealt(which: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        bucket = bucket_of(key[which], n_buckets)
+        which = which[np.argsort(bucket, kind="stable")]
+        bucket = np.sort(bucket)
+        edges = class_starts(bucket)
+        for a, e in zip(edges, np.r_[edges[1:], len(which)]):
+            yield int(bucket[a]), which[a:e]
+
+    def hot_strings(t: pa.Table) -> list[tuple[int, bytes]]:
+        keys, ids, starts, more = (np.concatenate([as_array(x, kind) for x in t[c].to_pylist()]) for c, kind in (("keys", "<u8"), ("ids", "<i8"), ("starts", "<i8"), ("bytes", "<u8")))
+        order = np.lexsort((more, keys))
+        first = np.r_[True, (keys[order][1:] != keys[order][:-1]) | (more[order][1:] != more[order][:-1])]
+        group = np.empty(len(keys), dtype=np.int64)
+        group[order] = np.cumsum(first)
+        later = later_places(group, ids, starts)
+        rows = np.column_stack([ids, starts, np.ones(len(ids), dtype=np.int64)])
+        ends = np.cumsum([len(x) // 8 for x in t["keys"].to_pylist()])
+        return [(c, rows[a:e][later[a:e]].tobytes()) for c, a, e in zip(t["chunk"].to_pylist(), np.r_[0, ends[:-1]], ends) if later[a:e].any()]
 
     def resolve(t: pa.Table) -> pa.Table:
+        is_hot = t["hot"].to_numpy()
+        out = hot_strings(t.filter(pa.array(is_hot))) if is_hot.any() else []
+        if not is_hot.all():
+            out += sorted_strings(t.filter(pa.array(~is_hot)))
+        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "gone": pa.array([x[1] for x in out], pa.binary())})
+
+    def sorted_strings(t: pa.Table) -> list[tuple[int, bytes]]:
         cols = {c: [as_array(x, kind) for x in t[c].to_pylist()] for c, kind in (("keys", "<u8"), ("ids", "<i8"), ("starts", "<i8"), ("sizes", "<i4"))}
         per_chunk = [len(x) for x in cols["keys"]]
         keys, ids, starts, sizes = (np.concatenate(x) for x in cols.values())
@@ -162,9 +212,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         # an anchor with one segment is settled; strings of several have to be sorted
         _, key_no, n_of_key = np.unique(keys[leads], return_inverse=True, return_counts=True)
         open_ = np.sort(leads[n_of_key[key_no] > 1])
+        open_ = open_[np.argsort(keys[open_], kind="stable")]
         flags = {}
-        if len(open_):
-            flags = dict(zip(open_.tolist(), later_strings([segments[i] for i in open_], ids[open_], starts[open_], length, part_bytes)))
+        for group in by_key(keys[open_], sizes[open_], part_bytes):
+            own = open_[group]
+            flags.update(zip(own.tolist(), later_strings([segments[i] for i in own], ids[own], starts[own], length, part_bytes)))
         out, i = [], 0
         for chunk, m in zip(t["chunk"].to_pylist(), per_chunk):
             gone = []
@@ -176,7 +228,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
             i += m
             if gone:
                 out.append((chunk, np.array(gone, dtype="<i8").tobytes()))
-        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "gone": pa.array([x[1] for x in out], pa.binary())})
+        return out
 
     sent = over(returned(chunks, (anchors, "repeated"), (anchors, "hot")), send, SEGMENTS)
     gone = sent.groupBy("bucket").applyInArrow(resolve, "chunk long, gone binary")

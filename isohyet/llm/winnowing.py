@@ -42,13 +42,14 @@ def winnow(units: np.ndarray, doc: np.ndarray, length: int, k: int) -> Anchors:
         return winnow(units[:0], doc[:0], length, k)
     at = (best[starts] & PLACES).astype(np.int64)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return Anchors(grams[at[first]], starts[first], np.diff(np.r_[first, len(starts)]))
+    # the smallest of many hashes is small; mixed anew, keys spread evenly over buckets
+    return Anchors(mix(grams[at[first]] ^ np.uint64(0xC2B2AE3D27D4EB4F)), starts[first], np.diff(np.r_[first, len(starts)]))
 
 
-def repeated_anchors(chunks: DataFrame, n_chunks: int, prepared, length: int, k: int, other_documents: bool, hot_chunks: int) -> DataFrame:
+def repeated_anchors(chunks: DataFrame, n_chunks: int, prepared, length: int, k: int, other_documents: bool, hot_rows: int) -> DataFrame:
     """(chunk, repeated, hot) as repeated_keys has it, of anchors; written.
 
-    prepared(chunk) gives units and doc; other_documents: in one document a key counts once.
+    prepared(chunk) gives units and doc; other_documents: what one document has several times counts once.
     """
     n_buckets = buckets_for(n_chunks)
 
@@ -62,12 +63,12 @@ def repeated_anchors(chunks: DataFrame, n_chunks: int, prepared, length: int, k:
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         if other_documents:
             ids = chunk.doc_ids[doc[anchors.start[order]]]
-            many = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+            counts = 1 + (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first))
         else:
-            many = np.diff(np.r_[first, len(keys)]) > 1
-        yield from send_keys(chunk, keys[first], many, n_buckets)
+            counts = np.diff(np.r_[first, len(keys)])
+        yield from send_keys(chunk, keys[first], counts, n_buckets)
 
-    return written(repeated_keys(over(chunks, send, SENT), hot_chunks), "anchors")
+    return written(repeated_keys(over(chunks, send, SENT), hot_rows), "anchors")
 
 
 def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
