@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Blocks of a fingerprint, and width of each of the three ranges of cells of a block.
-BLOCKS, WIDTH = 8, 4
+BLOCKS, WIDTH = 4, 4
 #: Digests of a block up to which a larger sketch is tried.
-MOST = 256
+MOST = 16
 #: Documents in one group of neighbours, about.
 GROUP = 2000
 SPLITS = 64
@@ -35,13 +35,14 @@ def let(value: str, name: str, body: str) -> str:
 
 
 def digests(text: str) -> str:
-    """SQL of the different paragraph digests of a text, with their places in a block."""
-    parts = f"array_distinct(transform(filter(split({text}, '\\\\n+|(?<=[.!?])[ \\\\t]+'), x -> trim(x) <> ''), x -> xxhash64(x)))"
-    return f"transform({parts}, h -> {item('h', 'xxhash64(h)', str(WIDTH))})"
+    """SQL of the different paragraph digests of a text, in order of their blocks (b), with their cells."""
+    parts = f"array_distinct(transform(filter(split({text}, '\\n+|(?<=[.!?])[ \\t]+'), x -> trim(x) <> ''), x -> xxhash64(x)))"
+    block = f"'b', cast(pmod(h, {BLOCKS}) as int), "
+    return f"array_sort(transform({parts}, h -> {item('h', 'xxhash64(h)', str(WIDTH), block)}))"
 
 
 def item(h: str, check: str, width: str, more: str = "") -> str:
-    places = [f"{j} * {width} + cast(pmod(shiftright({h}, {3 + 19 * j}), {width}) as int)" for j in range(3)]
+    places = [f"{j} * {width} + cast(pmod(shiftright({h}, {4 + 19 * j}), {width}) as int)" for j in range(3)]
     return f"named_struct({more}'k', {h}, 'c', {check}, 'p', {places[0]}, 'q', {places[1]}, 'r', {places[2]})"
 
 
@@ -52,9 +53,11 @@ def cells(items: str, width: str) -> str:
 
 
 def sketch(items: str) -> str:
-    """SQL of the blocks of a fingerprint: their digests and cells."""
-    block = let(f"filter({items}, u -> pmod(u.k, {BLOCKS}) = g)", "own", f"named_struct('items', own, 'cells', {cells('own', str(WIDTH))})")
-    return f"transform(sequence(0, {BLOCKS - 1}), g -> {block})"
+    """SQL of the blocks of a fingerprint: their digests and cells.  items are in order of blocks."""
+    own = "case when s = 0 then slice(all, 1, 0) else slice(all, cast(s as int), cast(size(all) + 2 - s - array_position(back, g) as int)) end"
+    block = let(let("array_position(codes, g)", "s", own), "own", f"named_struct('items', own, 'cells', {cells('own', str(WIDTH))})")
+    blocks = f"transform(sequence(0, {BLOCKS - 1}), g -> {block})"
+    return let(items, "all", let("transform(all, u -> u.b)", "codes", let("reverse(codes)", "back", blocks)))
 
 
 def peeled(diff: str, width: str, rounds: int) -> str:
@@ -75,10 +78,10 @@ def differing(a: str, b: str) -> str:
     keys = lambda b: f"transform({b}.items, u -> u.k)"
     exact = f"size(array_except({keys(a)}, {keys(b)})) + size(array_except({keys(b)}, {keys(a)}))"
     wider = lambda b: f"transform({b}.items, u -> {item('u.k', 'u.c', 'w')})"
-    again = let(peeled(minus(cells(wider(a), "w"), cells(wider(b), "w")), "w", 24), "t", f"case when {left('t')} then {exact} else t.found end")
+    again = let(peeled(minus(cells(wider(a), "w"), cells(wider(b), "w")), "w", 10), "t", f"case when {left('t')} then {exact} else t.found end")
     again = let(f"cast(ceil(0.6 * (size({a}.items) + size({b}.items))) as int) + 3", "w", again)
     larger = f"case when size({a}.items) + size({b}.items) > {MOST} then {exact} else {again} end"
-    first = let(peeled(minus(f"{a}.cells", f"{b}.cells"), str(WIDTH), 5), "f", f"case when {left('f')} then {larger} else f.found end")
+    first = let(peeled(minus(f"{a}.cells", f"{b}.cells"), str(WIDTH), 4), "f", f"case when {left('f')} then {larger} else f.found end")
     return f"case when {a}.cells = {b}.cells then 0 else {first} end"
 
 
@@ -95,28 +98,31 @@ def as_string(s: str) -> str:
     return f"array_join(flatten(transform({s}, b -> transform(b.cells, x -> {cell}))), '')"
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) with next_text, that of the next document in descending order of doc_id; group and place tell
-    rows apart."""
+def neighbours(docs: DataFrame, **columns: str) -> DataFrame:
+    """docs(doc_id, text) with next_text, that of the next document in descending order of doc_id.
+
+    columns: SQL of further columns of a document, by name; next_<name> is the next document's.
+    """
     docs = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     shares = [F.lit(i / SPLITS) for i in range(SPLITS + 1)]
     n, splits = docs.agg(F.count("*"), F.percentile_approx("doc_id", F.array(*shares), 1000)).first()
-    if not n:
-        return docs.select("doc_id", "text", F.lit("").alias("next_text"), F.lit(0).cast("long").alias("group"), F.lit(0).alias("place"))
-    splits = sorted({int(x) for x in splits})
-    docs = docs.withColumn("_tie", F.xxhash64("text")).withColumn("group", _group(F.col("doc_id"), splits, -(-n // GROUP)))
+    splits = sorted({int(x) for x in splits or [0]})
+    docs = docs.withColumn("_tie", F.xxhash64("text")).withColumn("_group", _group(F.col("doc_id"), splits, max(1, -(-n // GROUP))))
     # the first row of a group is a copy at the end of the group before it; one row of ids a group
-    heads = docs.groupBy("group").agg(F.max(F.struct("doc_id", "_tie")).alias("head"))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("group"))
-    last = F.min("group").over(Window.partitionBy(F.lit(0)))
-    heads = heads.select("head.*", F.coalesce(F.lag("group").over(order), last).alias("group"))
+    heads = docs.groupBy("_group").agg(F.max(F.struct("doc_id", "_tie")).alias("head"))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("_group"))
+    last = F.min("_group").over(Window.partitionBy(F.lit(0)))
+    heads = heads.select("head.*", F.coalesce(F.lag("_group").over(order), last).alias("_group"))
     if 2 * (-(-n // GROUP)) + SPLITS < 50_000:  # no more groups than that
         heads = F.broadcast(heads)
-    copies = docs.drop("group").join(heads, ["doc_id", "_tie"])
+    copies = docs.drop("_group").join(heads, ["doc_id", "_tie"])
     both = docs.withColumn("_copy", F.lit(0)).unionByName(copies.withColumn("_copy", F.lit(1)))
-    w = Window.partitionBy("group").orderBy("_copy", F.desc("doc_id"), F.desc("_tie"))
-    rows = both.withColumn("next_text", F.lead("text").over(w)).withColumn("place", F.row_number().over(w))
-    return rows.where("_copy = 0").select("doc_id", "text", "next_text", "group", "place")
+    both = both.repartition("_group")  # texts alone are moved, the columns are computed where they are
+    for name, sql in columns.items():
+        both = both.withColumn(name, F.expr(sql))
+    w = Window.partitionBy("_group").orderBy("_copy", F.desc("doc_id"), F.desc("_tie"))
+    rows = both.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("text", *columns)})
+    return rows.where("_copy = 0").drop("_copy", "_tie", "_group")
 
 
 def _group(doc_id: Column, splits: list[int], groups: int) -> Column:
@@ -131,26 +137,24 @@ def _group(doc_id: Column, splits: list[int], groups: int) -> Column:
     return i.cast("long") * (per + 1) + F.floor(share * per)
 
 
-def edited(docs: DataFrame) -> DataFrame:
+def edited(docs: DataFrame, **columns: str) -> DataFrame:
     """neighbours() with n_chars and the edited text: its last half replaced by the first of the next document's."""
-    rows = neighbours(docs).withColumn("n_chars", F.length("text").cast("long"))
+    rows = neighbours(docs, **columns).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     return rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of docs(doc_id, text)."""
-    rows = edited(docs)
-    for name, text in (("a", "text"), ("e", "edited"), ("x", "next_text")):
-        rows = rows.withColumn(name, F.expr(let(digests(text), "all", sketch("all"))))
+    rows = edited(docs, own=sketch(digests("text"))).withColumn("changed", F.expr(sketch(digests("edited"))))
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.expr(as_string("a")).alias("fingerprint"),
-        F.expr(as_string("e")).alias("edited_fingerprint"),
-        F.expr(likeness("a", "e")).alias("near_edited"),
-        F.expr(likeness("a", "x")).alias("near_next"),
+        F.expr(as_string("own")).alias("fingerprint"),
+        F.expr(as_string("changed")).alias("edited_fingerprint"),
+        F.expr(likeness("own", "changed")).alias("near_edited"),
+        F.expr(likeness("own", "next_own")).alias("near_next"),
     )
 
 
