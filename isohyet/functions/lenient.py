@@ -15,9 +15,13 @@ FLOAT = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 DATE_FIRST = r"^\d{4}-\d{2}-\d{2}"
 
 
+#: What counts as white space (Unicode); trim() alone takes blanks only.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(c: Column) -> Column:
-    """Without white space of any kind (Unicode) at either end; trim() takes blanks only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind at either end."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def na_to_null(c: Column, na_strings: Sequence[str] = NA_STRINGS) -> Column:

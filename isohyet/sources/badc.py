@@ -45,52 +45,84 @@ def _pair(c: Column) -> Column:
     return F.when(F.size(parts) == 2, parts)
 
 
-def headers(df: DataFrame) -> DataFrame:
-    """whole_files() with station columns, skip_rows, data_rows, total_lines, cols, rows, status and error."""
-    df = df.withColumn("_t", F.transform("lines", trimmed))
-    end = F.array_position("_t", END_DATA)
-    df = df.withColumn("_end", F.when(end > 0, end).otherwise(F.size("_t") + 1).cast("int")).withColumn("_closed", end > 0)
-    before = F.slice("_t", 1, F.col("_end") - 1)
-    back = F.array_position(F.reverse(before), DATA)
-    df = df.withColumn("_data", F.when(back > 0, F.size(before) - back + 1).otherwise(0).cast("int"))
-    head = F.filter(F.slice("lines", 1, F.greatest(F.col("_data") - 1, F.lit(0))), lambda x: (trimmed(x) != "") & ~F.startswith(x, F.lit(COMMENT)))
+def bound(value: Column, f) -> Column:
+    """f(value), in which value is computed once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def header_of(lines: Column, valid: Column) -> Column:
+    """All that a file's lines say of it, as a struct."""
+    # only lines that have the word are looked at more closely
+    marks = F.transform(lines, lambda x: F.when(F.contains(x, F.lit(DATA)), trimmed(x)))
+    ends = lambda t: F.array_position(t, END_DATA).cast("int")
+    end = lambda t: F.when(ends(t) > 0, ends(t)).otherwise(F.size(t) + 1)
+    data = lambda back, end: F.when(back > 0, end - back).otherwise(0)
+    last = lambda t, end: F.array_position(F.reverse(F.slice(t, 1, end - 1)), DATA).cast("int")
+    return bound(
+        marks,
+        lambda t: bound(
+            end(t),
+            lambda e: bound(
+                data(last(t, e), e),
+                lambda d: bound(_entries(lines, d), lambda h: bound(_station(h), lambda s: _file(lines, valid, t, e, d, s))),
+            ),
+        ),
+    )
+
+
+def _entries(lines: Column, data: Column) -> Column:
+    """(key, value) of the `key,G,value` lines before the data."""
+    head = F.filter(F.slice(lines, 1, F.greatest(data - 1, F.lit(0))), lambda x: (trimmed(x) != "") & ~F.startswith(x, F.lit(COMMENT)))
     split = F.filter(F.transform(head, lambda x: F.split(x, ",", 3)), lambda p: (F.size(p) == 3) & (F.get(p, F.lit(1)) == GLOBAL))
-    df = df.withColumn("_head", F.transform(split, lambda p: F.struct(trimmed(F.get(p, F.lit(0))).alias("key"), trimmed(F.get(p, F.lit(2))).alias("value"))))
-    for name, key in HEADER_KEYS.items():
-        df = df.withColumn(f"_{name}", _last_value(F.col("_head"), key))
-    place, high = _pair(F.col("_location")), _pair(F.col("_height"))
-    df = df.withColumn("_lat", to_double(F.get(place, F.lit(0)))).withColumn("_lon", to_double(F.get(place, F.lit(1)))).withColumn("_high", to_double(F.get(high, F.lit(0))))
+    return F.transform(split, lambda p: F.struct(trimmed(F.get(p, F.lit(0))).alias("key"), trimmed(F.get(p, F.lit(2))).alias("value")))
+
+
+def _station(entries: Column) -> Column:
+    value = {name: _last_value(entries, key) for name, key in HEADER_KEYS.items()}
+    place, high = _pair(value["location"]), _pair(value["height"])
+    return F.struct(
+        value["station_id"].alias("station_id"),
+        value["station_name"].alias("station_name"),
+        value["county"].alias("county"),
+        to_double(F.get(place, F.lit(0))).alias("latitude"),
+        to_double(F.get(place, F.lit(1))).alias("longitude"),
+        to_double(F.get(high, F.lit(0))).alias("height"),
+        F.get(high, F.lit(1)).alias("height_units"),
+    )
+
+
+def _file(lines: Column, valid: Column, t: Column, end: Column, data: Column, s: Column) -> Column:
+    # in the order in which a missing one is told
     faults = [
-        (F.col("_station_name").isNull(), "observation_station"),
-        (F.col("_station_id").isNull(), "midas_station_id"),
-        (F.col("_county").isNull(), "historic_county_name"),
-        (F.col("_lat").isNull() | F.col("_lon").isNull(), "location"),
-        (F.col("_high").isNull(), "height"),
-        (F.get("lines", F.col("_data")).isNull(), "column line"),
+        (s["station_name"].isNull(), "observation_station"),
+        (s["station_id"].isNull(), "midas_station_id"),
+        (s["county"].isNull(), "historic_county_name"),
+        (s["latitude"].isNull() | s["longitude"].isNull(), "location"),
+        (s["height"].isNull(), "height"),
+        (F.get(lines, data).isNull(), "column line"),
     ]
     missing = F.coalesce(*[F.when(c, F.lit(f"missing {what}")) for c, what in faults])
-    status = F.when(~F.col("valid"), NOT_UTF8).when(F.col("_data") == 0, NO_DATA_MARKER).when(missing.isNotNull(), HEADER_FAILED).otherwise(OK)
-    error = F.when(~F.col("valid"), "not UTF-8").when(F.col("_data") == 0, "no data marker").otherwise(missing)
-    body = F.slice("lines", F.col("_data") + 2, F.greatest(F.col("_end") - F.col("_data") - 2, F.lit(0)))
-    return df.select(
-        "path",
-        F.col("_station_id").alias("station_id"),
-        F.col("_station_name").alias("station_name"),
-        F.col("_county").alias("county"),
-        F.col("_lat").alias("latitude"),
-        F.col("_lon").alias("longitude"),
-        F.col("_high").alias("height"),
-        F.get(high, F.lit(1)).alias("height_units"),
-        F.col("_data").alias("skip_rows"),
-        F.when(F.col("_closed"), F.col("_end") - F.col("_data") - 1).alias("data_rows"),
-        F.size("lines").alias("total_lines"),
-        F.transform(F.split(F.get("lines", F.col("_data")), ","), trimmed).alias("cols"),
+    status = F.when(~valid, NOT_UTF8).when(data == 0, NO_DATA_MARKER).when(missing.isNotNull(), HEADER_FAILED).otherwise(OK)
+    error = F.when(~valid, "not UTF-8").when(data == 0, "no data marker").otherwise(missing)
+    body = F.slice(lines, data + 2, F.greatest(end - data - 2, F.lit(0)))
+    return F.struct(
+        *[s[c].alias(c) for c in STATION_COLUMNS],
+        data.alias("skip_rows"),
+        F.when(end <= F.size(t), end - data - 1).alias("data_rows"),
+        F.size(lines).alias("total_lines"),
+        F.transform(F.split(F.get(lines, data), ","), trimmed).alias("cols"),
         F.filter(body, lambda x: trimmed(x) != "").alias("rows"),
         status.alias("status"),
         error.alias("error"),
     )
 
 
+def headers(df: DataFrame) -> DataFrame:
+    """(path, station columns, skip_rows, data_rows, total_lines, cols, rows, status, error) of whole_files()."""
+    header = bound(F.struct("lines", "valid"), lambda f: bound(f["lines"], lambda lines: header_of(lines, f["valid"])))
+    return df.select("path", header.alias("h")).select("path", "h.*")
+
+
 def outcomes(spark: SparkSession, parsed: DataFrame, paths: Sequence[str]) -> DataFrame:
     """(path, status, error, n_rows) of all files; those of zero bytes, which readers leave out, have no data marker."""
     all_files = spark.createDataFrame([(p,) for p in paths], "path string")
