@@ -148,10 +148,8 @@ def fit(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, bad: np.ndarray
     return w
 
 
-def judged(docs: DataFrame, *, sample_docs: int = 6000, threshold: float = 0.5, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, pattern, posterior, quality, keep) of docs(doc_id, text): posterior by the votes, quality by the scorer,
-    both 0 (bad) to 1 (good); keep where quality is at least the threshold."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), "text")
+def trained(docs: DataFrame, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of bad for each vote pattern, and the scorer's weights, of docs(doc_id, text)."""
     n = docs.count()
     share = min(1.0, sample_docs / max(n, 1))
     hashed = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -180,8 +178,21 @@ def judged(docs: DataFrame, *, sample_docs: int = 6000, threshold: float = 0.5,
     doc = np.repeat(np.arange(len(sample)), sizes)
     feature = np.frombuffer(b"".join(sample["features"]), dtype="<i4")
     value = np.frombuffer(b"".join(sample["weights"]), dtype="<f4").astype(float)
-    weights = fit(doc, feature, value, of[sample["pattern"].to_numpy(dtype=np.int64)])
-    sent = docs.sparkSession.sparkContext.broadcast((of, weights))  # 2 ** 16 + 3 ** 9 numbers
+    return of, fit(doc, feature, value, of[sample["pattern"].to_numpy(dtype=np.int64)])
+
+
+def quality_of(w: Words, weights: np.ndarray) -> np.ndarray:
+    """Quality by the scorer, 0 to 1; 0 without words."""
+    doc, feature, value = features(w)
+    z = np.bincount(doc, weights=weights[feature] * value, minlength=w.n_docs) + weights[-1]
+    return np.where(w.n > 0, 1 / (1 + np.exp(np.clip(z, -500, 500))), 0.0)
+
+
+def judged(docs: DataFrame, *, sample_docs: int = 6000, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, pattern, posterior, quality, keep) of docs(doc_id, text): posterior by the votes, quality by the scorer,
+    both 0 (bad) to 1 (good); keep where quality is at least the threshold."""
+    docs = docs.select("doc_id", "text")
+    sent = docs.sparkSession.sparkContext.broadcast(trained(docs, sample_docs))  # 2 ** 16 + 3 ** 9 numbers
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, weights = sent.value
@@ -189,10 +200,7 @@ def judged(docs: DataFrame, *, sample_docs: int = 6000, threshold: float = 0.5,
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 w = Words(part.column("text").to_pylist())
-                doc, feature, value = features(w)
-                z = np.bincount(doc, weights=weights[feature] * value, minlength=w.n_docs) + weights[-1]
-                quality = np.where(w.n > 0, 1 / (1 + np.exp(np.clip(z, -500, 500))), 0.0)
-                pattern, none = votes(w), w.n == 0
+                quality, pattern, none = quality_of(w, weights), votes(w), w.n == 0
                 posterior = np.where(none, 0.0, 1 - of[pattern])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(pattern, pa.int32(), mask=none), pa.array(posterior), pa.array(quality), pa.array(quality >= threshold)], ["doc_id", "pattern", "posterior", "quality", "keep"])
 
@@ -200,10 +208,17 @@ def judged(docs: DataFrame, *, sample_docs: int = 6000, threshold: float = 0.5,
     return docs.mapInArrow(score, f"doc_id {kind}, pattern int, posterior double, quality double, keep boolean")
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """docs without those that the classifier rejects."""
-    bad = judged(docs, **options).where(~F.col("keep")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def keep_good(docs: DataFrame, *, sample_docs: int = 6000, threshold: float = 0.5) -> DataFrame:
+    """docs, all columns, without those that the classifier rejects; no row is moved."""
+    sent = docs.sparkSession.sparkContext.broadcast(trained(docs.select("doc_id", "text"), sample_docs)[1])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield part.filter(pa.array(quality_of(Words(part.column("text").to_pylist()), sent.value) >= threshold))
+
+    return docs.mapInArrow(choose, docs.schema)
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:

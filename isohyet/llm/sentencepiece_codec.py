@@ -142,7 +142,7 @@ class Codec:
         self.normalizer, self.tokenizer = normalizer(self.model), rebuilt(self.model)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.cuttable else None
-        self.known: dict[str, bytes] = {}  # word: its ids as int32
+        self.known: dict[str | tuple[str], bytes] = {}  # word: its ids as int32
         self.alone = [self.original.piece_to_id(MARK)]
         self.bytes_of = [self._bytes_of(p, kind) for p, _, kind in self.model.pieces]
 
@@ -154,8 +154,9 @@ class Codec:
     def normalized(self, text: str) -> str:
         return self.normalizer.normalize_str(text)
 
-    def words(self, text: str) -> list[str]:
-        """What can be encoded by itself; a word without marker stands for one with a single marker before it."""
+    def words(self, text: str) -> list[str | tuple[str]]:
+        """What can be encoded by itself; a string without marker stands for a word with a single one before
+        it, a tuple for a word without."""
         m = self.model
         if self.cut and m.add_prefix and not m.squeeze and not m.charsmap:
             if not text:
@@ -166,12 +167,12 @@ class Codec:
         else:
             normal = self.normalized(text)
         found = self.cut.findall(normal) if self.cut else [normal] if normal else []
-        return [w[1:] if w[0] == MARK != w[1:2] and len(w) > 1 else w if w[0] == MARK else f"\0{w}" for w in found]
+        return [w[1:] if w[0] == MARK != w[1:2] and len(w) > 1 else w if w[0] == MARK else (w,) for w in found]
 
-    def learn(self, words: list[str]) -> int:
+    def learn(self, words: list[str | tuple[str]]) -> int:
         """Encodes words; the number of those on which the two libraries differ."""
         m, differ = self.model, 0
-        whole = [w if w[0] == MARK else w[1:] if w[0] == "\0" else MARK + w for w in words]
+        whole = [w[0] if isinstance(w, tuple) else w if w[0] == MARK else MARK + w for w in words]
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
         # the original library puts its own marker before a text
         again = self.original.encode([w.removeprefix(MARK).replace(MARK, " ") if m.add_prefix else w.replace(MARK, " ") for w in whole], num_threads=1) if whole else []
