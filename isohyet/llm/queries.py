@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
+from .oracles import SQL
+
 #: query: module that has it
 MODULES = {
     "op1_url_filters": "url_filters",
@@ -24,4 +26,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

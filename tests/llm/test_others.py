@@ -288,3 +288,15 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
 def test_registered_queries_run(spark, name):
     df = queries.queries()[name](spark, TABLES)
     assert df.count() > 0 and all(not t.startswith("void") for _, t in df.dtypes)
+
+
+@have_tables
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_registered_queries_against_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{TABLES}/documents.parquet'")
+    want = con.execute(queries.oracle_sql()[name])
+    df = queries.queries()[name](spark, TABLES).select(*[c[0] for c in want.description])
+    assert sorted(map(tuple, df.collect())) == sorted(want.fetchall())
