@@ -3,9 +3,11 @@
 A document's set has its different n-grams of lower-case words (A-Z), as 64-bit hashes.  Two documents link when percent * |union| <= 100 * |intersection|.
 
 Which documents can link at all: sizes of linked sets lie in one size class or in neighbouring ones.  For each pair of
-classes the hashes are cut into one part more than two linked sets of these sizes can differ in, so linked sets agree in
-one whole part at least.  Each document sends a hash of each part, and those that agree in one go to the join.  (Parts
-that are empty count only where a document has so many that no full one need agree.)
+classes the hashes are cut into more parts than two linked sets of these sizes can differ in, so linked sets agree in some
+whole parts.  Each document sends a hash of each part, and those that agree in one go to the join.  (Parts that are empty
+count only where a document has so many that no full one need agree.)  The hot_grams most frequent grams are left out of
+the parts, which makes no difference to what must agree, so that a passage that very many documents share brings these
+together only where little else is in them.
 
 The join stores the sets of a group in a prefix tree, rare grams first, and runs each set down it: sets with a common prefix share the
 counting of their overlap, and a subtree is left when what remains of both can't lift the overlap to what is needed.  A
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, over, returned, spaced, unzip, word_hashes, word_spans, zip_
+from .chunks import Chunk, as_array, bucket_edges, bucket_of, buckets_for, chunked, gram_hashes, member, over, returned, spaced, unzip, word_hashes, word_spans, zip_
 from .common import mix, table, written
 from .components import components
 from .winnowing import class_starts
@@ -65,18 +67,70 @@ def sets_of(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[new], np.bincount(of[new], minlength=len(doc_starts))
 
 
-def signatures(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of a part, document) of all parts of the sets, for both pairs of classes that a set belongs to."""
+def different_rows(*columns: np.ndarray) -> list[np.ndarray]:
+    """Columns of the different rows, in order."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    if not len(order):
+        return columns
+    new = np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]
+    return [c[new] for c in columns]
+
+
+def frequent_grams(chunks: DataFrame, n: int, n_buckets: int, least: int, most: int) -> np.ndarray:
+    """The grams that most documents have: at most `most`, each in `least` documents or more.
+
+    Documents are counted where a chunk has a gram three times or more, which is enough to find grams that many have.
+    Which grams are found only decides what work the join does, never its result.
+    """
+
+    def count(chunk: Chunk, row: dict) -> Iterator[dict]:
+        keys, n_docs = np.unique(sets_of(chunk, n)[0], return_counts=True)
+        keys, n_docs = keys[n_docs > 2], n_docs[n_docs > 2]
+        edges = bucket_edges(keys, n_buckets)
+        for b in np.flatnonzero(np.diff(edges)):
+            s = slice(edges[b], edges[b + 1])
+            yield {"bucket": int(b), "keys": keys[s].tobytes(), "counts": n_docs[s].astype("<i8").tobytes()}
+
+    def total(t: pa.Table) -> pa.Table:
+        keys, counts = np.concatenate([as_array(x, "<u8") for x in t["keys"].to_pylist()]), np.concatenate([as_array(x, "<i8") for x in t["counts"].to_pylist()])
+        order = np.argsort(keys, kind="stable")
+        first = class_starts(keys[order])
+        n_docs = np.add.reduceat(counts[order], first)
+        keep = n_docs >= least
+        return pa.table({"gram": pa.array(keys[order][first][keep].view(np.int64)), "n_docs": pa.array(n_docs[keep])})
+
+    found = over(chunks, count, "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(total, "gram long, n_docs long")
+    rows = found.orderBy(F.desc("n_docs"), "gram").limit(most).collect()
+    return np.sort(np.array([r["gram"] for r in rows], dtype=np.int64).view(np.uint64))
+
+
+def spare_parts(low: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """How many parts more than differ + 1 there are, so that few sets of `low` grams have more empty ones than that."""
+    spare = np.zeros(len(low), dtype=np.int64)
+    for _ in range(4):
+        parts = differ + 1 + spare
+        empty = parts * np.exp(-low / parts)
+        spare = np.minimum(np.ceil(empty + 2 * np.sqrt(empty) + 1).astype(np.int64), differ + 2)
+    return spare
+
+
+def signatures(grams: np.ndarray, kept: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of a part, document) of all parts of the sets, for both pairs of classes that a set belongs to.
+
+    grams: those of the sets that are not frequent, ascending in each document, kept of them; sizes: of the whole sets.
+    """
     edges = size_classes(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(edges, sizes, side="right") - 1
-    doc = np.repeat(np.arange(len(sizes)), sizes)
+    doc = np.repeat(np.arange(len(sizes)), kept)
     spread = mix(grams + np.uint64(0x5851F42D4C957F2D))
     out_keys, out_docs = [], []
     for pair in (own - 1, own):  # pair p: classes p and p + 1
         good = (sizes > 0) & (pair >= 0)
-        top = edges[np.maximum(pair, 0) + 1] - 1  # the largest size of class p
-        differ = top * (100 - percent) // percent  # of a set of this size and the largest that links with it
-        parts = np.where(good, differ + 1, 0)
+        p = np.maximum(pair, 0)
+        differ = (edges[p + 1] - 1) * (100 - percent) // percent  # of the largest set of class p and the largest that links with it
+        spare = spare_parts(edges[p], differ)
+        parts = np.where(good, differ + 1 + spare, 0)
         first = np.cumsum(parts) - parts
         # grams ascend, so the parts of a document follow each other
         part = ((grams >> np.uint64(32)) * parts[doc].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
@@ -91,7 +145,8 @@ def signatures(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.n
         of = np.repeat(np.arange(len(sizes)), parts)
         place = np.arange(total) - first[of]
         empty = np.bincount(of[counts == 0], minlength=len(sizes))
-        send = (counts > 0) | (empty > parts - differ - 1)[of]
+        # linked sets agree in spare + 1 parts: in a full one, unless more than spare are empty
+        send = (counts > 0) | (empty > spare)[of]
         tag = mix((pair[of].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) * np.uint64(2) + np.uint64(1))
         out_keys.append(mix(sums + counts * np.uint64(0x2545F4914F6CDD1D) ^ tag)[send])
         out_docs.append(of[send])
@@ -207,15 +262,18 @@ def tree_join(left: list[int], right: list[int], sets: list[list[int]], percent:
     return links
 
 
-def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 2000) -> DataFrame:
+def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 2000, hot_grams: int = 50_000, hot_docs: int = 32) -> DataFrame:
     """(doc_id, n_shingles, component_id) of docs(doc_id, text): all documents that links connect have the smallest
     doc_id among them as component_id."""
     chunks = chunked(docs, chunk_bytes)
-    n_buckets = buckets_for(chunks.count())
+    n_buckets = buckets_for(chunks.count(), 4)
+    hot = chunks.sparkSession.sparkContext.broadcast(frequent_grams(chunks, n, n_buckets, hot_docs, hot_grams))  # 8 bytes each
 
     def send(chunk: Chunk, row: dict) -> Iterator[dict]:
         grams, sizes = sets_of(chunk, n)
-        keys, of = signatures(grams, sizes, percent)
+        rare = ~member(grams, hot.value)
+        kept = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[rare], minlength=len(sizes))
+        keys, of = signatures(grams[rare], kept, sizes, percent)
         order = np.argsort(keys, kind="stable")
         keys, ids = keys[order], chunk.doc_ids[of[order]]
         bucket = bucket_of(keys, n_buckets)
@@ -233,18 +291,19 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
         first = class_starts(keys)
         count = np.diff(np.r_[first, len(keys)])
         several = np.repeat(np.maximum.reduceat(ids, first) != ids[first], count) if len(first) else np.zeros(0, dtype=bool)
-        rows = np.unique(np.column_stack([chunk, np.repeat(ids[first], count), ids])[several], axis=0)
-        edges = class_starts(rows[:, 0])
-        blobs = [zip_(np.ascontiguousarray(rows[a:e, 1:]).tobytes()) for a, e in zip(edges, np.r_[edges[1:], len(rows)])]
-        return pa.table({"chunk": pa.array(rows[edges, 0], pa.int64()), "pairs": pa.array(blobs, pa.binary())})
+        chunk, a, b = different_rows(chunk[several], np.repeat(ids[first], count)[several], ids[several])
+        edges = class_starts(chunk)
+        blobs = [zip_(np.column_stack([a[i:e], b[i:e]]).tobytes()) for i, e in zip(edges, np.r_[edges[1:], len(chunk)])]
+        return pa.table({"chunk": pa.array(chunk[edges], pa.int64()), "pairs": pa.array(blobs, pa.binary())})
 
     sent = over(chunks, send, "bucket int, chunk long, keys binary, ids binary")
     met = sent.groupBy("bucket").applyInArrow(meet, "chunk long, pairs binary")
 
     def different(t: pa.Table) -> pa.Table:
         """A chunk's pairs from all buckets, once each."""
-        pairs = np.unique(np.concatenate([as_array(unzip(x), "<i8").reshape(-1, 2) for x in t["pairs"].to_pylist()]), axis=0)
-        return pa.table({"chunk": pa.array(np.full(len(pairs), t["chunk"][0].as_py()), pa.int64()), "a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        pairs = np.concatenate([as_array(unzip(x), "<i8").reshape(-1, 2) for x in t["pairs"].to_pylist()])
+        a, b = different_rows(pairs[:, 0], pairs[:, 1])
+        return pa.table({"chunk": pa.array(np.full(len(a), t["chunk"][0].as_py()), pa.int64()), "a": pa.array(a), "b": pa.array(b)})
 
     agree = written(met.groupBy("chunk").applyInArrow(different, "chunk long, a long, b long"), "agreeing")
     groups = components(agree.select("a", "b"))
