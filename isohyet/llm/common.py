@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +12,6 @@ __all__ = ["collecting", "remove", "shared_dir", "written"]
 
 #: A word is a run of characters outside this class (blank and the five control characters TAB to CR).
 SPACES = "\\x20\\x09-\\x0D"
-WORD = f"[^{SPACES}]+"
-MASK = (1 << 64) - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,13 +40,3 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
-
-
-def in_batches(f: Callable) -> Callable[[Iterator], Iterator]:
-    """mapInPandas function that yields f(frame) for each Arrow batch."""
-
-    def run(frames: Iterator) -> Iterator:
-        for frame in frames:
-            yield f(frame)
-
-    return run
