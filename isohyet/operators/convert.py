@@ -69,8 +69,8 @@ class Converter:
     def parsed(self) -> DataFrame:
         return badc.headers(badc.whole_files(self.spark, f"{self.path}/{QC_DIR}/*/*/*.csv"))
 
-    def outcomes(self) -> DataFrame:
-        return badc.outcomes(self.spark, self.parsed(), self.paths)
+    def outcomes(self, parsed: DataFrame | None = None) -> DataFrame:
+        return badc.outcomes(self.spark, self.parsed() if parsed is None else parsed, self.paths)
 
     def schema(self, parsed: DataFrame | None = None) -> Schema:
         parsed = self.parsed() if parsed is None else parsed
@@ -101,7 +101,7 @@ class Converter:
         if not self.paths or self.options.discovery_only:
             return Stats(processing_ms=took())
         kind, parsed = self.kind(), self.parsed()
-        tally = self.outcomes().groupBy((F.col("status") == OK).alias("good")).agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows")).collect()
+        tally = self.outcomes(parsed).groupBy((F.col("status") == OK).alias("good")).agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows")).collect()
         good, bad = (next((r for r in tally if r["good"] is is_good), None) for is_good in (True, False))
         failed = bad["n"] if bad else 0
         if not good:

@@ -91,6 +91,8 @@ class Schema:
 
     columns: dict[str, str]
     empty: tuple[str, ...] = ()
+    #: most columns that a file has; 0 where files have not been looked at
+    widest: int = 0
 
     @classmethod
     def of(cls, column_lists: list[list[str]]) -> Schema:

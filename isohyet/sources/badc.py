@@ -7,6 +7,7 @@ found by name in each file, so files may differ in their columns and in the orde
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,13 +135,13 @@ def outcomes(spark: SparkSession, parsed: DataFrame, paths: Sequence[str]) -> Da
 def dataset_schema(parsed: DataFrame) -> Schema:
     """Union of all files' columns, in the order in which sorted paths show them; one small row per different list."""
     lists = parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path")).orderBy("path").collect()
-    return Schema.of([list(r["cols"]) for r in lists])
+    lists = [list(r["cols"]) for r in lists]
+    return replace(Schema.of(lists), widest=max(map(len, lists), default=0))
 
 
 def fields(parsed: DataFrame, schema: Schema) -> DataFrame:
     """A row per observation: station columns, cols and vals (raw fields, quotes taken off)."""
-    n = len(schema.columns)
-    widest = max(n, parsed.agg(F.max(F.size("cols"))).first()[0] or 0)
+    widest = schema.widest or parsed.agg(F.max(F.size("cols"))).first()[0] or 0
     rows = parsed.where(F.col("status") == OK).select(*STATION_COLUMNS, "cols", F.explode("rows").alias("row"))
     shape = ", ".join(f"_c{i} string" for i in range(max(widest, 1)))
     rows = rows.withColumn("_f", F.from_csv("row", F.lit(shape), {"mode": "PERMISSIVE"}))
