@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isohyet.llm import jaccard_join, packing, quality, substring_dedup
 from isohyet.llm.common import collecting, remove, table, written
+from isohyet.shipping import ship
 
 #: Tables that a stage wrote on its way; the next stage starts when that one's result is written and removes them.
 _scratch: list[str] = []
@@ -17,6 +18,7 @@ _scratch: list[str] = []
 
 def _stage(operator):
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
         remove(spark, _scratch)
         with collecting(_scratch):
             return operator(docs)
