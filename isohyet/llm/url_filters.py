@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table
+from .common import lower_ascii, table, written
 
 #: (host, path, verdict) of the registered query
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
@@ -62,6 +62,7 @@ def templates(pages: DataFrame, *, min_count: int = 5, min_share: float = 0.02,
         wild = F.concat(F.lit("*"), F.regexp_extract("_s", "(\\.[A-Za-z]{1,5})?$", 0))
         step = F.when(F.col("_s").isNotNull(), F.concat(F.col("_node"), F.lit("/"), F.when(F.col("_kept"), F.col("_s")).otherwise(wild))).otherwise(F.col("_node"))
         df = df.join(literal, ["host", "_node", "_s"], "left").withColumn("_parent", F.when(F.col("_s").isNotNull(), F.col("_node")).otherwise(F.col("_parent") if level else F.lit(""))).withColumn("_node", step).drop("_s", "_kept")
+        df = written(df, "tree")  # else each level would compute all levels above it again
     if not deepest:
         df = df.withColumn("_parent", F.lit(""))
     tail = F.when(F.size("_seg") > max_depth, F.lit("/**")).otherwise(F.lit(""))
