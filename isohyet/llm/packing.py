@@ -94,10 +94,10 @@ def pack(docs: DataFrame, capacity: int = 2048, *, per_source: int = 2, group_ro
     document.  Pieces that fill a bin alone need no search.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("cluster").cast("long"), F.col("n_words").cast("long")).where("n_words > 0")
-    k = tasks(spark, docs.count(), group_rows)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("cluster").cast("long"), F.col("n_words").cast("long"))
+    k = tasks(spark, docs.count(), group_rows)  # rows alone are counted, no words
     group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "n_words"), F.lit(k)).cast("int")
-    pieces = docs.withColumn("piece", F.explode(F.sequence(F.lit(0), ((F.col("n_words") - 1) / capacity).cast("int"))))
+    pieces = docs.where("n_words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), ((F.col("n_words") - 1) / capacity).cast("int"))))
     start = F.col("piece").cast("long") * capacity
     pieces = pieces.select("doc_id", "source", "cluster", "piece", start.alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n_words") - start).cast("int").alias("n_words"), group.alias("_group"))
 
