@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import OK, SchemaVarianceExceeded
+from ..errors import SchemaVarianceExceeded
 from ..functions.lenient import NA_STRINGS
 from ..plans.rowgroups import rows_per_group
 from ..plans.spec import Kind, Schema, is_descriptor, is_timestamp, kind_of
@@ -72,9 +72,10 @@ class Converter:
     def outcomes(self, parsed: DataFrame | None = None) -> DataFrame:
         return badc.outcomes(self.spark, self.parsed() if parsed is None else parsed, self.paths)
 
-    def schema(self, parsed: DataFrame | None = None) -> Schema:
+    def schema(self, parsed: DataFrame | None = None, schema: Schema | None = None) -> Schema:
+        """The dataset's columns, with those that are empty."""
         parsed = self.parsed() if parsed is None else parsed
-        schema = badc.dataset_schema(parsed)
+        schema = schema or badc.dataset_schema(parsed)
         if self.options.empty_columns == "off" or not schema.columns:
             return schema
         rows = parsed
@@ -101,29 +102,28 @@ class Converter:
         if not self.paths or self.options.discovery_only:
             return Stats(processing_ms=took())
         kind, parsed = self.kind(), self.parsed()
-        tally = self.outcomes(parsed).groupBy((F.col("status") == OK).alias("good")).agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows")).collect()
-        good, bad = (next((r for r in tally if r["good"] is is_good), None) for is_good in (True, False))
-        failed = bad["n"] if bad else 0
-        if not good:
+        seen = badc.overview(parsed)
+        failed = len(self.paths) - seen.files  # zero-byte files are among the paths alone
+        if not seen.files:
             return Stats(files_failed=failed, processing_ms=took())
-        schema = self.schema(parsed)
-        self._check_variance(parsed, schema)
+        self._check_variance(seen)
+        schema = self.schema(parsed, seen.schema)
         rows = badc.observations(badc.fields(parsed, schema), schema, self.options.na_strings)
         options, time_column = self.options.parquet, kind.time_column
         stations = len({p.split("/")[-2] for p in self.paths})
         layout = self.options.layout or ("directory" if stations > MANY_STATIONS or (kind is Kind.RAIN and stations > MANY_RAIN_STATIONS) else options.layout)
         if self.options.row_groups:
-            options = options.with_(rows_per_group=rows_per_group(self.options.row_groups, rows=good["rows"] or 0, stations=stations, cores=self.spark.sparkContext.defaultParallelism))
+            options = options.with_(rows_per_group=rows_per_group(self.options.row_groups, rows=seen.rows, stations=stations, cores=self.spark.sparkContext.defaultParallelism))
         keys = ["station_id"] + ([time_column] if time_column in schema.columns else [])
         n = write(rows, self.output, keys, options.with_(layout=layout))
-        return Stats(good["n"], failed, n, self.output, took())
+        return Stats(seen.files, failed, n, self.output, took())
 
-    def _check_variance(self, parsed: DataFrame, schema: Schema) -> None:
+    def _check_variance(self, seen: badc.Overview) -> None:
         if self.options.schema_variance is None:
             return
-        for r in parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path")).collect():
-            if (d := schema.differing(list(r["cols"]))) > self.options.schema_variance:
-                raise SchemaVarianceExceeded(r["path"], d, self.options.schema_variance)
+        for path, cols in seen.lists.items():
+            if (d := seen.schema.differing(cols)) > self.options.schema_variance:
+                raise SchemaVarianceExceeded(path, d, self.options.schema_variance)
 
 
 def default_output(path: str) -> str:

@@ -7,7 +7,7 @@ found by name in each file, so files may differ in their columns and in the orde
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,11 +132,30 @@ def outcomes(spark: SparkSession, parsed: DataFrame, paths: Sequence[str]) -> Da
     return df.select("path", F.coalesce("status", F.lit(NO_DATA_MARKER)).alias("status"), F.when(F.col("status").isNull(), F.lit("no data marker")).otherwise(F.col("error")).alias("error"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
+@dataclass(frozen=True)
+class Overview:
+    """What one look at all headers tells."""
+
+    files: int  # that can be read
+    rows: int
+    schema: Schema
+    lists: dict[str, list[str]]  # first path with a list of columns: the list
+
+
+def overview(parsed: DataFrame) -> Overview:
+    """Files, rows and the union of all files' columns, in the order in which sorted paths show them.
+
+    One job; a small row for each different list of columns comes to the driver.
+    """
+    good = parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path"), F.count("*").alias("files"), F.sum(F.size("rows")).alias("rows"))
+    found = sorted(good.collect(), key=lambda r: r["path"])
+    lists = {r["path"]: list(r["cols"]) for r in found}
+    schema = replace(Schema.of(list(lists.values())), widest=max(map(len, lists.values()), default=0))
+    return Overview(sum(r["files"] for r in found), sum(r["rows"] for r in found), schema, lists)
+
+
 def dataset_schema(parsed: DataFrame) -> Schema:
-    """Union of all files' columns, in the order in which sorted paths show them; one small row per different list."""
-    lists = parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path")).orderBy("path").collect()
-    lists = [list(r["cols"]) for r in lists]
-    return replace(Schema.of(lists), widest=max(map(len, lists), default=0))
+    return overview(parsed).schema
 
 
 def fields(parsed: DataFrame, schema: Schema) -> DataFrame:
