@@ -61,9 +61,12 @@ def second_hashes(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarr
     return mix(out)
 
 
-def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, gone=None) -> np.ndarray:
-    """Which items come after the first place of their group; all of a group of whose first item gone(item) holds."""
-    order = np.lexsort((starts, ids, group))
+def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, gone=None, in_order: bool = False) -> np.ndarray:
+    """Which items come after the first place of their group; all of a group of whose first item gone(item) holds.
+
+    in_order: the items of a group come in the order of their places.
+    """
+    order = np.argsort(group, kind="stable") if in_order else np.lexsort((starts, ids, group))
     first = class_starts(group[order])
     n = np.diff(np.r_[first, len(order)])
     lead = order[first]
@@ -87,7 +90,8 @@ def parts_of(sizes: np.ndarray, most: int) -> Iterator[slice]:
 
 
 def later_strings(segments: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int, part_bytes: int) -> list[np.ndarray]:
-    """For each segment, which of its strings stand earlier in another segment."""
+    """For each segment, which of its strings stand earlier in another segment; those of one anchor come in the order of
+    their places."""
     text = as_array(b"".join(segments), "u1")
     sizes = np.array([len(x) for x in segments], dtype=np.int64)
     n = sizes - length + 1
@@ -121,7 +125,7 @@ def later_strings(segments: list[bytes], ids: np.ndarray, starts: np.ndarray, le
         number[seen] = moved[number[seen]]
         number[own] = target[own_class]
         merged, seen = both, np.concatenate([seen, own])
-    later = later_places(number[places], np.repeat(ids, n), np.repeat(starts, n) + within)
+    later = later_places(number[places], np.repeat(ids, n), np.repeat(starts, n) + within, in_order=True)
     return np.split(later, np.cumsum(n)[:-1])
 
 
@@ -212,7 +216,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         # an anchor with one segment is settled; strings of several have to be sorted
         _, key_no, n_of_key = np.unique(keys[leads], return_inverse=True, return_counts=True)
         open_ = np.sort(leads[n_of_key[key_no] > 1])
-        open_ = open_[np.argsort(keys[open_], kind="stable")]
+        open_ = open_[np.lexsort((starts[open_], ids[open_], keys[open_]))]
         flags = {}
         for group in by_key(keys[open_], sizes[open_], part_bytes):
             own = open_[group]
@@ -247,7 +251,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
                     told = np.sort(np.repeat(begin - np.cumsum(told[:, 2]) + told[:, 2], told[:, 2]) + np.arange(int(told[:, 2].sum())))
                     # if the chunk's first place of a string is not the corpus', the string goes all over the chunk
                     elsewhere = lambda lead: member(places[lead], told)
-                later = later_places(hashes[places], chunk.doc_ids[own], places - doc_first[own], elsewhere)
+                ids = chunk.doc_ids
+                later = later_places(hashes[places], ids[own], places - doc_first[own], elsewhere, in_order=bool((ids[1:] != ids[:-1]).all()))
                 drop = covered(len(drop), places[later], length)
         at = 0
         for i, doc_id in enumerate(chunk.doc_ids):
