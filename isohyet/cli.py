@@ -17,9 +17,9 @@ from .sources.discovery import datasets
 
 
 def cache_dir() -> str:
-    """Where fetched datasets lie by default."""
+    """Where fetched datasets lie: $ISOHYET_CACHE, or a folder of the user's data."""
     data = os.environ.get("XDG_DATA_HOME") or os.path.expanduser("~/.local/share")
-    return f"{data}/midas-fetcher/cache"
+    return os.environ.get("ISOHYET_CACHE") or f"{data}/isohyet/cache"
 
 
 def pick(spark: SparkSession, cache: str) -> str:
