@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+#: Parts in which the neighbours of a node are gathered.
+PARTS = 16
+
+
+def with_least(edges: DataFrame) -> DataFrame:
+    """edges(u, v) with m, the smallest v of each u.
+
+    A node that a third of all edges meet would make one task of them, so its edges are dealt to parts by their other
+    end; each part knows its smallest, and a node's parts, PARTS rows at most, tell each other.
+    """
+    edges = edges.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int"))
+    parts = edges.groupBy("u", "part").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("part").alias("part"))
+    return edges.join(least.select("u", "m", F.explode("part").alias("part")), ["u", "part"]).drop("part")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of each node of edges(a, b): component is the smallest node that can be reached.
 
@@ -20,12 +36,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     state = _state(edges)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # large star: each larger neighbour of u to the smallest
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # large star: each larger neighbour of u to the smallest, u itself included
+        m = F.least("u", "m")
+        large = with_least(both).where("v > u").select(F.col("v").alias("u"), m.alias("v")).where("u <> v").distinct()
         # small star: each smaller neighbour of u, and u, to the smallest
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+        ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        small = with_least(large).select(F.explode(ends).alias("e")).select("e.*")
         edges = written(small.where("u <> v").distinct(), "edges")
         before, state = state, _state(edges)
         if state == before:
