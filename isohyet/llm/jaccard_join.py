@@ -9,11 +9,12 @@ count only where a document has so many that no full one need agree.)  The hot_g
 the parts, which makes no difference to what must agree, so that a passage that very many documents share brings these
 together only where little else is in them.
 
-The join stores the sets of a group in a prefix tree, rare grams first, and runs each set down it: sets with a common prefix share the
-counting of their overlap, and a subtree is left when what remains of both can't lift the overlap to what is needed.  A
-subtree whose sets are all connected to the one that comes down is left as well: the result is connectedness.  Groups are
-the components of agreeing parts; a group over block_docs documents is joined block by block, each pair of blocks in a
-task of its own.  Links form the components of the result.
+The join stores the different sets of a group in a prefix tree, rare grams first, and runs all sets down it together: sets
+with a common prefix share the counting of their overlap, and a set leaves a subtree when what remains of both can't lift
+the overlap to what is needed.  Every link is found; a task adds up how many each document has, so that their rows don't
+grow with the square of a group, and passes on those that connect.  Equal sets are joined once, for all documents that
+have them.  Groups are the components of agreeing parts; a group over block_docs documents is joined block by block, each
+pair of blocks in a task of its own.  Links form the components of the result.
 
 Null texts, and texts without words, have empty sets and link with nothing.  A text of fewer than n words is one n-gram.
 Rows that share a doc_id are one node; rows without doc_id are left out.  An empty table gives no rows.  A task needs memory
@@ -22,7 +23,6 @@ for a chunk or for the longest document.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,56 +156,44 @@ def signatures(grams: np.ndarray, kept: np.ndarray, sizes: np.ndarray, percent:
 # ------------------------------------------------------------------------------------------------------- the tree join
 
 
-class Forest:
-    """Union-find; a root is the smallest of its set."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
 class Node:
-    """grams: edge that leads here; sets: those that end here; least, most: sizes of the members, the sets from here on;
-    depth: grams on the way here, the edge included."""
+    """grams: edge that leads here; sets: those that end here; lo, hi: the members' places in order, the sets from here on;
+    least, most: sizes of the members; depth: grams on the way here, the edge included."""
 
-    __slots__ = ("children", "depth", "grams", "least", "members", "most", "sets")
+    __slots__ = ("children", "depth", "grams", "hi", "least", "lo", "most", "sets")
 
-    def __init__(self, grams: list[int], depth: int, members: list[int], sizes: list[int]) -> None:
-        self.grams, self.depth, self.members = grams, depth, members
-        self.least, self.most = min(sizes[i] for i in members), max(sizes[i] for i in members)
+    def __init__(self, grams: np.ndarray, depth: int, lo: int, hi: int, ordered: np.ndarray) -> None:
+        self.grams, self.depth, self.lo, self.hi = grams, depth, lo, hi
+        self.least, self.most = int(ordered[lo:hi].min()), int(ordered[lo:hi].max())
         self.children: list[Node] = []
         self.sets: list[int] = []
 
 
-def rare_first(sets: list[np.ndarray]) -> list[list[int]]:
+def rare_first(sets: list[np.ndarray]) -> list[np.ndarray]:
     """The sets with their grams numbered in order of frequency, so that what few sets have comes first."""
     sizes = [len(s) for s in sets]
     grams, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(grams), dtype=np.int64)
     rank[np.argsort(count, kind="stable")] = np.arange(len(grams))
-    return [np.sort(x).tolist() for x in np.split(rank[number], np.cumsum(sizes)[:-1])]
+    return [np.sort(x) for x in np.split(rank[number], np.cumsum(sizes)[:-1])]
+
+
+def common_prefix(a: np.ndarray, b: np.ndarray) -> int:
+    n = min(len(a), len(b))
+    differ = a[:n] != b[:n]
+    return int(differ.argmax()) if differ.any() else n
 
 
-def prefix_tree(sets: list[list[int]], order: list[int], sizes: list[int]) -> Node:
+def prefix_tree(sets: list[np.ndarray], order: list[int]) -> Node:
     """Compressed tree over sets in lexicographic order."""
-    common = [0] * (len(order) + 1)
-    for i in range(1, len(order)):
-        common[i] = next((k for k, (a, b) in enumerate(zip(sets[order[i - 1]], sets[order[i]])) if a != b), min(sizes[order[i - 1]], sizes[order[i]]))
-    root = Node([], 0, order, sizes)
+    ordered = np.array([len(sets[i]) for i in order])
+    sizes = ordered.tolist()
+    common = [0] + [common_prefix(sets[a], sets[b]) for a, b in zip(order, order[1:])] + [0]
+    root = Node(np.zeros(0, dtype=np.int64), 0, 0, len(order), ordered)
     todo = [(root, 0, len(order), 0)]
     while todo:
         node, lo, hi, depth = todo.pop()
-        while lo < hi and sizes[order[lo]] == depth:
+        while lo < hi and sizes[lo] == depth:
             node.sets.append(order[lo])
             lo += 1
         i = lo
@@ -213,58 +201,148 @@ def prefix_tree(sets: list[list[int]], order: list[int], sizes: list[int]) -> No
             j = i + 1
             while j < hi and common[j] > depth:
                 j += 1
-            deep = min(common[i + 1 : j], default=sizes[order[i]])
-            deep = min(deep, sizes[order[i]])
-            child = Node(sets[order[i]][depth:deep], deep, order[i:j], sizes)
+            deep = min(min(common[i + 1 : j], default=sizes[i]), sizes[i])
+            child = Node(sets[order[i]][depth:deep], deep, i, j, ordered)
             node.children.append(child)
             todo.append((child, i, j, deep))
             i = j
     return root
 
 
-#: Grams of an edge between two looks at the bound.
+#: Grams of an edge before the first look at the bound; each look doubles them.
 STEP = 8
 
 
-def tree_join(left: list[int], right: list[int], sets: list[list[int]], percent: int, forest: Forest) -> list[tuple[int, int]]:
-    """Links that connect sets of left with sets of right which were not yet connected; all that is left unconnected
-    has no link."""
-    sizes = [len(s) for s in sets]
-    if not right or not left:
-        return []
-    root = prefix_tree(sets, sorted(right, key=lambda i: sets[i]), sizes)
-    links = []
-    for x in left:
-        xs, size = sets[x], sizes[x]
-        mine = set(xs)
-        smallest, largest = -(-size * percent // 100), size * 100 // percent
-        stack = [(root, 0)]
-        while stack:
-            node, overlap = stack.pop()
-            if node.most < smallest or node.least > largest:
-                continue
-            here = forest.root(x)
-            if all(forest.root(m) == here for m in node.members):
-                continue
-            # overlap that the smallest fitting set from here on needs at least
-            needed = -(-percent * (size + max(node.least, smallest)) // (100 + percent))
-            grams, before = node.grams, node.depth - len(node.grams)
-            for k in range(0, len(grams), STEP):
-                part = grams[k : k + STEP]
-                overlap += sum(g in mine for g in part)
-                if overlap + min(size - bisect_right(xs, part[-1]), node.most - before - k - len(part)) < needed:
-                    break
-            else:
-                for y in node.sets:
-                    if 100 * overlap >= percent * (size + sizes[y] - overlap) and forest.join(x, y):
-                        links.append((x, y))
-                stack += [(child, overlap) for child in node.children]
-    return links
+class Sets:
+    """Some sets, with the places of each gram in them."""
 
+    def __init__(self, sets: list[np.ndarray], top: int) -> None:
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        grams, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        self.top, self.ends, self.flat = top, np.cumsum(self.sizes), of * top + grams
+        order = np.argsort(grams, kind="stable")
+        self.have, self.first = of[order], np.searchsorted(grams[order], np.arange(top + 1))
 
-def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 2000, hot_grams: int = 50_000, hot_docs: int = 32) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of docs(doc_id, text): all documents that links connect have the smallest
-    doc_id among them as component_id."""
+    def counted(self, grams: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """How many of the grams each of the sets `which` has."""
+        a, e = self.first[grams], self.first[grams + 1]
+        if 64 * len(which) * len(grams) > int((e - a).sum()) + len(self.sizes):
+            return np.bincount(np.concatenate([self.have[i:j] for i, j in zip(a.tolist(), e.tolist())]), minlength=len(self.sizes))[which]
+        return member((which[:, None] * self.top + grams).ravel(), self.flat).reshape(len(which), -1).sum(1)
+
+    def rest(self, gram: int, which: np.ndarray) -> np.ndarray:
+        """How many grams after this one each has."""
+        return self.ends[which] - np.searchsorted(self.flat, which * self.top + gram, side="right")
+
+
+def tree_join(left: list[int], right: list[int], sets: list[np.ndarray], percent: int, within: bool) -> Iterator[tuple[np.ndarray, int]]:
+    """All links between different sets of left and right: (those of left, the one of right that they link with).
+
+    within: left and right are the same, and each link comes once.
+    """
+    if not right or not left:
+        return
+    order = sorted(right, key=lambda i: sets[i].astype(">i8").tobytes())
+    own, numbers = Sets([sets[i] for i in left], 1 + max(int(s[-1]) for s in sets)), np.array(left)
+    smallest, largest = -(-own.sizes * percent // 100), own.sizes * 100 // percent
+    # each link once: a set meets those that come after it in the tree
+    at = {y: i for i, y in enumerate(order)}
+    place = np.array([at[x] for x in left]) if within else np.full(len(left), -1)
+    stack = [(prefix_tree(sets, order), np.arange(len(left)), np.zeros(len(left), dtype=np.int64))]
+    while stack:
+        node, which, overlap = stack.pop()
+        fits = (smallest[which] <= node.most) & (largest[which] >= node.least) & (place[which] < node.hi - 1)
+        which, overlap = which[fits], overlap[fits]
+        # overlap that the smallest fitting set from here on needs at least
+        needed = -(-percent * (own.sizes[which] + np.maximum(node.least, smallest[which])) // (100 + percent))
+        k, step = 0, STEP
+        while k < len(node.grams) and len(which):
+            part = node.grams[k : k + step]
+            k, step = k + len(part), 2 * step
+            overlap = overlap + own.counted(part, which)
+            can = overlap + np.minimum(own.rest(int(part[-1]), which), node.most - node.depth + len(node.grams) - k) >= needed
+            which, overlap, needed = which[can], overlap[can], needed[can]
+        if not len(which):
+            continue
+        for y in node.sets:
+            found = which[(100 * overlap >= percent * (own.sizes[which] + len(sets[y]) - overlap)) & (place[which] < at[y]) & (numbers[which] != y)]
+            if len(found):
+                yield numbers[found], y
+        stack += [(child, which, overlap) for child in node.children]
+
+
+class Links:
+    """How many documents each document links with, and links that connect all that are connected.
+
+    Documents with the same sets are one class; a document has several sets if rows share its doc_id.  own: the sets of a
+    document, ascending; side: 0 or 1.  Links of sides 0 and 1 count; if all are on side 0, those among them.
+    """
+
+    def __init__(self, doc_ids: list[int], own: list[tuple[int, ...]], side: list[int], n_sets: int) -> None:
+        self.within = not any(side)
+        number: dict[tuple, int] = {}
+        self.of = np.array([number.setdefault(x, len(number)) for x in zip(side, own)])
+        self.n = np.bincount(self.of, minlength=len(number))
+        self.ids, self.edges = np.array(doc_ids), []
+        self.first = np.full(len(number), -1)
+        self.first[self.of[::-1]] = np.arange(len(self.of))[::-1]
+        self.label = np.arange(len(number))
+        self.links = self.n - 1 if self.within else np.zeros(len(number), dtype=np.int64)
+        if self.within:
+            self.edges += [(i, f) for i, f in enumerate(self.first[self.of].tolist()) if i != f]
+        # the class that has a set and no other; those that have it and others
+        self.alone = np.full((2, n_sets), -1)
+        self.mixed: list[dict[int, list[int]]] = [{}, {}]
+        for (s, sets), c in number.items():
+            if len(sets) == 1:
+                self.alone[s, sets[0]] = c
+            else:
+                for x in sets:
+                    self.mixed[s].setdefault(x, []).append(c)
+        if self.within:
+            self.alone[1], self.mixed[1] = self.alone[0], self.mixed[0]
+        self.seen: set[tuple[int, int]] = set()
+        for x in range(n_sets):  # equal sets are linked
+            self.add(np.array([x]), x)
+
+    def add(self, left: np.ndarray, right: int) -> None:
+        """The sets left of side 0 link with the set right of side 1."""
+        a, b = self.alone[0, left], int(self.alone[1, right])
+        a = a[(a >= 0) & (a != b)]
+        if b >= 0 and len(a):
+            self.links[a] += self.n[b]
+            self.links[b] += self.n[a].sum()
+            apart = a[self.label[a] != self.label[b]]
+            for x in apart[np.unique(self.label[apart], return_index=True)[1]].tolist():
+                self.connect(x, b)
+        others = self.mixed[1].get(right, [])
+        if others or self.mixed[0]:
+            for x in left.tolist():
+                mixed = self.mixed[0].get(x, [])
+                one = [int(c) for c in (self.alone[0, x],) if c >= 0]
+                for c, d in [(c, d) for c in mixed + one for d in others] + [(c, b) for c in mixed if b >= 0]:
+                    pair = (min(c, d), max(c, d))
+                    if c != d and pair not in self.seen:
+                        self.seen.add(pair)
+                        self.links[c] += self.n[d]
+                        self.links[d] += self.n[c]
+                        self.connect(c, d)
+
+    def connect(self, c: int, d: int) -> None:
+        if self.label[c] != self.label[d]:
+            self.edges.append((int(self.first[c]), int(self.first[d])))
+            self.label[self.label == self.label[c]] = self.label[d]
+
+    def rows(self) -> pa.Table:
+        """Edges (a, b), and a's number of links n."""
+        a, b, n = [self.ids[i] for i, _ in self.edges], [self.ids[j] for _, j in self.edges], self.links[self.of]
+        some = n > 0
+        return pa.table({"a": pa.array(a + self.ids[some].tolist(), pa.int64()), "b": pa.array(b + [None] * int(some.sum()), pa.int64()), "n": pa.array([None] * len(a) + n[some].tolist(), pa.int64())})
+
+
+def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 2000, hot_grams: int = 50_000, hot_docs: int = 32) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles) of docs(doc_id, text), and links as a written table: (a, b) that connect all that links connect,
+    and (a, n) with the number of links of a, from one pair of blocks each."""
     chunks = chunked(docs, chunk_bytes)
     n_buckets = buckets_for(chunks.count(), 4)
     hot = chunks.sparkSession.sparkContext.broadcast(frequent_grams(chunks, n, n_buckets, hot_docs, hot_grams))  # 8 bytes each
@@ -330,33 +408,42 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
     sets = written(over(returned(chunks, (deals, "deal")), give, "doc_id long, n_shingles long, component long, p int, q int, block int, grams binary"), "sets")
 
     def join(t: pa.Table) -> pa.Table:
-        ids, blobs, block = t["doc_id"].to_numpy(), t["grams"].to_pylist(), t["block"].to_numpy()
-        order = np.lexsort((np.arange(len(ids)), ids))
-        sets = [as_array(blobs[i], "<u8") for i in order]
-        ids, block = ids[order], block[order]
-        forest = Forest(len(ids))
-        links = []
-        seen: dict[bytes, int] = {}
-        reps = []
-        for i, s in enumerate(sets):  # equal sets are linked
-            j = seen.setdefault(s.tobytes(), i)
-            if j != i:
-                forest.join(i, j)
-                links.append((i, j))
-            else:
-                reps.append(i)
-        p, q = t["p"][0].as_py(), t["q"][0].as_py()
-        sets = rare_first(sets)
-        if p == q:
-            links += tree_join(reps, reps, sets, percent, forest)
-        else:
-            links += tree_join([i for i in reps if block[i] == p], [i for i in reps if block[i] == q], sets, percent, forest)
-        return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
+        blobs = t["grams"].to_pylist()
+        number = {x: i for i, x in enumerate(dict.fromkeys(blobs))}
+        own: dict[int, set[int]] = {}
+        block = dict(zip(t["doc_id"].to_pylist(), t["block"].to_pylist()))
+        for doc_id, x in zip(t["doc_id"].to_pylist(), blobs):
+            own.setdefault(doc_id, set()).add(number[x])
+        q = t["q"][0].as_py()
+        ids, within = sorted(own), t["p"][0].as_py() == q
+        side = [int(not within and block[i] == q) for i in ids]
+        links = Links(ids, [tuple(sorted(own[i])) for i in ids], side, len(number))
+        sets = rare_first([as_array(x, "<u8") for x in number])
+        left, right = (sorted({x for i, s in zip(ids, side) for x in own[i] if s == part}) for part in (0, int(not within)))
+        for found, y in tree_join(left, right, sets, percent, within):
+            links.add(found, y)
+        return links.rows()
+
+    links = sets.where("grams is not null").select("component", "p", "q", "block", "doc_id", "grams").groupBy("component", "p", "q").applyInArrow(join, "a long, b long, n long")
+    return sets.where("grams is null").select("doc_id", "n_shingles"), written(links, "links")
+
+
+def linked(docs: DataFrame, n: int = 3, percent: int = 90, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of docs(doc_id, text): all documents that links connect have the smallest
+    doc_id among them as component_id."""
+    return with_components(*joined(docs, n, percent, **options))
+
+
+def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links.where("b is not null").select("a", "b")).withColumnRenamed("node", "doc_id")
+    return rows.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
 
-    links = sets.where("grams is not null").select("component", "p", "q", "block", "doc_id", "grams").groupBy("component", "p", "q").applyInArrow(join, "a long, b long")
-    found = components(links).withColumnRenamed("node", "doc_id")
-    rows = sets.where("grams is null").select("doc_id", "n_shingles").join(found, "doc_id", "left")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+def counted_links(docs: DataFrame, n: int = 3, percent: int = 90, **options) -> DataFrame:
+    """linked() with n_links: with how many other documents each one links."""
+    rows, links = joined(docs, n, percent, **options)
+    counts = links.where("n is not null").groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("n_links"))
+    return with_components(rows, links).join(counts, "doc_id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
 
 
 def first_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, **options) -> DataFrame:
@@ -367,5 +454,5 @@ def first_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, **option
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Distinct 3-word shingles, similarity of 0.9 or more."""
-    return linked(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90)
+    return counted_links(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90)
 

@@ -50,6 +50,55 @@ def test_join_against_brute_force(spark, n, percent, options):
     assert len({c for _, _, c in want}) < len(want)  # something is linked
 
 
+def brute_links(data, n, percent):
+    sets = {}
+    for r in data:
+        sets.setdefault(r[0], set()).add(shingles(r[1], n))
+    likes = lambda a, b: any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b])
+    found = {i: 0 for i in sets}
+    for i, j in itertools.combinations(sets, 2):
+        if likes(i, j):
+            found[i] += 1
+            found[j] += 1
+    return found
+
+
+def near_copies(m=40, size=60):
+    """Different texts that nearly all link with each other, some copies, and rows that share a doc_id."""
+    rng = np.random.default_rng(3)
+    base, out = [f"w{i}" for i in range(size)], []
+    for i in range(m):
+        w = list(base)
+        for k in rng.integers(0, size, i % 4 + 1):
+            w[k] = f"x{i}"
+        out.append((i, " ".join(w)))
+    return out + [(100 + i, out[i % 3][1]) for i in range(9)] + [(5, out[6][1]), (5, out[20][1]), (7, out[7][1]), (102, "y " + out[9][1])]
+
+
+@pytest.mark.parametrize("options", [{}, dict(block_docs=5), dict(block_docs=20, chunk_bytes=3000)])
+def test_join_counts_every_link(spark, options):
+    for data, n, percent in ((near_copies(), 1, 90), (near_copies(), 3, 80), (rows(), 5, 80)):
+        df = spark.createDataFrame([r[:2] for r in data], "doc_id long, text string")
+        got = {r.doc_id: r.n_links for r in jaccard_join.counted_links(df, n, percent, **options).collect()}
+        assert got == brute_links(data, n, percent)
+
+
+@pytest.mark.parametrize("within", [True, False])
+def test_tree_finds_every_pair(within):
+    rng = np.random.default_rng(8)
+    for percent in (50, 80, 90):
+        sets = [np.sort(rng.choice(40, rng.integers(1, 40), replace=False)) for _ in range(60)]
+        sets += [np.delete(sets[i % 60], rng.integers(0, len(sets[i % 60]))) for i in range(60) if len(sets[i % 60]) > 1]
+        sets = [np.array(x) for x in sorted({tuple(s.tolist()) for s in sets})]
+        everything = list(range(len(sets)))
+        left, right = (everything, everything) if within else (everything[::2], everything[1::3])
+        got = [(int(x), y) for xs, y in jaccard_join.tree_join(left, right, sets, percent, within) for x in xs]
+        likes = lambda a, b: 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
+        want = {(x, y) for x in left for y in right if x != y and likes(sets[x], sets[y])}
+        want = {tuple(sorted(p)) for p in want} if within else want
+        assert len(got) == len(want) and {tuple(sorted(p)) if within else p for p in got} == want
+
+
 def test_tiny_sets_and_thresholds(spark):
     base = [f"w{i}" for i in range(30)]
     data = [(i, " ".join(base[: 1 + i % 20])) for i in range(40)] + [(100 + i, " ".join(base[:9] + [f"x{i}"] * (i % 3))) for i in range(9)]
