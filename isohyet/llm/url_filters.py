@@ -1,13 +1,16 @@
 """URL filters from a path-template tree with labelled purity.
 
-Each host has a tree of path segments.  Level by level, a segment value stays literal where it holds a fair share of
-its node's pages; all other values of the node fall into one wildcard branch (`*`, or `*.ext` by extension).  A page's
-template is its way down this tree.  Sibling templates whose shares of good pages do not differ significantly (two
-proportions, z test between neighbours by share) are merged, and a merged branch is rejected if its purity, smoothed
-towards its host's and that towards the corpus', is below a threshold.  Explicit rules come before the method.
-
-Every literal holds min_share of its node, so a node has at most 1 / min_share literal branches and the windows over
-siblings are bounded.  All counts are aggregated before they meet.
+Each host has a tree of path segments.  Level by level, a segment value stays literal where min_count pages of its node
+have it, however many others the node has; rarer values of the node fall into one wildcard branch (`*`, or `*.ext` by
+extension).  A page's template is its way down this tree.  Sibling templates are taken in order of their shares of good
+pages, and one joins the branch of those before it if their shares do not differ significantly (two proportions, z test
+against the whole branch).  A merged branch is rejected if its purity, smoothed towards its host's and that towards the
+corpus', is below a threshold.  Siblings without labels are a branch of their own, which its host's purity decides.
+Explicit rules come before the method.
+
+A node may have any number of literal branches.  They meet as counts of siblings by (labelled, good), so what is
+gathered of a node is its different counts; siblings with equal counts are in one branch.  All counts are aggregated
+before they meet.
 
 Null or odd urls get an empty host and path and the template `/`; they are judged like any other page.  An empty
 input gives no rows.  Labels of unknown pages are unused; repeated labels of one page count as their mean.
@@ -15,9 +18,11 @@ input gives no rows.  Labels of unknown pages are unused; repeated labels of one
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, table, written
@@ -46,7 +51,7 @@ def by_rules(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return rule, verdict
 
 
-def templates(pages: DataFrame, *, min_count: int = 5, min_share: float = 0.02, max_depth: int = 8) -> DataFrame:
+def templates(pages: DataFrame, *, min_count: int = 5, max_depth: int = 8) -> DataFrame:
     """pages (with host and path) plus parent and template of each page's path; segments below max_depth are one `**`."""
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
     df = pages.withColumn("_seg", parts).withColumn("_node", F.lit(""))
@@ -55,8 +60,7 @@ def templates(pages: DataFrame, *, min_count: int = 5, min_share: float = 0.02,
         seg = F.try_element_at("_seg", F.lit(level + 1))
         df = df.withColumn("_s", seg)
         counts = df.where(F.col("_s").isNotNull()).groupBy("host", "_node", "_s").agg(F.count("*").alias("_n"))
-        nodes = counts.groupBy("host", "_node").agg(F.sum("_n").alias("_all"))
-        literal = counts.where(F.col("_n") >= min_count).join(nodes, ["host", "_node"]).where(F.col("_n") >= F.col("_all") * min_share).select("host", "_node", "_s", F.lit(True).alias("_kept"))
+        literal = counts.where(F.col("_n") >= min_count).select("host", "_node", "_s", F.lit(True).alias("_kept"))
         if literal.count() <= SMALL:
             literal = F.broadcast(literal)
         wild = F.concat(F.lit("*"), F.regexp_extract("_s", "(\\.[A-Za-z]{1,5})?$", 0))
@@ -76,22 +80,37 @@ def judged_templates(pages: DataFrame, *, z: float = 1.64, prior_weight: float =
     corpus = stats.agg((F.sum("good") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share"), F.sum("labelled").alias("n")).first()
     prior = corpus["share"] if corpus["n"] else 1.0
     hosts = stats.groupBy("host").agg(((F.sum("good") + prior_weight * prior) / (F.sum("labelled") + prior_weight)).alias("_host"))
-    stats = stats.join(hosts, "host")
-    siblings = Window.partitionBy("host", "parent").orderBy("_rate", "template")
-    stats = stats.withColumn("_rate", (F.col("good") + F.col("_host")) / (F.col("labelled") + 1))
-    n1, r1, n2, r2 = F.col("labelled") + 1, F.col("_rate"), F.lag("labelled").over(siblings) + 1, F.lag("_rate").over(siblings)
-    pooled = (n1 * r1 + n2 * r2) / (n1 + n2)
-    apart = F.abs(r1 - r2) > z * F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2))
-    stats = stats.withColumn("_cut", F.coalesce(apart.cast("int"), F.lit(0))).withColumn("branch", F.sum("_cut").over(siblings).cast("int"))
-    branch = Window.partitionBy("host", "parent", "branch")
-    smoothed = (F.sum("good").over(branch) + prior_weight * F.col("_host")) / (F.sum("labelled").over(branch) + prior_weight)
-    return stats.withColumn("purity", smoothed).withColumn("rejected", F.col("purity") < purity).drop("_rate", "_cut", "_host")
+    counts = stats.groupBy("host", "parent", "labelled", "good").agg(F.count("*").alias("siblings")).join(hosts, "host")
+
+    def merge(t: pa.Table) -> pa.Table:
+        rows = t.to_pylist()
+        host = rows[0]["_host"]
+        rate = lambda good, labelled: (good + host) / (labelled + 1)
+        branch, label, good, out = 0, 0, 0.0, {}
+        totals: dict[int, list[float]] = {-1: [0.0, 0]}
+        for i in sorted(range(len(rows)), key=lambda i: (rate(rows[i]["good"], rows[i]["labelled"]), rows[i]["labelled"], rows[i]["good"])):
+            row = rows[i]
+            more, more_good = row["siblings"] * row["labelled"], row["siblings"] * row["good"]
+            if not more:
+                out[i] = -1
+                continue
+            n1, n2, r1, r2 = label + 1, more + 1, rate(good, label), rate(more_good, more)
+            pooled = min(1.0, (n1 * r1 + n2 * r2) / (n1 + n2))
+            if label and abs(r1 - r2) > z * math.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2)):
+                branch, label, good = branch + 1, 0, 0.0
+            label, good, out[i] = label + more, good + more_good, branch
+            totals[branch] = [good, label]
+        pure = [(totals[out[i]][0] + prior_weight * host) / (totals[out[i]][1] + prior_weight) for i in range(len(rows))]
+        return pa.table({"host": t["host"].cast(pa.string()), "parent": t["parent"].cast(pa.string()), "labelled": t["labelled"], "good": t["good"], "branch": pa.array([out[i] for i in range(len(rows))], pa.int32()), "purity": pa.array(pure, pa.float64())})
+
+    merged = counts.groupBy("host", "parent").applyInArrow(merge, "host string, parent string, labelled long, good double, branch int, purity double")
+    return stats.join(merged, ["host", "parent", "labelled", "good"]).select("host", "parent", "template", "branch", "n", "labelled", "good", "purity", (F.col("purity") < purity).alias("rejected"))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]] = (), **options) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) of every page.
 
-    pages: page_id, url; labels: page_id, good (0 to 1).  options: min_count, min_share, max_depth.
+    pages: page_id, url; labels: page_id, good (0 to 1).  options: min_count, max_depth.
     """
     host, path = url_parts(F.col("url"))
     df = pages.select("page_id", host.alias("host"), path.alias("path"))

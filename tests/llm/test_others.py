@@ -106,6 +106,35 @@ def test_bad_templates_are_rejected(spark):
     assert {(r.template, r.verdict) for r in got} == {("/news/x/*.html", "allow"), ("/wiki/x/*.html", "allow"), ("/spam/ads/*.html", "block")}
 
 
+def test_small_sections_of_a_large_host_are_judged_by_themselves(spark):
+    """300 sections of a third of a percent each, every third of them bad; some with few labels or none."""
+    pages, labels = [], []
+    for i in range(6000):
+        section = i % 300
+        pages.append((i, f"http://hot.org/s{section}/{i}.html"))
+        if i < 300 * (section % 10):
+            labels.append((i, 0.0 if section % 3 == 0 else 1.0))
+    got = url_filters.judge_urls(spark.createDataFrame(pages, "page_id int, url string"), spark.createDataFrame(labels, "page_id int, good double")).collect()
+    assert {r.template for r in got} == {f"/s{i}/*.html" for i in range(300)}
+    assert len(got) == 6000
+    for r in got:
+        section = r.page_id % 300
+        if section % 10 >= 4:
+            assert (r.verdict == "block") == (section % 3 == 0)
+        elif section % 3:
+            assert r.verdict == "allow"
+
+
+def test_siblings_merge_across_any_number(spark):
+    """The parent is shared by all templates; bad ones are rejected though others of all shares lie between."""
+    data = [("h", "", f"/t{i}", float(j < (0, 20, 20, 10, 20)[i % 5])) for i in range(100) for j in range(20)] + [("h", "", f"/u{i}", None) for i in range(50)]
+    got = url_filters.judged_templates(spark.createDataFrame(data, "host string, parent string, template string, good double")).collect()
+    assert len(got) == 150
+    assert {r.template for r in got if r.rejected} >= {f"/t{i}" for i in range(0, 100, 5)}
+    assert not any(r.rejected for r in got if r.labelled == 0 or r.good == r.labelled)
+    assert len({r.branch for r in got if r.labelled}) == 3
+
+
 def test_deep_paths_fold(spark):
     pages = spark.createDataFrame([(i, "http://h.org/" + "/".join("abcdefghijkl"[: 1 + i % 12])) for i in range(120)], "page_id int, url string")
     got = url_filters.judge_urls(pages, spark.createDataFrame([], "page_id int, good double"), max_depth=4).collect()
