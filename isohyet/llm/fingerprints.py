@@ -3,9 +3,10 @@
 A paragraph is a line, or a sentence of a line.  A fingerprint has blocks of cells; a digest belongs to one block by its
 hash and goes to three cells of it.  A cell has the count, the exclusive-or of digests and that of their check hashes.
 Equal texts have equal fingerprints.  Of two versions the cells are subtracted, and peeling recovers the digests that
-differ: a cell with one digest gives it away, it is taken from its other cells, and so on.  A block that does not peel
-empty is tried again with more cells, in proportion to its digests; above MOST digests, or if that fails too, its sets are
-compared.  The likeness of two fingerprints is the share of their different digests that both have (1 for two without).
+differ, each with its side: a cell with one digest gives it away, it is taken from its other cells, and so on.  A block
+that does not peel empty is tried again in a larger table: its digests are dealt to two blocks by a bit of their check
+hash, and so on for each block that does not peel.  A block with one digest always peels, so no sets are compared.  The
+likeness of two fingerprints is the share of their different digests that both have (1 for two without).
 
 All of it is SQL: each text is shuffled once, to the documents around it in the order of ids, and the rest happens where
 it lies.  Null texts count as empty.  The next document of the one with the smallest id is that with the largest; of
@@ -22,8 +23,8 @@ from .common import table
 
 #: Blocks of a fingerprint, and width of each of the three ranges of cells of a block.
 BLOCKS, WIDTH = 4, 4
-#: Digests of a block up to which a larger sketch is tried.
-MOST = 16
+#: Digests of two blocks above which a table as large as a block's is not tried, but twice as large a one.
+CROWD = 32
 #: Documents in one group of neighbours, about.
 GROUP = 2000
 SPLITS = 64
@@ -60,37 +61,55 @@ def sketch(items: str) -> str:
     return let(items, "all", let("transform(all, u -> u.b)", "codes", let("reverse(codes)", "back", blocks)))
 
 
-def peeled(diff: str, width: str, rounds: int) -> str:
-    """SQL of what is left of the cells of a difference, and of the number of digests found."""
-    pure = f"array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 and x.c = xxhash64(x.k)), x -> {item('x.k', 'x.c', width, chr(39) + 'n' + chr(39) + ', x.n, ')}))"
+NONE = "cast(array() as array<bigint>)"
+
+
+def peeled(diff: str, rounds: int) -> str:
+    """SQL of what is left of the cells of a difference, and of the digests found on either side."""
+    pure = f"array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 and x.c = xxhash64(x.k)), x -> {item('x.k', 'x.c', str(WIDTH), chr(39) + 'n' + chr(39) + ', x.n, ')}))"
     taken = "aggregate(filter(pure, u -> u.p = i or u.q = i or u.r = i), x, (a, u) -> named_struct('n', a.n - u.n, 'k', a.k ^ u.k, 'c', a.c ^ u.c))"
-    step = f"case when size(pure) = 0 then s else named_struct('cells', transform(s.cells, (x, i) -> {taken}), 'found', s.found + size(pure)) end"
-    return f"aggregate(sequence(1, {rounds}), named_struct('cells', {diff}, 'found', 0), (s, round) -> {let(pure, 'pure', step)})"
+    found = lambda n: f"transform(filter(pure, u -> u.n = {n}), u -> u.k)"
+    step = f"case when size(pure) = 0 then s else named_struct('cells', transform(s.cells, (x, i) -> {taken}), 'one', concat(s.one, {found(1)}), 'two', concat(s.two, {found(-1)})) end"
+    return f"aggregate(sequence(1, {rounds}), named_struct('cells', {diff}, 'one', {NONE}, 'two', {NONE}), (s, round) -> {let(pure, 'pure', step)})"
 
 
 def minus(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
 
 
+def larger(a: str, b: str) -> str:
+    """SQL of the digests in which two lists of items differ, by tables that grow until all of their blocks peel."""
+    bit = lambda g, i, v: f"filter({g}, u -> (shiftright(u.c, {i}) & 1) = {v})"
+    halves = lambda a, b, i: f"array({', '.join(f'named_struct({chr(39)}a{chr(39)}, {bit(a, i, v)}, {chr(39)}b{chr(39)}, {bit(b, i, v)})' for v in (0, 1))})"
+    tried = peeled(minus(cells("g.a", str(WIDTH)), cells("g.b", str(WIDTH))), 6)
+    done = "named_struct('a', slice(g.a, 1, 0), 'b', slice(g.b, 1, 0), 'one', t.one, 'two', t.two)"
+    open_ = f"named_struct('a', g.a, 'b', g.b, 'one', {NONE}, 'two', {NONE})"
+    attempt = f"case when size(g.a) + size(g.b) > {CROWD} then {open_} else {let(tried, 't', f'case when exists(t.cells, x -> x.n <> 0 or x.k <> 0) then {open_} else {done} end')} end"
+    left = f"flatten(transform(filter(tried, g -> size(g.a) + size(g.b) > 0), g -> {halves('g.a', 'g.b', 'bit')}))"
+    step = let(f"transform(w.rest, g -> {attempt})", "tried", f"named_struct('rest', {left}, 'one', concat(w.one, flatten(transform(tried, g -> g.one))), 'two', concat(w.two, flatten(transform(tried, g -> g.two))))")
+    start = f"named_struct('rest', {halves(a, b, '0')}, 'one', {NONE}, 'two', {NONE})"
+    # after the last bit each block has one digest
+    return f"aggregate(sequence(1, 64), {start}, (w, bit) -> case when size(w.rest) = 0 then w else {step} end, w -> named_struct('one', w.one, 'two', w.two))"
+
+
 def differing(a: str, b: str) -> str:
-    """SQL of the number of digests in which two blocks differ."""
-    left = lambda p: f"exists({p}.cells, x -> x.n <> 0 or x.k <> 0)"
-    keys = lambda b: f"transform({b}.items, u -> u.k)"
-    exact = f"size(array_except({keys(a)}, {keys(b)})) + size(array_except({keys(b)}, {keys(a)}))"
-    wider = lambda b: f"transform({b}.items, u -> {item('u.k', 'u.c', 'w')})"
-    again = let(peeled(minus(cells(wider(a), "w"), cells(wider(b), "w")), "w", 10), "t", f"case when {left('t')} then {exact} else t.found end")
-    again = let(f"cast(ceil(0.6 * (size({a}.items) + size({b}.items))) as int) + 3", "w", again)
-    larger = f"case when size({a}.items) + size({b}.items) > {MOST} then {exact} else {again} end"
-    first = let(peeled(minus(f"{a}.cells", f"{b}.cells"), str(WIDTH), 4), "f", f"case when {left('f')} then {larger} else f.found end")
-    return f"case when {a}.cells = {b}.cells then 0 else {first} end"
-
-
-def likeness(a: str, b: str) -> str:
-    """SQL of the likeness of two sketches."""
-    d = f"aggregate(zip_with({a}, {b}, (one, two) -> {differing('one', 'two')}), 0, (s, x) -> s + x)"
+    """SQL of the digests of either of two blocks that the other has not: one, two."""
+    left = "exists(f.cells, x -> x.n <> 0 or x.k <> 0)"
+    first = let(peeled(minus(f"{a}.cells", f"{b}.cells"), 4), "f", f"case when {left} then {larger(f'{a}.items', f'{b}.items')} else named_struct('one', f.one, 'two', f.two) end")
+    return f"case when {a}.cells = {b}.cells then named_struct('one', {NONE}, 'two', {NONE}) else {first} end"
+
+
+def difference(a: str, b: str) -> str:
+    """SQL of the digests in which two sketches differ, by side: one has those of the first, two those of the second."""
+    sides = (f"'{side}', flatten(transform(d, x -> x.{side}))" for side in ("one", "two"))
+    return let(f"zip_with({a}, {b}, (own, other) -> {differing('own', 'other')})", "d", f"named_struct({', '.join(sides)})")
+
+
+def likeness(a: str, b: str, diff: str) -> str:
+    """SQL of the likeness of two sketches, from their difference."""
     size = lambda s: f"aggregate({s}, 0, (s, x) -> s + size(x.items))"
     total = f"{size(a)} + {size(b)}"
-    return let(d, "d", let(total, "n", "case when n = 0 then 1.0D else cast(n - d as double) / (n + d) end"))
+    return let(f"size({diff}.one) + size({diff}.two)", "d", let(total, "n", "case when n = 0 then 1.0D else cast(n - d as double) / (n + d) end"))
 
 
 def as_string(s: str) -> str:
@@ -145,16 +164,22 @@ def edited(docs: DataFrame, **columns: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of docs(doc_id, text)."""
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of docs(doc_id, text), and
+    the recovered digests: removed and added by the edit, own_only and next_only of the document and the next."""
     rows = edited(docs, own=sketch(digests("text"))).withColumn("changed", F.expr(sketch(digests("edited"))))
+    rows = rows.withColumns({"by_edit": F.expr(difference("own", "changed")), "to_next": F.expr(difference("own", "next_own"))})
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         F.expr(as_string("own")).alias("fingerprint"),
         F.expr(as_string("changed")).alias("edited_fingerprint"),
-        F.expr(likeness("own", "changed")).alias("near_edited"),
-        F.expr(likeness("own", "next_own")).alias("near_next"),
+        F.expr(likeness("own", "changed", "by_edit")).alias("near_edited"),
+        F.expr(likeness("own", "next_own", "to_next")).alias("near_next"),
+        F.col("by_edit.one").alias("removed"),
+        F.col("by_edit.two").alias("added"),
+        F.col("to_next.one").alias("own_only"),
+        F.col("to_next.two").alias("next_only"),
     )
 
 

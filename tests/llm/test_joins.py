@@ -206,6 +206,21 @@ def test_fingerprints_against_sets(spark):
     assert all(len(x) == 1 for x in same.values())
 
 
+def test_fingerprints_recover_all_digests(spark):
+    """Blocks of any size peel in a table that is large enough; sets are never compared."""
+    text = lambda lo, hi: "\n".join(f"line {i}" for i in range(lo, hi))
+    data = [(9, text(0, 400)), (8, text(0, 397)), (7, text(200, 900)), (6, ""), (5, text(0, 6)), (4, text(3, 20)), (3, text(2, 60))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    number = {r.x: r.h for r in spark.range(900).selectExpr("concat('line ', id) as x", "xxhash64(concat('line ', id)) as h").collect()}
+    got = {r.doc_id: r for r in fingerprints.fingerprints(df).collect()}
+    for k, (doc_id, one) in enumerate(data):
+        a, b = ({number[x] for x in t.split("\n") if x} for t in (one, data[(k + 1) % len(data)][1]))
+        r = got[doc_id]
+        assert (sorted(r.own_only), sorted(r.next_only)) == (sorted(a - b), sorted(b - a))
+        assert r.near_edited == pytest.approx((len(a) - len(r.removed)) / (len(a) + len(r.added)) if a or r.added else 1.0)
+    assert "array_except" not in fingerprints.difference("a", "b")
+
+
 def test_fingerprints_of_neighbours_over_groups(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "GROUP", 3)
     ids = [-(10**15), -4, 0, 1, 2, 3, 50, 51, 10**6, 10**6 + 1, 10**12, 10**17] + list(range(300, 340))
