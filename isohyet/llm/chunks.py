@@ -12,7 +12,9 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,8 +25,8 @@ from pyspark.sql.types import StructType
 from .common import mix, written
 
 CHUNK_BYTES = 2 << 20
-BASE = np.uint64(0x9E3779B97F4A7C15)
-PLACES = np.uint64((1 << 28) - 1)
+#: What a row without doc_id counts as: the largest id there is.
+NO_ID = (1 << 63) - 1
 #: Which bytes separate words.
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[32, *range(9, 14)]] = True
@@ -46,31 +48,37 @@ def as_array(data: bytes, kind: str) -> np.ndarray:
 
 @dataclass
 class Chunk:
-    """Documents in order of doc_id; text is their UTF-8 bytes, one after another."""
+    """Documents in order of doc_id; text is their UTF-8 bytes, one after another.  without: those that have no doc_id,
+    for which NO_ID stands."""
 
     id: int
     doc_ids: np.ndarray
+    without: np.ndarray
     sizes: np.ndarray
     text: np.ndarray
     null: np.ndarray
     rest: bytes | None = None
 
+    def ids(self) -> list[int | None]:
+        """doc_ids as they were."""
+        return [None if none else i for i, none in zip(self.doc_ids.tolist(), self.without.tolist())]
+
     def others(self) -> list[dict]:
         """The documents' other columns."""
         return pa.ipc.open_stream(unzip(self.rest)).read_all().to_pylist() if self.rest else [{}] * len(self.doc_ids)
 
     @classmethod
     def of(cls, row: dict) -> Chunk:
-        return cls(row["chunk"], as_array(row["doc_ids"], "<i8"), as_array(row["sizes"], "<i8"), as_array(unzip(row["text"]), "u1"), as_array(row["nulls"], "?"), row["rest"])
+        return cls(row["chunk"], as_array(row["doc_ids"], "<i8"), as_array(row["without"], "?"), as_array(row["sizes"], "<i8"), as_array(unzip(row["text"]), "u1"), as_array(row["nulls"], "?"), row["rest"])
 
 
-SCHEMA = "chunk long, doc_ids binary, sizes binary, nulls binary, text binary, rest binary"
+SCHEMA = "chunk long, doc_ids binary, without binary, sizes binary, nulls binary, text binary, rest binary"
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The chunks of docs(doc_id, text and others) as a written table: which document is in which chunk is settled by it.
 
-    Rows without doc_id are left out; a document longer than a chunk has one of its own.
+    Rows without doc_id come last; a document longer than a chunk has one of its own.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
 
@@ -89,6 +97,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             cols = {
                 "chunk": pa.array([(part << 32) + seq], pa.int64()),
                 "doc_ids": pa.array([np.array([r[0] for r in rows], dtype="<i8").tobytes()], pa.binary()),
+                "without": pa.array([np.array([r[3] for r in rows], dtype="?").tobytes()], pa.binary()),
                 "sizes": pa.array([np.array([len(r[1] or b"") for r in rows], dtype="<i8").tobytes()], pa.binary()),
                 "nulls": pa.array([np.array([r[1] is None for r in rows], dtype="?").tobytes()], pa.binary()),
                 "text": pa.array([zip_(b"".join(r[1] or b"" for r in rows))], pa.binary()),
@@ -99,7 +108,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         for batch in batches:
             rest = batch.select(others) if others else None
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):
-                rows.append((doc_id, text, rest.slice(i, 1) if others else None))
+                rows.append((NO_ID if doc_id is None else doc_id, text, rest.slice(i, 1) if others else None, doc_id is None))
                 size += len(text or b"") + 16
                 if size >= chunk_bytes:
                     yield full()
@@ -107,7 +116,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if rows:
             yield full()
 
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), *[F.col(f"`{c}`") for c in others])
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), *[F.col(f"`{c}`") for c in others])
     return written(docs.mapInArrow(run, SCHEMA), "chunks")
 
 
@@ -132,40 +141,90 @@ def spaced(chunk: Chunk, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: polynomials in its bytes, by differences of running sums."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    n, length = len(text), (ends - starts).astype(np.uint64)
-    powers = np.empty(n, dtype=np.uint64)
-    powers[0] = 1
-    powers[1:] = BASE
-    np.multiply.accumulate(powers, out=powers)
-    sums = np.empty(n + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum(MIXED[text] * powers, out=sums[1:])
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    back = np.empty(n, dtype=np.uint64)
-    back[0] = 1
-    back[1:] = inverse
-    np.multiply.accumulate(back, out=back)
-    out = (sums[ends] - sums[starts]) * back[starts]
-    return mix(out ^ (length << np.uint64(48)))
+@dataclass
+class Words:
+    """The words of some documents, one after another.  ids: equal for equal words, compared byte by byte; hashes: 64 bits
+    of a 128-bit hash of each word, the same in every chunk; doc, starts, ends: where a word stands in text."""
+
+    ids: np.ndarray
+    hashes: np.ndarray
+    doc: np.ndarray
+    text: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+
+def numbered(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each word, equal for equal words, and the different words by number."""
+    inside = ~IS_SPACE[text]
+    offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])])
+    found = words.dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """Half of a keyed 128-bit hash of each word."""
+    digests = b"".join([xxhash.xxh3_128_digest(w, 0x15A7) for w in words.to_pylist()])
+    return np.frombuffer(digests, dtype="<u8")[::2].astype(np.uint64)
+
+
+def words_of(text: np.ndarray, doc_starts: np.ndarray) -> Words:
+    """Words of spaced text."""
+    starts, ends = word_spans(text)
+    ids, different = numbered(text, starts, ends)
+    doc = np.searchsorted(doc_starts, starts, side="right") - 1
+    return Words(ids, word_hashes(different)[ids], doc, text, starts, ends)
+
+
+#: Hashed bytes, units of operators that look at bytes.
 MIXED = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))
 
 
+def combined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of pairs of hashes.  For each a it takes different b to different values, and the other way round; it is not
+    linear, so no pattern of units makes long sequences collide."""
+    x = a * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x += b
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+#: Units of which grams are hashed at once, so that they stay in the processor's cache.
+SLICE = 1 << 14
+
+
 def gram_hashes(units: np.ndarray, k: int) -> np.ndarray:
-    """Polynomial hash of each k units that follow each other; len(units) - k + 1 of them."""
-    if len(units) < k:
-        return np.zeros(0, dtype=np.uint64)
-    out, have, base = units, 1, int(BASE)
+    """Hash of each k units that follow each other, a tree of pairs; len(units) - k + 1 of them."""
+    n = max(0, len(units) - k + 1)
+    out = np.empty(n, dtype=np.uint64)
+    for i in range(0, n, SLICE):
+        out[i : i + SLICE] = _doubled(units[i : i + SLICE + k - 1], k, combined)
+    return out
+
+
+def gram_classes(ids: np.ndarray, k: int) -> np.ndarray:
+    """Number of each k ids that follow each other, equal just where they are equal (naming of pairs of names)."""
+    if len(ids) < k:
+        return np.zeros(0, dtype=np.int64)
+    return _doubled(ids, k, pair_classes)
+
+
+def pair_classes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers from 0, equal just where both numbers are."""
+    return pd.factorize(a * (int(b.max(initial=0)) + 1) + b)[0]
+
+
+def _doubled(units: np.ndarray, k: int, pair) -> np.ndarray:
+    out, have = units, 1
     for bit in bin(k)[3:]:
-        out = out[:-have] * np.uint64(pow(base, have, 1 << 64)) + out[have:]
+        out = pair(out[:-have], out[have:])
         have *= 2
         if bit == "1":
-            out = out[: len(units) - have] * BASE + units[have:]
+            out = pair(out[: len(units) - have], units[have:])
             have += 1
     return out
 

@@ -24,17 +24,17 @@ def with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least.select("u", "m", F.explode("part").alias("part")), ["u", "part"]).drop("part")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of each node of edges(a, b): component is the smallest node that can be reached.
 
     Large stars and small stars take turns until no edge changes: each round links a node's neighbours to the smallest of
-    them, so the number of edges never grows and no node's neighbours are gathered.  Each round is written to the shared
-    folder.  Loops and repeated edges do no harm; nodes without edges are not in the result.
+    them, so the number of edges never grows and no node's neighbours are gathered.  The rounds needed grow with the
+    square of the logarithm of the number of nodes.  Each round is written to the shared folder.  Loops and repeated edges do no harm; nodes without edges are not in the result.
     """
     hi, lo = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     edges = written(edges.where("a <> b").select(hi, lo).distinct(), "edges")
     state = _state(edges)
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: each larger neighbour of u to the smallest, u itself included
         m = F.least("u", "m")
@@ -46,8 +46,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         before, state = state, _state(edges)
         if state == before:
             break
-    else:
-        raise RuntimeError("components did not settle")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
 

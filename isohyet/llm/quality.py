@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import word_hashes, word_spans
+from .chunks import numbered, word_hashes, word_spans
 from .common import mix, table, written
 
 #: (statistic, share up to which it votes good, share from which it votes bad)
@@ -57,9 +57,10 @@ class Words:
         self.starts, self.ends = word_spans(self.text)
         self.n_docs = len(texts)
         self.doc = np.searchsorted(begins, self.starts, side="right") - 1
-        self.hashes = word_hashes(self.text, self.starts, self.ends)
+        self.ids, different = numbered(self.text, self.starts, self.ends)
+        self.hashes = word_hashes(different)[self.ids]
         self.n = np.bincount(self.doc, minlength=self.n_docs)
-        self.same_as_last = np.r_[False, (self.hashes[1:] == self.hashes[:-1]) & (self.doc[1:] == self.doc[:-1])] if len(self.doc) else np.zeros(0, dtype=bool)
+        self.same_as_last = np.r_[False, (self.ids[1:] == self.ids[:-1]) & (self.doc[1:] == self.doc[:-1])] if len(self.doc) else np.zeros(0, dtype=bool)
 
     def counts(self, of: np.ndarray) -> np.ndarray:
         """For each word how many of its bytes are in the class."""
@@ -76,8 +77,8 @@ def votes(w: Words) -> np.ndarray:
     upper, lower = (w.text >= 65) & (w.text <= 90), (w.text >= 97) & (w.text <= 122) | (w.text >= 128)
     n_upper, n_lower, n_symbol = w.counts(upper), w.counts(lower), w.counts(SYMBOL[w.text])
     last = w.text[w.ends - 1]
-    order = np.lexsort((w.hashes, w.doc))
-    again = np.r_[False, (w.hashes[order][1:] == w.hashes[order][:-1]) & (w.doc[order][1:] == w.doc[order][:-1])] if len(order) else np.zeros(0, dtype=bool)
+    order = np.lexsort((w.ids, w.doc))
+    again = np.r_[False, (w.ids[order][1:] == w.ids[order][:-1]) & (w.doc[order][1:] == w.doc[order][:-1])] if len(order) else np.zeros(0, dtype=bool)
     n = np.maximum(w.n, 1)
     letters = np.maximum(w.per_doc(n_upper + n_lower), 1)
     long_enough = np.minimum(1, w.n / 60)  # few words hardly repeat, and may have no punctuation
@@ -106,7 +107,8 @@ def features(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.r_[True, shape[1:] != shape[:-1]]
     new[w.starts] = True
     inside[1:] = np.cumsum(new)
-    shapes = word_hashes(shape[new], inside[w.starts], np.maximum(inside[w.ends], inside[w.starts] + 1)) if len(w.starts) else w.hashes
+    ids, different = numbered(shape[new], inside[w.starts], inside[w.ends])
+    shapes = word_hashes(different)[ids]
     pair = mix(shapes[1:] * np.uint64(3) + shapes[:-1]) if len(shapes) else shapes
     pair_doc = w.doc[1:][w.doc[1:] == w.doc[:-1]]
     pair = pair[w.doc[1:] == w.doc[:-1]]

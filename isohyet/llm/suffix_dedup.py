@@ -4,14 +4,15 @@ Strings of `length` bytes are judged.  Most of a corpus stands there once, so a
 mostly strings that need no order.  First, chunks of documents exchange winnowed anchors (see winnowing): where no anchor
 of a string recurs, the string doesn't.  What is owned by recurring anchors goes, as segments of the text, to shards by
 anchor; a segment that a chunk has many times, it sends once.  An anchor that is there over hot_rows times (part of a line
-that very many documents share) would be too much for one shard: its strings go to shards by their own hashes, 128 bits
-each, and are compared by these.
+that very many documents share) would be too much for one shard: it is lengthened to whole strings, each of which is a
+segment that goes to a shard of its own, once from each chunk.
 
 A shard sorts its segments in parts of bounded size, one or more anchors to a part: a suffix array by Larsson-Sadakane
 refinement, common prefixes by Kasai's rule, and so the classes of equal strings.  An anchor whose segments are too many
 for one part has several, and these are merged by binary search of one part's sorted classes in those of the parts before
 it.  The first place (smallest document, then smallest start) of each class keeps the string,
-and each chunk removes it wherever else it has it.
+and each chunk removes it wherever else it has it.  Hashes only decide which strings are compared; that they are equal is
+always decided by their bytes.
 
 Strings never cross documents.  Null texts count as empty; texts shorter than a string lose nothing.  Rows that share a
 doc_id and a start are the same place: they lose nothing to each other.  Rows without doc_id are left out.  An empty table
@@ -27,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import MIXED, Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, joined, member, over, returned, unzip, zip_
-from .common import mix, table
+from .chunks import MIXED, Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, joined, member, over, pair_classes, returned, unzip, zip_
+from .common import table
+from .substring_dedup import first_of, parts_by_key
 from .suffix_arrays import common_prefixes, eight_bytes, search, suffix_array
 from .winnowing import class_starts, covered, repeated_anchors, runs_of, winnow
 
-SEGMENTS = "bucket int, chunk long, hot boolean, keys binary, ids binary, starts binary, sizes binary, bytes binary"
+SEGMENTS = "bucket int, chunk long, keys binary, ids binary, starts binary, anchors binary, places binary, sizes binary, bytes binary"
 CLEANED = "doc_id long, n_bytes long, n_removed long, n_spans long, is_null boolean, kept binary"
 
 
@@ -41,24 +43,50 @@ def prepared(chunk: Chunk):
     return MIXED[chunk.text], np.repeat(np.arange(len(chunk.sizes), dtype=np.int32), chunk.sizes)
 
 
-def candidates(chunk: Chunk, row: dict, length: int, k: int):
-    """Repeated anchors, the hash of the string at each place, document of each place, first place of each document."""
-    units, doc = prepared(chunk)
-    anchors = winnow(units, doc, length, k)
-    return anchors.where(member(anchors.key, joined(row["repeated"]))), mix(gram_hashes(units, length)), doc, np.cumsum(chunk.sizes) - chunk.sizes
-
-
-#: Another hash of bytes, for strings that are compared by hashes alone.
-OTHER = mix(MIXED ^ np.uint64(0xA5A5A5A55A5A5A5A))
-
-
-def second_hashes(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    powers = np.cumprod(np.full(length, 0xD1B54A32D192ED03, dtype=np.uint64))
-    out = np.empty(len(places), dtype=np.uint64)
-    for i in range(0, len(places), 8192):
-        p = places[i : i + 8192]
-        out[i : i + 8192] = (OTHER[text[p[:, None] + np.arange(length)]] * powers).sum(1, dtype=np.uint64)
-    return mix(out)
+class Strings:
+    """Places of a chunk that repeated anchors own, and the class of the string at each."""
+
+    def __init__(self, chunk: Chunk, repeated: np.ndarray, length: int, k: int) -> None:
+        units, self.doc = prepared(chunk)
+        found = winnow(units, self.doc, length, k)
+        self.found = found.where(member(found.key, repeated))
+        self.places = self.found.windows()
+        self.hashes = gram_hashes(units, length)[self.places] if len(self.places) else np.zeros(0, dtype=np.uint64)
+        self.classes = string_classes(chunk.text, self.places, self.hashes, length)
+        self.first = np.cumsum(self.found.n) - self.found.n
+        self.doc_first = np.cumsum(chunk.sizes) - chunk.sizes
+        self.ids = chunk.doc_ids
+        self.in_order = bool((self.ids[1:] != self.ids[:-1]).all())
+
+    def first_of(self, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Index of the first place of each number."""
+        if self.in_order:
+            return first_of(numbers)
+        own = self.doc[places]
+        order = np.lexsort((places - self.doc_first[own], self.ids[own], numbers))
+        return order[class_starts(numbers[order])]
+
+
+def string_classes(text: np.ndarray, places: np.ndarray, hashes: np.ndarray, length: int) -> np.ndarray:
+    """A number for the string at each place, equal just where all bytes are; hashes tell which to compare."""
+    order = np.argsort(hashes, kind="stable")
+    begins = class_starts(hashes[order])
+    size = np.diff(np.r_[begins, len(order)])
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.repeat(np.arange(len(begins)), size)
+    several = np.repeat(size > 1, size)
+    at, lead = places[order[several]], places[np.repeat(order[begins], size)[several]]
+    bad = np.zeros(len(at), dtype=bool)
+    if len(at):
+        words = np.ndarray((len(text) - 7,), dtype="<u8", buffer=text, strides=(1,))
+        for i in [*range(0, length - 7, 8), length - 8]:
+            bad |= words[at + i] != words[lead + i]
+    if bad.any():
+        known: dict[tuple[int, bytes], int] = {}
+        for i in np.flatnonzero(np.isin(number, number[order[several]][bad])).tolist():
+            number[i] = known.setdefault((int(number[i]), text[places[i] : places[i] + length].tobytes()), len(begins) + len(known))
+        number = np.unique(number, return_inverse=True)[1]
+    return number
 
 
 def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, gone=None, in_order: bool = False) -> np.ndarray:
@@ -129,20 +157,6 @@ def later_strings(segments: list[bytes], ids: np.ndarray, starts: np.ndarray, le
     return np.split(later, np.cumsum(n)[:-1])
 
 
-def by_key(keys: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[slice]:
-    """Slices of sorted keys of at most so many bytes, or of one key."""
-    begins = class_starts(keys)
-    ends = np.r_[begins[1:], len(keys)]
-    total = np.r_[0, np.cumsum(sizes.astype(np.int64))]
-    start = 0
-    for begin, end in zip(begins.tolist(), ends.tolist()):
-        if begin > start and total[end] - total[start] > most:
-            yield slice(start, begin)
-            start = begin
-    if len(keys):
-        yield slice(start, len(keys))
-
-
 def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *, chunk_bytes: int = 2 << 20, part_bytes: int = 512 << 10, hot_rows: int = 20_000) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, is_null, kept) of docs(doc_id, text); kept: the remaining bytes."""
     chunks = chunked(docs, chunk_bytes)
@@ -154,26 +168,23 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         """The first of each different segment of the chunk."""
         if not row["repeated"]:
             return
-        found, hashes, doc, doc_first = candidates(chunk, row, length, anchor_bytes)
-        if not len(found.key):
+        s = Strings(chunk, joined(row["repeated"]), length, anchor_bytes)
+        if not len(s.places):
             return
-        hot = member(found.key, joined(row["hot"]))
-        key, start, n = found.where(~hot)
+        key, start, n, anchor = s.found
+        whole = ~member(key, joined(row["hot"]))
         # two strings, at the ends, cover a segment
-        same = mix(hashes[start] + mix(hashes[start + n - 1]) + n.astype(np.uint64)) ^ key
-        order = np.lexsort((start, same))
-        keep = order[class_starts(same[order])]
+        same = pair_classes(pair_classes(s.classes[s.first], s.classes[s.first + n - 1]), n)[whole]
+        keep = np.flatnonzero(whole)[s.first_of(same, start[whole])]
+        single = np.flatnonzero(np.repeat(~whole, n))
+        single = single[s.first_of(s.classes[single], s.places[single])]
+        single_at = s.places[single]
+        key, start, n, anchor = (np.concatenate(x) for x in ((key[keep], s.hashes[single]), (start[keep], single_at), (n[keep], np.ones_like(single)), (anchor[keep], single_at)))
         data = chunk.text.tobytes()
-        for bucket, k in dealt(keep, key):
-            at, sizes, own = start[k], n[k] + length - 1, doc[start[k]]
+        for bucket, k in dealt(np.arange(len(key)), key):
+            at, sizes, own = start[k], n[k] + length - 1, s.doc[start[k]]
             text = zip_(b"".join([data[x : x + y] for x, y in zip(at.tolist(), sizes.tolist())]))
-            yield {"bucket": bucket, "chunk": chunk.id, "hot": False, "keys": key[k].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - doc_first[own]).tobytes(), "sizes": sizes.astype("<i4").tobytes(), "bytes": text}
-        single = found.where(hot).windows()
-        order = np.lexsort((single, hashes[single]))
-        single = single[order[class_starts(hashes[single][order])]]
-        for bucket, k in dealt(np.arange(len(single)), hashes[single]):
-            at, own = single[k], doc[single[k]]
-            yield {"bucket": bucket, "chunk": chunk.id, "hot": True, "keys": hashes[at].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - doc_first[own]).tobytes(), "sizes": b"", "bytes": second_hashes(chunk.text, at, length).tobytes()}
+            yield {"bucket": bucket, "chunk": chunk.id, "keys": key[k].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - s.doc_first[own]).tobytes(), "anchors": (anchor[k] - s.doc_first[own]).tobytes(), "places": at.tobytes(), "sizes": sizes.astype("<i4").tobytes(), "bytes": text}
 
     def dealt(which: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         bucket = bucket_of(key[which], n_buckets)
@@ -183,28 +194,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         for a, e in zip(edges, np.r_[edges[1:], len(which)]):
             yield int(bucket[a]), which[a:e]
 
-    def hot_strings(t: pa.Table) -> list[tuple[int, bytes]]:
-        keys, ids, starts, more = (np.concatenate([as_array(x, kind) for x in t[c].to_pylist()]) for c, kind in (("keys", "<u8"), ("ids", "<i8"), ("starts", "<i8"), ("bytes", "<u8")))
-        order = np.lexsort((more, keys))
-        first = np.r_[True, (keys[order][1:] != keys[order][:-1]) | (more[order][1:] != more[order][:-1])]
-        group = np.empty(len(keys), dtype=np.int64)
-        group[order] = np.cumsum(first)
-        later = later_places(group, ids, starts)
-        rows = np.column_stack([ids, starts, np.ones(len(ids), dtype=np.int64)])
-        ends = np.cumsum([len(x) // 8 for x in t["keys"].to_pylist()])
-        return [(c, rows[a:e][later[a:e]].tobytes()) for c, a, e in zip(t["chunk"].to_pylist(), np.r_[0, ends[:-1]], ends) if later[a:e].any()]
-
     def resolve(t: pa.Table) -> pa.Table:
-        is_hot = t["hot"].to_numpy()
-        out = hot_strings(t.filter(pa.array(is_hot))) if is_hot.any() else []
-        if not is_hot.all():
-            out += sorted_strings(t.filter(pa.array(~is_hot)))
+        out = sorted_strings(t)
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "gone": pa.array([x[1] for x in out], pa.binary())})
 
     def sorted_strings(t: pa.Table) -> list[tuple[int, bytes]]:
-        cols = {c: [as_array(x, kind) for x in t[c].to_pylist()] for c, kind in (("keys", "<u8"), ("ids", "<i8"), ("starts", "<i8"), ("sizes", "<i4"))}
+        cols = {c: [as_array(x, kind) for x in t[c].to_pylist()] for c, kind in (("keys", "<u8"), ("ids", "<i8"), ("starts", "<i8"), ("anchors", "<i8"), ("places", "<i8"), ("sizes", "<i4"))}
         per_chunk = [len(x) for x in cols["keys"]]
-        keys, ids, starts, sizes = (np.concatenate(x) for x in cols.values())
+        keys, ids, starts, anchors, places, sizes = (np.concatenate(x) for x in cols.values())
         data = b"".join(unzip(x) for x in t["bytes"].to_pylist())
         ends = np.cumsum(sizes.astype(np.int64))
         segments = [data[a:e] for a, e in zip((ends - sizes).tolist(), ends.tolist())]
@@ -216,9 +213,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         # an anchor with one segment is settled; strings of several have to be sorted
         _, key_no, n_of_key = np.unique(keys[leads], return_inverse=True, return_counts=True)
         open_ = np.sort(leads[n_of_key[key_no] > 1])
-        open_ = open_[np.lexsort((starts[open_], ids[open_], keys[open_]))]
+        # equal strings lie equally far from their anchors, so these tell the order of their places
+        open_ = open_[np.lexsort((anchors[open_], ids[open_], keys[open_]))]
         flags = {}
-        for group in by_key(keys[open_], sizes[open_], part_bytes):
+        for group in parts_by_key(keys[open_], sizes[open_], part_bytes):
             own = open_[group]
             flags.update(zip(own.tolist(), later_strings([segments[i] for i in own], ids[own], starts[own], length, part_bytes)))
         out, i = [], 0
@@ -226,9 +224,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
             gone = []
             for j in range(i, i + m):
                 if whole[j]:
-                    gone.append((ids[j], starts[j], sizes[j] - length + 1))
+                    gone.append((places[j], sizes[j] - length + 1))
                 elif j in flags:
-                    gone += [(ids[j], starts[j] + a, e - a) for a, e in zip(*runs_of(flags[j]))]
+                    gone += [(places[j] + a, e - a) for a, e in zip(*runs_of(flags[j]))]
             i += m
             if gone:
                 out.append((chunk, np.array(gone, dtype="<i8").tobytes()))
@@ -240,26 +238,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
     def clean(chunk: Chunk, row: dict) -> Iterator[dict]:
         drop = np.zeros(len(chunk.text), dtype=bool)
         if row["repeated"]:
-            found, hashes, doc, doc_first = candidates(chunk, row, length, anchor_bytes)
-            places = found.windows()
-            if len(places):
-                own = doc[places]
+            s = Strings(chunk, joined(row["repeated"]), length, anchor_bytes)
+            if len(s.places):
+                own = s.doc[s.places]
                 elsewhere = None
                 if row["gone"]:
-                    told = np.concatenate([as_array(x, "<i8").reshape(-1, 3) for x in row["gone"]])
-                    begin = doc_first[np.searchsorted(chunk.doc_ids, told[:, 0])] + told[:, 1]
-                    told = np.sort(np.repeat(begin - np.cumsum(told[:, 2]) + told[:, 2], told[:, 2]) + np.arange(int(told[:, 2].sum())))
+                    told = np.concatenate([as_array(x, "<i8").reshape(-1, 2) for x in row["gone"]])
+                    begin, n = told[:, 0], told[:, 1]
+                    told = np.sort(np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum())))
                     # if the chunk's first place of a string is not the corpus', the string goes all over the chunk
-                    elsewhere = lambda lead: member(places[lead], told)
-                ids = chunk.doc_ids
-                later = later_places(hashes[places], ids[own], places - doc_first[own], elsewhere, in_order=bool((ids[1:] != ids[:-1]).all()))
-                drop = covered(len(drop), places[later], length)
+                    elsewhere = lambda lead: member(s.places[lead], told)
+                later = later_places(s.classes, s.ids[own], s.places - s.doc_first[own], elsewhere, in_order=s.in_order)
+                drop = covered(len(drop), s.places[later], length)
         at = 0
-        for i, doc_id in enumerate(chunk.doc_ids):
+        for i, doc_id in enumerate(chunk.ids()):
             own = slice(at, at + int(chunk.sizes[i]))
             at = own.stop
             gone_here = drop[own]
-            yield {"doc_id": int(doc_id), "n_bytes": len(gone_here), "n_removed": int(gone_here.sum()), "n_spans": len(runs_of(gone_here)[0]), "is_null": bool(chunk.null[i]), "kept": chunk.text[own][~gone_here].tobytes()}
+            yield {"doc_id": doc_id, "n_bytes": len(gone_here), "n_removed": int(gone_here.sum()), "n_spans": len(runs_of(gone_here)[0]), "is_null": bool(chunk.null[i]), "kept": chunk.text[own][~gone_here].tobytes()}
 
     return over(returned(chunks, (anchors, "repeated"), (gone, "gone")), clean, CLEANED)
 

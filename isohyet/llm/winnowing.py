@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .chunks import PLACES, SENT, Chunk, buckets_for, gram_hashes, over, repeated_keys, send_keys, sliding_minimum
+from .chunks import SENT, Chunk, buckets_for, gram_hashes, over, repeated_keys, send_keys, sliding_minimum
 from .common import mix, written
 
 
@@ -20,30 +20,38 @@ class Anchors(NamedTuple):
     key: np.ndarray  # hash of the k-gram
     start: np.ndarray  # first window that it owns
     n: np.ndarray  # number of windows that it owns
+    at: np.ndarray  # where the k-gram begins
 
     def windows(self) -> np.ndarray:
         """Starts of all owned windows, in order."""
         return np.repeat(self.start - np.cumsum(self.n) + self.n, self.n) + np.arange(int(self.n.sum()))
 
     def where(self, keep: np.ndarray) -> Anchors:
-        return Anchors(self.key[keep], self.start[keep], self.n[keep])
+        return Anchors(*(x[keep] for x in self))
+
+
+#: Bits of a key that hold a place; longer sequences are gone through in runs of so many windows.
+PLACES = 27
 
 
 def winnow(units: np.ndarray, doc: np.ndarray, length: int, k: int) -> Anchors:
     """Anchors of the windows that lie in one document; doc says of which document a unit is."""
+    n, most = len(units) - length + 1, 1 << PLACES
+    runs = [_run(units[a : a + most + length - 1], doc[a : a + most + length - 1], length, k, a) for a in range(0, max(n, 0), most)]
+    if len(runs) == 1:
+        return runs[0]
+    return Anchors(*(np.concatenate([np.zeros(0, t), *(r[i] for r in runs)]) for i, t in enumerate((np.uint64, np.int64, np.int64, np.int64))))
+
+
+def _run(units: np.ndarray, doc: np.ndarray, length: int, k: int, shift: int) -> Anchors:
     n = len(units) - length + 1
-    if n <= 0:
-        return Anchors(*(np.zeros(0, dtype=t) for t in (np.uint64, np.int64, np.int64)))
-    assert len(units) <= int(PLACES), "a document is too long for one task"
-    grams = mix(gram_hashes(units, k))
-    best = sliding_minimum((grams & ~PLACES) | np.arange(len(grams), dtype=np.uint64), length - k + 1)
+    grams, low = gram_hashes(units, k), np.uint64((1 << (PLACES + 1)) - 1)
+    best = sliding_minimum((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - k + 1)
     starts = np.flatnonzero(doc[:n] == doc[length - 1 :])
-    if not len(starts):
-        return winnow(units[:0], doc[:0], length, k)
-    at = (best[starts] & PLACES).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    at = (best[starts] & low).astype(np.int64)
+    first = class_starts(at)
     # the smallest of many hashes is small; mixed anew, keys spread evenly over buckets
-    return Anchors(mix(grams[at[first]] ^ np.uint64(0xC2B2AE3D27D4EB4F)), starts[first], np.diff(np.r_[first, len(starts)]))
+    return Anchors(mix(grams[at[first]] ^ np.uint64(0xC2B2AE3D27D4EB4F)), starts[first] + shift, np.diff(np.r_[first, len(starts)]), at[first] + shift)
 
 
 def repeated_anchors(chunks: DataFrame, n_chunks: int, prepared, length: int, k: int, other_documents: bool, hot_rows: int) -> DataFrame:

@@ -7,10 +7,11 @@ import numpy as np
 import pytest
 
 from isohyet.llm import substring_dedup, suffix_dedup
+from isohyet.llm.chunks import gram_classes
 from isohyet.llm.suffix_arrays import common_prefixes, eight_bytes, search, suffix_array
 from isohyet.llm.winnowing import winnow
 
-from .fixtures import documents, nothing, rows
+from .fixtures import documents, nothing, rows, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -32,7 +33,7 @@ def brute_words(data, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [dict(min_words=13, seed_words=5), dict(min_words=13, seed_words=13, chunk_bytes=2000), dict(min_words=50, seed_words=13, chunk_bytes=5000)])
+@pytest.mark.parametrize("options", [dict(min_words=13, seed_words=5), dict(min_words=13, seed_words=13, chunk_bytes=2000), dict(min_words=13, seed_words=5, chunk_bytes=2000, hot_rows=2), dict(min_words=13, seed_words=4, part_words=50), dict(min_words=50, seed_words=13, chunk_bytes=5000)])
 def test_words_against_brute_force(spark, options):
     got = substring_dedup.remove_repeats(documents(spark), **options)
     got = sorted((r.doc_id, r.n_words, r.n_removed, sha256(bytes(r.words)).hexdigest()) for r in got.collect())
@@ -60,7 +61,7 @@ def brute_bytes(data, k):
     data = [(r[0], (r[1] or "").encode()) for r in data]
     for doc_id, b in sorted(data):
         for a in range(len(b) - k + 1):
-            found.setdefault(b[a : a + k], (doc_id, a))
+            found[b[a : a + k]] = min(found.get(b[a : a + k], (doc_id, a)), (doc_id, a))
     out = []
     for doc_id, b in data:
         gone = bytearray(len(b))
@@ -79,6 +80,67 @@ def test_bytes_against_brute_force(spark, options):
     assert got == brute_bytes(rows(), 100)
 
 
+def strange_rows():
+    """Rows without doc_id, rows that share one, words and paragraphs of any length, patterns that fool linear hashes."""
+    flip = str.maketrans("ab", "ba")
+    thue = "a"
+    while len(thue) < 4096:
+        thue += thue.translate(flip)
+    twelve = " ".join(f"w{i}" for i in range(12))
+    found = [(1, twelve + " " + thue[:1024]), (2, twelve + " " + thue[:1024].translate(flip)), (3, twelve + " " + thue), (4, thue[:1024]), (5, thue[:1024].translate(flip))]
+    base = texts(3, 12)
+    return found + [(None, base[0]), (None, base[0]), (None, base[5] + " and " + base[10]), (6, base[0]), (7, base[1]), (7, base[2]), (7, base[1] + " " + base[2]), (8, base[2] + base[1]), (None, None), (9, "z" * 9000), (9, "z" * 9001), (2**63 - 1, base[5])]
+
+
+def strange(spark):
+    return spark.createDataFrame(strange_rows(), "doc_id long, text string").repartition(2)
+
+
+LAST = 2**63 - 1
+
+
+@pytest.mark.parametrize("chunk_bytes", [1500, 2 << 20])
+def test_strange_rows_against_brute_force(spark, chunk_bytes):
+    data = [(LAST if i is None else i, t) for i, t in strange_rows()]
+    key = lambda r: LAST if r.doc_id is None else r.doc_id
+    got = substring_dedup.remove_repeats(strange(spark), chunk_bytes=chunk_bytes, hot_rows=3).collect()
+    assert sum(r.doc_id is None for r in got) == sum(i is None for i, _ in strange_rows())
+    assert sorted((key(r), r.n_words, r.n_removed, sha256(bytes(r.words)).hexdigest()) for r in got) == brute_words(data, 13)
+    assert {r.n_removed for r in got if r.doc_id in (1, 2, 3, 4, 5)} == {0}
+    got = suffix_dedup.remove_repeats(strange(spark), chunk_bytes=chunk_bytes, hot_rows=3).collect()
+    assert sorted((key(r), r.n_bytes, r.n_removed, r.n_spans, sha256(bytes(r.kept)).hexdigest()) for r in got) == brute_bytes(data, 100)
+
+
+def test_equal_hashes_do_not_make_strings_equal():
+    text = np.frombuffer(b"abcdefghij" * 2 + b"0123456789" * 2, dtype=np.uint8)
+    got = suffix_dedup.string_classes(text, np.array([0, 10, 20, 30, 1, 11]), np.zeros(6, dtype=np.uint64), 9)
+    assert got[0] == got[1] != got[2] == got[3] and got[4] not in got[:4] and got[5] == got[4]
+
+
+def test_gram_classes_are_exact():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 3, 4000)
+    for k in (1, 2, 7, 13):
+        got = gram_classes(ids, k)
+        number = {}
+        assert len(got) == 4000 - k + 1
+        pairs = {(number.setdefault(tuple(ids[i : i + k]), len(number)), int(got[i])) for i in range(len(got))}
+        assert len(pairs) == len(number) == len(set(got.tolist()))
+
+
+def test_long_sequences_are_winnowed_in_runs(monkeypatch):
+    from isohyet.llm import winnowing
+
+    rng = np.random.default_rng(3)
+    units = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    doc = np.repeat(np.arange(3), 1000)
+    want = winnow(units, doc, 13, 5)
+    monkeypatch.setattr(winnowing, "PLACES", 8)
+    got = winnow(units, doc, 13, 5)
+    assert got.windows().tolist() == want.windows().tolist()
+    assert len(got.key) >= len(want.key)
+
+
 def test_empty_tables(spark):
     assert substring_dedup.remove_repeats(nothing(spark)).count() == 0
     assert suffix_dedup.remove_repeats(nothing(spark)).count() == 0
