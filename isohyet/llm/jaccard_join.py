@@ -1,24 +1,29 @@
 """Similarity join of documents on their sets of word n-grams, by prefix trees.
 
-A document's set has its different n-grams of lower-case words (A-Z), as 64-bit hashes.  Two documents link when percent * |union| <= 100 * |intersection|.
-
-Which documents can link at all: sizes of linked sets lie in one size class or in neighbouring ones.  For each pair of
-classes the hashes are cut into more parts than two linked sets of these sizes can differ in, so linked sets agree in some
-whole parts.  Each document sends a hash of each part, and those that agree in one go to the join.  (Parts that are empty
-count only where a document has so many that no full one need agree.)  The hot_grams most frequent grams are left out of
-the parts, which makes no difference to what must agree, so that a passage that very many documents share brings these
-together only where little else is in them.
-
-The join stores the different sets of a group in a prefix tree, rare grams first, and runs all sets down it together: sets
-with a common prefix share the counting of their overlap, and a set leaves a subtree when what remains of both can't lift
-the overlap to what is needed.  Every link is found; a task adds up how many each document has, so that their rows don't
-grow with the square of a group, and passes on those that connect.  Equal sets are joined once, for all documents that
-have them.  Groups are the components of agreeing parts; a group over block_docs documents is joined block by block, each
-pair of blocks in a task of its own.  Links form the components of the result.
+A document's set has its different n-grams of lower-case words (A-Z), as 64-bit hashes (a tree of pairs over halves of
+128-bit hashes of the words).  Two documents link when percent * |union| <= 100 * |intersection|.
+
+Equal sets are one class, by a 128-bit digest; chunks learn by an exchange of digests which document is the first of each
+class, and it alone goes on, with the number of rows that it stands for.
+
+Which sets can link at all: sizes of linked sets lie in one size class or in neighbouring ones.  For each pair of
+classes the grams are cut into more parts than two linked sets of these sizes can differ in, so linked sets agree in some
+whole parts.  Each set sends a hash of each part, and those that agree in one go to the join.  The hot_grams most frequent
+grams are left out of the parts, which makes no difference to what must agree, so that a passage that very many documents
+share brings these together only where little else is in them; sets that are left with too few full parts send those of
+their whole sets, too.
+
+The join stores the sets of a group in a prefix tree, grams in one global order (frequent ones last, by their number of
+documents), and runs all sets down it together: sets with a common prefix share the counting of their overlap, and a set
+leaves a subtree when what remains of both can't lift the overlap to what is needed.  Every link is found; a task adds up how
+many rows each set links with, so that their rows don't grow with the square of a group, and passes on those that connect.
+Groups are the components of agreeing parts; a group over block_docs sets is joined block by block, each pair of blocks in a
+task of its own.  Links form the components of the result.
 
 Null texts, and texts without words, have empty sets and link with nothing.  A text of fewer than n words is one n-gram.
-Rows that share a doc_id are one node; rows without doc_id are left out.  An empty table gives no rows.  A task needs memory
-for a chunk or for the longest document.
+Rows that share a doc_id have one component; their links are counted row by row.  Rows without doc_id have their number of
+n-grams, but no component, and link with nothing.  An empty table gives no rows.  A task needs memory for a chunk or for the
+longest document.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, as_array, bucket_edges, bucket_of, buckets_for, chunked, gram_hashes, member, over, returned, spaced, unzip, word_hashes, word_spans, zip_
+from .chunks import Chunk, as_array, bucket_edges, bucket_of, buckets_for, chunked, gram_hashes, member, over, returned, spaced, unzip, words_of, zip_
 from .common import mix, table, written
 from .components import components
 from .winnowing import class_starts
@@ -47,17 +52,16 @@ def size_classes(percent: int, largest: int) -> np.ndarray:
 def sets_of(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Different n-grams of all documents, ascending in each document, and how many each has."""
     text, doc_starts = spaced(chunk, lower=True)
-    starts, ends = word_spans(text)
-    doc = np.searchsorted(doc_starts, starts, side="right") - 1
-    words = word_hashes(text, starts, ends)
+    found = words_of(text, doc_starts)
+    doc, words = found.doc, found.hashes
     count = np.bincount(doc, minlength=len(doc_starts))
     first = np.cumsum(count) - count
     full = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :]) if len(doc) >= n else np.zeros(0, dtype=np.int64)
-    grams, of = [mix(gram_hashes(words, n))[full]], [doc[full]]
+    grams, of = [mix(gram_hashes(words, n)[full])], [doc[full]]
     for short in range(1, n):
         which = np.flatnonzero(count == short)
         if len(which):
-            grams.append(mix(gram_hashes(words, short)[first[which]] ^ np.uint64(short)))
+            grams.append(mix(gram_hashes(words, short)[first[which]] ^ np.uint64(short << 32)))
             of.append(which)
     grams, of = np.concatenate(grams), np.concatenate(of)
     order = np.argsort(grams, kind="stable")
@@ -77,20 +81,87 @@ def different_rows(*columns: np.ndarray) -> list[np.ndarray]:
     return [c[new] for c in columns]
 
 
-def frequent_grams(chunks: DataFrame, n: int, n_buckets: int, least: int, most: int) -> np.ndarray:
-    """The grams that most documents have: at most `most`, each in `least` documents or more.
+def digests(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """128 bits for each set, two numbers a row."""
+    out = np.zeros((len(sizes), 2), dtype=np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        begins = (np.cumsum(sizes) - sizes)[some]
+        for i, key in enumerate((0x5851F42D4C957F2D, 0x14057B7EF767814F)):
+            out[some, i] = mix(np.add.reduceat(mix(grams ^ np.uint64(key)), begins) + sizes[some].astype(np.uint64))
+    return out
 
-    Documents are counted where a chunk has a gram three times or more, which is enough to find grams that many have.
-    Which grams are found only decides what work the join does, never its result.
-    """
 
-    def count(chunk: Chunk, row: dict) -> Iterator[dict]:
-        keys, n_docs = np.unique(sets_of(chunk, n)[0], return_counts=True)
+#: A class of equal sets as a chunk learns of it: digest, smallest doc_id, number of rows, whether that document is here.
+CLASS = np.dtype([("d0", "<u8"), ("d1", "<u8"), ("lead", "<i8"), ("n", "<i8"), ("here", "?")])
+
+
+class ChunkSets:
+    """Sets of a chunk's documents; with what is known of their classes, which documents stand for a class."""
+
+    def __init__(self, chunk: Chunk, n: int, blobs: list[bytes] | None = None) -> None:
+        self.grams, self.sizes = sets_of(chunk, n)
+        self.ends, self.ids = np.cumsum(self.sizes), chunk.doc_ids
+        self.digest = digests(self.grams, self.sizes)
+        self.joins = (self.sizes > 0) & ~chunk.without
+        self.n, self.lead, here = np.ones(len(self.sizes), dtype=np.int64), self.ids.copy(), self.joins.copy()
+        if blobs:
+            known = np.concatenate([np.frombuffer(b, dtype=CLASS) for b in blobs])
+            known = known[np.lexsort((known["d1"], known["d0"]))]
+            number = {x: i for i, x in enumerate(zip(known["d0"].tolist(), known["d1"].tolist()))}
+            at = np.array([number.get(x, -1) for x in zip(*self.digest.T.tolist())], dtype=np.int64)
+            of = np.flatnonzero((at >= 0) & self.joins)
+            self.n[of], self.lead[of], here[of] = (known[c][at[of]] for c in ("n", "lead", "here"))
+            # the first of the rows that have the smallest id
+            first = here & (self.lead == self.ids)
+            again = np.zeros(len(first), dtype=bool)
+            again[of] = True
+            again[of[np.unique(np.where(first[of], at[of], len(known) + np.arange(len(of))), return_index=True)[1]]] = False
+            here = first & ~again
+        #: documents that stand for their class
+        self.leads = np.flatnonzero(here)
+
+    def of(self, i: int) -> np.ndarray:
+        return self.grams[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+
+SEEN = "kind int, bucket int, chunk long, keys binary, ids binary, counts binary"
+GRAM, SET = 0, 1
+
+
+def look(chunks: DataFrame, n: int, n_buckets: int) -> DataFrame:
+    """What chunks have, by buckets: grams that three documents or more of a chunk have, and digests of sets with their
+    smallest doc_id and number of rows."""
+
+    def send(chunk: Chunk, row: dict) -> Iterator[dict]:
+        sets = ChunkSets(chunk, n)
+        keys, n_docs = np.unique(sets.grams, return_counts=True)
         keys, n_docs = keys[n_docs > 2], n_docs[n_docs > 2]
         edges = bucket_edges(keys, n_buckets)
         for b in np.flatnonzero(np.diff(edges)):
             s = slice(edges[b], edges[b + 1])
-            yield {"bucket": int(b), "keys": keys[s].tobytes(), "counts": n_docs[s].astype("<i8").tobytes()}
+            yield {"kind": GRAM, "bucket": int(b), "chunk": chunk.id, "keys": keys[s].tobytes(), "ids": None, "counts": n_docs[s].astype("<i8").tobytes()}
+        own = np.flatnonzero(sets.joins)
+        d = sets.digest[own]
+        order = np.lexsort((sets.ids[own], d[:, 1], d[:, 0]))
+        d, ids = d[order], sets.ids[own][order]
+        first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]).any(1)]) if len(d) else np.zeros(0, dtype=np.int64)
+        n_rows = np.diff(np.r_[first, len(d)])
+        bucket = bucket_of(d[first, 0], n_buckets)  # ascending, as digests are
+        edges = class_starts(bucket)
+        for a, e in zip(edges, np.r_[edges[1:], len(first)]):
+            yield {"kind": SET, "bucket": int(bucket[a]), "chunk": chunk.id, "keys": d[first[a:e]].tobytes(), "ids": ids[first[a:e]].tobytes(), "counts": n_rows[a:e].astype("<i8").tobytes()}
+
+    return written(over(chunks, send, SEEN), "seen")
+
+
+def frequent_grams(seen: DataFrame, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams that most documents have, ascending, with their places in the order of frequency (from 1, rare ones
+    first): at most `most`, each in `least` documents or more.
+
+    Documents are counted where a chunk has a gram three times or more, which is enough to find grams that many have.
+    Which grams are found only decides what work the join does, never its result.
+    """
 
     def total(t: pa.Table) -> pa.Table:
         keys, counts = np.concatenate([as_array(x, "<u8") for x in t["keys"].to_pylist()]), np.concatenate([as_array(x, "<i8") for x in t["counts"].to_pylist()])
@@ -100,9 +171,35 @@ def frequent_grams(chunks: DataFrame, n: int, n_buckets: int, least: int, most:
         keep = n_docs >= least
         return pa.table({"gram": pa.array(keys[order][first][keep].view(np.int64)), "n_docs": pa.array(n_docs[keep])})
 
-    found = over(chunks, count, "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(total, "gram long, n_docs long")
-    rows = found.orderBy(F.desc("n_docs"), "gram").limit(most).collect()
-    return np.sort(np.array([r["gram"] for r in rows], dtype=np.int64).view(np.uint64))
+    found = seen.where(F.col("kind") == GRAM).groupBy("bucket").applyInArrow(total, "gram long, n_docs long")
+    rows = found.orderBy(F.desc("n_docs"), "gram").limit(most).toArrow()
+    grams = rows["gram"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], (len(grams) - np.arange(len(grams)))[order]
+
+
+def classes(seen: DataFrame) -> DataFrame:
+    """(chunk, classes): of the sets of each chunk that several rows have, the first document and the number of rows."""
+
+    def total(t: pa.Table) -> pa.Table:
+        keys = [as_array(x, "<u8").reshape(-1, 2) for x in t["keys"].to_pylist()]
+        chunk = np.repeat(t["chunk"].to_numpy(), [len(x) for x in keys])
+        d, ids, n = np.concatenate(keys), *(np.concatenate([as_array(x, "<i8") for x in t[c].to_pylist()]) for c in ("ids", "counts"))
+        order = np.lexsort((chunk, ids, d[:, 1], d[:, 0]))
+        d, ids, n, chunk = d[order], ids[order], n[order], chunk[order]
+        first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]).any(1)])
+        size = np.diff(np.r_[first, len(d)])
+        out = np.zeros(len(d), dtype=CLASS)
+        out["d0"], out["d1"], out["lead"], out["n"] = d[:, 0], d[:, 1], np.repeat(ids[first], size), np.repeat(np.add.reduceat(n, first), size)
+        out["here"][first] = True
+        several = out["n"] > 1
+        out, chunk = out[several], chunk[several]
+        order = np.argsort(chunk, kind="stable")
+        out, chunk = out[order], chunk[order]
+        edges = class_starts(chunk)
+        return pa.table({"chunk": pa.array(chunk[edges], pa.int64()), "classes": pa.array([out[a:e].tobytes() for a, e in zip(edges, np.r_[edges[1:], len(chunk)])], pa.binary())})
+
+    return seen.where(F.col("kind") == SET).groupBy("bucket").applyInArrow(total, "chunk long, classes binary")
 
 
 def spare_parts(low: np.ndarray, differ: np.ndarray) -> np.ndarray:
@@ -115,42 +212,48 @@ def spare_parts(low: np.ndarray, differ: np.ndarray) -> np.ndarray:
     return spare
 
 
-def signatures(grams: np.ndarray, kept: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of a part, document) of all parts of the sets, for both pairs of classes that a set belongs to.
+def signatures(grams: np.ndarray, rare: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of a part, set) of all parts of the sets, for both pairs of classes that a set belongs to.
 
-    grams: those of the sets that are not frequent, ascending in each document, kept of them; sizes: of the whole sets.
+    grams: those of the sets, ascending in each; rare: which of them are not frequent; sizes: of the sets.
     """
     edges = size_classes(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(edges, sizes, side="right") - 1
-    doc = np.repeat(np.arange(len(sizes)), kept)
-    spread = mix(grams + np.uint64(0x5851F42D4C957F2D))
-    out_keys, out_docs = [], []
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    found = []
     for pair in (own - 1, own):  # pair p: classes p and p + 1
         good = (sizes > 0) & (pair >= 0)
-        p = np.maximum(pair, 0)
-        differ = (edges[p + 1] - 1) * (100 - percent) // percent  # of the largest set of class p and the largest that links with it
-        spare = spare_parts(edges[p], differ)
-        parts = np.where(good, differ + 1 + spare, 0)
-        first = np.cumsum(parts) - parts
-        # grams ascend, so the parts of a document follow each other
-        part = ((grams >> np.uint64(32)) * parts[doc].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        use = good[doc]
-        slot = first[doc][use] + part[use]
-        begins = class_starts(slot)
-        total = int(parts.sum())
-        sums, counts = np.zeros(total, dtype=np.uint64), np.zeros(total, dtype=np.uint64)
-        if len(begins):
-            sums[slot[begins]] = np.add.reduceat(spread[use], begins)
-            counts[slot[begins]] = np.diff(np.r_[begins, len(slot)])
-        of = np.repeat(np.arange(len(sizes)), parts)
-        place = np.arange(total) - first[of]
-        empty = np.bincount(of[counts == 0], minlength=len(sizes))
-        # linked sets agree in spare + 1 parts: in a full one, unless more than spare are empty
-        send = (counts > 0) | (empty > spare)[of]
-        tag = mix((pair[of].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) * np.uint64(2) + np.uint64(1))
-        out_keys.append(mix(sums + counts * np.uint64(0x2545F4914F6CDD1D) ^ tag)[send])
-        out_docs.append(of[send])
-    return np.concatenate(out_keys), np.concatenate(out_docs)
+        keys, of, poor = part_keys(grams[rare], doc[rare], pair, good, edges, percent, False)
+        found += [(keys, of), part_keys(grams, doc, pair, good & poor, edges, percent, True)[:2]]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def part_keys(grams, doc, pair, good, edges, percent: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of a part, set) of the sets that are good, and which have too few full parts to agree with all others in one.
+
+    whole: all grams are there, not the rare ones alone; then empty parts count where a set has too few full ones.
+    """
+    p = np.maximum(pair, 0)
+    differ = (edges[p + 1] - 1) * (100 - percent) // percent  # of the largest set of class p and the largest that links with it
+    spare = spare_parts(edges[p], differ)
+    parts = np.where(good, differ + 1 + spare, 0)
+    first = np.cumsum(parts) - parts
+    use = good[doc]
+    grams, doc = grams[use], doc[use]
+    # grams ascend, so the parts of a document follow each other
+    slot = first[doc] + ((grams >> np.uint64(32)) * parts[doc].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+    begins = class_starts(slot)
+    total = int(parts.sum())
+    sums, counts = np.zeros(total, dtype=np.uint64), np.zeros(total, dtype=np.uint64)
+    if len(begins):
+        sums[slot[begins]] = np.add.reduceat(mix(grams + np.uint64(0x5851F42D4C957F2D)), begins)
+        counts[slot[begins]] = np.diff(np.r_[begins, len(slot)])
+    of = np.repeat(np.arange(len(parts)), parts)
+    # linked sets agree in spare + 1 parts: in a full one, unless both have more than spare empty ones
+    poor = np.bincount(of[counts == 0], minlength=len(parts)) > spare
+    send = (counts > 0) | (whole & poor)[of] if whole else counts > 0
+    tag = mix((pair[of].astype(np.uint64) << np.uint64(32)) + (np.arange(total) - first[of]).astype(np.uint64) * np.uint64(4) + np.uint64(1 + 2 * whole))
+    return mix(sums + counts * np.uint64(0x2545F4914F6CDD1D) ^ tag)[send], of[send], poor & good
 
 
 # ------------------------------------------------------------------------------------------------------- the tree join
@@ -169,12 +272,15 @@ class Node:
         self.sets: list[int] = []
 
 
-def rare_first(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """The sets with their grams numbered in order of frequency, so that what few sets have comes first."""
+def in_order(sets: list[np.ndarray], frequent: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """The sets with their grams numbered in the global order: those that are not frequent first, by their hashes."""
     sizes = [len(s) for s in sets]
-    grams, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    grams, number = np.unique(np.concatenate(sets), return_inverse=True)
+    late = np.zeros(len(grams), dtype=np.int64)
+    known = member(grams, frequent)
+    late[known] = place[np.searchsorted(frequent, grams[known])]
     rank = np.empty(len(grams), dtype=np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(grams))
+    rank[np.argsort(late, kind="stable")] = np.arange(len(grams))
     return [np.sort(x) for x in np.split(rank[number], np.cumsum(sizes)[:-1])]
 
 
@@ -272,109 +378,73 @@ def tree_join(left: list[int], right: list[int], sets: list[np.ndarray], percent
 
 
 class Links:
-    """How many documents each document links with, and links that connect all that are connected.
-
-    Documents with the same sets are one class; a document has several sets if rows share its doc_id.  own: the sets of a
-    document, ascending; side: 0 or 1.  Links of sides 0 and 1 count; if all are on side 0, those among them.
-    """
+    """How many rows each set links with, and links that connect all that are connected.  ids: the sets' documents."""
 
-    def __init__(self, doc_ids: list[int], own: list[tuple[int, ...]], side: list[int], n_sets: int) -> None:
-        self.within = not any(side)
-        number: dict[tuple, int] = {}
-        self.of = np.array([number.setdefault(x, len(number)) for x in zip(side, own)])
-        self.n = np.bincount(self.of, minlength=len(number))
-        self.ids, self.edges = np.array(doc_ids), []
-        self.first = np.full(len(number), -1)
-        self.first[self.of[::-1]] = np.arange(len(self.of))[::-1]
-        self.label = np.arange(len(number))
-        self.links = self.n - 1 if self.within else np.zeros(len(number), dtype=np.int64)
-        if self.within:
-            self.edges += [(i, f) for i, f in enumerate(self.first[self.of].tolist()) if i != f]
-        # the class that has a set and no other; those that have it and others
-        self.alone = np.full((2, n_sets), -1)
-        self.mixed: list[dict[int, list[int]]] = [{}, {}]
-        for (s, sets), c in number.items():
-            if len(sets) == 1:
-                self.alone[s, sets[0]] = c
-            else:
-                for x in sets:
-                    self.mixed[s].setdefault(x, []).append(c)
-        if self.within:
-            self.alone[1], self.mixed[1] = self.alone[0], self.mixed[0]
-        self.seen: set[tuple[int, int]] = set()
-        for x in range(n_sets):  # equal sets are linked
-            self.add(np.array([x]), x)
+    def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        self.ids, self.rows, self.links = ids, rows, np.zeros(len(ids), dtype=np.int64)
+        self.label, self.edges = np.arange(len(ids)), []
 
     def add(self, left: np.ndarray, right: int) -> None:
-        """The sets left of side 0 link with the set right of side 1."""
-        a, b = self.alone[0, left], int(self.alone[1, right])
-        a = a[(a >= 0) & (a != b)]
-        if b >= 0 and len(a):
-            self.links[a] += self.n[b]
-            self.links[b] += self.n[a].sum()
-            apart = a[self.label[a] != self.label[b]]
-            for x in apart[np.unique(self.label[apart], return_index=True)[1]].tolist():
-                self.connect(x, b)
-        others = self.mixed[1].get(right, [])
-        if others or self.mixed[0]:
-            for x in left.tolist():
-                mixed = self.mixed[0].get(x, [])
-                one = [int(c) for c in (self.alone[0, x],) if c >= 0]
-                for c, d in [(c, d) for c in mixed + one for d in others] + [(c, b) for c in mixed if b >= 0]:
-                    pair = (min(c, d), max(c, d))
-                    if c != d and pair not in self.seen:
-                        self.seen.add(pair)
-                        self.links[c] += self.n[d]
-                        self.links[d] += self.n[c]
-                        self.connect(c, d)
-
-    def connect(self, c: int, d: int) -> None:
-        if self.label[c] != self.label[d]:
-            self.edges.append((int(self.first[c]), int(self.first[d])))
-            self.label[self.label == self.label[c]] = self.label[d]
-
-    def rows(self) -> pa.Table:
-        """Edges (a, b), and a's number of links n."""
-        a, b, n = [self.ids[i] for i, _ in self.edges], [self.ids[j] for _, j in self.edges], self.links[self.of]
-        some = n > 0
-        return pa.table({"a": pa.array(a + self.ids[some].tolist(), pa.int64()), "b": pa.array(b + [None] * int(some.sum()), pa.int64()), "n": pa.array([None] * len(a) + n[some].tolist(), pa.int64())})
-
-
-def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 2000, hot_grams: int = 50_000, hot_docs: int = 32) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles) of docs(doc_id, text), and links as a written table: (a, b) that connect all that links connect,
-    and (a, n) with the number of links of a, from one pair of blocks each."""
+        """The sets left link with the set right."""
+        self.links[left] += self.rows[right]
+        self.links[right] += self.rows[left].sum()
+        apart = left[self.label[left] != self.label[right]]
+        for x in apart[np.unique(self.label[apart], return_index=True)[1]].tolist():
+            self.edges.append((x, right))
+            self.label[self.label == self.label[x]] = self.label[right]
+
+    def table(self, digest: np.ndarray) -> pa.Table:
+        """Edges (a, b), and the number of links n of the sets with digests (d0, d1)."""
+        a, b = (self.ids[np.array([e[i] for e in self.edges], dtype=np.int64)].tolist() for i in (0, 1))
+        some = np.flatnonzero(self.links)
+        none, less = [None] * len(some), [None] * len(a)
+        cols = {"a": a + none, "b": b + none, "d0": less + digest[some, 0].tolist(), "d1": less + digest[some, 1].tolist(), "n": less + self.links[some].tolist()}
+        return pa.table({c: pa.array(x, pa.int64()) for c, x in cols.items()})
+
+
+LINKS = "a long, b long, d0 long, d1 long, n long"
+SETS = "doc_id long, n_shingles long, rows long, lead long, d0 long, d1 long, component long, p int, q int, block int, grams binary"
+
+
+def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 300, hot_grams: int = 200_000, hot_docs: int = 32) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, rows, lead, d0, d1) of docs(doc_id, text): how many rows have the set, their smallest doc_id (null
+    without a set or doc_id), and its digest; and links as a written table: (a, b) of documents that connect all that links
+    connect, and (d0, d1, n) with the number of rows of other sets that a set links with, from one pair of blocks each."""
     chunks = chunked(docs, chunk_bytes)
     n_buckets = buckets_for(chunks.count(), 4)
-    hot = chunks.sparkSession.sparkContext.broadcast(frequent_grams(chunks, n, n_buckets, hot_docs, hot_grams))  # 8 bytes each
+    seen = look(chunks, n, n_buckets)
+    hot = chunks.sparkSession.sparkContext.broadcast(frequent_grams(seen, hot_docs, hot_grams))  # 16 bytes each
+    with_classes = returned(chunks, (classes(seen), "classes"))
 
     def send(chunk: Chunk, row: dict) -> Iterator[dict]:
-        grams, sizes = sets_of(chunk, n)
-        rare = ~member(grams, hot.value)
-        kept = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[rare], minlength=len(sizes))
-        keys, of = signatures(grams[rare], kept, sizes, percent)
+        sets = ChunkSets(chunk, n, row["classes"])
+        leads = np.zeros(len(sets.sizes), dtype=bool)
+        leads[sets.leads] = True
+        grams = sets.grams[np.repeat(leads, sets.sizes)]
+        keys, of = signatures(grams, ~member(grams, hot.value[0]), sets.sizes[sets.leads], percent)
         order = np.argsort(keys, kind="stable")
-        keys, ids = keys[order], chunk.doc_ids[of[order]]
+        keys, nodes = keys[order], sets.digest[sets.leads[of[order]], 0]
         bucket = bucket_of(keys, n_buckets)
         edges = class_starts(bucket)
         for a, e in zip(edges, np.r_[edges[1:], len(keys)]):
-            yield {"bucket": int(bucket[a]), "chunk": chunk.id, "keys": keys[a:e].tobytes(), "ids": ids[a:e].tobytes()}
+            yield {"bucket": int(bucket[a]), "chunk": chunk.id, "keys": keys[a:e].tobytes(), "nodes": nodes[a:e].tobytes()}
 
     def meet(t: pa.Table) -> pa.Table:
-        """For each chunk its documents that agree with others in a part, each with the smallest of them."""
-        keys, ids = [as_array(x, "<u8") for x in t["keys"].to_pylist()], [as_array(x, "<i8") for x in t["ids"].to_pylist()]
+        """For each chunk its sets that agree with others in a part, each with the smallest of them; digests stand for sets."""
+        keys, nodes = [as_array(x, "<u8") for x in t["keys"].to_pylist()], [as_array(x, "<i8") for x in t["nodes"].to_pylist()]
         chunk = np.repeat(t["chunk"].to_numpy(), [len(x) for x in keys])
-        keys, ids = np.concatenate(keys), np.concatenate(ids)
-        order = np.lexsort((ids, keys))
-        keys, ids, chunk = keys[order], ids[order], chunk[order]
+        keys, nodes = np.concatenate(keys), np.concatenate(nodes)
+        order = np.lexsort((nodes, keys))
+        keys, nodes, chunk = keys[order], nodes[order], chunk[order]
         first = class_starts(keys)
         count = np.diff(np.r_[first, len(keys)])
-        several = np.repeat(np.maximum.reduceat(ids, first) != ids[first], count) if len(first) else np.zeros(0, dtype=bool)
-        chunk, a, b = different_rows(chunk[several], np.repeat(ids[first], count)[several], ids[several])
+        several = np.repeat(np.maximum.reduceat(nodes, first) != nodes[first], count) if len(first) else np.zeros(0, dtype=bool)
+        chunk, a, b = different_rows(chunk[several], np.repeat(nodes[first], count)[several], nodes[several])
         edges = class_starts(chunk)
         blobs = [zip_(np.column_stack([a[i:e], b[i:e]]).tobytes()) for i, e in zip(edges, np.r_[edges[1:], len(chunk)])]
         return pa.table({"chunk": pa.array(chunk[edges], pa.int64()), "pairs": pa.array(blobs, pa.binary())})
 
-    sent = over(chunks, send, "bucket int, chunk long, keys binary, ids binary")
+    sent = over(with_classes, send, "bucket int, chunk long, keys binary, nodes binary")
     met = sent.groupBy("bucket").applyInArrow(meet, "chunk long, pairs binary")
 
     def different(t: pa.Table) -> pa.Table:
@@ -386,73 +456,84 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
     agree = written(met.groupBy("chunk").applyInArrow(different, "chunk long, a long, b long"), "agreeing")
     groups = components(agree.select("a", "b"))
     # blocks by hash, so that none needs to be counted; every pair of blocks is a task
-    dealt = groups.join(groups.groupBy("component").agg(F.count("*").alias("_docs")), "component")
-    blocks = F.ceil(F.col("_docs") / block_docs).cast("int")
-    dealt = dealt.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    dealt = groups.join(groups.groupBy("component").agg(F.count("*").alias("_sets")), "component")
+    dealt = dealt.withColumn("_blocks", F.ceil(F.col("_sets") / block_docs).cast("int")).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least(o, F.col("_block")).alias("p"), F.greatest(o, F.col("_block")).alias("q")))
-    dealt = dealt.select(F.col("node").alias("b"), F.struct(F.col("node").alias("doc_id"), "component", "_block", pairs.alias("pairs")).alias("deal"))
+    dealt = dealt.select(F.col("node").alias("b"), F.struct("node", "component", "_block", pairs.alias("pairs")).alias("deal"))
     deals = agree.select("chunk", "b").distinct().join(dealt, "b").select("chunk", "deal")
 
     def give(chunk: Chunk, row: dict) -> Iterator[dict]:
-        """Sizes of all documents, and the sets of those that agree with others, a row for each task that they go to."""
-        grams, sizes = sets_of(chunk, n)
-        ends = np.cumsum(sizes)
-        deals = {d["doc_id"]: d for d in row["deal"] or ()}
-        for i, doc_id in enumerate(chunk.doc_ids.tolist()):
-            yield {"doc_id": doc_id, "n_shingles": int(sizes[i]), "component": None, "p": None, "q": None, "block": None, "grams": None}
-            if doc_id in deals and sizes[i]:
-                d = deals[doc_id]
+        """A row of each document, and the sets of those that agree with others, a row for each task that they go to."""
+        sets, ids = ChunkSets(chunk, n, row["classes"]), chunk.ids()
+        digest = sets.digest.view(np.int64)
+        deals = {d["node"]: d for d in row["deal"] or ()}
+        none = {"component": None, "p": None, "q": None, "block": None, "grams": None}
+        known = lambda i: {"rows": int(sets.n[i]), "lead": int(sets.lead[i]), "d0": int(digest[i, 0]), "d1": int(digest[i, 1])}
+        for i, doc_id in enumerate(ids):
+            yield none | {"doc_id": doc_id, "n_shingles": int(sets.sizes[i])} | (known(i) if sets.joins[i] else {"rows": None, "lead": None, "d0": None, "d1": None})
+        for i in sets.leads.tolist():
+            if d := deals.get(int(digest[i, 0])):
+                grams = sets.of(i).tobytes()
                 for pair in d["pairs"]:
-                    yield {"doc_id": doc_id, "n_shingles": None, "component": d["component"], "p": pair["p"], "q": pair["q"], "block": d["_block"], "grams": grams[ends[i] - sizes[i] : ends[i]].tobytes()}
+                    yield known(i) | {"doc_id": ids[i], "n_shingles": None, "component": d["component"], "p": pair["p"], "q": pair["q"], "block": d["_block"], "grams": grams}
 
-    sets = written(over(returned(chunks, (deals, "deal")), give, "doc_id long, n_shingles long, component long, p int, q int, block int, grams binary"), "sets")
+    sets = written(over(returned(with_classes, (deals, "deal")), give, SETS), "sets")
 
     def join(t: pa.Table) -> pa.Table:
-        blobs = t["grams"].to_pylist()
-        number = {x: i for i, x in enumerate(dict.fromkeys(blobs))}
-        own: dict[int, set[int]] = {}
-        block = dict(zip(t["doc_id"].to_pylist(), t["block"].to_pylist()))
-        for doc_id, x in zip(t["doc_id"].to_pylist(), blobs):
-            own.setdefault(doc_id, set()).add(number[x])
-        q = t["q"][0].as_py()
-        ids, within = sorted(own), t["p"][0].as_py() == q
-        side = [int(not within and block[i] == q) for i in ids]
-        links = Links(ids, [tuple(sorted(own[i])) for i in ids], side, len(number))
-        sets = rare_first([as_array(x, "<u8") for x in number])
-        left, right = (sorted({x for i, s in zip(ids, side) for x in own[i] if s == part}) for part in (0, int(not within)))
-        for found, y in tree_join(left, right, sets, percent, within):
-            links.add(found, y)
-        return links.rows()
-
-    links = sets.where("grams is not null").select("component", "p", "q", "block", "doc_id", "grams").groupBy("component", "p", "q").applyInArrow(join, "a long, b long, n long")
-    return sets.where("grams is null").select("doc_id", "n_shingles"), written(links, "links")
+        found = [as_array(x, "<u8") for x in t["grams"].to_pylist()]
+        p, q, block = t["p"][0].as_py(), t["q"][0].as_py(), t["block"].to_numpy()
+        links = Links(t["doc_id"].to_numpy(), t["rows"].to_numpy())
+        left, right = (np.flatnonzero(block == x).tolist() for x in (p, q))
+        for found_, y in tree_join(left, right, in_order(found, *hot.value), percent, p == q):
+            links.add(found_, y)
+        return links.table(np.column_stack([t["d0"].to_numpy(), t["d1"].to_numpy()]))
+
+    links = sets.where("grams is not null").select("component", "p", "q", "block", "doc_id", "rows", "d0", "d1", "grams").groupBy("component", "p", "q").applyInArrow(join, LINKS)
+    return sets.where("grams is null").select("doc_id", "n_shingles", "rows", "lead", "d0", "d1"), written(links, "links")
 
 
 def linked(docs: DataFrame, n: int = 3, percent: int = 90, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id) of docs(doc_id, text): all documents that links connect have the smallest
     doc_id among them as component_id."""
-    return with_components(*joined(docs, n, percent, **options))
+    return with_components(*joined(docs, n, percent, **options)).select("doc_id", "n_shingles", "component_id")
 
 
 def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links.where("b is not null").select("a", "b")).withColumnRenamed("node", "doc_id")
-    return rows.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    """rows with component_id."""
+    same = rows.where("lead <> doc_id").select(F.col("doc_id").alias("a"), F.col("lead").alias("b"))
+    found = components(links.where("b is not null").select("a", "b").unionByName(same)).withColumnRenamed("node", "doc_id")
+    return rows.join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id")).drop("component")
+
+
+#: Parts of the rows of one set, where their links are joined to them.
+SALTS = 32
 
 
 def counted_links(docs: DataFrame, n: int = 3, percent: int = 90, **options) -> DataFrame:
-    """linked() with n_links: with how many other documents each one links."""
+    """linked() with n_links: with how many other rows each one links."""
     rows, links = joined(docs, n, percent, **options)
-    counts = links.where("n is not null").groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("n_links"))
-    return with_components(rows, links).join(counts, "doc_id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    counts = links.where("n is not null").groupBy("d0", "d1").agg(F.sum("n").alias("_links"))
+    counts = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = with_components(rows, links).withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(counts, ["d0", "d1", "_salt"], "left")
+    n_links = F.coalesce("_links", F.lit(0).cast("long")) + F.coalesce(F.col("rows") - 1, F.lit(0).cast("long"))
+    return found.select("doc_id", "n_shingles", "component_id", n_links.alias("n_links"))
 
 
 def first_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, **options) -> DataFrame:
-    """docs without those that are linked, directly or through others, to one with a smaller doc_id."""
-    later = linked(docs.select("doc_id", "text"), n, percent, **options).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti")
+    """docs without those that are linked, directly or through others, to one with a smaller doc_id; of rows that are equal
+    in doc_id and text one stays.  Rows without doc_id stay."""
+    rows = with_components(*joined(docs.select("doc_id", "text"), n, percent, **options)).where("doc_id is not null")
+    found = rows.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")).where("first < doc_id or n > 1")
+    found = written(found, "later")
+    kept = docs.join(found.where("first < doc_id").select("doc_id"), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    again = found.where("first >= doc_id").select("doc_id")
+    if again.isEmpty():
+        return kept
+    # ids that several rows have: only of these are texts compared
+    several = kept.join(again, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns]).dropDuplicates(["doc_id", "text"])
+    return kept.join(again, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns]).unionByName(several)
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Distinct 3-word shingles, similarity of 0.9 or more."""
     return counted_links(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90)
-

@@ -51,16 +51,10 @@ def test_join_against_brute_force(spark, n, percent, options):
 
 
 def brute_links(data, n, percent):
-    sets = {}
-    for r in data:
-        sets.setdefault(r[0], set()).add(shingles(r[1], n))
-    likes = lambda a, b: any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b])
-    found = {i: 0 for i in sets}
-    for i, j in itertools.combinations(sets, 2):
-        if likes(i, j):
-            found[i] += 1
-            found[j] += 1
-    return found
+    """(doc_id, number of other rows that the row links with)."""
+    sets = [(r[0], shingles(r[1], n)) for r in data]
+    likes = lambda x, y: x and y and 100 * len(x & y) >= percent * len(x | y)
+    return sorted((i, sum(bool(likes(x, y)) for k, (j, y) in enumerate(sets) if k != at)) for at, (i, x) in enumerate(sets))
 
 
 def near_copies(m=40, size=60):
@@ -79,7 +73,7 @@ def near_copies(m=40, size=60):
 def test_join_counts_every_link(spark, options):
     for data, n, percent in ((near_copies(), 1, 90), (near_copies(), 3, 80), (rows(), 5, 80)):
         df = spark.createDataFrame([r[:2] for r in data], "doc_id long, text string")
-        got = {r.doc_id: r.n_links for r in jaccard_join.counted_links(df, n, percent, **options).collect()}
+        got = sorted((r.doc_id, r.n_links) for r in jaccard_join.counted_links(df, n, percent, **options).collect())
         assert got == brute_links(data, n, percent)
 
 
@@ -112,7 +106,41 @@ def test_first_of_each_group_keeps_rows(spark):
     out = jaccard_join.first_of_each_group(df, 5, 80)
     assert out.dtypes == df.dtypes
     keep = {i for i, _, c in brute_join(rows(), 5, 80) if i == c}
-    assert {r.doc_id for r in out.collect()} == keep
+    assert sorted(r.doc_id for r in out.collect()) == sorted(keep)  # the repeated row once
+
+
+def test_rows_without_ids_and_with_one_id(spark):
+    t = " ".join(f"w{i}" for i in range(40))
+    data = [(1, t), (2, t), (None, t), (None, t), (None, None), (3, t + " x"), (4, "other words"), (4, t + " y z"), (4, "other words"), (5, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.counted_links(df, 3, 90).collect()), key=str)
+    assert got == sorted([(1, 38, 1, 3), (2, 38, 1, 3), (0, 38, None, 0), (0, 38, None, 0), (0, 0, None, 0), (3, 39, 1, 3), (4, 1, 1, 1), (4, 40, 1, 3), (4, 1, 1, 1), (5, 0, 5, 0)], key=str)
+    kept = [tuple(r) for r in jaccard_join.first_of_each_group(df, 3, 90).collect()]
+    assert sorted(kept, key=str) == sorted([(1, t), (None, t), (None, t), (None, None), (5, "")], key=str)
+    twice = spark.createDataFrame([(7, t), (7, t), (7, "a b c d"), (8, "q r s"), (8, "q r s")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard_join.first_of_each_group(twice, 3, 90).collect()) == [(7, "a b c d"), (7, t), (8, "q r s")]
+
+
+def test_long_words_with_equal_patterns_differ(spark):
+    """Strings that collide under any polynomial hash modulo a power of two."""
+    flip = str.maketrans("ab", "ba")
+    thue = "a"
+    while len(thue) < 2048:
+        thue += thue.translate(flip)
+    data = [(1, thue[:1024]), (2, thue[:1024].translate(flip)), (3, thue), (4, thue.translate(flip)), (5, thue)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.linked(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
+
+
+def test_documents_of_frequent_grams_meet_by_whole_sets():
+    """Sets without rare grams agree in parts of all their grams, and not with any other such set."""
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.integers(0, 2**64, 300, dtype=np.uint64)) for _ in range(30)]
+    sets += [np.unique(np.r_[s[:295], rng.integers(0, 2**64, 5, dtype=np.uint64)]) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    keys, of = jaccard_join.signatures(np.concatenate(sets), np.zeros(sizes.sum(), dtype=bool), sizes, 90)
+    met = {(a % 30, b % 30) for k in np.unique(keys) for a, b in itertools.combinations(sorted(set(of[keys == k].tolist())), 2)}
+    assert met == {(i, i) for i in range(30)}
 
 
 def test_join_of_nothing(spark):
