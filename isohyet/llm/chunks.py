@@ -202,15 +202,36 @@ def gram_hashes(units: np.ndarray, k: int) -> np.ndarray:
     n = max(0, len(units) - k + 1)
     out = np.empty(n, dtype=np.uint64)
     for i in range(0, n, SLICE):
-        out[i : i + SLICE] = _doubled(units[i : i + SLICE + k - 1], k, combined)
+        out[i : i + SLICE] = doubled(units[i : i + SLICE + k - 1], k)
     return out
 
 
-def gram_classes(ids: np.ndarray, k: int) -> np.ndarray:
-    """Number of each k ids that follow each other, equal just where they are equal (naming of pairs of names)."""
-    if len(ids) < k:
-        return np.zeros(0, dtype=np.int64)
-    return _doubled(ids, k, pair_classes)
+def run_classes(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for the `length` ids at each place, equal just where all of these are, and the first place of each number.
+
+    hashes: gram_hashes at the places, which tell what to compare.  places ascend; where the place before, one back, is
+    compared with the place before, one back, the last of the ids decides.
+    """
+    if not len(places):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    order = np.argsort(hashes)
+    begins = np.flatnonzero(np.r_[True, hashes[order][1:] != hashes[order][:-1]])
+    first = np.minimum.reduceat(order, begins)
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(order)]))
+    to = places[first[number]]
+    other = places != to
+    follows = np.r_[False, other[1:] & (places[1:] == places[:-1] + 1) & (to[1:] == to[:-1] + 1)]
+    a, b = places[follows] + length - 1, to[follows] + length - 1
+    equal = bool((ids[a] == ids[b]).all())
+    a, b = places[other & ~follows], to[other & ~follows]
+    for i in range(length):
+        equal = equal and bool((ids[a + i] == ids[b + i]).all())
+    if not equal:  # two have one hash
+        known: dict[bytes, int] = {}
+        number = np.array([known.setdefault(ids[p : p + length].tobytes(), len(known)) for p in places])
+        first = np.unique(number, return_index=True)[1]
+    return number, first
 
 
 def pair_classes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,13 +239,13 @@ def pair_classes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return pd.factorize(a * (int(b.max(initial=0)) + 1) + b)[0]
 
 
-def _doubled(units: np.ndarray, k: int, pair) -> np.ndarray:
+def doubled(units: np.ndarray, k: int) -> np.ndarray:
     out, have = units, 1
     for bit in bin(k)[3:]:
-        out = pair(out[:-have], out[have:])
+        out = combined(out[:-have], out[have:])
         have *= 2
         if bit == "1":
-            out = pair(out[: len(units) - have], units[have:])
+            out = combined(out[: len(units) - have], units[have:])
             have += 1
     return out
 

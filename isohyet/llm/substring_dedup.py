@@ -7,8 +7,7 @@ places match in a window of min_words words around the seed if they are still to
 after those on the right.  The document with the smallest id of such a class keeps the window.  Windows of neighbouring
 seeds overlap, and what they cover together is a maximal repeat: all its words go in the other documents.
 
-All joins run over chunks of documents (see chunks).  Within a chunk, equal windows are told apart by numbering pairs of
-words, then pairs of pairs.  A chunk sends each different surrounding of a seed once, with its smallest document, so nothing
+All joins run over chunks of documents (see chunks).  A chunk sends each different surrounding of a seed once, with its smallest document, so nothing
 is paired within a group, and a passage that a third of all documents share costs an entry a chunk.  A seed that has over
 hot_rows of them is lengthened to whole windows, which go to buckets of their own.  Hashes only decide which bucket
 compares what; that words are equal is always decided by the words.
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .chunks import Chunk, as_array, bucket_of, buckets_for, chunked, gram_classes, gram_hashes, joined, member, numbered, over, pair_classes, returned, spaced, unzip, word_spans, words_of, zip_
+from .chunks import Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, joined, member, numbered, over, pair_classes, returned, run_classes, spaced, unzip, word_spans, words_of, zip_
 from .common import table
 from .winnowing import Anchors, class_starts, covered, repeated_anchors, runs_of, winnow
 
@@ -56,7 +55,8 @@ class Seeds:
         self.found = winnow(self.units, self.doc, length, k)
         self.found = self.found.where(member(self.found.key, repeated))
         self.windows = self.found.windows()
-        self.classes = gram_classes(self.words.ids, length)[self.windows] if len(self.windows) else self.windows
+        self.hashes = gram_hashes(self.units, length)[self.windows] if len(self.windows) else np.zeros(0, dtype=np.uint64)
+        self.classes, _ = run_classes(self.words.ids, self.windows, self.hashes, length)
         self.first = np.cumsum(self.found.n) - self.found.n
 
     def surroundings(self, length: int, hot: np.ndarray) -> Anchors:
@@ -70,8 +70,7 @@ class Seeds:
         single = np.flatnonzero(np.repeat(~whole, n))
         single = single[first_of(self.classes[single])]
         place = self.windows[single]
-        hashes = gram_hashes(self.units, length)[place] if len(place) else np.zeros(0, np.uint64)
-        parts = (key[keep], hashes), (start[keep], place), (n[keep], np.ones_like(place)), (at[keep], place)
+        parts = (key[keep], self.hashes[single]), (start[keep], place), (n[keep], np.ones_like(place)), (at[keep], place)
         return Anchors(*map(np.concatenate, parts))
 
 

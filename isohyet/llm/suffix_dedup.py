@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import MIXED, Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, joined, member, over, pair_classes, returned, unzip, zip_
+from .chunks import MIXED, Chunk, as_array, bucket_of, buckets_for, chunked, gram_hashes, joined, member, over, returned, run_classes, unzip, zip_
 from .common import table
-from .substring_dedup import first_of, parts_by_key
+from .substring_dedup import parts_by_key
 from .suffix_arrays import common_prefixes, eight_bytes, search, suffix_array
 from .winnowing import class_starts, covered, repeated_anchors, runs_of, winnow
 
@@ -43,67 +43,46 @@ def prepared(chunk: Chunk):
     return MIXED[chunk.text], np.repeat(np.arange(len(chunk.sizes), dtype=np.int32), chunk.sizes)
 
 
-class Strings:
-    """Places of a chunk that repeated anchors own, and the class of the string at each."""
-
-    def __init__(self, chunk: Chunk, repeated: np.ndarray, length: int, k: int) -> None:
-        units, self.doc = prepared(chunk)
-        found = winnow(units, self.doc, length, k)
-        self.found = found.where(member(found.key, repeated))
-        self.places = self.found.windows()
-        self.hashes = gram_hashes(units, length)[self.places] if len(self.places) else np.zeros(0, dtype=np.uint64)
-        self.classes = string_classes(chunk.text, self.places, self.hashes, length)
-        self.first = np.cumsum(self.found.n) - self.found.n
-        self.doc_first = np.cumsum(chunk.sizes) - chunk.sizes
-        self.ids = chunk.doc_ids
-        self.in_order = bool((self.ids[1:] != self.ids[:-1]).all())
-
-    def first_of(self, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Index of the first place of each number."""
-        if self.in_order:
-            return first_of(numbers)
-        own = self.doc[places]
-        order = np.lexsort((places - self.doc_first[own], self.ids[own], numbers))
-        return order[class_starts(numbers[order])]
-
-
-def string_classes(text: np.ndarray, places: np.ndarray, hashes: np.ndarray, length: int) -> np.ndarray:
-    """A number for the string at each place, equal just where all bytes are; hashes tell which to compare."""
-    order = np.argsort(hashes, kind="stable")
-    begins = class_starts(hashes[order])
-    size = np.diff(np.r_[begins, len(order)])
-    number = np.empty(len(order), dtype=np.int64)
-    number[order] = np.repeat(np.arange(len(begins)), size)
-    several = np.repeat(size > 1, size)
-    at, lead = places[order[several]], places[np.repeat(order[begins], size)[several]]
-    bad = np.zeros(len(at), dtype=bool)
-    if len(at):
-        words = np.ndarray((len(text) - 7,), dtype="<u8", buffer=text, strides=(1,))
-        for i in [*range(0, length - 7, 8), length - 8]:
-            bad |= words[at + i] != words[lead + i]
-    if bad.any():
-        known: dict[tuple[int, bytes], int] = {}
-        for i in np.flatnonzero(np.isin(number, number[order[several]][bad])).tolist():
-            number[i] = known.setdefault((int(number[i]), text[places[i] : places[i] + length].tobytes()), len(begins) + len(known))
-        number = np.unique(number, return_inverse=True)[1]
-    return number
-
-
-def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, gone=None, in_order: bool = False) -> np.ndarray:
-    """Which items come after the first place of their group; all of a group of whose first item gone(item) holds.
-
-    in_order: the items of a group come in the order of their places.
+def segments(chunk: Chunk, row: dict, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(key, start, number of strings, place of the anchor, bytes) of each different segment that repeated anchors own, in
+    its first document; hot anchors' segments are single strings."""
+    units, doc = prepared(chunk)
+    found = winnow(units, doc, length, k)
+    found = found.where(member(found.key, joined(row["repeated"])))
+    hot = member(found.key, joined(row["hot"]))
+    key, start, n, anchor = found.where(~hot)
+    if hot.any():
+        single = found.where(hot).windows()
+        more = gram_hashes(units, length)[single], single, np.ones_like(single), single
+        key, start, n, anchor = (np.concatenate(x) for x in zip((key, start, n, anchor), more))
+    if not in_order(chunk):
+        own = doc[start]
+        by = np.lexsort((anchor - (np.cumsum(chunk.sizes) - chunk.sizes)[own], chunk.doc_ids[own]))
+        key, start, n, anchor = key[by], start[by], n[by], anchor[by]
+    data, first = chunk.text.tobytes(), {}
+    for i, (a, e) in enumerate(zip(start.tolist(), (start + n + length - 1).tolist())):
+        first.setdefault(data[a:e], i)
+    keep = np.fromiter(first.values(), dtype=np.int64, count=len(first))
+    return key[keep], start[keep], n[keep], anchor[keep], list(first)
+
+
+def in_order(chunk: Chunk) -> bool:
+    """No two documents share an id."""
+    return bool((chunk.doc_ids[1:] != chunk.doc_ids[:-1]).all())
+
+
+def later_places(group: np.ndarray, ids: np.ndarray, starts: np.ndarray, ordered: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The first item of each group, and which items come after the first place of theirs.
+
+    ordered: the items of a group come in the order of their places.
     """
-    order = np.argsort(group, kind="stable") if in_order else np.lexsort((starts, ids, group))
+    order = np.argsort(group, kind="stable") if ordered else np.lexsort((starts, ids, group))
     first = class_starts(group[order])
     n = np.diff(np.r_[first, len(order)])
     lead = order[first]
-    out = (ids[order] != np.repeat(ids[lead], n)) | (starts[order] != np.repeat(starts[lead], n))
-    if gone is not None:
-        out |= np.repeat(gone(lead), n)
     later = np.empty(len(order), dtype=bool)
-    later[order] = out
-    return later
+    later[order] = (ids[order] != np.repeat(ids[lead], n)) | (starts[order] != np.repeat(starts[lead], n))
+    return lead, later
 
 
 def parts_of(sizes: np.ndarray, most: int) -> Iterator[slice]:
@@ -153,7 +132,7 @@ def later_strings(segments: list[bytes], ids: np.ndarray, starts: np.ndarray, le
         number[seen] = moved[number[seen]]
         number[own] = target[own_class]
         merged, seen = both, np.concatenate([seen, own])
-    later = later_places(number[places], np.repeat(ids, n), np.repeat(starts, n) + within, in_order=True)
+    later = later_places(number[places], np.repeat(ids, n), np.repeat(starts, n) + within, ordered=True)[1]
     return np.split(later, np.cumsum(n)[:-1])
 
 
@@ -165,34 +144,18 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
     anchors = repeated_anchors(chunks, n_chunks, prepared, length, anchor_bytes, False, hot_rows)
 
     def send(chunk: Chunk, row: dict) -> Iterator[dict]:
-        """The first of each different segment of the chunk."""
         if not row["repeated"]:
             return
-        s = Strings(chunk, joined(row["repeated"]), length, anchor_bytes)
-        if not len(s.places):
-            return
-        key, start, n, anchor = s.found
-        whole = ~member(key, joined(row["hot"]))
-        # two strings, at the ends, cover a segment
-        same = pair_classes(pair_classes(s.classes[s.first], s.classes[s.first + n - 1]), n)[whole]
-        keep = np.flatnonzero(whole)[s.first_of(same, start[whole])]
-        single = np.flatnonzero(np.repeat(~whole, n))
-        single = single[s.first_of(s.classes[single], s.places[single])]
-        single_at = s.places[single]
-        key, start, n, anchor = (np.concatenate(x) for x in ((key[keep], s.hashes[single]), (start[keep], single_at), (n[keep], np.ones_like(single)), (anchor[keep], single_at)))
-        data = chunk.text.tobytes()
-        for bucket, k in dealt(np.arange(len(key)), key):
-            at, sizes, own = start[k], n[k] + length - 1, s.doc[start[k]]
-            text = zip_(b"".join([data[x : x + y] for x, y in zip(at.tolist(), sizes.tolist())]))
-            yield {"bucket": bucket, "chunk": chunk.id, "keys": key[k].tobytes(), "ids": chunk.doc_ids[own].tobytes(), "starts": (at - s.doc_first[own]).tobytes(), "anchors": (anchor[k] - s.doc_first[own]).tobytes(), "places": at.tobytes(), "sizes": sizes.astype("<i4").tobytes(), "bytes": text}
-
-    def dealt(which: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        bucket = bucket_of(key[which], n_buckets)
-        which = which[np.argsort(bucket, kind="stable")]
-        bucket = np.sort(bucket)
-        edges = class_starts(bucket)
-        for a, e in zip(edges, np.r_[edges[1:], len(which)]):
-            yield int(bucket[a]), which[a:e]
+        key, start, n, anchor, texts = segments(chunk, row, length, anchor_bytes)
+        doc = np.searchsorted(np.cumsum(chunk.sizes), start, side="right")
+        begin = (np.cumsum(chunk.sizes) - chunk.sizes)[doc]
+        bucket = bucket_of(key, n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        edges = class_starts(bucket[order])
+        for a, e in zip(edges, np.r_[edges[1:], len(order)]):
+            k = order[a:e]
+            text = zip_(b"".join([texts[i] for i in k.tolist()]))
+            yield {"bucket": int(bucket[k[0]]), "chunk": chunk.id, "keys": key[k].tobytes(), "ids": chunk.doc_ids[doc[k]].tobytes(), "starts": (start - begin)[k].tobytes(), "anchors": (anchor - begin)[k].tobytes(), "places": start[k].tobytes(), "sizes": (n[k] + length - 1).astype("<i4").tobytes(), "bytes": text}
 
     def resolve(t: pa.Table) -> pa.Table:
         out = sorted_strings(t)
@@ -207,7 +170,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
         segments = [data[a:e] for a, e in zip((ends - sizes).tolist(), ends.tolist())]
         number: dict[bytes, int] = {}
         same = np.array([number.setdefault(s, len(number)) for s in segments])
-        whole = later_places(same, ids, starts)  # an equal segment stands earlier
+        whole = later_places(same, ids, starts)[1]  # an equal segment stands earlier
         order = np.lexsort((starts, ids, same))
         leads = order[class_starts(same[order])]
         # an anchor with one segment is settled; strings of several have to be sorted
@@ -238,18 +201,26 @@ def remove_repeats(docs: DataFrame, length: int = 100, anchor_bytes: int = 32, *
     def clean(chunk: Chunk, row: dict) -> Iterator[dict]:
         drop = np.zeros(len(chunk.text), dtype=bool)
         if row["repeated"]:
-            s = Strings(chunk, joined(row["repeated"]), length, anchor_bytes)
-            if len(s.places):
-                own = s.doc[s.places]
-                elsewhere = None
-                if row["gone"]:
-                    told = np.concatenate([as_array(x, "<i8").reshape(-1, 2) for x in row["gone"]])
-                    begin, n = told[:, 0], told[:, 1]
-                    told = np.sort(np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum())))
-                    # if the chunk's first place of a string is not the corpus', the string goes all over the chunk
-                    elsewhere = lambda lead: member(s.places[lead], told)
-                later = later_places(s.classes, s.ids[own], s.places - s.doc_first[own], elsewhere, in_order=s.in_order)
-                drop = covered(len(drop), s.places[later], length)
+            units, doc = prepared(chunk)
+            found = winnow(units, doc, length, anchor_bytes)
+            places = found.where(member(found.key, joined(row["repeated"]))).windows()
+            hashes = gram_hashes(units, length)[places] if len(places) else np.zeros(0, dtype=np.uint64)
+            number, first = run_classes(chunk.text, places, hashes, length)
+            if in_order(chunk):
+                later = np.ones(len(places), dtype=bool)
+                later[first] = False
+            else:
+                own, doc_first = doc[places], np.cumsum(chunk.sizes) - chunk.sizes
+                first, later = later_places(number, chunk.doc_ids[own], places - doc_first[own])
+            if row["gone"]:
+                told = np.concatenate([as_array(x, "<i8").reshape(-1, 2) for x in row["gone"]])
+                begin, n = told[:, 0], told[:, 1]
+                told = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                # if the chunk's first place of a string is not the corpus', the string goes all over the chunk
+                is_told = np.zeros(len(drop), dtype=bool)
+                is_told[told] = True
+                later |= is_told[places[first]][number]
+            drop = covered(len(drop), places[later], length)
         at = 0
         for i, doc_id in enumerate(chunk.ids()):
             own = slice(at, at + int(chunk.sizes[i]))

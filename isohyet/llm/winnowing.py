@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .chunks import SENT, Chunk, buckets_for, gram_hashes, over, repeated_keys, send_keys, sliding_minimum
+from .chunks import SENT, SLICE, Chunk, buckets_for, doubled, over, repeated_keys, send_keys, sliding_minimum
 from .common import mix, written
 
 
@@ -45,8 +45,12 @@ def winnow(units: np.ndarray, doc: np.ndarray, length: int, k: int) -> Anchors:
 
 def _run(units: np.ndarray, doc: np.ndarray, length: int, k: int, shift: int) -> Anchors:
     n = len(units) - length + 1
-    grams, low = gram_hashes(units, k), np.uint64((1 << (PLACES + 1)) - 1)
-    best = sliding_minimum((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - k + 1)
+    grams, best = np.empty(len(units) - k + 1, dtype=np.uint64), np.empty(n, dtype=np.uint64)
+    low = np.uint64((1 << (PLACES + 1)) - 1)
+    for i in range(0, n, SLICE):
+        some = doubled(units[i : i + SLICE + length - 1], k)
+        grams[i : i + len(some)] = some
+        best[i : i + SLICE] = sliding_minimum((some & ~low) | np.arange(i, i + len(some), dtype=np.uint64), length - k + 1)
     starts = np.flatnonzero(doc[:n] == doc[length - 1 :])
     at = (best[starts] & low).astype(np.int64)
     first = class_starts(at)

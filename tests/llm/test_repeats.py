@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from isohyet.llm import substring_dedup, suffix_dedup
-from isohyet.llm.chunks import gram_classes
+from isohyet.llm.chunks import gram_hashes, run_classes
 from isohyet.llm.suffix_arrays import common_prefixes, eight_bytes, search, suffix_array
 from isohyet.llm.winnowing import winnow
 
@@ -113,19 +113,22 @@ def test_strange_rows_against_brute_force(spark, chunk_bytes):
 
 def test_equal_hashes_do_not_make_strings_equal():
     text = np.frombuffer(b"abcdefghij" * 2 + b"0123456789" * 2, dtype=np.uint8)
-    got = suffix_dedup.string_classes(text, np.array([0, 10, 20, 30, 1, 11]), np.zeros(6, dtype=np.uint64), 9)
-    assert got[0] == got[1] != got[2] == got[3] and got[4] not in got[:4] and got[5] == got[4]
+    got, first = run_classes(text, np.array([0, 1, 10, 11, 20, 30]), np.zeros(6, dtype=np.uint64), 9)
+    assert got.tolist() == [0, 1, 0, 1, 2, 2] and first.tolist() == [0, 1, 4]
 
 
-def test_gram_classes_are_exact():
+def test_run_classes_are_exact():
     rng = np.random.default_rng(4)
     ids = rng.integers(0, 3, 4000)
+    ids[2000:3000] = ids[500:1500]
+    places = np.flatnonzero(rng.random(3980) < 0.8)
     for k in (1, 2, 7, 13):
-        got = gram_classes(ids, k)
         number = {}
-        assert len(got) == 4000 - k + 1
-        pairs = {(number.setdefault(tuple(ids[i : i + k]), len(number)), int(got[i])) for i in range(len(got))}
-        assert len(pairs) == len(number) == len(set(got.tolist()))
+        want = [number.setdefault(tuple(ids[p : p + k]), len(number)) for p in places]
+        units = np.array([7, 8, 9], dtype=np.uint64)[ids] * np.uint64(0x9E3779B97F4A7C15)
+        got, first = run_classes(ids, places, gram_hashes(units, k)[places], k)
+        assert len(set(zip(want, got.tolist()))) == len(number) == len(set(got.tolist()))
+        assert [int(np.flatnonzero(got == i)[0]) for i in range(len(first))] == first.tolist()
 
 
 def test_long_sequences_are_winnowed_in_runs(monkeypatch):
