@@ -17,7 +17,7 @@ The join stores the sets of a group in a prefix tree, grams in one global order
 documents), and runs all sets down it together: sets with a common prefix share the counting of their overlap, and a set
 leaves a subtree when what remains of both can't lift the overlap to what is needed.  Every link is found; a task adds up how
 many rows each set links with, so that their rows don't grow with the square of a group, and passes on those that connect.
-Groups are the components of agreeing parts; a group over block_docs sets is joined block by block, each pair of blocks in a
+Groups are the components of agreeing parts; a group of several block_docs sets is joined block by block, each pair of blocks in a
 task of its own.  Links form the components of the result.
 
 Null texts, and texts without words, have empty sets and link with nothing.  A text of fewer than n words is one n-gram.
@@ -406,7 +406,7 @@ LINKS = "a long, b long, d0 long, d1 long, n long"
 SETS = "doc_id long, n_shingles long, rows long, lead long, d0 long, d1 long, component long, p int, q int, block int, grams binary"
 
 
-def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 300, hot_grams: int = 200_000, hot_docs: int = 32) -> tuple[DataFrame, DataFrame]:
+def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int = 2 << 20, block_docs: int = 48, hot_grams: int = 200_000, hot_docs: int = 32) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, rows, lead, d0, d1) of docs(doc_id, text): how many rows have the set, their smallest doc_id (null
     without a set or doc_id), and its digest; and links as a written table: (a, b) of documents that connect all that links
     connect, and (d0, d1, n) with the number of rows of other sets that a set links with, from one pair of blocks each."""
@@ -455,9 +455,10 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
 
     agree = written(met.groupBy("chunk").applyInArrow(different, "chunk long, a long, b long"), "agreeing")
     groups = components(agree.select("a", "b"))
-    # blocks by hash, so that none needs to be counted; every pair of blocks is a task
+    # blocks by hash, so that none needs to be counted; every pair of blocks is a task.  Blocks grow with the root of their
+    # group, or else the sets of a large one would be sent too often
     dealt = groups.join(groups.groupBy("component").agg(F.count("*").alias("_sets")), "component")
-    dealt = dealt.withColumn("_blocks", F.ceil(F.col("_sets") / block_docs).cast("int")).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_blocks", F.ceil(F.col("_sets") / F.greatest(F.lit(block_docs), 2 * F.sqrt("_sets"))).cast("int")).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least(o, F.col("_block")).alias("p"), F.greatest(o, F.col("_block")).alias("q")))
     dealt = dealt.select(F.col("node").alias("b"), F.struct("node", "component", "_block", pairs.alias("pairs")).alias("deal"))
     deals = agree.select("chunk", "b").distinct().join(dealt, "b").select("chunk", "deal")
