@@ -23,6 +23,18 @@ def tasks(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names with as many underscores before them as set them apart from those that are taken."""
+    low = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        name = "_" + name
+        while name.lower() in low:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 

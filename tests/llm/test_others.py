@@ -36,19 +36,61 @@ def test_shards_are_exact_and_gapless(spark):
     assert sharding.shard_rows(nothing(spark), "doc_id").count() == 0
 
 
-def test_matrix_is_exact():
+def test_matrix_is_exact(monkeypatch):
     counts, cells = np.array([5, 0, 17, 8, 1]), np.array([7, 7, 7, 10])
-    m = np.array([sharding.matrix_row(p, counts, cells, 3) for p in range(5)])
+    left_of = sharding.running(counts)
+    rows_of = lambda: np.array([sharding.matrix_row(p, left_of, sharding.large_ranges(left_of, cells, [3]), [3]) for p in range(5)])
+    m = rows_of()
     assert (m.sum(1) == counts).all() and (m.sum(0) == cells).all()
+    monkeypatch.setattr(sharding, "NUMPY_LIMIT", 8)  # most of the tree is drawn by the driver, without numpy's draws
+    m = rows_of()
+    assert (m.sum(1) == counts).all() and (m.sum(0) == cells).all() and (m >= 0).all()
 
 
 def test_shuffle_is_uniform():
     """Expected counts of the matrix are those of a uniform permutation."""
     counts, cells = np.array([30, 50]), np.array([20, 60])
-    mean = np.mean([sharding.matrix_row(0, counts, cells, s)[0] for s in range(800)])
+    left_of = sharding.running(counts)
+    mean = np.mean([sharding.matrix_row(0, left_of, [(0, 2, cells)], [s])[0] for s in range(800)])
     assert abs(mean - 30 * 20 / 80) < 0.3
 
 
+def test_places_are_uniform(spark):
+    """Each row is about as often in each shard, and in each part of one, whatever its partition."""
+    df = spark.range(12).selectExpr("id as doc_id").coalesce(1)
+    seen = np.zeros((12, 12))
+    for seed in range(40):
+        for r in sharding.shard_rows(df, "doc_id", 2, seed=seed, partition_rows=3, cell_rows=2).collect():
+            seen[r.doc_id, 6 * r.shard + r.slot] += 1
+    chi = ((seen - 40 / 12) ** 2 / (40 / 12)).sum()  # 121 degrees of freedom
+    assert 70 < chi < 185
+
+
+def test_a_million_rows_of_one_id_are_spread(spark):
+    for df in (spark.range(200_000).selectExpr("5L as doc_id", "id as x"), spark.range(200_000).selectExpr("5L as doc_id")):
+        out = sharding.shard_rows(df.repartition(4), "doc_id", 3, partition_rows=10_000, cell_rows=5_000).groupBy("shard").agg({"slot": "max", "*": "count"}).collect()
+        assert sorted(r["count(1)"] for r in out) == [66_666, 66_667, 66_667] and all(r["max(slot)"] == r["count(1)"] - 1 for r in out)
+
+
+def test_sharding_minds_no_names(spark):
+    data = [(i, None if i % 3 else i, "x") for i in range(50)]
+    df = spark.createDataFrame(data, "_home int, _key int, _cell string").withColumns({"_at": packing.F.lit(1), "_Group": packing.F.lit(2), "shard": packing.F.lit("old"), "_part": packing.F.lit(3)})
+    out = sharding.shard_rows(df, "_key", 4, partition_rows=5, cell_rows=2)
+    assert out.count() == 50 and set(out.columns) == set(df.columns) | {"slot"}
+    assert sorted((r._home, r._key) for r in out.collect() if r._key is not None) == [(i, i) for i in range(0, 50, 3)]
+
+
+def test_registered_sharding_says_what_texts_are(spark, tmp_path):
+    import zlib
+
+    sf = str(tmp_path)
+    documents(spark).write.parquet(f"{sf}/documents.parquet")
+    got = sharding.op6_sharding(spark, sf).collect()
+    want = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode()), "rows", None) for r in rows())
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.law, r.grown_shard) for r in got) == want
+    assert {r.shard for r in got} == set(range(16))
+
+
 def test_large_populations(monkeypatch):
     rng = np.random.default_rng(1)
     want = (rng.hypergeometric(600, 400, 300, 4000).mean(), rng.hypergeometric(600, 400, 300, 4000).std())
