@@ -185,7 +185,7 @@ def test_nearest_recall_and_exact_scores(spark):
     x = vectors(rng, 6500)
     x[100:400] = x[50]  # one vector many times
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>").repartition(3)
-    got = nearest.nearest(df, F.col("vec_id") % 100 == 0, 20, block_rows=500, exhaustive_rows=100).collect()
+    got = nearest.nearest(df, F.col("vec_id") % 100 == 0, 20, block_rows=500).collect()
     found = {}
     for r in got:
         found.setdefault(r.query_id, {})[r.rank] = r
@@ -201,6 +201,43 @@ def test_nearest_recall_and_exact_scores(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def test_nearest_without_clusters_and_with_giants(spark):
+    """Vectors of one length in all directions need many lists; a few huge ones do not blur the others."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] = 1e200
+    x[8], x[9] = -1e100 * x[8], 300 * x[9]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>").repartition(3)
+    found = {}
+    for r in nearest.nearest(df, F.col("vec_id") % 60 == 0, 20, sample_rows=1500, query_rows=40).collect():
+        found.setdefault(r.query_id, []).append(r)
+    hits = 0
+    assert len(found) == 100
+    for q, own in found.items():
+        score = (x * x[q]).sum(1)
+        score[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -score))[:20]
+        own.sort(key=lambda r: r.rank)
+        assert [r.rank for r in own] == list(range(1, 21)) and [r.score for r in own] == [score[r.vec_id] for r in own]
+        hits += len({r.vec_id for r in own} & set(best.tolist()))
+        assert {7, 8, 9} & set(best.tolist()) <= {r.vec_id for r in own}
+    assert hits / 2000 >= 0.9
+
+
+def test_nearest_measures_how_many_lists_to_probe():
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((40, 24))
+    close = centres[rng.integers(0, 40, 4000)] + 0.1 * rng.standard_normal((4000, 24))
+    loose = rng.standard_normal((4000, 24))
+    shares = []
+    for x in (close, loose):
+        x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+        lists = nearest.k_means(x, 64)
+        shares.append(nearest.probe_share(x, x[:300], lists, 20, 0.95))
+    assert shares[0] < 0.1 < 0.3 < shares[1]
+
+
 def test_nearest_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0, inf]), (7, [1.0, None]), (8, [1.0]), (40, [-1.0, 0.5]), (0, [1.0, 0.0]), (None, [1.0, 1.0])]
