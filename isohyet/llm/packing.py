@@ -1,10 +1,13 @@
 """Conflict-constrained best-fit packing of documents into bins of fixed capacity.
 
-Documents are cut into pieces of at most one capacity.  Pieces are dealt into groups of bounded size by a hash, and each
+Documents are cut into pieces of at most one capacity.  Pieces are dealt into groups of bounded size by their place in the
+input, which spreads any source, document or cluster over all groups, and each
 group is packed by itself, longest piece first.  Open bins stand in order of their residual room; each carries a bitmap
 of the sources it holds (in planes: plane i has the sources that it holds more than i times) and one of its duplicate
 clusters.  The search starts at the smallest residual that takes the piece and goes on to the next bin until one has no
-conflict: no two documents of one cluster, no more than per_source pieces of one source.
+conflict: no two documents of one cluster, no more pieces of one source than its limit.  A source's limit is per_source,
+or twice what a full bin has of it on average if that is more: a source with a third of all pieces must be in every bin,
+and one that all pieces come from is no conflict.
 
 Null texts and texts without words take no room and are in no bin.  A null source counts as a source of its own, a
 document without cluster as a cluster of its own.  Equal doc_ids (repeated rows) are packed one by one; as equal texts
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, table, tasks
+from .common import SPACES, table, tasks, written
 
 SCHEMA = "bin_id long, slot int, doc_id long, source string, cluster long, piece int, start long, n_words int"
 
@@ -39,8 +42,8 @@ def same_text(text: Column) -> Column:
 class Bins:
     """Open bins of one group in order of residual room."""
 
-    def __init__(self, capacity: int, per_source: int) -> None:
-        self.capacity, self.per_source = capacity, per_source
+    def __init__(self, capacity: int, limits: list[int]) -> None:
+        self.capacity, self.limits, self.n_planes = capacity, limits, max(limits, default=1)
         self.residuals: list[int] = []  # those that have bins, ascending
         self.at: dict[int, list[int]] = {}  # residual: bins, in order of opening
         self.planes: list[list[int]] = []  # of each bin: bitmaps of sources
@@ -55,7 +58,7 @@ class Bins:
 
     def add(self, length: int, source: int, cluster: int) -> int:
         """The bin that takes the piece; cluster is 0 or has one bit."""
-        bit, last = 1 << source, self.per_source - 1
+        bit, last = 1 << source, self.limits[source] - 1
         for i in range(bisect_left(self.residuals, length), len(self.residuals)):
             residual = self.residuals[i]
             for k, bin_ in enumerate(bins := self.at[residual]):
@@ -69,7 +72,7 @@ class Bins:
             break
         else:
             bin_, residual = len(self.planes), self.capacity
-            self.planes.append([0] * self.per_source)
+            self.planes.append([0] * self.n_planes)
             self.clusters.append(0)
         planes = self.planes[bin_]
         for i, plane in enumerate(planes):
@@ -81,13 +84,19 @@ class Bins:
         return bin_
 
 
-def pack_group(lengths, sources, clusters, capacity: int, per_source: int) -> np.ndarray:
-    """Bin of each piece, which come longest first.  clusters: -1 for none."""
-    bins = Bins(capacity, per_source)
+def limits_of(lengths: np.ndarray, sources: np.ndarray, capacity: int, per_source: int) -> list[int]:
+    """How many pieces of each source a bin may have."""
+    share = np.bincount(sources) / max(len(sources), 1)
+    return np.maximum(per_source, np.ceil(2 * share * capacity / max(lengths.mean(), 1))).astype(int).tolist() if len(lengths) else []
+
+
+def pack_group(lengths, sources, clusters, capacity: int, limits: list[int]) -> np.ndarray:
+    """Bin of each piece, which come longest first.  clusters: -1 for none; limits: of each source."""
+    bins = Bins(capacity, limits)
     return np.array([bins.add(int(n), int(s), 0 if c < 0 else 1 << int(c)) for n, s, c in zip(lengths, sources, clusters)], dtype=np.int64)
 
 
-def pack(docs: DataFrame, capacity: int = 2048, *, per_source: int = 2, group_rows: int = 8192, seed: int = 5) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, *, per_source: int = 2, group_rows: int = 2048, seed: int = 5) -> DataFrame:
     """Bins of docs(doc_id, source, cluster, n_words): one row a piece, as SCHEMA says.
 
     bin_id is unique over all groups, slot is the piece's place in its bin, start the first word of the piece in its
@@ -95,11 +104,13 @@ def pack(docs: DataFrame, capacity: int = 2048, *, per_source: int = 2, group_ro
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("cluster").cast("long"), F.col("n_words").cast("long"))
-    k = tasks(spark, docs.count(), group_rows)  # rows alone are counted, no words
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "n_words"), F.lit(k)).cast("int")
     pieces = docs.where("n_words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), ((F.col("n_words") - 1) / capacity).cast("int"))))
     start = F.col("piece").cast("long") * capacity
-    pieces = pieces.select("doc_id", "source", "cluster", "piece", start.alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n_words") - start).cast("int").alias("n_words"), group.alias("_group"))
+    pieces = pieces.select("doc_id", "source", "cluster", "piece", start.alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n_words") - start).cast("int").alias("n_words"), F.monotonically_increasing_id().alias("_place"))
+    # places and words are settled by the table; some 40 bytes a piece
+    pieces = written(pieces, "pieces")
+    group = F.pmod(F.xxhash64(F.lit(seed), "_place"), F.lit(tasks(spark, pieces.count(), group_rows))).cast("int")
+    pieces = pieces.withColumn("_group", group).drop("_place")
 
     def fill(t: pa.Table) -> pa.Table:
         group = t["_group"][0].as_py()
@@ -112,7 +123,8 @@ def pack(docs: DataFrame, capacity: int = 2048, *, per_source: int = 2, group_ro
         often = np.bincount(clusters[known], minlength=1) > 1
         dense = np.where(often, np.cumsum(often) - 1, -1)
         clusters[known] = dense[clusters[known]]
-        bins = pack_group(t["n_words"].to_numpy(), sources, clusters, capacity, per_source)
+        lengths = t["n_words"].to_numpy()
+        bins = pack_group(lengths, sources, clusters, capacity, limits_of(lengths, sources, capacity, per_source))
         order = np.argsort(bins, kind="stable")
         sizes = np.bincount(bins)
         slot = np.empty(len(bins), dtype=np.int32)

@@ -222,12 +222,12 @@ def test_classifier_edges(spark):
 # ---------------------------------------------------------------------------------------------------------------- packing
 
 
-def brute_pack(lengths, sources, clusters, capacity, per_source):
+def brute_pack(lengths, sources, clusters, capacity, limits):
     """Best fit: of all open bins without conflict the one with the least room, the oldest of these."""
     bins = []
     out = []
     for n, s, c in zip(lengths, sources, clusters):
-        fit = [(b["room"], i) for i, b in enumerate(bins) if b["room"] >= n and b["room"] > 0 and b["sources"][s] < per_source and (c < 0 or c not in b["clusters"])]
+        fit = [(b["room"], i) for i, b in enumerate(bins) if b["room"] >= n and b["room"] > 0 and b["sources"][s] < limits[s] and (c < 0 or c not in b["clusters"])]
         if fit:
             i = min(fit)[1]
         else:
@@ -242,14 +242,37 @@ def brute_pack(lengths, sources, clusters, capacity, per_source):
 
 def test_best_fit_against_brute_force():
     rng = np.random.default_rng(6)
-    for per_source in (1, 2, 5):
+    for per_source in (1, 2, 5, None):
         n = 400
         lengths = np.sort(rng.integers(1, 100, n))[::-1]
         sources = np.where(rng.random(n) < 0.4, 0, rng.integers(0, 9, n))
         clusters = np.where(rng.random(n) < 0.5, -1, rng.integers(0, 5, n))
-        assert packing.pack_group(lengths, sources, clusters, 100, per_source).tolist() == brute_pack(lengths, sources, clusters, 100, per_source)
+        limits = [per_source] * 9 if per_source else [1, 7, 2, 3, 1, 1, 4, 2, 1]
+        assert packing.pack_group(lengths, sources, clusters, 100, limits).tolist() == brute_pack(lengths, sources, clusters, 100, limits)
 
 
+def fill_of(rows_, capacity):
+    return sum(r.n_words for r in rows_) / capacity / len({r.bin_id for r in rows_})
+
+
+def test_one_source_or_one_long_document_fill_bins(spark):
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(20, 900, 4000).tolist()
+    for source in ("one", None, "s"):
+        data = [(i, f"s{i % 40}" if source == "s" else source, i, n) for i, n in enumerate(lengths)]
+        got = packing.pack(spark.createDataFrame(data, "doc_id long, source string, cluster long, n_words long"), 2048, group_rows=1000).collect()
+        assert fill_of(got, 2048) > 0.95 and sum(r.n_words for r in got) == sum(lengths)
+    long_one = [(1, "a", 1, 3_000_000)] + [(1, "a", None, 100)] * 5000
+    got = packing.pack(spark.createDataFrame(long_one, "doc_id long, source string, cluster long, n_words long"), 2048, group_rows=500).collect()
+    groups = Counter(r.bin_id >> 32 for r in got)
+    assert len(groups) == 13 and max(groups.values()) < 700  # one document and one id, dealt evenly
+
+
+def test_limits_follow_shares():
+    lengths, sources = np.full(100, 50), np.r_[np.zeros(50, int), np.ones(30, int), np.full(20, 2)]
+    assert packing.limits_of(lengths, sources, 200, 2) == [4, 3, 2]
+    assert packing.limits_of(lengths[:0], sources[:0], 200, 2) == []
+
 def test_packing_keeps_all_words(spark):
     got = packing.pack_documents(documents(spark), 64, group_rows=20).collect()
     by_doc, by_bin = Counter(), defaultdict(list)
@@ -263,7 +286,6 @@ def test_packing_keeps_all_words(spark):
     for members in by_bin.values():
         assert sum(r.n_words for r in members) <= 64
         assert sorted(r.slot for r in members) == list(range(len(members)))
-        assert max(Counter(r.source for r in members).values()) <= 2
         assert max(Counter(r.cluster for r in members).values()) == 1
     assert packing.pack_documents(nothing(spark)).count() == 0
 
