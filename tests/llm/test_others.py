@@ -177,10 +177,115 @@ def test_siblings_merge_across_any_number(spark):
     assert len({r.branch for r in got if r.labelled}) == 3
 
 
-def test_deep_paths_fold(spark):
-    pages = spark.createDataFrame([(i, "http://h.org/" + "/".join("abcdefghijkl"[: 1 + i % 12])) for i in range(120)], "page_id int, url string")
-    got = url_filters.judge_urls(pages, spark.createDataFrame([], "page_id int, good double"), max_depth=4).collect()
-    assert max(r.template for r in got) == "/a/b/c/d/**" and len(got) == 120
+def test_a_slope_of_shares_is_not_one_branch(spark):
+    data = [("h", "", f"/s{i:02d}", float(j <= 3 * i)) for i in range(20) for j in range(60)]
+    got = {r.template: r for r in url_filters.judged_templates(spark.createDataFrame(data, "host string, parent string, template string, good double")).collect()}
+    assert len({r.branch for r in got.values()}) > 2
+    for t, r in got.items():
+        share = (3 * int(t[2:]) + 1) / 60
+        assert r.rejected == (share < 0.5) or abs(share - 0.5) < 0.2
+        assert abs(r.purity - share) < 0.3
+
+
+def test_hundred_sections_are_judged_by_themselves(spark):
+    pages = [(i, f"http://big.org/s{i % 100}/{i}.html") for i in range(3000)]
+    labels = [(i, float(i % 100 >= 30)) for i in range(3000)]
+    got = url_filters.judge_urls(spark.createDataFrame(pages, "page_id int, url string"), spark.createDataFrame(labels, "page_id int, good double")).collect()
+    assert all((r.verdict == "block") == (r.page_id % 100 < 30) for r in got)
+
+
+def test_rare_extensions_fall_together(spark):
+    pages = [(i, f"http://h.org/{i}.{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}") for i in range(1000)] + [(2000 + i, f"http://h.org/{i}.html") for i in range(9)]
+    got = url_filters.judge_urls(spark.createDataFrame(pages, "page_id int, url string"), spark.createDataFrame([], "page_id int, good double")).collect()
+    assert Counter(r.template for r in got) == {"/*": 1000, "/*.html": 9}
+
+
+def brute_agglomerated(counts, z):
+    """The same by looking at all neighbours each time."""
+    branches = sorted(([[i], n, g] for i, (n, g) in enumerate(counts)), key=lambda b: (b[2] / b[1], counts[b[0][0]]))
+    while len(branches) > 1:
+        def differ(k):
+            (_, n, g), (_, m, h) = branches[k], branches[k + 1]
+            p = (g + h) / (n + m)
+            s = (max(0.0, p * (1 - p)) * (1 / n + 1 / m)) ** 0.5
+            gap = abs(g / n - h / m)
+            return gap / s if s else 0.0 if gap == 0 else float("inf")
+
+        k = min(range(len(branches) - 1), key=differ)
+        if differ(k) > z:
+            break
+        branches[k : k + 2] = [[branches[k][0] + branches[k + 1][0], branches[k][1] + branches[k + 1][1], branches[k][2] + branches[k + 1][2]]]
+    out = [0] * len(counts)
+    for k, (members, *_) in enumerate(branches):
+        for i in members:
+            out[i] = k
+    return out
+
+
+def test_agglomeration_against_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n = rng.integers(1, 40, rng.integers(1, 30))
+        counts = [(int(a) + 1, float(rng.binomial(a, rng.random()) + 0.37 + rng.random() / 1e6)) for a in n]
+        assert url_filters.agglomerated(counts, 1.64) == brute_agglomerated(counts, 1.64)
+    assert url_filters.agglomerated([], 1.64) == []
+
+
+def brute_templates(paths, min_count):
+    """Template of each (host, path), node by node."""
+    out = {}
+
+    def walk(node, members):  # (number, rest)
+        for i, rest in members:
+            if not rest:
+                out[i] = node or "/"
+        members = [m for m in members if m[1]]
+        heads = Counter(rest[0] for _, rest in members)
+        ext = lambda x: re.search(r"(\.[A-Za-z]{1,5})?$", x)[0]
+        exts = Counter(ext(rest[0]) for _, rest in members if heads[rest[0]] < min_count)
+        own = {e for e, k in exts.items() if e and k >= min_count}
+        few = sum(k for e, k in exts.items() if e not in own) < min_count
+        groups = defaultdict(list)
+        for i, rest in members:
+            name = rest[0] if heads[rest[0]] >= min_count else "*" + ext(rest[0]) if ext(rest[0]) in own else "*"
+            if name == "*" and heads[rest[0]] < min_count and few:
+                out[i] = node + ("/*" if len(rest) == 1 else "/**")
+            else:
+                groups[name].append((i, rest[1:]))
+        for name, part in groups.items():
+            walk(node + "/" + name, part)
+
+    hosts = defaultdict(list)
+    for i, (host, path) in enumerate(paths):
+        hosts[host].append((i, [x for x in path.split("/") if x]))
+    for members in hosts.values():
+        walk("", members)
+    return [out[i] for i in range(len(paths))]
+
+
+def test_tree_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    names = ["a", "b", "c.html", "d.php", "e.x1", "*", "x.html", "é"]
+    paths = []
+    for i in range(900):
+        depth = int(rng.integers(0, 14)) if rng.random() < 0.1 else int(rng.integers(0, 5))
+        segs = [names[int(rng.integers(0, 8) * rng.random())] if rng.random() < 0.7 else f"p{rng.integers(0, 300)}{['', '.html', '.txt'][int(rng.integers(0, 3))]}" for _ in range(depth)]
+        paths.append((f"h{int(rng.integers(0, 4) * rng.random())}", "/" + "/".join(segs) + ("/" if rng.random() < 0.2 else "")))
+    df = spark.createDataFrame([(i, h, p) for i, (h, p) in enumerate(paths)], "page_id int, host string, path string")
+    got = {r.page_id: r.template for r in url_filters.templates(df).collect()}
+    assert [got[i] for i in range(len(paths))] == brute_templates(paths, 5)
+
+
+def test_deep_paths_are_judged_to_the_end(spark):
+    """URLs that differ from the eleventh segment on only."""
+    deep = "/".join("abcdefghij")
+    pages = [(i, f"http://h.org/{deep}/{('good', 'bad')[i % 2]}/{i}") for i in range(60)] + [(100, None), (None, "http://h.org/x"), (100, "http://h.org/x")]
+    labels = [(i, float(i % 2 == 0)) for i in range(60)] + [(None, 0.0)]
+    got = url_filters.judge_urls(spark.createDataFrame(pages, "page_id int, url string"), spark.createDataFrame(labels, "page_id int, good double")).collect()
+    assert len(got) == 63 and {r.verdict for r in got if r.page_id is None} == {"allow"}
+    for r in got:
+        if r.page_id is not None and r.page_id < 60:
+            assert (r.template, r.verdict) == ((f"/{deep}/good/*", "allow") if r.page_id % 2 == 0 else (f"/{deep}/bad/*", "block"))
 
 
 # ------------------------------------------------------------------------------------------------------------- classifier
