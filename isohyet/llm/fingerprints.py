@@ -10,13 +10,13 @@ likeness of two fingerprints is the share of their different digests that both h
 
 All of it is SQL: each text is shuffled once, to the documents around it in the order of ids, and the rest happens where
 it lies.  Null texts count as empty.  The next document of the one with the smallest id is that with the largest; of
-rows that share an id, the next is another of them (by hash of the text).  Rows without id are left out.  An empty table
-gives no rows.
+rows that share an id, the next is another of them (by hash of the text).  Rows without id come last in this order.  An
+empty table gives no rows.  Rows equal in id and text are together in one task, however many; any others are split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -25,9 +25,10 @@ from .common import table
 BLOCKS, WIDTH = 4, 4
 #: Digests of two blocks above which a table as large as a block's is not tried, but twice as large a one.
 CROWD = 32
-#: Documents in one group of neighbours, about.
+#: Documents in one group of neighbours, about; above SPLITS ** LEVELS groups these grow instead.
 GROUP = 2000
-SPLITS = 64
+SPLITS, LEVELS = 64, 3
+LEAST_ID = -(1 << 63)
 
 
 def let(value: str, name: str, body: str) -> str:
@@ -122,38 +123,48 @@ def neighbours(docs: DataFrame, **columns: str) -> DataFrame:
 
     columns: SQL of further columns of a document, by name; next_<name> is the next document's.
     """
-    docs = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    shares = [F.lit(i / SPLITS) for i in range(SPLITS + 1)]
-    n, splits = docs.agg(F.count("*"), F.percentile_approx("doc_id", F.array(*shares), 1000)).first()
-    splits = sorted({int(x) for x in splits or [0]})
-    docs = docs.withColumn("_tie", F.xxhash64("text")).withColumn("_group", _group(F.col("doc_id"), splits, max(1, -(-n // GROUP))))
-    # the first row of a group is a copy at the end of the group before it; one row of ids a group
-    heads = docs.groupBy("_group").agg(F.max(F.struct("doc_id", "_tie")).alias("head"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)), "_tie": F.xxhash64("text"), "_group": F.lit(0).cast("long")})
+    docs = grouped(docs)
+    # the first row of a group is a copy at the end of the group before it; one row of ids a group, which LEVELS bounds
+    heads = docs.groupBy("_group").agg(F.max(F.struct("_id", "_tie")).alias("head"))
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("_group"))
     last = F.min("_group").over(Window.partitionBy(F.lit(0)))
-    heads = heads.select("head.*", F.coalesce(F.lag("_group").over(order), last).alias("_group"))
-    if 2 * (-(-n // GROUP)) + SPLITS < 50_000:  # no more groups than that
-        heads = F.broadcast(heads)
-    copies = docs.drop("_group").join(heads, ["doc_id", "_tie"])
+    heads = F.broadcast(heads.select("head.*", F.coalesce(F.lag("_group").over(order), last).alias("_group")))
+    copies = docs.drop("_group").join(heads, ["_id", "_tie"]).dropDuplicates(["_group"])
     both = docs.withColumn("_copy", F.lit(0)).unionByName(copies.withColumn("_copy", F.lit(1)))
     both = both.repartition("_group")  # texts alone are moved, the columns are computed where they are
     for name, sql in columns.items():
         both = both.withColumn(name, F.expr(sql))
-    w = Window.partitionBy("_group").orderBy("_copy", F.desc("doc_id"), F.desc("_tie"))
+    w = Window.partitionBy("_group").orderBy("_copy", F.desc("_id"), F.desc("_tie"))
     rows = both.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("text", *columns)})
-    return rows.where("_copy = 0").drop("_copy", "_tie", "_group")
-
-
-def _group(doc_id: Column, splits: list[int], groups: int) -> Column:
-    """Number of a run of ids, ascending with them: quantiles, each cut into equal widths."""
-    per = -(-groups // max(1, len(splits) - 1))
-    known = F.array(*[F.lit(x) for x in splits])
-    i = F.greatest(F.lit(1), F.least(F.lit(len(splits) - 1), F.size(F.filter(known, lambda s: s <= doc_id))))
-    if len(splits) == 1:
-        return (doc_id >= splits[0]).cast("long")
-    low, high = F.element_at(known, i).cast("double"), F.element_at(known, i + 1).cast("double")
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (doc_id.cast("double") - low) / (high - low)))
-    return i.cast("long") * (per + 1) + F.floor(share * per)
+    return rows.where("_copy = 0").drop("_copy", "_id", "_tie", "_group")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """docs(_id, _tie, _group) with the number of a run of rows as _group, ascending with (_id, _tie); about GROUP rows each.
+
+    Level by level, each group is cut at quantiles of its ids; one that has a single id, at quantiles of the ties.  A
+    value that several quantiles share is set apart, so that the next level can cut it.
+    """
+    shares = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
+    n = docs.count()
+    for level in range(LEVELS):
+        if n <= GROUP * SPLITS**level:
+            break
+        quantiles = lambda c: F.percentile_approx(c, shares, 2000)
+        stats = docs.groupBy("_group").agg(F.count("*").alias("_n"), (F.min("_id") == F.max("_id")).alias("_same"), quantiles("_id").alias("_ids"), quantiles("_tie").alias("_ties"))
+        cuts = F.when(F.col("_same"), F.col("_ties")).otherwise(F.col("_ids"))
+        # every so many of the quantiles, for groups of about GROUP rows
+        every = F.greatest(F.lit(1), F.floor(GROUP * SPLITS / F.col("_n"))).cast("int")
+        stats = stats.select("_group", "_same", F.filter(cuts, lambda x, i: F.pmod(i + 1, every) == 0).alias("_cuts"))
+        often = F.filter("_cuts", lambda x: (F.size(F.filter("_cuts", lambda y: x == y)) > 1) & (x < F.lit((1 << 63) - 1)))
+        stats = stats.withColumn("_cuts", F.array_distinct(F.concat("_cuts", F.transform(often, lambda x: x + 1))))
+        key = F.when(F.col("_same"), F.col("_tie")).otherwise(F.col("_id"))
+        cell = F.col("_group") * (2 * SPLITS) + F.size(F.filter("_cuts", lambda x: x <= key))
+        # at most (2 * SPLITS) ** (LEVELS - 1) rows of 1 kB
+        docs = docs.join(F.broadcast(stats), "_group").withColumn("_group", cell.cast("long")).drop("_same", "_cuts")
+    return docs
 
 
 def edited(docs: DataFrame, **columns: str) -> DataFrame:

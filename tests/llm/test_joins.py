@@ -295,6 +295,35 @@ def test_fingerprints_of_neighbours_over_groups(spark, monkeypatch):
     assert got == {i: f"text of {order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
 
 
+def test_groups_of_neighbours_are_even(spark, monkeypatch):
+    """Ids in dense clusters, one id that a third of the rows have, rows without id."""
+    monkeypatch.setattr(fingerprints, "GROUP", 50)
+    monkeypatch.setattr(fingerprints, "SPLITS", 8)
+    ids = [10**9 * (i % 3) + i // 500 for i in range(3000)] + [77] * 2000 + [5 * i for i in range(1000)] + [None, None]
+    df = spark.createDataFrame([(x, f"text {i}") for i, x in enumerate(ids)], "doc_id long, text string").repartition(3)
+    keyed = df.selectExpr("coalesce(doc_id, -9223372036854775808) as _id", "xxhash64(text) as _tie", "0L as _group")
+    got = fingerprints.grouped(keyed).collect()
+    size = {}
+    for r in got:
+        size[r._group] = size.get(r._group, 0) + 1
+    assert len(got) == len(ids) and max(size.values()) <= 150
+    order = [r._group for r in sorted(got, key=lambda r: (r._id, r._tie))]
+    assert order == sorted(order)
+    near = fingerprints.neighbours(df).collect()
+    follow = {r.text: r.next_text for r in near}
+    at, seen = "text 0", set()
+    while at not in seen:
+        seen.add(at)
+        at = follow[at]
+    assert len(seen) == len(ids)  # one ring through all
+
+
+def test_a_giant_paragraph(spark):
+    data = [(1, "word " * 200_000), (2, "word " * 200_000 + "end"), (3, "x")]
+    got = {r.doc_id: r for r in fingerprints.fingerprints(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[2].near_next == 0.0 and got[1].n_chars == 1_000_000 and len(got) == 3
+
+
 def test_fingerprints_edges(spark):
     assert fingerprints.fingerprints(nothing(spark)).count() == 0
     one = fingerprints.fingerprints(spark.createDataFrame([(5, None)], "doc_id long, text string")).collect()
