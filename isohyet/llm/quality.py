@@ -150,8 +150,11 @@ def fit(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, bad: np.ndarray
     return w
 
 
-def trained(docs: DataFrame, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of bad for each vote pattern, and the scorer's weights, of docs(doc_id, text)."""
+def trained(docs: DataFrame, sample_docs: int, sample_bytes: int = 256 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of bad for each vote pattern, and the scorer's weights, of docs(doc_id, text).
+
+    The sample has about sample_docs documents, and at most sample_bytes of features: fewer documents where these are long.
+    """
     n = docs.count()
     share = min(1.0, sample_docs / max(n, 1))
     hashed = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -175,7 +178,10 @@ def trained(docs: DataFrame, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
     _, _, bad = estimate(patterns, counts["count"].to_numpy(dtype=float)) if len(patterns) else (0, 0, np.zeros(0))
     of = np.zeros(3 ** len(LABELLERS))
     of[patterns] = bad
-    sample = seen.where("features is not null").limit(2 * sample_docs).toPandas()
+    # one document has at most 12 << BITS bytes of features, and mostly some kilobytes
+    mass = seen.where("features is not null").agg(F.count("*").alias("n"), F.sum(F.length("features") + F.length("weights")).alias("b")).first()
+    most = int(min(2 * sample_docs, mass["n"] * min(1.0, sample_bytes / max(mass["b"] or 1, 1))))
+    sample = seen.where("features is not null").limit(max(1, most)).toPandas()
     sizes = [len(x) // 4 for x in sample["features"]]
     doc = np.repeat(np.arange(len(sample)), sizes)
     feature = np.frombuffer(b"".join(sample["features"]), dtype="<i4")

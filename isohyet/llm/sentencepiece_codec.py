@@ -3,8 +3,8 @@
 The model's protobuf is read field by field; normaliser, whitespace marker, pieces with scores and byte fallback are set
 up anew for the tokenizers library (unigram models by score, BPE models by merges in order of score).  Where no piece
 has a marker after another character, no piece can reach over the start of a marked word, so a text is cut there and
-each different word of a batch is encoded once, in one multithreaded call.  The original library encodes the same words;
-a word on which the two differ takes the original's ids and is counted in n_differing.
+each different word of a batch is encoded once, in one multithreaded call.  All ids are the tokenizers library's.  To verify
+parity the original library encodes each word, too; n_differing is how many of a row's words it encodes otherwise.
 
 Null texts have null ids; empty texts have none.  Decoding ids gives the normalised text back.  An empty table gives no
 rows; other columns stay, but for those called as the result's.
@@ -143,6 +143,7 @@ class Codec:
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.cuttable else None
         self.known: dict[str | tuple[str], bytes] = {}  # word: its ids as int32
+        self.differing: set[str | tuple[str]] = set()  # words that the libraries encode differently
         self.alone = [self.original.piece_to_id(MARK)]
         self.bytes_of = [self._bytes_of(p, kind) for p, _, kind in self.model.pieces]
 
@@ -169,9 +170,9 @@ class Codec:
         found = self.cut.findall(normal) if self.cut else [normal] if normal else []
         return [w[1:] if w[0] == MARK != w[1:2] and len(w) > 1 else w if w[0] == MARK else (w,) for w in found]
 
-    def learn(self, words: list[str | tuple[str]]) -> int:
-        """Encodes words; the number of those on which the two libraries differ."""
-        m, differ = self.model, 0
+    def learn(self, words: list[str | tuple[str]]) -> None:
+        """Encodes words, and notes those on which the two libraries differ."""
+        m = self.model
         whole = [w[0] if isinstance(w, tuple) else w if w[0] == MARK else MARK + w for w in words]
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
         # the original library puts its own marker before a text
@@ -180,18 +181,18 @@ class Codec:
             if text == MARK and m.add_prefix:
                 b = self.alone
             if a != b and (not m.add_prefix or text[0] == MARK):
-                a, differ = b, differ + 1
+                self.differing.add(word)
             self.known[word] = pack(f"<{len(a)}i", *a)
-        return differ
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], int]:
-        """Ids of each text as int32, and the number of new words on which the two libraries differ."""
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[int]]:
+        """Ids of each text as int32, and on how many of its words the two libraries differ."""
         cut = [self.words(x) for x in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        differ = self.learn(list({w for text in cut for w in text if w not in self.known}))
-        of = self.known.__getitem__
-        return [b"".join(map(of, text)) for text in cut], differ
+            self.differing.clear()
+        self.learn(list({w for text in cut for w in text if w not in self.known}))
+        of, odd = self.known.__getitem__, self.differing
+        return [b"".join(map(of, text)) for text in cut], [sum(w in odd for w in text) if odd else 0 for text in cut]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of ids, by the bytes of their pieces; where these are no UTF-8, the library's decoder says what to put."""
@@ -232,7 +233,7 @@ def slices(texts: list[str | None], chars: int = 1 << 20) -> Iterator[slice]:
 
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
-    """df with ids (array of int) and n_differing (int: words of the row's batch on which the libraries differ)."""
+    """df with ids (array of int) and n_differing (int: words of the row on which the libraries differ)."""
     data, sc = model_bytes(model_path), df.sparkSession.sparkContext
     sent = sc.broadcast(data)  # bounded by the size of the file
 
@@ -247,7 +248,7 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
                 ends = np.cumsum([0] + [len(i) // 4 for i in ids])
                 ends = pa.array(ends, pa.int32(), mask=np.array([x is None for x in part] + [False]))
                 ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
-                yield pa.RecordBatch.from_arrays([*out.columns, ids, pa.array([differ] * len(part), pa.int32())], [*out.schema.names, "ids", "n_differing"])
+                yield pa.RecordBatch.from_arrays([*out.columns, ids, pa.array(differ, pa.int32())], [*out.schema.names, "ids", "n_differing"])
 
     kept = df.drop("ids", "n_differing")
     return kept.mapInArrow(run, f"{ddl(kept.schema)}, ids array<int>, n_differing int")
@@ -268,10 +269,10 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
     return kept.mapInArrow(run, f"{ddl(kept.schema)}, decoded string")
 
 
-def op7_sentencepiece(spark, sf_dir: str) -> DataFrame:
+def op7_sentencepiece(spark, sf_dir: str, model_path: str = MODEL_PATH) -> DataFrame:
     """Ids of all documents and their decoding, as digests: (doc_id, n_chars, n_tokens, ids_sha256 of the ids as
     little-endian int32, decoded_sha256, same_text, n_differing).  same_text: decoding gave the text back."""
-    sent = spark.sparkContext.broadcast(model_bytes(MODEL_PATH))
+    sent = spark.sparkContext.broadcast(model_bytes(model_path))
 
     def run(batches):
         c = codec(sent.value)
@@ -291,7 +292,7 @@ def op7_sentencepiece(spark, sf_dir: str) -> DataFrame:
                         hexes(ids),
                         hexes([x.encode() for x in decoded]),
                         pa.array([None if x is None else x == y for x, y in zip(part, decoded)]),
-                        pa.array([differ] * len(part), pa.int32()),
+                        pa.array(differ, pa.int32()),
                     ],
                     ["doc_id", "n_chars", "n_tokens", "ids_sha256", "decoded_sha256", "same_text", "n_differing"],
                 )
