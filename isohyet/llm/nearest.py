@@ -28,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,6 +115,12 @@ def factor(d: int, dim: int, epsilon: float) -> float:
     return d / dim * (1 + epsilon / math.sqrt(d)) ** 2 if d < dim else 1.0
 
 
+def norms(v: np.ndarray) -> np.ndarray:
+    """Euclidean norms of rows, none of which is zero, without overflow."""
+    top = np.abs(v).max(1, initial=0)
+    return top * np.sqrt(((v / top[:, None]) ** 2).sum(1))
+
+
 def probe_share(sample: np.ndarray, queries: np.ndarray, centres: np.ndarray, k: int, recall: float) -> float:
     """The share of the lists, nearest first, that hold `recall` of the k nearest of each of the sample's queries."""
     far = distances(queries, sample)
@@ -142,21 +149,27 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, *, recall: float = 0
     spark = rows.sparkSession
     rows = rows.select(F.col("vec_id").cast("long"), F.col("vector").cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("vec_id").isNotNull() & valid(F.col("vector")))
-    largest = F.aggregate("vector", F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x)))
-    # the root of the sum of squares, without overflow
-    norm = largest * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest)))
-    shape = rows.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n"), F.percentile_approx(norm, 0.5).alias("median")).orderBy(F.desc("n"), "dim").first()
+
+    def measure(batches):
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("vector")).to_numpy(zero_copy_only=False)
+            flat, norm = batch.column("vector").flatten().to_numpy(zero_copy_only=False), np.zeros(len(sizes))
+            ends = np.cumsum(sizes)
+            for size in np.unique(sizes):
+                own = np.flatnonzero(sizes == size)
+                norm[own] = norms(flat[(ends[own] - size)[:, None] + np.arange(size)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int32()), pa.array(norm)], [*batch.schema.names, "dim", "norm"])
+
+    rows = written(rows.mapInArrow(measure, "vec_id long, vector array<double>, asks boolean, dim int, norm double"), "valid")
+    shape = rows.groupBy("dim").agg(F.count("*").alias("n"), F.percentile_approx("norm", 0.5).alias("median")).orderBy(F.desc("n"), "dim").first()
     if shape is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, n, unit = shape["dim"], shape["n"], shape["median"]
-    rows = rows.where(F.size("vector") == dim)
-    top = rows.where(norm <= giant * unit).agg(F.max(norm)).first()[0]  # of all but the giants
+    rows = rows.where(F.col("dim") == dim)
+    top = rows.where(F.col("norm") <= giant * unit).agg(F.max("norm")).first()[0]  # of all but the giants
+    rows = rows.select("vec_id", "vector", "asks")
     rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim + 1, dim + 1)))[0].astype(np.float32)
 
-    def norms(v: np.ndarray) -> np.ndarray:
-        top = np.abs(v).max(1)
-        return top * np.sqrt(((v / top[:, None]) ** 2).sum(1))
-
     def rotated(v: np.ndarray, query: bool) -> np.ndarray:
         """Rows in units of the largest norm; a query's length doesn't matter to its order of candidates."""
         if query:
