@@ -15,12 +15,16 @@ from .functions.lenient import in_year, size_text, whole_days
 from .operators import observations as obs
 from .operators.convert import Converter, Options
 from .operators.validate import Limits, Validator
-from .plans.spec import Kind, type_of
+from .plans.rowgroups import rows_per_group
+from .plans.spec import EXPECTED, Kind, Schema, type_of
 from .sinks import badc as badc_out
-from .sinks.parquet import ParquetOptions, merge
+from .sinks.parquet import ParquetOptions, merge, write
 from .sinks.scratch import new_path
-from .sources.discovery import file_table, files_by_station
+from .sources import badc
+from .sources.discovery import _fs, datasets, file_table, files_by_station
+from .sources.discovery import station_counts as station_level
 from .sources.footers import column_chunks, footer_summary
+from .sources.registry import registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,13 +59,13 @@ STATION = """lpad(cast({n} as varchar), 5, '0') as station_id, 'station ' || {n}
 cast({n} % 50 + 0.5 as double) as latitude, cast(-({n} % 7) - 0.25 as double) as longitude, cast({n} * 1.5 as double) as height, 'm' as height_units"""
 
 
-def _events_tree(spark: SparkSession, sf_dir: str, line, columns) -> str:
+def _events_tree(spark: SparkSession, sf_dir: str, line, columns, station_dir=None) -> str:
     """events as a rain dataset, a file for each station and month; line and columns are of a row and of a station."""
     e = table(spark, sf_dir, "events")
     rows = e.groupBy("user_id", F.date_format("ts", "yyyyMM").alias("month")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", line.alias("line")))), lambda x: x["line"]).alias("rows"))
     files = rows.select(
         F.concat(F.lit("county"), (F.col("user_id") % 3).cast("string")).alias("county_dir"),
-        F.concat(F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit("_station")).alias("station_dir"),
+        (F.concat(F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit("_station")) if station_dir is None else station_dir).alias("station_dir"),
         F.concat(F.lit("rain_"), F.col("user_id").cast("string"), F.lit("_"), "month").alias("file"),
         badc_out.file_text(_station_head(F.col("user_id")), columns, F.col("rows")).alias("text"),
     )
@@ -70,9 +74,19 @@ def _events_tree(spark: SparkSession, sf_dir: str, line, columns) -> str:
     return root
 
 
-def _plain_tree(spark: SparkSession, sf_dir: str) -> str:
+def _plain_tree(spark: SparkSession, sf_dir: str, station_dir=None) -> str:
     line = F.concat_ws(",", F.col("ts").cast("string"), F.col("event_id").cast("string"), F.col("value").cast("string"), F.col("event_type"))
-    return _events_tree(spark, sf_dir, line, F.lit("ob_end_ctime,id,prcp_amt,met_domain_name"))
+    return _events_tree(spark, sf_dir, line, F.lit("ob_end_ctime,id,prcp_amt,met_domain_name"), station_dir)
+
+
+#: Folders of stations as caches have them: blanks, per cents, plus signs, letters beyond ASCII.
+ODD_DIRS = ["{} a b", "{}_c%20d", "{}+e%", "{}_é%2Bf g"]
+
+
+def _odd_tree(spark: SparkSession, sf_dir: str) -> str:
+    n = F.col("user_id")
+    name = F.element_at(F.array(*[F.lit(d) for d in ODD_DIRS]), (n % len(ODD_DIRS) + 1).cast("int"))
+    return _plain_tree(spark, sf_dir, F.replace(name, F.lit("{}"), F.lpad(n.cast("string"), 5, "0")))
 
 
 def _convert(spark: SparkSession, root: str, **options) -> DataFrame:
@@ -90,6 +104,28 @@ def badc_roundtrip(spark, sf_dir):
     return _convert(spark, _plain_tree(spark, sf_dir))
 
 
+@query(EVENTS)
+def badc_odd_paths(spark, sf_dir):
+    """Folders with blanks and per cents, and the empty-column check on a sample of the files."""
+    return _convert(spark, _odd_tree(spark, sf_dir), empty_columns="sample", sample_files=2)
+
+
+@query("select 'ok' as status, count(distinct (user_id, strftime(ts, '%Y%m'))) as n_files, count(*) as n_rows from events")
+def badc_odd_paths_status(spark, sf_dir):
+    found = Converter(spark, _odd_tree(spark, sf_dir)).outcomes()
+    return found.groupBy("status").agg(F.count("*").alias("n_files"), F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
+@query("select ts as ob_end_ctime, cast(event_id as varchar) as id, value as prcp_amt, event_type as met_domain_name, lpad(cast(user_id as varchar), 5, '0') as station_id from events")
+def streamed_roundtrip(spark, sf_dir):
+    """The same files as a stream of batches."""
+    from .streaming.ingest import stream
+
+    out, names = new_path(spark, "streamed"), ["ob_end_ctime", "id", "prcp_amt", "met_domain_name"]
+    stream(spark, _plain_tree(spark, sf_dir), out, Schema.of([names]), Kind.RAIN, checkpoint=new_path(spark, "offsets"), files_per_batch=100).awaitTermination()
+    return spark.read.parquet(out).select(*names, "station_id")
+
+
 @query("select ts as ob_end_ctime, case when user_id % 2 = 0 then value end as prcp_amt, event_type as met_domain_name, lpad(cast(user_id as varchar), 5, '0') as station_id from events")
 def badc_union_by_name(spark, sf_dir):
     """Odd stations lack a column, even ones have theirs in another order."""
@@ -190,20 +226,22 @@ def station_time_filter(spark, sf_dir):
     return obs.after(obs.of_station(_obs(spark, sf_dir), 8), "ts", START).select("event_id", "ts", "value")
 
 
-@query("select user_id as station_id, value from events where value is not null")
+@query("select user_id as station_id, event_id, value from events where event_id % 7 <> 0")
 def not_null_projection(spark, sf_dir):
-    return _obs(spark, sf_dir).where(F.col("value").isNotNull()).select("station_id", "value")
+    df = _obs(spark, sf_dir).withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
+    return obs.with_value(df, "value").select("station_id", "event_id", "value")
 
 
-@query("select event_id, ts from events where ts >= timestamp '2024-01-01' and ts < timestamp '2025-01-01'")
+@query("select o_orderkey, o_orderdate from orders where year(o_orderdate) = 1997")
 def year_filter(spark, sf_dir):
-    return _obs(spark, sf_dir).where(in_year(F.col("ts"), 2024)).select("event_id", "ts")
+    o = table(spark, sf_dir, "orders")
+    return o.where(in_year(F.col("o_orderdate"), 1997)).select("o_orderkey", "o_orderdate")
 
 
 @query("select l_orderkey, l_linenumber, l_discount from lineitem where l_discount between 0.02 and 0.05 and l_quantity between 5 and 20")
 def range_bounds(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_discount").between(0.02, 0.05) & F.col("l_quantity").between(5, 20)).select("l_orderkey", "l_linenumber", "l_discount")
+    li = obs.within_bounds(table(spark, sf_dir, "lineitem"), l_discount=(0.02, 0.05), l_quantity=(5, 20))
+    return li.select("l_orderkey", "l_linenumber", "l_discount")
 
 
 @query("select count(*) as n_rows, count(distinct user_id) as n_stations, min(ts) as first_time, max(ts) as last_time from events")
@@ -239,11 +277,23 @@ def monthly_sum(spark, sf_dir):
     return obs.monthly(li, "station_id", "l_shipdate", "q", "total").withColumn("total", F.round("total", 4))
 
 
-@query("select 0 as n_station, 0 as n_time")
+@query("select 0 as n_station, 0 as n_time, 0 as n_between")
 def sortedness_check(spark, sf_dir):
-    """Rows out of order in a converted dataset."""
-    found = obs.order_violations(_convert(spark, _plain_tree(spark, sf_dir)), "station_id", "ob_end_ctime")
-    return found.agg(F.sum("n_station").cast("int").alias("n_station"), F.sum("n_time").cast("int").alias("n_time"))
+    """Rows out of order in a converted dataset of several files, and files out of order: none."""
+    root = _plain_tree(spark, sf_dir)
+    out = new_path(spark, "converted")
+    Converter(spark, root, out, Options(layout="directory", parquet=ParquetOptions(files=5))).run()
+    found = obs.order_violations(spark.read.parquet(out), "station_id", "ob_end_ctime")
+    return found.agg(*[F.sum(c).cast("int").alias(c) for c in ("n_station", "n_time", "n_between")])
+
+
+@query("""with e as (select *, event_id // 1000 as f from events), d as (select *, lag(user_id) over w as s, lag(ts) over w as t from e window w as (partition by f order by event_id)),
+v as (select f, count(*) filter (user_id < s) as n_station, count(*) filter (user_id = s and ts < t) as n_time, arg_min(user_id, event_id) as a, arg_max(user_id, event_id) as z, arg_min(ts, event_id) as first_ts, arg_max(ts, event_id) as last_ts from d group by f)
+select f as file, n_station, n_time, a as first_station, z as last_station, cast(coalesce(a < lag(z) over (order by f) or (a = lag(z) over (order by f) and first_ts < lag(last_ts) over (order by f)), false) as integer) as n_between from v""")
+def order_violations(spark, sf_dir):
+    """Files of a thousand rows each, in the order of events."""
+    e = _obs(spark, sf_dir).withColumns({"f": F.floor(F.col("event_id") / 1000), "r": F.col("event_id")})
+    return obs.order_violations(e, "station_id", "ts", F.col("f"), F.col("r"))
 
 
 @query("select o_orderkey, case when o_orderkey % 3 = 0 then null else o_orderdate end as o_orderdate from orders order by 2 nulls last, 1 limit 500")
@@ -252,23 +302,26 @@ def sort_nulls_last_limit(spark, sf_dir):
     return obs.sort_nulls_last(o, "o_orderdate", "o_orderkey").limit(500)
 
 
-@query("select cast(c_custkey as varchar) as id, cast(c_nationkey as double) as amount from customer union all select s_name, s_acctbal from supplier")
+@query("select cast(c_custkey as varchar) as id, cast(c_nationkey as double) as amount, cast(c_nationkey as bigint) as n from customer union all select s_name, s_acctbal, cast(null as bigint) from supplier union all select cast(n_nationkey as varchar), 1.5, 7 from nation")
 def union_all_supertypes(spark, sf_dir):
-    """Columns are cast to their common type before the union."""
-    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_nationkey").cast("double").alias("amount"))
-    return a.unionByName(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("id"), F.col("s_acctbal").alias("amount")))
+    """Types that differ by column: number and text, integers and doubles, a part without a column."""
+    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("amount"), F.col("c_nationkey").cast("bigint").alias("n"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("id"), F.col("s_acctbal").alias("amount"))
+    c = table(spark, sf_dir, "nation").select(F.lit(7).alias("n"), F.lit(1.5).cast("float").alias("amount"), F.col("n_nationkey").alias("id"))
+    return obs.union_all(a, b, c)
 
 
 @query("select event_id, user_id, cast(null as varchar) as extra from events where user_id % 2 = 0 union all select event_id, null, event_type from events where user_id % 2 = 1")
 def diagonal_union(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    a, b = e.where("user_id % 2 = 0").select("event_id", "user_id"), e.where("user_id % 2 = 1").select("event_id", F.col("event_type").alias("extra"))
-    return a.unionByName(b, allowMissingColumns=True)
+    return obs.union_all(e.where("user_id % 2 = 0").select("event_id", "user_id"), e.where("user_id % 2 = 1").select("event_id", F.col("event_type").alias("extra")))
 
 
-@query("select distinct user_id as station_id from events")
+@query("select distinct user_id as station_id from events where event_id % 3 = 0")
 def distinct_stations(spark, sf_dir):
-    return _obs(spark, sf_dir).select("station_id").distinct()
+    """Each station once; rows without one do not count."""
+    df = _obs(spark, sf_dir).withColumn("station_id", F.when(F.col("event_id") % 3 == 0, F.col("station_id")))
+    return obs.distinct_values(df, "station_id")
 
 
 @query("""select p_partkey, b, case when b > 1000000000 then printf('%d files, ~%.1f GB', p_size, b / 1e9) when b > 1000000 then printf('%d files, ~%.1f MB', p_size, b / 1e6)
@@ -327,38 +380,142 @@ def parquet_merge(spark, sf_dir):
 @query("select user_id, event_type, count(*) as n_rows from events group by 1, 2")
 def partitioned_output(spark, sf_dir):
     """Output in folders by a column, read back."""
-    from .sinks.parquet import write
-
     out = new_path(spark, "partitioned")
     write(table(spark, sf_dir, "events"), out, ["user_id", "ts"], ParquetOptions(layout="directory", partition_by=("event_type",)))
     return spark.read.parquet(out).groupBy("user_id", "event_type").agg(F.count("*").alias("n_rows"))
 
 
-@query()
+GROUPS = "cast(ceil(count(*) / {n}.0) as bigint)"
+
+
+@query("select " + GROUPS.format(n=700) + " as n_groups, case when count(*) % 700 = 0 then 700 else count(*) % 700 end as least, 700 as most, round(count(*) / " + GROUPS.format(n=700) + ", 6) as mean, 'ZSTD' as codecs, true as all_statistics from events")
 def footer_report(spark, sf_dir):
-    job = Converter(spark, _plain_tree(spark, sf_dir), new_path(spark, "converted") + "/rain.parquet")
+    """Number and sizes of the row groups of a file with 700 rows in each."""
+    options = ParquetOptions(rows_per_group=700, compression="zstd")
+    job = Converter(spark, _plain_tree(spark, sf_dir), new_path(spark, "converted") + "/rain.parquet", Options(parquet=options))
     job.run()
-    return footer_summary(column_chunks(spark, job.output))
+    found = footer_summary(column_chunks(spark, job.output))
+    return found.select("n_groups", "least", F.col("most").cast("int").alias("most"), F.round("mean", 6).alias("mean"), F.array_join("codecs", ",").alias("codecs"), "all_statistics")
+
+
+WRITERS = {"snappy": ("SNAPPY", True), "zstd": ("ZSTD", True), "lz4": ("LZ4", True), "none": ("UNCOMPRESSED", False)}
 
 
-@query()
+@query("select * from (values " + ", ".join(f"('{name}', '{codec}', {str(stats).lower()})" for name, (codec, stats) in WRITERS.items()) + ") as t(option, codec, statistics), (select count(*) as n_rows from supplier)")
+def writer_options(spark, sf_dir):
+    """Codec and statistics that files have, by the options they were written with."""
+    out = None
+    for name, (_, stats) in WRITERS.items():
+        path = new_path(spark, "written") + f"/{name}.parquet"
+        n = write(table(spark, sf_dir, "supplier"), path, ["s_suppkey"], ParquetOptions(compression=name, statistics=stats))
+        one = column_chunks(spark, path).agg(F.max("codec").alias("codec"), F.bool_or("has_statistics").alias("statistics"))
+        one = one.select(F.lit(name).alias("option"), F.regexp_replace("codec", "_RAW$", "").alias("codec"), "statistics", F.lit(n).cast("bigint").alias("n_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("""with n as (select count(*) as rows, count(distinct user_id) as stations, count(distinct (user_id, strftime(ts, '%Y%m'))) as files, cast(floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000) as bigint) as days from events)
+select 'source_files' as test_name, true as passed, files || ' files' as message from n union all select 'rows_per_file', false, printf('%.1f rows a file', rows / files) from n
+union all select 'stations', stations between 50 and 1000, stations || ' stations' from n union all select 'date_span', true, printf('%.1f years', days / 365.25) from n
+union all select 'required_columns', true, 'all there' union all select 'column_types', true, 'as they should be' union all select 'column_count', true, '11 columns'
+union all select 'schema_width', true, '4 columns, 15 expected; missing: ob_date, id_type, version_num, ob_day_cnt, src_id, rec_st_ind, ob_day_cnt_q, prcp_amt_q, prcp_amt_j, meto_stmp_time, midas_stmp_etime; more: none'
+union all select 'station_order', true, '0 rows out of order' union all select 'time_order', true, '0 rows out of order' union all select 'metadata', true, 'isohyet v0.1.0'
+union all select 'one_codec', true, 'SNAPPY' union all select 'statistics', true, 'in all column chunks'""")
 def validation_report(spark, sf_dir):
+    """Checks whose result the data decide, with the limits of full datasets: months are too few rows for a file."""
     root = _plain_tree(spark, sf_dir)
     job = Converter(spark, root, new_path(spark, "converted") + "/rain.parquet")
     job.run()
-    return Validator(spark, job.output, Kind.RAIN, root, Limits(rows_per_file=(1, 1e9), stations=(1, 10**9), group_rows=(1, 1e9))).report()
+    names = "source_files rows_per_file stations date_span required_columns column_types column_count schema_width station_order time_order metadata one_codec statistics".split()
+    return Validator(spark, job.output, Kind.RAIN, root).report().where(F.col("test_name").isin(names)).select("test_name", "passed", "message")
 
 
-@query("select name, n from (values ('file', 1), ('observations', 1)) as t(name, n) where false")
+@query("select 'empty' as dataset, 0 as files, 0 as n_rows union all select 'full', cast(count(*) as integer), cast(count(*) as integer) from supplier")
 def empty_dataset(spark, sf_dir):
-    """A dataset without files converts to nothing."""
+    """A dataset without files converts to nothing, one with files to their rows."""
     root = new_path(spark, "tree") + "/rain"
-    from .sources.discovery import _fs
-
     fs, p = _fs(spark, f"{root}/qcv-1")
     fs.mkdirs(p)
-    stats = Converter(spark, root, f"{root}.parquet").run()
-    return spark.createDataFrame([("file", n) for n in (stats.files_processed, stats.files_failed, stats.total_rows) if n], "name string, n int")
+    full = Converter(spark, _supplier_tree(spark, sf_dir, False), new_path(spark, "converted") + "/rain.parquet").run()
+    empty = Converter(spark, root, f"{root}.parquet").run()
+    rows = [(name, x.files_processed, x.total_rows) for name, x in (("empty", empty), ("full", full))]
+    return spark.createDataFrame(rows, "dataset string, files int, n_rows int")
+
+
+@query("""select cast(s_suppkey as integer) as src_id, lpad(cast(s_suppkey as varchar), 5, '0') as station_id, s_name as station_name, n_name as county, s_suppkey / 4.0 as latitude, -s_suppkey / 8.0 as longitude, s_acctbal as height, 'm' as height_units,
+cast(9 as integer) as rec_st_ind, 'last of ' || s_suppkey as met_domain_name from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 3 <> 0""")
+def station_registry(spark, sf_dir):
+    """Capability files at any depth: of the records of a station the last one with status 9 counts, others do not."""
+    s = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations
+    k = F.col("s_suppkey")
+    head = badc_out.header(F.col("s_name"), F.lpad(k.cast("string"), 5, "0"), F.col("n_name"), k / F.lit(4.0), -k / F.lit(8.0), F.col("s_acctbal"), F.lit("m"))
+    line = lambda status, text: F.concat_ws(",", k.cast("string"), status, F.concat(F.lit(text + " of "), k.cast("string")))
+    real = F.when(k % 3 == 0, F.lit("1")).otherwise(F.lit("9"))
+    rows = F.array(line(real, "first"), line(real, "last"), line(F.lit("1"), "none"))
+    text = badc_out.file_text(head, F.lit("src_id,rec_st_ind,met_domain_name"), rows)
+    files = s.select(F.concat(F.lit("county"), F.col("n_nationkey").cast("string")).alias("county_dir"), F.lpad(k.cast("string"), 5, "0").alias("station_dir"), F.concat(F.lit("capability"), k.cast("string")).alias("file"), text.alias("text"))
+    root = new_path(spark, "tree") + "/uk-daily-rain-obs"
+    badc_out.write_tree(files, root)
+    fs, p = _fs(spark, f"{root}/qcv-1")
+    fs.rename(p, _fs(spark, f"{root}/capability")[1])
+    return registry(spark, [root, f"{root}/none"], ["src_id", "rec_st_ind", "met_domain_name"])
+
+
+@query("""select case user_id % 3 when 0 then 'short' when 1 then 'usual' else 'long' end as layout, case user_id % 3 when 0 then 2 when 2 then 16 end as found, case user_id % 3 when 1 then null else 15 end as expected, case user_id % 3 when 0 then 13 when 2 then 0 end as n_missing, case user_id % 3 when 0 then 0 when 2 then 1 end as n_extra
+from events group by user_id % 3""")
+def schema_width(spark, sf_dir):
+    """Files against the columns that rain files usually have."""
+    usual = EXPECTED[Kind.RAIN]
+    columns = {"short": ["ob_end_ctime", "prcp_amt"], "usual": usual, "long": [*usual, "extra"]}
+    n = F.col("user_id") % 3
+    pick = lambda of: F.when(n == 0, F.lit(of("short"))).when(n == 1, F.lit(of("usual"))).otherwise(F.lit(of("long")))
+    root = _events_tree(spark, sf_dir, F.lit("2024-01-01"), pick(lambda x: ",".join(columns[x])))
+    job = Converter(spark, root)
+    found = {tuple(cols): w for path, w in job.widths().items() for cols in [badc.overview(job.parsed()).lists[path]]}
+    there = {r["n"] for r in table(spark, sf_dir, "events").select((F.col("user_id") % 3).alias("n")).distinct().collect()}
+    rows = []
+    for i, (name, cols) in enumerate(columns.items()):
+        w = found.get(tuple(cols))
+        if i in there:
+            rows.append((name, w and w.found, w and w.expected, w and len(w.missing), w and len(w.extra)))
+    return spark.createDataFrame(rows, "layout string, found int, expected int, n_missing int, n_extra int")
+
+
+@query("select cast(year(o_orderdate) as integer) as year, 'county' || (o_custkey % 4) as county, o_orderkey, o_totalprice from orders")
+def year_county_partitions(spark, sf_dir):
+    """Output in folders by year of the time and by county, read back with both."""
+    out = new_path(spark, "partitioned")
+    o = table(spark, sf_dir, "orders").withColumn("county", F.concat(F.lit("county"), (F.col("o_custkey") % 4).cast("string")))
+    write(o, out, ["o_custkey", "o_orderdate"], ParquetOptions(year_of="o_orderdate", partition_by=("county",)))
+    return spark.read.parquet(out).select("year", "county", "o_orderkey", "o_totalprice")
+
+
+CORES, MEMORY = (1, 4, 8, 32), (7, 256, 16384, 65536)
+SIZES = "least(2000000, greatest(100000, least(2684354, cores * 100000, cast(memory // 8 as bigint) * 1048576 // 100)))"
+
+
+@query(f"""with x as (select cores, memory from (select unnest({list(CORES)}) as cores), (select unnest({list(MEMORY)}) as memory)), a as (select *, {SIZES} as adaptive from x),
+n as (select count(*) * 1000 as rows, count(distinct l_suppkey) as stations from lineitem)
+select cast(cores as integer) as cores, cast(memory as integer) as memory, cast(adaptive as integer) as adaptive, cast(least(2000000, greatest(250000, least(adaptive, (rows // stations) * greatest(stations // cores, 1)))) as integer) as by_station from a, n""")
+def row_group_sizes(spark, sf_dir):
+    """Rows of a row group by cores and memory, for a thousand times the rows of lineitem."""
+    n = obs.summary(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate").first()
+    rows = [(c, m, rows_per_group("adaptive", cores=c, memory_mb=m), rows_per_group("station", rows=1000 * n["n_rows"], stations=n["n_stations"], cores=c, memory_mb=m)) for c in CORES for m in MEMORY]
+    return spark.createDataFrame(rows, "cores int, memory int, adaptive int, by_station int")
+
+
+@query("select 'uk-daily-rain-obs' as name, count(*) as n_files, count(distinct s_nationkey) as n_counties, count(distinct s_suppkey % 40) as n_stations from supplier")
+def dataset_listing(spark, sf_dir):
+    """Datasets of a folder by name, with their files, counties and stations; a station in two counties counts once."""
+    s = table(spark, sf_dir, "supplier")
+    files = s.select(F.concat(F.lit("county"), F.col("s_nationkey").cast("string")).alias("county_dir"), F.concat((F.col("s_suppkey") % 40).cast("string"), F.lit("_s")).alias("station_dir"), F.col("s_name").alias("file"), F.lit("x").alias("text"))
+    cache = new_path(spark, "cache")
+    badc_out.write_tree(files, f"{cache}/uk-daily-rain-obs")
+    for other in ("parquet/qcv-1", "note.txt/qcv-1", "no-dataset"):
+        fs, p = _fs(spark, f"{cache}/{other}")
+        fs.mkdirs(p)
+    rows = [(d.name, *station_level(file_table(spark, d.path)).first()) for d in datasets(spark, cache)]
+    return spark.createDataFrame(rows, "name string, n_files bigint, n_counties bigint, n_stations bigint")
 
 
 @query("select user_id, cast(extract(year from ts) as integer) as year, round(avg(value), 4) as mean from events group by 1, 2")

@@ -12,14 +12,15 @@ from .errors import IsohyetError
 from .operators.convert import Converter, Options
 from .operators.validate import Limits, Validator, report_summary
 from .plans.spec import Kind, kind_of
+from .settings import settings
 from .sinks.parquet import ParquetOptions, codec, merge, report_json
 from .sources.discovery import datasets
 
 
-def cache_dir() -> str:
-    """Where fetched datasets lie: $ISOHYET_CACHE, or a folder of the user's data."""
+def cache_dir(given: str | None = None) -> str:
+    """Where fetched datasets lie: the setting `cache`, or a folder of the user's data."""
     data = os.environ.get("XDG_DATA_HOME") or os.path.expanduser("~/.local/share")
-    return os.environ.get("ISOHYET_CACHE") or f"{data}/isohyet/cache"
+    return given or os.environ.get("ISOHYET_CACHE") or f"{data}/isohyet/cache"
 
 
 def pick(spark: SparkSession, cache: str) -> str:
@@ -37,8 +38,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("dataset", nargs="?", help="folder of the dataset; asked for if left out")
     p.add_argument("-o", "--output-path")
     p.add_argument("--discovery-only", action="store_true", help="tell the schema, write nothing")
-    p.add_argument("--compression", default="snappy")
-    p.add_argument("--empty-columns", choices=("exact", "sample", "off"), default="exact")
+    p.add_argument("--compression")
+    p.add_argument("--empty-columns", choices=("exact", "sample", "off"))
+    p.add_argument("--sample-files", type=int)
+    p.add_argument("--files-per-task", type=int)
+    p.add_argument("--schema-variance", type=int)
+    p.add_argument("--cache", help="folder of the datasets to pick from")
     p.add_argument("--row-groups", choices=("fixed", "adaptive", "station"))
     p.add_argument("--layout", choices=("file", "directory"))
     p.add_argument("--test-merge", metavar="FOLDER", help="merge a folder of Parquet files into the output")
@@ -52,11 +57,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("isohyet").getOrCreate()
     spark.sparkContext.setLogLevel("INFO" if a.verbose else "ERROR")
-    name, warning = codec(a.compression)
-    if warning:
-        print(warning, file=sys.stderr)
-    parquet = ParquetOptions(compression=name if name != "lz4_raw" else "lz4")
     try:
+        given = ("cache", "output_path", "compression", "empty_columns", "row_groups", "layout", "sample_files", "files_per_task", "schema_variance")
+        s = settings({n: getattr(a, n) for n in given})
+        name, warning = codec(s.compression)
+        if warning:
+            print(warning, file=sys.stderr)
+        parquet = ParquetOptions(compression=name if name != "lz4_raw" else "lz4")
         if a.validate:
             report = Validator(spark, a.validate, kind_of(a.validate), a.dataset, Limits()).report().cache()
             report.select("test_name", "passed", "message").show(50, truncate=80)
@@ -67,14 +74,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             kind = kind_of(a.test_merge) if any(k.value in a.test_merge.lower() for k in Kind) else None
             cols = spark.read.parquet(a.test_merge).columns
             time = next((c for c in ([kind.time_column] if kind else ["ob_end_time", "ob_end_ctime"]) if c in cols), None)
-            print(merge(spark, a.test_merge, a.output_path or "merged.parquet", ["station_id"] + ([time] if time else []), parquet), "rows")
+            print(merge(spark, a.test_merge, s.output_path or "merged.parquet", ["station_id"] + ([time] if time else []), parquet), "rows")
             return 0
-        path = a.dataset or pick(spark, cache_dir())
-        job = Converter(spark, path, a.output_path, Options(parquet=parquet, empty_columns=a.empty_columns, row_groups=a.row_groups, layout=a.layout))
+        path = a.dataset or pick(spark, cache_dir(s.cache))
+        options = Options(parquet=parquet, empty_columns=s.empty_columns, sample_files=s.sample_files, row_groups=s.row_groups, layout=s.layout, files_per_task=s.files_per_task, schema_variance=s.schema_variance)
+        job = Converter(spark, path, s.output_path, options)
         if a.discovery_only:
-            job.discover().show(100, truncate=False)
+            print(job.discovered())
             return 0
-        print(job.run())
+        stats = job.run()
+        for warning in stats.warnings:
+            print(f"warning: {warning}", file=sys.stderr)
+        print(stats)
         return 0
     except IsohyetError as e:
         print(f"error: {e}", file=sys.stderr)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +13,18 @@ from pyspark.sql import functions as F
 
 from ..errors import SchemaVarianceExceeded
 from ..functions.lenient import NA_STRINGS
-from ..plans.rowgroups import rows_per_group
-from ..plans.spec import Kind, Schema, is_descriptor, is_timestamp, kind_of
+from ..plans.rowgroups import executor_memory_mb, rows_per_group
+from ..plans.spec import Kind, Schema, Width, is_descriptor, is_timestamp, kind_of, usually_empty
 from ..sinks.parquet import ParquetOptions, write
 from ..sources import badc
-from ..sources.discovery import QC_DIR, files
+from ..sources.discovery import QC_DIR, _fs, files
 
 #: Stations above which output is a directory of ranges rather than one file.
 MANY_STATIONS, MANY_RAIN_STATIONS = 3000, 1000
+#: Rows above which one task no longer sorts all of them.
+MANY_ROWS = 5_000_000
+#: Small files that a task reads: at least, and at most.
+LEAST_FILES, MOST_FILES = 32, 1000
 
 
 @dataclass(frozen=True)
@@ -32,7 +39,9 @@ class Options:
     schema_variance: int | None = None
     #: "fixed", "adaptive" or "station"; None keeps parquet.rows_per_group
     row_groups: str | None = None
-    layout: str | None = None  # None: by number of stations
+    layout: str | None = None  # None: by number of stations and rows
+    #: files that one task reads; None: by their number and the cores
+    files_per_task: int | None = None
 
     def with_(self, **changes) -> Options:
         return replace(self, **changes)
@@ -69,6 +78,29 @@ class Converter:
     def parsed(self) -> DataFrame:
         return badc.headers(badc.whole_files(self.spark, f"{self.path}/{QC_DIR}/*/*/*.csv"))
 
+    @contextmanager
+    def packed(self) -> Iterator[None]:
+        """Meanwhile, many small files go to one task: Spark counts openCostInBytes for each."""
+        conf = self.spark.conf
+        cores = self.spark.sparkContext.defaultParallelism
+        per_task = self.options.files_per_task or max(LEAST_FILES, min(MOST_FILES, -(-len(self.paths) // (4 * cores))))
+        size = conf.get("spark.sql.files.maxPartitionBytes", "128m").lower().removesuffix("b")
+        size = int(size[:-1]) << {"k": 10, "m": 20, "g": 30}[size[-1]] if size[-1:] in "kmg" else int(size)
+        before = conf.get("spark.sql.files.openCostInBytes", None)
+        conf.set("spark.sql.files.openCostInBytes", str(max(1, size // per_task)))
+        try:
+            yield
+        finally:
+            conf.set("spark.sql.files.openCostInBytes", before) if before is not None else conf.unset("spark.sql.files.openCostInBytes")
+
+    def parsed_once(self) -> tuple[DataFrame, str]:
+        """parsed() as a table beside the output, and its folder: each file is opened and parsed once."""
+        folder = f"{self.output}.{uuid.uuid4().hex}.parsed"
+        df = self.parsed().withColumn("n_rows", F.size("rows"))
+        with self.packed():
+            df.write.option("compression", "zstd").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder), folder
+
     def outcomes(self, parsed: DataFrame | None = None) -> DataFrame:
         return badc.outcomes(self.spark, self.parsed() if parsed is None else parsed, self.paths)
 
@@ -82,7 +114,7 @@ class Converter:
         if self.options.empty_columns == "sample":
             rows = parsed.where(F.col("path").isin(self.paths[: self.options.sample_files]))
         counts = badc.column_presence(badc.fields(rows, schema), schema, self.options.na_strings)
-        keys = {self.kind().time_column}
+        keys = {self.kind().time_in(schema.columns)}
         return replace(schema, empty=tuple(n for n, c in counts.items() if not c and n not in keys))
 
     def discover(self) -> DataFrame:
@@ -91,32 +123,61 @@ class Converter:
         rows = [(n, t, n in schema.empty, is_descriptor(n), is_timestamp(n)) for n, t in schema.columns.items()]
         return self.spark.createDataFrame(rows, "name string, type string, is_empty boolean, is_descriptor boolean, is_timestamp boolean")
 
+    def discovered(self) -> str:
+        """What discover() tells, as text: columns and types, empty ones, descriptors and times, files of unusual width."""
+        rows = self.discover().collect()
+        names = lambda key: ", ".join(r["name"] for r in rows if r[key]) or "none"
+        lines = [f"{self.kind().value}: {len(rows)} columns in {len(self.paths)} files", *[f"  {r['name']}: {r['type']}" for r in rows]]
+        lines += [f"empty: {names('is_empty')}", f"descriptors: {names('is_descriptor')}", f"times: {names('is_timestamp')}"]
+        return "\n".join(lines + [f"{path}: {w}" for path, w in self.widths().items()])
+
     def observations(self) -> DataFrame:
         parsed = self.parsed()
         schema = self.schema(parsed)
         return badc.observations(badc.fields(parsed, schema), schema, self.options.na_strings)
 
+    def widths(self, parsed: DataFrame | None = None) -> dict[str, Width]:
+        """Lists of columns that are not as wide as the kind's usual one, by the first path that has each."""
+        seen = badc.overview(self.parsed() if parsed is None else parsed)
+        found = {path: Width.of(self.kind(), cols) for path, cols in seen.lists.items()}
+        return {path: w for path, w in found.items() if w}
+
+    def warnings(self, seen: badc.Overview, schema: Schema) -> tuple[str, ...]:
+        """Files of unusual width, and columns that are not empty though they usually are; neither stops a conversion."""
+        kind = self.kind()
+        out = [f"{path}: {w}" for path, cols in seen.lists.items() if (w := Width.of(kind, cols))]
+        return (*out, *[f"column {c} usually is empty, and is not" for c in usually_empty(kind) if c in schema.kept and self.options.empty_columns == "exact"])
+
     def run(self) -> Stats:
         began = time.monotonic()
         took = lambda: int((time.monotonic() - began) * 1000)
         if not self.paths or self.options.discovery_only:
             return Stats(processing_ms=took())
-        kind, parsed = self.kind(), self.parsed()
-        seen = badc.overview(parsed)
+        parsed, folder = self.parsed_once()
+        try:
+            return replace(self._converted(parsed), processing_ms=took())
+        finally:
+            fs, p = _fs(self.spark, folder)
+            fs.delete(p, True)
+
+    def _converted(self, parsed: DataFrame) -> Stats:
+        kind, seen = self.kind(), badc.overview(parsed)
         failed = len(self.paths) - seen.files  # zero-byte files are among the paths alone
         if not seen.files:
-            return Stats(files_failed=failed, processing_ms=took())
+            return Stats(files_failed=failed)
         self._check_variance(seen)
         schema = self.schema(parsed, seen.schema)
         rows = badc.observations(badc.fields(parsed, schema), schema, self.options.na_strings)
-        options, time_column = self.options.parquet, kind.time_column
+        options, time_column = self.options.parquet, kind.time_in(schema.columns)
         stations = len({p.split("/")[-2] for p in self.paths})
-        layout = self.options.layout or ("directory" if stations > MANY_STATIONS or (kind is Kind.RAIN and stations > MANY_RAIN_STATIONS) else options.layout)
+        many = stations > MANY_STATIONS or (kind is Kind.RAIN and stations > MANY_RAIN_STATIONS) or seen.rows > MANY_ROWS
+        layout = self.options.layout or ("directory" if many else options.layout)
         if self.options.row_groups:
-            options = options.with_(rows_per_group=rows_per_group(self.options.row_groups, rows=seen.rows, stations=stations, cores=self.spark.sparkContext.defaultParallelism))
-        keys = ["station_id"] + ([time_column] if time_column in schema.columns else [])
+            cores = self.spark.sparkContext.defaultParallelism
+            options = options.with_(rows_per_group=rows_per_group(self.options.row_groups, rows=seen.rows, stations=stations, cores=cores, memory_mb=executor_memory_mb(self.spark)))
+        keys = ["station_id"] + ([time_column] if time_column else [])
         n = write(rows, self.output, keys, options.with_(layout=layout))
-        return Stats(seen.files, failed, n, self.output, took())
+        return Stats(seen.files, failed, n, self.output, warnings=self.warnings(seen, schema))
 
     def _check_variance(self, seen: badc.Overview) -> None:
         if self.options.schema_variance is None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Fixed values that decide the sizes; HARD_MOST is what 256 MiB hold of rows of 100 bytes.
 FIXED = 500_000
 LEAST, STATION_LEAST, MOST = 100_000, 250_000, 2_000_000
 PER_CORE = 100_000
@@ -10,6 +11,15 @@ ROW_BYTES, MEMORY_SHARE = 100, 8
 HARD_MOST = 2_684_354
 
 
+def executor_memory_mb(spark) -> int:
+    """Memory of one executor as the session has it; on a local master, the driver's."""
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    text = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g").strip().lower().removesuffix("b")
+    unit = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1 << 20}.get(text[-1:])
+    return max(1, int(float(text[:-1]) * unit)) if unit else max(1, int(text) >> 20)
+
+
 def between(n: int, low: int, high: int) -> int:
     return max(low, min(n, high))
 

@@ -9,14 +9,23 @@ from ..errors import ConfigurationError
 
 
 class Kind(Enum):
+    """Kinds of the eight published datasets: daily and hourly rain, daily and hourly weather, daily and soil temperature,
+    wind, radiation.  A name is looked through for them in this order."""
+
+    SOIL = "soil"
     RAIN = "rain"
     TEMPERATURE = "temperature"
     WIND = "wind"
     RADIATION = "radiation"
+    WEATHER = "weather"
 
     @property
     def time_column(self) -> str:
-        return "ob_end_ctime" if self is Kind.RAIN else "ob_end_time"
+        return {Kind.RAIN: "ob_end_ctime", Kind.SOIL: "ob_time"}.get(self, "ob_end_time")
+
+    def time_in(self, columns) -> str | None:
+        """The time column of a dataset with these columns: the kind's own, or the first other there is."""
+        return next((c for c in (self.time_column, "ob_end_time", "ob_time") if c in columns), None)
 
 
 #: Columns that every dataset gets from the file headers, with their types.
@@ -31,7 +40,7 @@ STATION_COLUMNS = {
 }
 
 # Names and parts of names that decide a type.
-TIME_NAMES = ("ob_end_time", "ob_date", "ob_end_ctime")
+TIME_NAMES = ("ob_end_time", "ob_date", "ob_end_ctime", "ob_time")
 STAMP_PARTS = ("stmp_time", "ctime")
 TEXT_NAMES = ("id", "id_type", "met_domain_name")
 COUNT_NAMES = ("version_num", "ob_hour_count", "ob_day_cnt", "src_id", "rec_st_ind")
@@ -85,6 +94,31 @@ OFTEN_EMPTY = {
 }
 
 
+@dataclass(frozen=True)
+class Width:
+    """What the columns of a file are against those that its kind usually has."""
+
+    expected: int
+    found: int
+    missing: tuple[str, ...]
+    extra: tuple[str, ...]
+
+    @classmethod
+    def of(cls, kind: Kind, columns: list[str]) -> Width | None:
+        """None where the kind has no usual columns, or the number is as usual."""
+        usual = EXPECTED.get(kind)
+        if not usual or len(columns) == len(usual):
+            return None
+        return cls(len(usual), len(columns), tuple(c for c in usual if c not in columns), tuple(c for c in columns if c not in usual))
+
+    def __str__(self) -> str:
+        return f"{self.found} columns, {self.expected} expected; missing: {', '.join(self.missing) or 'none'}; more: {', '.join(self.extra) or 'none'}"
+
+
+def usually_empty(kind: Kind) -> list[str]:
+    return OFTEN_EMPTY.get(kind, [])
+
+
 @dataclass(frozen=True)
 class Schema:
     """Ordered columns of a dataset with their types, and what is known of them."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ def write_tree(files: DataFrame, root: str) -> int:
     fs, p = _fs(spark, f"{staging}/*/*/*/part-*")
     moved = 0
     for status in fs.globStatus(p):
-        a, b, c = (x.split("=", 1)[1] for x in status.getPath().getParent().toString().split("/")[-3:])
+        a, b, c = (unquote(x.split("=", 1)[1]) for x in status.getPath().getParent().toString().split("/")[-3:])
         target = _fs(spark, f"{root}/{QC_DIR}/{a}/{b}/{c}.csv")[1]
         fs.mkdirs(target.getParent())
         fs.rename(status.getPath(), target)

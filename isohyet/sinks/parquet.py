@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime
+from struct import pack
 
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..sources.discovery import _fs, local_path
+from ..sources.discovery import _fs
+from ..sources.footers import MAGIC, footer_bytes, with_key_values
 
 VERSION = "0.1.0"
 # Codecs by the names that users give.
@@ -38,6 +37,8 @@ class ParquetOptions:
     layout: str = "file"
     files: int | None = None
     partition_by: tuple[str, ...] = ()
+    #: time column whose year becomes a column to partition by, before partition_by
+    year_of: str | None = None
 
     def with_(self, **changes) -> ParquetOptions:
         return replace(self, **changes)
@@ -55,6 +56,9 @@ def sorted_rows(df: DataFrame, keys: list[str], options: ParquetOptions) -> Data
 
 def write(df: DataFrame, path: str, keys: list[str], options: ParquetOptions = ParquetOptions(), metadata: dict[str, str] | None = None) -> int:
     """Writes df sorted by keys; the number of rows, counted by the same job that writes."""
+    if options.year_of:
+        df = df.withColumn("year", F.year(options.year_of))
+        options = options.with_(partition_by=("year", *options.partition_by), year_of=None, layout="directory")
     seen = Observation()
     rows = sorted_rows(df, keys, options).observe(seen, F.count(F.lit(1)).alias("n"))
     out = path if options.layout != "file" else f"{path}.{uuid.uuid4().hex}"
@@ -86,31 +90,25 @@ def footer_metadata() -> dict[str, str]:
 
 
 def promote(spark, folder: str, path: str, metadata: dict[str, str]) -> None:
-    """The one part file of a folder becomes the file at path, with metadata in its footer where the store is local."""
-    fs, p = _fs(spark, f"{folder}/part-*.parquet")
-    parts = [s.getPath() for s in fs.globStatus(p)]
-    target = _fs(spark, path)[1]
-    fs.delete(target, True)
-    local = local_path(path)
-    if local:
-        with_metadata(local_path(parts[0].toString()), local, metadata)
-        shutil.rmtree(local_path(folder))
-    else:
-        fs.rename(parts[0], target)
-        fs.delete(_fs(spark, folder)[1], True)
+    """The one part file of a folder becomes the file at path, with metadata in its footer.
 
-
-def with_metadata(source: str, target: str, metadata: dict[str, str]) -> None:
-    """A copy of a Parquet file with more footer metadata; one row group in memory at a time, sizes stay."""
-    with pq.ParquetFile(source) as f:
-        schema = f.schema_arrow.with_metadata((f.schema_arrow.metadata or {}) | {k.encode(): v.encode() for k, v in metadata.items()})
-        first = f.metadata.row_group(0).column(0) if f.metadata.num_row_groups and f.metadata.num_columns else None
-        compression = {"UNCOMPRESSED": "none", "LZ4_RAW": "lz4"}.get(first.compression, first.compression) if first else "snappy"
-        os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
-        with pq.ParquetWriter(target, schema, compression=compression, write_statistics=first.is_stats_set if first else True) as out:
-            for i in range(f.metadata.num_row_groups):
-                t = f.read_row_group(i)
-                out.write_table(t.cast(schema), row_group_size=max(1, t.num_rows))
+    Its pages, indexes and statistics are copied as bytes, and the file that was there stays until the copy is complete.
+    """
+    fs, p = _fs(spark, f"{folder}/part-*.parquet")
+    part = fs.globStatus(p)[0].getPath()
+    begin, footer = footer_bytes(spark, part.toString())
+    footer = with_key_values(footer, metadata)
+    new = _fs(spark, f"{folder}/whole")[1]
+    source, target = fs.open(part), fs.create(new, True)
+    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, target, begin, False)
+    target.write(bytearray(footer + pack("<I", len(footer)) + MAGIC))
+    target.close()
+    source.close()
+    whole = _fs(spark, path)[1]
+    fs.mkdirs(whole.getParent())
+    fs.delete(whole, True)
+    fs.rename(new, whole)
+    fs.delete(_fs(spark, folder)[1], True)
 
 
 def merge(spark, source: str, path: str, keys: list[str], options: ParquetOptions = ParquetOptions()) -> int:
@@ -119,6 +117,8 @@ def merge(spark, source: str, path: str, keys: list[str], options: ParquetOption
 
 
 def report_json(df: DataFrame, path: str) -> None:
-    """Rows of a (small) report as a JSON array."""
-    with open(path, "w") as f:
-        json.dump([json.loads(x) for x in df.toJSON().collect()], f, indent=1)
+    """Rows of a (small) report as a JSON array, in any store."""
+    fs, p = _fs(df.sparkSession, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(json.dumps([json.loads(x) for x in df.toJSON().collect()], indent=1).encode()))
+    stream.close()

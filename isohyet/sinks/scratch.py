@@ -9,22 +9,29 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..errors import ConfigurationError
 from ..sources.discovery import _fs
 
 _collecting: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where the session names none (tests)."""
+    """The folder named by spark.checkpoint.dir; a local one only where the session names none and all runs in one
+    process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ConfigurationError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="isohyet-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def new_path(spark: SparkSession, what: str) -> str:
+    """A folder for a table; it goes when the application ends, if not before."""
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, path)
+    fs.deleteOnExit(p)
     if _collecting:
         _collecting[-1].append(path)
     return path

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..errors import HEADER_FAILED, NO_DATA_MARKER, NOT_UTF8, OK
 from ..functions.lenient import NA_STRINGS, present, to_double, trimmed, typed
 from ..plans.spec import STATION_COLUMNS, Schema
+from .discovery import plain
 
 # Fixed values of the file format.
 DATA, END_DATA, GLOBAL, COMMENT = "data", "end data", "G", "#"
@@ -27,9 +28,9 @@ HEADER_KEYS = {
 }
 
 
-def whole_files(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """(path, lines, valid) of text files; lines without a last empty one."""
-    df = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+def whole_files(spark: SparkSession, paths: Sequence[str] | str, **options) -> DataFrame:
+    """(path, lines, valid) of text files; lines without a last empty one.  options: of Spark's reader."""
+    df = spark.read.options(**options).text(paths if isinstance(paths, str) else list(paths), wholetext=True).select(plain(F.col("_metadata.file_path")).alias("path"), "value")
     lines = F.split("value", "\r?\n")
     lines = F.when(F.try_element_at(lines, F.lit(-1)) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
     return df.select("path", lines.alias("lines"), F.is_valid_utf8("value").alias("valid"))
@@ -147,7 +148,8 @@ def overview(parsed: DataFrame) -> Overview:
 
     One job; a small row for each different list of columns comes to the driver.
     """
-    good = parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path"), F.count("*").alias("files"), F.sum(F.size("rows")).alias("rows"))
+    n_rows = F.col("n_rows") if "n_rows" in parsed.columns else F.size("rows")
+    good = parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path"), F.count("*").alias("files"), F.sum(n_rows).alias("rows"))
     found = sorted(good.collect(), key=lambda r: r["path"])
     lists = {r["path"]: list(r["cols"]) for r in found}
     schema = replace(Schema.of(list(lists.values())), widest=max(map(len, lists.values()), default=0))

@@ -33,6 +33,11 @@ def files(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(p) or []) if s.isFile())
 
 
+def plain(path) -> F.Column:
+    """Column with a path as `files` spells it: file metadata have blanks and `%` encoded, and more slashes."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
 def path_part(path, i: int):
     """Column with a part of a file's path, counted from its end."""
     return F.element_at(F.split(path, "/"), -i)
@@ -41,6 +46,7 @@ def path_part(path, i: int):
 def file_table(spark: SparkSession, root: str) -> DataFrame:
     """(path, county_dir, station_dir, length) of all files, by a distributed listing."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{root}/{QC_DIR}/*/*/*.csv")
+    df = df.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
     return df.select("path", path_part("path", 3).alias("county_dir"), path_part("path", 2).alias("station_dir"), "length")
 
 
@@ -80,6 +86,11 @@ def size_estimate(spark: SparkSession, root: str) -> str:
     return found.select(size_text(F.col("n"), F.col("b"))).first()[0]
 
 
+def station_counts(df: DataFrame) -> DataFrame:
+    """(n_files, n_counties, n_stations) of a file table; a station's name counts once, whatever its counties."""
+    return df.agg(F.count("*").alias("n_files"), F.countDistinct("county_dir").alias("n_counties"), F.countDistinct("station_dir").alias("n_stations"))
+
+
 def local_path(path: str) -> str | None:
     """The path in the local file system, or None where it is in another store."""
     u = urlparse(path)

@@ -15,6 +15,7 @@ from ..sources.discovery import QC_DIR
 
 def stream(spark: SparkSession, root: str, output: str, schema: Schema, kind: Kind, *, checkpoint: str, files_per_batch: int = 1000, na_strings=NA_STRINGS) -> StreamingQuery:
     """Appends the observations of new files under root to output; schema is fixed, other columns of files are left out.
+    What became of each file is a row of <output>.outcomes: path, status, error, n_rows, and the columns that were left out.
 
     A batch that is run again after a failure replaces its own folder, so each file is there once.
     """
@@ -27,6 +28,10 @@ def stream(spark: SparkSession, root: str, output: str, schema: Schema, kind: Ki
         lines = F.when(F.try_element_at(lines, F.lit(-1)) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
         good = F.is_valid_utf8(F.col("content").cast("string"))
         parsed = badc.headers(batch.select("path", F.when(good, lines).otherwise(F.array(F.lit(""))).alias("lines"), good.alias("valid")))
+        ok = F.col("status") == OK
+        left_out = F.array_except(F.when(ok, F.col("cols")).otherwise(F.array().cast("array<string>")), F.array(*[F.lit(n) for n in schema.columns]))
+        told = parsed.select("path", "status", "error", F.when(ok, F.size("rows")).otherwise(0).alias("n_rows"), left_out.alias("left_out"))
+        told.write.mode("overwrite").parquet(f"{output}.outcomes/batch={number}")
         rows = badc.observations(badc.fields(parsed.where(F.col("status") == OK), schema), schema, na_strings)
         keys = ["station_id"] + ([kind.time_column] if kind.time_column in names else [])
         by = [F.col(k).asc_nulls_last() for k in keys]

@@ -171,6 +171,99 @@ def test_output_options(spark, tree, tmp_path):
     assert merge(spark, out, str(tmp_path / "merged.parquet"), ["station_id", "ob_end_ctime"]) == 30
 
 
+def test_odd_paths(spark, tree):
+    """Blanks, per cents and plus signs in folders: outcomes and the sample find these files."""
+    root = tree({"a b/00001_a b/f.csv": text(), "c%20d/00002_c%20d/g+h.csv": text(id="2"), "é/00003_%/x%2By.csv": text("2023-01-01,NA,1\n", id="3"), "a b/00004/bad one.csv": "nothing"}, "uk daily rain%20obs")
+    job = Converter(spark, root, options=Options(empty_columns="sample", sample_files=1))
+    got = {r["path"].rsplit("/", 1)[1]: (r["status"], r["n_rows"]) for r in job.outcomes().collect()}
+    assert got == {"f.csv": ("ok", 3), "g+h.csv": ("ok", 3), "x%2By.csv": ("ok", 1), "bad one.csv": ("NoDataMarker", 0)}
+    stats = job.run()
+    assert (stats.files_processed, stats.files_failed, stats.total_rows) == (3, 1, 7)
+    assert "prcp_amt" in spark.read.parquet(job.output).columns
+    assert {r["path"].rsplit("/", 1)[1] for r in file_table(spark, root).collect()} == set(got)
+
+
+def test_one_file_keeps_all_options(spark, tree, tmp_path):
+    """No page is written anew: dictionary, bloom filters, page index and statistics are as the writer made them."""
+    root = tree({"a/s/f.csv": text("".join(f"2023-01-{d:02d},{d % 3}.0,0\n" for d in range(1, 31)))})
+    out = str(tmp_path / "x.parquet")
+    for dictionary, statistics in ((True, True), (False, False)):
+        options = ParquetOptions(dictionary=dictionary, statistics=statistics, bloom_columns=("station_id",), page_bytes=64)
+        Converter(spark, root, out, Options(parquet=options)).run()
+        f = pq.ParquetFile(out)
+        columns = [f.metadata.row_group(0).column(i) for i in range(f.metadata.num_columns)]
+        assert all(c.is_stats_set == statistics for c in columns)
+        plain = [c for c in columns if c.path_in_schema == "prcp_amt"][0]
+        assert ("RLE_DICTIONARY" in plain.encodings or "PLAIN_DICTIONARY" in plain.encodings) == dictionary
+        assert all(c.has_offset_index for c in columns)
+        assert f.read().num_rows == 30 and spark.read.parquet(out).count() == 30
+    assert [x.name for x in tmp_path.iterdir() if x.name.startswith("x.") and not x.name.endswith(".crc")] == ["x.parquet"]
+
+
+def test_footer_metadata_is_all_that_changes():
+    import io
+
+    import pyarrow as pa
+
+    from isohyet.sources.footers import metadata_of, with_key_values
+
+    for n in (1, 13, 14, 40):
+        sink = io.BytesIO()
+        schema = pa.schema([("a", pa.int64()), ("b", pa.list_(pa.string()))], metadata={f"k{i}": "v" * i * 9 for i in range(n)})
+        pq.write_table(pa.table({"a": [1, 2], "b": [["x"], None]}, schema=schema), sink)
+        data = sink.getvalue()
+        size = int.from_bytes(data[-8:-4], "little")
+        before = metadata_of(data[-8 - size : -8])
+        after = metadata_of(with_key_values(data[-8 - size : -8], {"created_by": "é" * 200, "x": ""}))
+        assert after.metadata == (before.metadata or {}) | {b"created_by": ("é" * 200).encode(), b"x": b""}
+        assert after.to_dict()["row_groups"] == before.to_dict()["row_groups"] and after.schema.equals(before.schema)
+
+
+def test_widths_warn(spark, tree):
+    job = Converter(spark, tree({"a/s/f.csv": text()}))
+    stats = job.run()
+    assert len(stats.warnings) == 1 and "3 columns, 15 expected" in stats.warnings[0]
+    assert "rain: 3 columns in 1 files" in job.discovered() and "times: ob_end_ctime" in job.discovered()
+
+
+def test_many_rows_go_to_several_files(spark, tree, monkeypatch):
+    from isohyet.operators import convert
+
+    monkeypatch.setattr(convert, "MANY_ROWS", 2)
+    job = Converter(spark, tree({"a/s/f.csv": text()}), options=Options(files_per_task=7))
+    before = spark.conf.get("spark.sql.files.openCostInBytes", None)
+    job.run()
+    assert spark.read.parquet(job.output).count() == 3 and spark.conf.get("spark.sql.files.openCostInBytes", None) == before
+    with pytest.raises(Exception, match="not a file|Is a directory|directory"):
+        pq.ParquetFile(job.output)
+
+
+def test_order_over_runs_and_files(spark, monkeypatch):
+    from isohyet.operators import observations as obs
+
+    monkeypatch.setattr(obs, "RUN", 3)
+    rows = [("f1", i, s, t) for i, (s, t) in enumerate([("a", 1), ("a", 2), ("a", 3), ("a", 2), ("b", 1), ("b", None), ("b", 5), ("a", 9)])]
+    rows += [("f2", 0, "a", 8), ("f2", 1, "c", 1), ("f3", 0, None, 1), ("f4", 0, "d", 1)]
+    df = spark.createDataFrame(rows, "f string, r long, s string, t int")
+    got = {r.file: (r.n_station, r.n_time, r.n_between) for r in obs.order_violations(df, "s", "t", obs.F.col("f"), obs.F.col("r")).collect()}
+    assert got == {"f1": (1, 2, 0), "f2": (0, 0, 1), "f3": (0, 0, 0), "f4": (0, 0, 1)}
+
+
+def test_equal_records_give_the_same_one_each_time(spark):
+    from isohyet.operators import observations as obs
+
+    rows = [("k", 1, 2, v) for v in "dacb"]
+    for n in (1, 2, 4):
+        df = spark.createDataFrame(rows, "k string, rec_st_ind int, version_num int, v string").repartition(n)
+        assert [r.v for r in obs.one_record_each(df, ["k"]).collect()] == ["a"]
+
+
+def test_kinds_of_all_datasets():
+    names = ["uk-daily-rain-obs", "uk-hourly-rain-obs", "uk-daily-weather-obs", "uk-hourly-weather-obs", "uk-daily-temperature-obs", "uk-soil-temperature-obs", "uk-mean-wind-obs", "uk-radiation-obs"]
+    assert [kind_of(n).value for n in names] == ["rain", "rain", "weather", "weather", "temperature", "soil", "wind", "radiation"]
+    assert Kind.WEATHER.time_in(["ob_time", "x"]) == "ob_time" and Kind.SOIL.time_in(["x"]) is None and Kind.RAIN.time_in(["ob_end_time"]) == "ob_end_time"
+
+
 def test_validation(spark, tree):
     root = tree({"a/s/f.csv": text(), "a/t/f.csv": text(id="00002")})
     job = Converter(spark, root)

@@ -34,11 +34,58 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     run = lambda: stream(spark, str(root), out, schema, Kind.RAIN, checkpoint=checkpoint).awaitTermination()
     run()
     assert spark.read.parquet(out).count() == 3
-    put(root, "a/s2/3.csv", text("2023-01-05,1.0,0\n", id="00002"))
+    put(root, "a/s2/3.csv", text("2023-01-05,1.0,0,z\n", COLS + ",new_column", id="00002"))
     run()
     run()
     got = spark.read.parquet(out)
     assert got.count() == 4 and {r.station_id for r in got.collect()} == {"00001", "00002"}
+    told = {r.path[-5:]: (r.status, r.n_rows, r.left_out) for r in spark.read.parquet(f"{out}.outcomes").collect()}
+    assert told == {"1.csv": ("ok", 3, []), "2.csv": ("NoDataMarker", 0, []), "3.csv": ("ok", 1, ["new_column"])}
+
+
+def test_settings_in_layers(tmp_path):
+    from isohyet.errors import ConfigurationError
+    from isohyet.settings import settings as layered
+
+    file = tmp_path / "isohyet" / "config.toml"
+    file.parent.mkdir()
+    file.write_text('compression = "zstd"\nsample_files = 4\nlayout = "file"\n')
+    env = {"XDG_CONFIG_HOME": str(tmp_path), "ISOHYET_SAMPLE_FILES": "7", "ISOHYET_LAYOUT": "directory"}
+    got = layered({"layout": "file", "compression": None}, env)
+    assert (got.compression, got.sample_files, got.layout, got.empty_columns) == ("zstd", 7, "file", "exact")
+    assert layered({}, {"HOME": str(tmp_path)}) == layered({}, {"HOME": str(tmp_path / "none")})
+    for bad in ({"ISOHYET_LAYOUT": "tree"}, {"ISOHYET_SAMPLE_FILES": "0"}, {"ISOHYET_SAMPLE_FILES": "x"}, {"ISOHYET_CONFIG": str(tmp_path / "none.toml")}):
+        with pytest.raises(ConfigurationError):
+            layered({}, {"HOME": str(tmp_path)} | bad)
+    file.write_text("colour = 1")
+    with pytest.raises(ConfigurationError, match="colour"):
+        layered({}, env)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from isohyet.errors import ConfigurationError
+    from isohyet.sinks.scratch import shared_dir
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ConfigurationError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+
+
+def test_memory_of_executors():
+    from types import SimpleNamespace
+
+    from isohyet.plans.rowgroups import executor_memory_mb
+
+    def session(master, **conf):
+        get = lambda key, default: conf.get(key.replace(".", "_"), default)
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=get)))
+
+    assert executor_memory_mb(session("spark://h", spark_executor_memory="24g")) == 24576
+    assert executor_memory_mb(session("yarn", spark_executor_memory="1500m")) == 1500
+    assert executor_memory_mb(session("local[4]", spark_driver_memory="2gb")) == 2048
+    assert executor_memory_mb(session("yarn")) == 1024
 
 
 def test_cli(spark, tmp_path, capsys):
