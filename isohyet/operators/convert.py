@@ -76,28 +76,36 @@ class Converter:
         return kind_of(self.path.rsplit("/", 1)[-1], first, f"{self.path}/{self.paths[0] if self.paths else ''}")
 
     def parsed(self) -> DataFrame:
-        return badc.headers(badc.whole_files(self.spark, f"{self.path}/{QC_DIR}/*/*/*.csv"))
+        """Headers and lines of all files.  One folder is listed at all depths, which takes far less than each file by its
+        name; files that are not at the third level are then left out."""
+        lines = badc.whole_files(self.spark, f"{self.path}/{QC_DIR}", recursiveFileLookup=True, pathGlobFilter="*.csv")
+        below = F.substring_index("path", f"/{QC_DIR}/", -1)
+        return badc.headers(lines.where(F.size(F.split(below, "/")) == 3))
 
     @contextmanager
     def packed(self) -> Iterator[None]:
-        """Meanwhile, many small files go to one task: Spark counts openCostInBytes for each."""
+        """Meanwhile, many small files go to one task, for which Spark counts openCostInBytes for each, and many folders are
+        listed by one task, not each by its own."""
         conf = self.spark.conf
         cores = self.spark.sparkContext.defaultParallelism
         per_task = self.options.files_per_task or max(LEAST_FILES, min(MOST_FILES, -(-len(self.paths) // (4 * cores))))
         size = conf.get("spark.sql.files.maxPartitionBytes", "128m").lower().removesuffix("b")
         size = int(size[:-1]) << {"k": 10, "m": 20, "g": 30}[size[-1]] if size[-1:] in "kmg" else int(size)
-        before = conf.get("spark.sql.files.openCostInBytes", None)
-        conf.set("spark.sql.files.openCostInBytes", str(max(1, size // per_task)))
+        new = {"spark.sql.files.openCostInBytes": max(1, size // per_task), "spark.sql.sources.parallelPartitionDiscovery.parallelism": 2 * cores}
+        before = {key: conf.get(key, None) for key in new}
+        for key, value in new.items():
+            conf.set(key, str(value))
         try:
             yield
         finally:
-            conf.set("spark.sql.files.openCostInBytes", before) if before is not None else conf.unset("spark.sql.files.openCostInBytes")
+            for key, value in before.items():
+                conf.set(key, value) if value is not None else conf.unset(key)
 
     def parsed_once(self) -> tuple[DataFrame, str]:
         """parsed() as a table beside the output, and its folder: each file is opened and parsed once."""
         folder = f"{self.output}.{uuid.uuid4().hex}.parsed"
-        df = self.parsed().withColumn("n_rows", F.size("rows"))
         with self.packed():
+            df = self.parsed().withColumn("n_rows", F.size("rows"))
             df.write.option("compression", "zstd").parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder), folder
 
