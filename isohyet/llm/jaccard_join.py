@@ -402,6 +402,9 @@ class Links:
         return pa.table({c: pa.array(x, pa.int64()) for c, x in cols.items()})
 
 
+#: Parts of the rows of one set or group, where something is joined to them.
+SALTS = 32
+
 LINKS = "a long, b long, d0 long, d1 long, n long"
 SETS = "doc_id long, n_shingles long, rows long, lead long, d0 long, d1 long, component long, p int, q int, block int, grams binary"
 
@@ -457,7 +460,8 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
     groups = components(agree.select("a", "b"))
     # blocks by hash, so that none needs to be counted; every pair of blocks is a task.  Blocks grow with the root of their
     # group, or else the sets of a large one would be sent too often
-    dealt = groups.join(groups.groupBy("component").agg(F.count("*").alias("_sets")), "component")
+    sizes = groups.groupBy("component").agg(F.count("*").alias("_sets")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = groups.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(sizes, ["component", "_salt"]).drop("_salt")
     dealt = dealt.withColumn("_blocks", F.ceil(F.col("_sets") / F.greatest(F.lit(block_docs), 2 * F.sqrt("_sets"))).cast("int")).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least(o, F.col("_block")).alias("p"), F.greatest(o, F.col("_block")).alias("q")))
     dealt = dealt.select(F.col("node").alias("b"), F.struct("node", "component", "_block", pairs.alias("pairs")).alias("deal"))
@@ -506,10 +510,6 @@ def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id")).drop("component")
 
 
-#: Parts of the rows of one set, where their links are joined to them.
-SALTS = 32
-
-
 def counted_links(docs: DataFrame, n: int = 3, percent: int = 90, **options) -> DataFrame:
     """linked() with n_links: with how many other rows each one links."""
     rows, links = joined(docs, n, percent, **options)
