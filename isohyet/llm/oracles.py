@@ -25,8 +25,9 @@ pairs as (select a.doc_id as x, b.doc_id as y, any_value(a.n) as m, any_value(b.
 links as (select x, y from pairs where 100 * o >= 90 * (m + n - o)),
 ways as (select x, y from links union all select y, x from links),
 reach as (select x as node, y as seen from ways union select reach.node, ways.y from reach join ways on reach.seen = ways.x)
-select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id
+select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id, coalesce(c.n, 0) as n_links
 from sets left join (select node, min(seen) as m from reach group by node) r on r.node = doc_id
+left join (select x, count(*) as n from ways group by x) c on c.x = doc_id
 """
 
 OP9 = """
