@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import collecting, hand_over, remove, written
 
 
 #: Parts in which the neighbours of a node are gathered.
@@ -29,10 +29,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large stars and small stars take turns until no edge changes: each round links a node's neighbours to the smallest of
     them, so the number of edges never grows and no node's neighbours are gathered.  The rounds needed grow with the
-    square of the logarithm of the number of nodes.  Each round is written to the shared folder.  Loops and repeated edges do no harm; nodes without edges are not in the result.
+    square of the logarithm of the number of nodes.  Each round is written to the shared folder, and the one before goes.  Loops and repeated edges do no harm; nodes without edges are not in the result.
     """
     hi, lo = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    edges = written(edges.where("a <> b").select(hi, lo).distinct(), "edges")
+    last: list[str] = []
+    with collecting(last):
+        edges = written(edges.where("a <> b").select(hi, lo).distinct(), "edges")
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -42,10 +44,15 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: each smaller neighbour of u, and u, to the smallest
         ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
         small = with_least(large).select(F.explode(ends).alias("e")).select("e.*")
-        edges = written(small.where("u <> v").distinct(), "edges")
+        new: list[str] = []
+        with collecting(new):
+            edges = written(small.where("u <> v").distinct(), "edges")
+        remove(edges.sparkSession, last)
+        last = new
         before, state = state, _state(edges)
         if state == before:
             break
+    hand_over(last)
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, as_array, bucket_edges, bucket_of, buckets_for, chunked, gram_hashes, member, over, returned, spaced, unzip, words_of, zip_
-from .common import mix, table, written
+from .common import collecting, mix, remove, table, written
 from .components import components
 from .winnowing import class_starts
 
@@ -413,9 +413,11 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
     """(doc_id, n_shingles, rows, lead, d0, d1) of docs(doc_id, text): how many rows have the set, their smallest doc_id (null
     without a set or doc_id), and its digest; and links as a written table: (a, b) of documents that connect all that links
     connect, and (d0, d1, n) with the number of rows of other sets that a set links with, from one pair of blocks each."""
-    chunks = chunked(docs, chunk_bytes)
-    n_buckets = buckets_for(chunks.count(), 4)
-    seen = look(chunks, n, n_buckets)
+    spent: list[str] = []  # tables that nothing reads once the sets are written
+    with collecting(spent):
+        chunks = chunked(docs, chunk_bytes)
+        n_buckets = buckets_for(chunks.count(), 4)
+        seen = look(chunks, n, n_buckets)
     hot = chunks.sparkSession.sparkContext.broadcast(frequent_grams(seen, hot_docs, hot_grams))  # 16 bytes each
     with_classes = returned(chunks, (classes(seen), "classes"))
 
@@ -456,8 +458,9 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
         a, b = different_rows(pairs[:, 0], pairs[:, 1])
         return pa.table({"chunk": pa.array(np.full(len(a), t["chunk"][0].as_py()), pa.int64()), "a": pa.array(a), "b": pa.array(b)})
 
-    agree = written(met.groupBy("chunk").applyInArrow(different, "chunk long, a long, b long"), "agreeing")
-    groups = components(agree.select("a", "b"))
+    with collecting(spent):
+        agree = written(met.groupBy("chunk").applyInArrow(different, "chunk long, a long, b long"), "agreeing")
+        groups = components(agree.select("a", "b"))
     # blocks by hash, so that none needs to be counted; every pair of blocks is a task.  Blocks grow with the root of their
     # group, or else the sets of a large one would be sent too often
     sizes = groups.groupBy("component").agg(F.count("*").alias("_sets")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -483,6 +486,7 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
                     yield known(i) | {"doc_id": ids[i], "n_shingles": None, "component": d["component"], "p": pair["p"], "q": pair["q"], "block": d["_block"], "grams": grams}
 
     sets = written(over(returned(with_classes, (deals, "deal")), give, SETS), "sets")
+    remove(chunks.sparkSession, spent)
 
     def join(t: pa.Table) -> pa.Table:
         found = [as_array(x, "<u8") for x in t["grams"].to_pylist()]

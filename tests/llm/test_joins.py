@@ -331,3 +331,35 @@ def test_fingerprints_edges(spark):
     twice = fingerprints.fingerprints(documents(spark)).collect()
     assert len(twice) == len(rows())
     assert "Python" not in fingerprints.fingerprints(documents(spark))._jdf.queryExecution().toString()
+
+
+def test_spent_shuffles_and_tables_go_at_once(spark, monkeypatch):
+    """What a step of the join has read stays on no disk while the next ones run."""
+    import time
+
+    from isohyet.llm import jaccard_join
+    from isohyet.sinks import scratch
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return sum("/shuffle_" in x for x in files.split("\n"))
+
+    def tables():
+        fs, p = scratch._fs(spark, scratch.shared_dir(spark) + "/*")
+        return {s.getPath().getName() for s in fs.globStatus(p) or []}
+
+    before = shuffles()
+    df = scratch.written(spark.range(1000).repartition(3, "id"), "some")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and df.count() == 1000
+    had, mine = tables(), []
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i // 2}") for i in range(20)], "doc_id long, text string")
+    with scratch.collecting(mine):
+        rows, _ = jaccard_join.joined(docs)
+        assert {x.rsplit("-", 5)[0] for x in tables() - had} == {"sets", "links"}
+        assert jaccard_join.with_components(rows, _).count() == 20
+    scratch.remove(spark, mine)
+    assert tables() <= had
