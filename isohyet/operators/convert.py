@@ -17,14 +17,14 @@ from ..plans.rowgroups import executor_memory_mb, rows_per_group
 from ..plans.spec import Kind, Schema, Width, is_descriptor, is_timestamp, kind_of, usually_empty
 from ..sinks.parquet import ParquetOptions, write
 from ..sources import badc
-from ..sources.discovery import QC_DIR, _fs, files
+from ..sources.discovery import MOST_FILES, QC_DIR, _fs, few_listings, files, packed_tasks
 
 #: Stations above which output is a directory of ranges rather than one file.
 MANY_STATIONS, MANY_RAIN_STATIONS = 3000, 1000
 #: Rows above which one task no longer sorts all of them.
 MANY_ROWS = 5_000_000
-#: Small files that a task reads: at least, and at most.
-LEAST_FILES, MOST_FILES = 32, 1000
+#: Small files that a task reads, at least.
+LEAST_FILES = 32
 
 
 @dataclass(frozen=True)
@@ -78,20 +78,20 @@ class Converter:
     def parsed(self) -> DataFrame:
         """Headers and lines of all files.  One folder is listed at all depths, which takes far less than each file by its
         name; files that are not at the third level are then left out."""
-        lines = badc.whole_files(self.spark, f"{self.path}/{QC_DIR}", recursiveFileLookup=True, pathGlobFilter="*.csv")
+        with few_listings(self.spark):
+            lines = badc.whole_files(self.spark, f"{self.path}/{QC_DIR}", recursiveFileLookup=True, pathGlobFilter="*.csv")
         below = F.substring_index("path", f"/{QC_DIR}/", -1)
-        return badc.headers(lines.where(F.size(F.split(below, "/")) == 3))
+        return badc.headers(packed_tasks(lines, len(self.paths)).where(F.size(F.split(below, "/")) == 3))
 
     @contextmanager
     def packed(self) -> Iterator[None]:
-        """Meanwhile, many small files go to one task, for which Spark counts openCostInBytes for each, and many folders are
-        listed by one task, not each by its own."""
+        """Meanwhile, many small files go to one task, for which Spark counts openCostInBytes for each."""
         conf = self.spark.conf
         cores = self.spark.sparkContext.defaultParallelism
         per_task = self.options.files_per_task or max(LEAST_FILES, min(MOST_FILES, -(-len(self.paths) // (4 * cores))))
         size = conf.get("spark.sql.files.maxPartitionBytes", "128m").lower().removesuffix("b")
         size = int(size[:-1]) << {"k": 10, "m": 20, "g": 30}[size[-1]] if size[-1:] in "kmg" else int(size)
-        new = {"spark.sql.files.openCostInBytes": max(1, size // per_task), "spark.sql.sources.parallelPartitionDiscovery.parallelism": 2 * cores}
+        new = {"spark.sql.files.openCostInBytes": max(1, size // per_task)}
         before = {key: conf.get(key, None) for key in new}
         for key, value in new.items():
             conf.set(key, str(value))
@@ -146,7 +146,9 @@ class Converter:
 
     def widths(self, parsed: DataFrame | None = None) -> dict[str, Width]:
         """Lists of columns that are not as wide as the kind's usual one, by the first path that has each."""
-        seen = badc.overview(self.parsed() if parsed is None else parsed)
+        return self.widths_of(badc.overview(self.parsed() if parsed is None else parsed))
+
+    def widths_of(self, seen: badc.Overview) -> dict[str, Width]:
         found = {path: Width.of(self.kind(), cols) for path, cols in seen.lists.items()}
         return {path: w for path, w in found.items() if w}
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.discovery import QC_DIR, _fs
+from ..sources.discovery import QC_DIR, _fs, mounted
 
 
 def header(name: Column, station: Column, county: Column, lat: Column, lon: Column, height: Column, units: Column) -> Column:
@@ -24,11 +28,51 @@ def file_text(head: Column, columns: Column, rows: Column, closed: bool = True)
 def write_tree(files: DataFrame, root: str) -> int:
     """files(county_dir, station_dir, file, text) under root/qcv-1; the number of files.
 
-    Spark names its own part files, so each is renamed; that is one call a file on the driver.
+    In a file system that all machines mount, tasks write the files themselves, each under another name until it is whole.
+    Rows of one file are its lines, one after another.
     """
     spark = files.sparkSession
+    rows = files.select(F.col("county_dir").alias("a"), F.col("station_dir").alias("b"), F.col("file").alias("c"), "text").repartition("a", "b", "c")
+    folder = mounted(spark, f"{root}/{QC_DIR}")
+    if folder is None:
+        return _write_and_rename(rows, root)
+    os.makedirs(folder, exist_ok=True)
+    names = [F.coalesce(F.nullif(F.col(x), F.lit("")), F.lit(NO_NAME)).alias(x) for x in "abc"]
+    rows = rows.select(*names, "text").sortWithinPartitions("a", "b", "c")
+    return rows.mapInArrow(_writer(folder), "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+#: What Spark calls the folder of a partition without a name.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: set[str] = set()
+        n = 0
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for (a, b, c), same in groupby(rows, key=lambda r: r[:3]):
+            target = f"{folder}/{a}/{b}/{c}.csv"
+            parent = os.path.dirname(target)
+            if parent not in made:
+                os.makedirs(parent, exist_ok=True)
+                made.add(parent)
+            part = f"{target}.{uuid.uuid4().hex}"
+            with open(part, "wb") as out:
+                for row in same:
+                    out.write((row[3] or "").encode() + b"\n")
+            os.replace(part, target)
+            n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return run
+
+
+def _write_and_rename(rows: DataFrame, root: str) -> int:
+    """In other stores Spark writes under names of its own, so each file is renamed; that is one call a file on the driver."""
+    spark = rows.sparkSession
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    files.select(F.col("county_dir").alias("a"), F.col("station_dir").alias("b"), F.col("file").alias("c"), "text").repartition("a", "b", "c").write.partitionBy("a", "b", "c").option("lineSep", "\n").text(staging)
+    rows.write.partitionBy("a", "b", "c").option("lineSep", "\n").text(staging)
     fs, p = _fs(spark, f"{staging}/*/*/*/part-*")
     moved = 0
     for status in fs.globStatus(p):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,7 +128,7 @@ def headers(df: DataFrame) -> DataFrame:
 
 def outcomes(spark: SparkSession, parsed: DataFrame, paths: Sequence[str]) -> DataFrame:
     """(path, status, error, n_rows) of all files; those of zero bytes, which readers leave out, have no data marker."""
-    all_files = spark.createDataFrame([(p,) for p in paths], "path string")
+    all_files = spark.createDataFrame(pa.table({"path": pa.array(paths, pa.string())}), "path string")
     seen = parsed.select("path", "status", "error", F.when(F.col("status") == OK, F.size("rows")).otherwise(0).alias("n_rows"))
     df = all_files.join(seen, "path", "left")
     return df.select("path", F.coalesce("status", F.lit(NO_DATA_MARKER)).alias("status"), F.when(F.col("status").isNull(), F.lit("no data marker")).otherwise(F.col("error")).alias("error"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

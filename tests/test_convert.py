@@ -315,3 +315,41 @@ def test_default_output():
 def test_read_in_one_call(spark, tree):
     root = tree({"a/s/f.csv": text()})
     assert badc.read(spark, f"{root}/qcv-1/*/*/*.csv").count() == 3
+
+
+def written_tree(root):
+    return {str(p.relative_to(root)): p.read_bytes() for p in (root / "qcv-1").rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+
+
+def test_trees_are_written_by_tasks(spark, tmp_path, monkeypatch):
+    """Files that tasks write are those that Spark writes and the driver renames; the driver renames none of them."""
+    from isohyet.sinks import badc as badc_out
+
+    rows = [("a b", "00001_c%20d", "f 1", "x\ny"), ("a b", "00001_c%20d", "f 1", "z"), ("é", "00002+e%", "g", ""), ("a", "s", "h", "é\n")]
+    df = spark.createDataFrame(rows, "county_dir string, station_dir string, file string, text string").coalesce(1)
+    with monkeypatch.context() as m:
+        m.setattr(badc_out, "mounted", lambda *_: None)
+        assert badc_out.write_tree(df, str(tmp_path / "renamed")) == 3
+    monkeypatch.setattr(badc_out, "_write_and_rename", None)
+    assert badc_out.write_tree(df, f"file://{tmp_path}/tasks") == 3
+    assert written_tree(tmp_path / "tasks") == written_tree(tmp_path / "renamed")
+    assert badc_out.write_tree(df.limit(0), str(tmp_path / "none")) == 0 and files(spark, str(tmp_path / "none")) == []
+
+
+def test_files_are_listed_without_a_call_for_each(spark, tree, monkeypatch):
+    """The same paths as the other stores' listing; folders with the name of a file are none."""
+    from isohyet.sources import discovery
+
+    root = tree({"a b/s%1/f.csv": text(), "a b/s%1/zero.csv": "", "é/s+2/.hidden.csv": "x", "é/s+2/folder.csv/g.csv": text(), "é/top.csv": text(), "é/s+2/n.txt": "x"})
+    found = files(spark, root)
+    assert [x.rsplit("/", 1)[1] for x in found] == ["f.csv", "zero.csv", ".hidden.csv"] and all(x.startswith("file:/") for x in found)
+    monkeypatch.setattr(discovery, "mounted", lambda *_: None)
+    assert files(spark, root) == found
+    assert [r["path"] for r in file_table(spark, root).collect()] == found[:1]
+
+
+def test_many_files_take_few_tasks(spark, tree):
+    root = tree({f"a/s{i}/f.csv": text(id=str(i)) for i in range(700)})
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert Converter(spark, root).parsed().rdd.getNumPartitions() <= most
+    assert file_table(spark, root).rdd.getNumPartitions() <= most
