@@ -471,7 +471,8 @@ def schema_width(spark, sf_dir):
     pick = lambda of: F.when(n == 0, F.lit(of("short"))).when(n == 1, F.lit(of("usual"))).otherwise(F.lit(of("long")))
     root = _events_tree(spark, sf_dir, F.lit("2024-01-01"), pick(lambda x: ",".join(columns[x])))
     job = Converter(spark, root)
-    found = {tuple(cols): w for path, w in job.widths().items() for cols in [badc.overview(job.parsed()).lists[path]]}
+    seen = badc.overview(job.parsed())
+    found = {tuple(seen.lists[path]): w for path, w in job.widths_of(seen).items()}
     there = {r["n"] for r in table(spark, sf_dir, "events").select((F.col("user_id") % 3).alias("n")).distinct().collect()}
     rows = []
     for i, (name, cols) in enumerate(columns.items()):

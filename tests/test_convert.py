@@ -353,3 +353,15 @@ def test_many_files_take_few_tasks(spark, tree):
     most = 4 * spark.sparkContext.defaultParallelism
     assert Converter(spark, root).parsed().rdd.getNumPartitions() <= most
     assert file_table(spark, root).rdd.getNumPartitions() <= most
+
+
+def test_widths_need_one_look_at_all_files(spark, monkeypatch):
+    import os
+
+    from isohyet import catalog
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no tables here")
+    calls, look = [], badc.overview
+    monkeypatch.setattr(badc, "overview", lambda parsed: calls.append(1) or look(parsed))
+    assert catalog.schema_width(spark, "/root/testdata/sf0.001").count() == 3 and len(calls) == 1
