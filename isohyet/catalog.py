@@ -392,7 +392,7 @@ GROUPS = "cast(ceil(count(*) / {n}.0) as bigint)"
 def footer_report(spark, sf_dir):
     """Number and sizes of the row groups of a file with 700 rows in each."""
     options = ParquetOptions(rows_per_group=700, compression="zstd")
-    job = Converter(spark, _plain_tree(spark, sf_dir), new_path(spark, "converted") + "/rain.parquet", Options(parquet=options))
+    job = Converter(spark, _plain_tree(spark, sf_dir), new_path(spark, "converted") + "/rain.parquet", Options(parquet=options, layout="file"))
     job.run()
     found = footer_summary(column_chunks(spark, job.output))
     return found.select("n_groups", "least", F.col("most").cast("int").alias("most"), F.round("mean", 6).alias("mean"), F.array_join("codecs", ",").alias("codecs"), "all_statistics")

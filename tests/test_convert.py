@@ -365,3 +365,20 @@ def test_widths_need_one_look_at_all_files(spark, monkeypatch):
     calls, look = [], badc.overview
     monkeypatch.setattr(badc, "overview", lambda parsed: calls.append(1) or look(parsed))
     assert catalog.schema_width(spark, "/root/testdata/sf0.001").count() == 3 and len(calls) == 1
+
+
+def test_footer_report_has_one_file_however_many_stations(spark, monkeypatch):
+    import os
+
+    import duckdb
+
+    from isohyet import catalog
+    from isohyet.operators import convert
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no tables here")
+    monkeypatch.setattr(convert, "MANY_RAIN_STATIONS", 1)
+    monkeypatch.setattr(convert, "MANY_ROWS", 1)
+    con = duckdb.connect()
+    con.execute("create view events as select * from '/root/testdata/sf0.001/events.parquet'")
+    assert [tuple(r) for r in catalog.footer_report(spark, "/root/testdata/sf0.001").collect()] == con.execute(catalog.SQL["footer_report"]).fetchall()
