@@ -17,7 +17,7 @@ from ..plans.rowgroups import executor_memory_mb, rows_per_group
 from ..plans.spec import Kind, Schema, Width, is_descriptor, is_timestamp, kind_of, usually_empty
 from ..sinks.parquet import ParquetOptions, write
 from ..sources import badc
-from ..sources.discovery import MOST_FILES, QC_DIR, _fs, few_listings, files, packed_tasks
+from ..sources.discovery import MOST_FILES, QC_DIR, _fs, files
 
 #: Stations above which output is a directory of ranges rather than one file.
 MANY_STATIONS, MANY_RAIN_STATIONS = 3000, 1000
@@ -78,10 +78,10 @@ class Converter:
     def parsed(self) -> DataFrame:
         """Headers and lines of all files.  One folder is listed at all depths, which takes far less than each file by its
         name; files that are not at the third level are then left out."""
-        with few_listings(self.spark):
-            lines = badc.whole_files(self.spark, f"{self.path}/{QC_DIR}", recursiveFileLookup=True, pathGlobFilter="*.csv")
+        tasks = self.options.files_per_task and max(1, -(-len(self.paths) // self.options.files_per_task))
+        lines = badc.files_below(self.spark, [f"{self.path}/{QC_DIR}"], len(self.paths), tasks)
         below = F.substring_index("path", f"/{QC_DIR}/", -1)
-        return badc.headers(packed_tasks(lines, len(self.paths)).where(F.size(F.split(below, "/")) == 3))
+        return badc.headers(lines.where(F.size(F.split(below, "/")) == 3))
 
     @contextmanager
     def packed(self) -> Iterator[None]:

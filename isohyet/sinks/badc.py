@@ -32,13 +32,15 @@ def write_tree(files: DataFrame, root: str) -> int:
     Rows of one file are its lines, one after another.
     """
     spark = files.sparkSession
-    rows = files.select(F.col("county_dir").alias("a"), F.col("station_dir").alias("b"), F.col("file").alias("c"), "text").repartition("a", "b", "c")
+    rows = files.select(F.col("county_dir").alias("a"), F.col("station_dir").alias("b"), F.col("file").alias("c"), "text")
+    by = ["a", "b", "c"]
     folder = mounted(spark, f"{root}/{QC_DIR}")
     if folder is None:
-        return _write_and_rename(rows, root)
+        return _write_and_rename(rows.repartition(*by), root)
     os.makedirs(folder, exist_ok=True)
     names = [F.coalesce(F.nullif(F.col(x), F.lit("")), F.lit(NO_NAME)).alias(x) for x in "abc"]
-    rows = rows.select(*names, "text").sortWithinPartitions("a", "b", "c")
+    # a number that stays: files are small, so by their bytes they would all go to a few tasks
+    rows = rows.select(*names, "text").repartition(4 * spark.sparkContext.defaultParallelism, *by).sortWithinPartitions(*by)
     return rows.mapInArrow(_writer(folder), "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 

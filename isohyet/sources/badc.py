@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..errors import HEADER_FAILED, NO_DATA_MARKER, NOT_UTF8, OK
 from ..functions.lenient import NA_STRINGS, present, to_double, trimmed, typed
 from ..plans.spec import STATION_COLUMNS, Schema
-from .discovery import plain
+from .discovery import few_listings, packed_tasks, plain, walked
 
 # Fixed values of the file format.
 DATA, END_DATA, GLOBAL, COMMENT = "data", "end data", "G", "#"
@@ -31,7 +31,19 @@ HEADER_KEYS = {
 
 def whole_files(spark: SparkSession, paths: Sequence[str] | str, **options) -> DataFrame:
     """(path, lines, valid) of text files; lines without a last empty one.  options: of Spark's reader."""
-    df = spark.read.options(**options).text(paths if isinstance(paths, str) else list(paths), wholetext=True).select(plain(F.col("_metadata.file_path")).alias("path"), "value")
+    return lines_of(spark.read.options(**options).text(paths if isinstance(paths, str) else list(paths), wholetext=True).select(plain(F.col("_metadata.file_path")).alias("path"), "value"))
+
+
+def files_below(spark: SparkSession, folders: Sequence[str], n_files: int = 0, tasks: int | None = None) -> DataFrame:
+    """(path, lines, valid) of the csv files at any depth under some folders, of which there are about so many."""
+    if (found := walked(spark, folders, content=True, tasks=tasks)) is not None:
+        return lines_of(found)
+    with few_listings(spark):
+        return packed_tasks(whole_files(spark, folders, recursiveFileLookup=True, pathGlobFilter="*.csv"), n_files)
+
+
+def lines_of(df: DataFrame) -> DataFrame:
+    """(path, lines, valid) of (path, value)."""
     lines = F.split("value", "\r?\n")
     lines = F.when(F.try_element_at(lines, F.lit(-1)) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
     return df.select("path", lines.alias("lines"), F.is_valid_utf8("value").alias("valid"))

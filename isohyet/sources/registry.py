@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.lenient import NA_STRINGS, typed
 from ..plans.spec import type_of
 from . import badc
-from .discovery import exists, few_listings, packed_tasks
+from .discovery import exists
 
 CAPABILITY = "capability"
 # Fixed value: status of the records that describe a station.
@@ -22,9 +22,7 @@ def capability(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     folders = [f"{r.rstrip('/')}/{CAPABILITY}" for r in roots if exists(spark, f"{r.rstrip('/')}/{CAPABILITY}")]
     if not folders:
         return spark.createDataFrame([], "path string")
-    with few_listings(spark):
-        lines = badc.whole_files(spark, folders, recursiveFileLookup=True, pathGlobFilter="*.csv")
-    return badc.headers(packed_tasks(lines, 0))
+    return badc.headers(badc.files_below(spark, folders))
 
 
 def registry(spark: SparkSession, roots: Sequence[str], columns: Sequence[str] = ("src_id", "rec_st_ind"), na_strings: Sequence[str] = NA_STRINGS) -> DataFrame:

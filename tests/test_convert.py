@@ -1,5 +1,6 @@
 """Conversion of small trees, with exact values."""
 
+import shutil
 from datetime import datetime
 
 import pyarrow.parquet as pq
@@ -382,3 +383,53 @@ def test_footer_report_has_one_file_however_many_stations(spark, monkeypatch):
     con = duckdb.connect()
     con.execute("create view events as select * from '/root/testdata/sf0.001/events.parquet'")
     assert [tuple(r) for r in catalog.footer_report(spark, "/root/testdata/sf0.001").collect()] == con.execute(catalog.SQL["footer_report"]).fetchall()
+
+
+ODD_TREE = {"a b/s%1/f.csv": text(), "a b/s%1/zero.csv": "", "é/s+2/.hidden.csv": "x", "é/_s/f.csv": "x", "é/_s=2/f.csv": text(id="3"), "é/s+2/folder.csv/g.csv": text(), "é/top.csv": text(), "é/s+2/n.txt": "x", "é/s+2/bad.csv": b"\xff\xfe"}
+
+
+def test_tasks_list_and_read_what_readers_would(spark, tree, monkeypatch):
+    """The same rows as Spark's readers give, whose entries for each file the driver no longer holds."""
+    from isohyet.sources import discovery
+    from isohyet.sources.registry import capability
+
+    root = tree(ODD_TREE)
+    look = lambda: [sorted(map(str, df.collect())) for df in (file_table(spark, root), discovery.csv_files(spark, root), Converter(spark, root).parsed(), badc.files_below(spark, [root, f"{root}/qcv-1", root]))]
+    with monkeypatch.context() as m:
+        m.setattr(discovery, "mounted", lambda *_: None)
+        want = look()
+    monkeypatch.setattr(badc, "whole_files", None)
+    monkeypatch.setattr(discovery, "few_listings", None)
+    assert look() == want and [len(x) for x in want] == [3, 5, 3, 5]
+    monkeypatch.setattr(discovery, "BATCH_BYTES", 1)
+    assert look() == want
+    shutil.copytree(f"{root}/qcv-1", f"{root}/capability")
+    assert capability(spark, [root]).count() == 5
+
+
+def test_folders_are_dealt_whole(tmp_path):
+    from isohyet.sources import discovery
+
+    for path in ("a/b/c", "a/d", "e"):
+        (tmp_path / path).mkdir(parents=True)
+        (tmp_path / path / "f.csv").write_text("x")
+    everything = sorted(discovery._csv_below(bytes(tmp_path), True))
+    for least in (1, 2, 3, 100):
+        parts = discovery._split(bytes(tmp_path), least)
+        assert sorted(p for f, deep in parts for p in discovery._csv_below(f, deep)) == everything and len(everything) == 3
+
+
+def test_small_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    from isohyet.sinks import badc as badc_out
+
+    def busy(folder):
+        def run(batches):
+            yield pa.RecordBatch.from_pydict({"n": pa.array([int(sum(b.num_rows for b in batches) > 0)], pa.int64())})
+
+        return run
+
+    monkeypatch.setattr(badc_out, "_writer", busy)
+    df = spark.range(400).selectExpr("'a' county_dir", "cast(id as string) station_dir", "'f' file", "'x' text")
+    assert badc_out.write_tree(df, f"file://{tmp_path}/t") == 4 * spark.sparkContext.defaultParallelism
