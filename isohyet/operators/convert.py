@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..errors import SchemaVarianceExceeded
 from ..functions.lenient import NA_STRINGS
 from ..plans.rowgroups import executor_memory_mb, rows_per_group
-from ..plans.spec import Kind, Schema, Width, is_descriptor, is_timestamp, kind_of, usually_empty
+from ..plans.spec import STATION_COLUMNS, Kind, Schema, Width, is_descriptor, is_timestamp, kind_of, usually_empty
 from ..sinks.parquet import ParquetOptions, write
 from ..sources import badc
 from ..sources.discovery import MOST_FILES, QC_DIR, _fs, files
@@ -122,8 +122,7 @@ class Converter:
         if self.options.empty_columns == "sample":
             rows = parsed.where(F.col("path").isin(self.paths[: self.options.sample_files]))
         counts = badc.column_presence(badc.fields(rows, schema), schema, self.options.na_strings)
-        keys = {self.kind().time_in(schema.columns)}
-        return replace(schema, empty=tuple(n for n, c in counts.items() if not c and n not in keys))
+        return self._emptied(schema, counts)
 
     def discover(self) -> DataFrame:
         """(name, type, is_empty, is_descriptor, is_timestamp) of all columns."""
@@ -165,19 +164,45 @@ class Converter:
             return Stats(processing_ms=took())
         parsed, folder = self.parsed_once()
         try:
-            return replace(self._converted(parsed), processing_ms=took())
+            return replace(self._converted(parsed, folder), processing_ms=took())
         finally:
-            fs, p = _fs(self.spark, folder)
-            fs.delete(p, True)
+            for f in (folder, _typed(folder)):
+                self._delete(f)
+
+    def _delete(self, folder: str) -> None:
+        fs, p = _fs(self.spark, folder)
+        fs.delete(p, True)
+
+    def typed_once(self, parsed: DataFrame, schema: Schema, folder: str) -> tuple[DataFrame, Schema]:
+        """Observations as a table, and the schema with the columns that are empty: rows are split and cast once, in the job
+        that counts values; a sort by ranges reads its rows twice."""
+        rows, na = badc.fields(parsed, schema), self.options.na_strings
+        counts = None
+        if self.options.empty_columns == "exact" and schema.columns:
+            df, names, counts = badc.observed(rows, schema, na)
+        else:
+            schema = self.schema(parsed, schema)
+            df = badc.observations(rows, schema, na)
+            names = df.columns
+            df = df.toDF(*[f"c{i}" for i in range(len(names))])
+        df.write.option("compression", "zstd").parquet(folder)
+        if counts:
+            schema = self._emptied(schema, counts())
+        kept = [(i, n) for i, n in enumerate(names) if n in schema.kept or n in STATION_COLUMNS]
+        return self.spark.read.schema(df.schema).parquet(folder).select(*[F.col(f"c{i}").alias(n) for i, n in kept]), schema
+
+    def _emptied(self, schema: Schema, counts: dict[str, int]) -> Schema:
+        keys = {self.kind().time_in(schema.columns)}
+        return replace(schema, empty=tuple(n for n, c in counts.items() if not c and n not in keys))
 
-    def _converted(self, parsed: DataFrame) -> Stats:
+    def _converted(self, parsed: DataFrame, folder: str) -> Stats:
         kind, seen = self.kind(), badc.overview(parsed)
         failed = len(self.paths) - seen.files  # zero-byte files are among the paths alone
         if not seen.files:
             return Stats(files_failed=failed)
         self._check_variance(seen)
-        schema = self.schema(parsed, seen.schema)
-        rows = badc.observations(badc.fields(parsed, schema), schema, self.options.na_strings)
+        rows, schema = self.typed_once(parsed, seen.schema, _typed(folder))
+        self._delete(folder)
         options, time_column = self.options.parquet, kind.time_in(schema.columns)
         stations = len({p.split("/")[-2] for p in self.paths})
         many = stations > MANY_STATIONS or (kind is Kind.RAIN and stations > MANY_RAIN_STATIONS) or seen.rows > MANY_ROWS
@@ -197,6 +222,10 @@ class Converter:
                 raise SchemaVarianceExceeded(path, d, self.options.schema_variance)
 
 
+def _typed(folder: str) -> str:
+    return f"{folder}.typed"
+
+
 def default_output(path: str) -> str:
     """<dataset>/../../parquet/<name>.parquet; beside the working folder where there are no two parents."""
     parts = path.rstrip("/").split("/")

@@ -6,20 +6,26 @@ found by name in each file, so files may differ in their columns and in the orde
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import HEADER_FAILED, NO_DATA_MARKER, NOT_UTF8, OK
-from ..functions.lenient import NA_STRINGS, present, to_double, trimmed, typed
+from ..functions.lenient import CASTS, NA_STRINGS, present, to_double, trimmed
 from ..plans.spec import STATION_COLUMNS, Schema
 from .discovery import few_listings, packed_tasks, plain, walked
 
 # Fixed values of the file format.
 DATA, END_DATA, GLOBAL, COMMENT = "data", "end data", "G", "#"
+#: A line that begins with one of these is not blank, which is told without trimming it.
+VISIBLE = (0x21, 0x7E)
+#: Rows without any of these are fields with commas between.
+SPECIAL = ('"', "\\", "\r", "\0")
 HEADER_KEYS = {
     "station_name": "observation_station",
     "station_id": "midas_station_id",
@@ -126,7 +132,7 @@ def _file(lines: Column, valid: Column, t: Column, end: Column, data: Column, s:
         F.when(end <= F.size(t), end - data - 1).alias("data_rows"),
         F.size(lines).alias("total_lines"),
         F.transform(F.split(F.get(lines, data), ","), trimmed).alias("cols"),
-        F.filter(body, lambda x: trimmed(x) != "").alias("rows"),
+        F.filter(body, lambda x: F.ascii(x).between(*VISIBLE) | (trimmed(x) != "")).alias("rows"),
         status.alias("status"),
         error.alias("error"),
     )
@@ -174,12 +180,16 @@ def dataset_schema(parsed: DataFrame) -> Schema:
 
 
 def fields(parsed: DataFrame, schema: Schema) -> DataFrame:
-    """A row per observation: station columns, cols and vals (raw fields, quotes taken off)."""
+    """A row per observation: station columns, cols and vals (raw fields, quotes taken off, NULL where empty)."""
     widest = schema.widest or parsed.agg(F.max(F.size("cols"))).first()[0] or 0
     rows = parsed.where(F.col("status") == OK).select(*STATION_COLUMNS, "cols", F.explode("rows").alias("row"))
     shape = ", ".join(f"_c{i} string" for i in range(max(widest, 1)))
-    rows = rows.withColumn("_f", F.from_csv("row", F.lit(shape), {"mode": "PERMISSIVE"}))
-    return rows.select(*STATION_COLUMNS, "cols", F.array(*[F.col(f"_f._c{i}") for i in range(max(widest, 1))]).alias("vals"))
+    special = reduce(or_, [F.contains("row", F.lit(c)) for c in SPECIAL])
+    # the parser starts anew for each row, which takes far longer than to split it
+    rows = rows.withColumn("_s", special).withColumn("_f", F.from_csv(F.when(F.col("_s"), F.col("row")), F.lit(shape), {"mode": "PERMISSIVE"}))
+    split = F.transform(F.split("row", ","), lambda x: F.when(x != "", x))
+    vals = F.when(F.col("_s"), F.array(*[F.col(f"_f._c{i}") for i in range(max(widest, 1))])).otherwise(split)
+    return rows.select(*STATION_COLUMNS, "cols", vals.alias("vals"))
 
 
 def raw(name: str) -> Column:
@@ -187,11 +197,28 @@ def raw(name: str) -> Column:
     return F.get("vals", (F.array_position("cols", name) - 1).cast("int"))
 
 
-def observations(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS) -> DataFrame:
-    """Typed observations: the dataset's columns, then the station's."""
-    known = F.array_contains
-    cols = [F.when(known("cols", n), typed(raw(n), t, na_strings)).alias(n) for n, t in schema.kept.items() if n not in STATION_COLUMNS]
-    return rows.select(*cols, *STATION_COLUMNS)
+def observations(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS, counted: bool = False) -> DataFrame:
+    """Typed observations: the dataset's columns, then the station's; counted: then whether each column of the schema has a value."""
+    named = {n: t for n, t in schema.kept.items() if n not in STATION_COLUMNS}
+    names = list(dict.fromkeys([*named, *schema.columns])) if counted else list(named)
+    # what is used more than once is a column of its own, so it is computed once
+    raws = rows.select(*STATION_COLUMNS, *[F.array_contains("cols", n).alias(f"k{i}") for i, n in enumerate(names)], *[trimmed(raw(n)).alias(f"t{i}") for i, n in enumerate(names)])
+    values = [F.when(F.col(f"k{i}") & ~F.col(f"t{i}").isin(*na_strings), F.col(f"t{i}")).alias(f"v{i}") for i in range(len(names))]
+    there = [(F.col(f"k{i}") & ~F.coalesce(f"t{i}", F.lit("")).isin(*na_strings)).alias(f"h{i}") for i in range(len(names)) if counted]
+    values = raws.select(*STATION_COLUMNS, *values, *there)
+    cols = [CASTS[t](F.col(f"v{i}")).alias(n) for i, (n, t) in enumerate(named.items())]
+    return values.select(*cols, *STATION_COLUMNS, *[F.col(f"h{names.index(n)}") for n in schema.columns if counted])
+
+
+def observed(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS) -> tuple[DataFrame, list[str], Callable[[], dict[str, int]]]:
+    """observations() under plain names c0, c1..., their real names, and what column_presence() tells of them, known when
+    one job has gone over all."""
+    df, seen = observations(rows, schema, na_strings, counted=True), Observation()
+    n = len(df.columns) - len(schema.columns)
+    names = df.columns[:n]
+    df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    df = df.observe(seen, F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"c{n + i}").cast("int")).alias(f"h{i}") for i in range(len(schema.columns))])
+    return df.select(*df.columns[:n]), names, lambda: {c: seen.get[f"h{i}"] or 0 for i, c in enumerate(schema.columns)}
 
 
 def column_presence(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS) -> dict[str, int]:

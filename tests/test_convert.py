@@ -433,3 +433,39 @@ def test_small_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(badc_out, "_writer", busy)
     df = spark.range(400).selectExpr("'a' county_dir", "cast(id as string) station_dir", "'f' file", "'x' text")
     assert badc_out.write_tree(df, f"file://{tmp_path}/t") == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_split_rows_are_those_of_the_parser(spark, monkeypatch):
+    """What is only split has the fields that Spark's parser finds."""
+    from pyspark.sql import functions as F
+
+    lines = ["a,b,c", "a,,", ",", "a", "a,b,c,d,e", " a , b\t, ", '"a,1",b', 'a,"b ""x""",c', 'a"b,c"', "a\\,b", "a\rb,c", "é, ,ü", "#,1", "a,b,", ",,,", "'a,b'", "a;b|c", "\0x,1", "1e5,-3.0,NA"]
+    station = [F.lit(None).cast("string").alias(c) for c in badc.STATION_COLUMNS]
+    parsed = spark.createDataFrame([(lines,)], "rows array<string>").select(*station, F.lit(badc.OK).alias("status"), F.array(*map(F.lit, "xyz")).alias("cols"), "rows")
+    schema = badc.Schema.of([list("xyz")])
+    look = lambda: [tuple(r) for r in badc.fields(parsed, schema).select(*[badc.raw(c) for c in "xyz"]).collect()]
+    got = look()
+    monkeypatch.setattr(badc, "SPECIAL", ("",))
+    assert got == look() and len(got) == len(lines)
+
+
+def test_rows_are_cast_once(spark, tree, monkeypatch):
+    """One job casts rows and counts the values of each column; the sort reads what it wrote."""
+    monkeypatch.setattr(badc, "column_presence", None)
+    calls, cast = [], badc.observations
+    monkeypatch.setattr(badc, "observations", lambda *a, **k: calls.append(1) or cast(*a, **k))
+    root = tree({"a/s/f.csv": text("2023-01-01,NA,,\n2023-01-02, , ,NA\n", COLS + ",x`y z"), "a/t/f.csv": text("2023-01-01,1.5\n", "ob_end_ctime,prcp_amt", id="2")})
+    for layout in ("file", "directory"):
+        stats, df = converted(spark, root, layout=layout)
+        assert (stats.total_rows, df.columns[:3], len(calls)) == (3, ["ob_end_ctime", "prcp_amt", "station_id"], 1)
+        assert {(r["ob_end_ctime"].day, r["prcp_amt"]) for r in df.collect()} == {(1, 1.5), (1, None), (2, None)}
+        calls.clear()
+        shutil.rmtree(df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+    job = Converter(spark, root, options=Options(empty_columns="off"))
+    job.run()
+    assert spark.read.parquet(job.output).columns[:4] == ["ob_end_ctime", "prcp_amt", "prcp_amt_q", "x`y z"]
+
+
+def test_blank_lines_are_no_rows(spark, tree):
+    root = tree({"a/s/f.csv": text("2023-01-01,1.0,0\n \t\n  \n\n​2023,2,0\n~,3.0,1\n")})
+    assert [len(r["rows"]) for r in Converter(spark, root).parsed().collect()] == [3]
