@@ -11,13 +11,13 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import SchemaVarianceExceeded
+from ..errors import DatasetNotFound, SchemaVarianceExceeded
 from ..functions.lenient import NA_STRINGS
 from ..plans.rowgroups import executor_memory_mb, rows_per_group
 from ..plans.spec import STATION_COLUMNS, Kind, Schema, Width, is_descriptor, is_timestamp, kind_of, usually_empty
 from ..sinks.parquet import ParquetOptions, write
 from ..sources import badc
-from ..sources.discovery import MOST_FILES, QC_DIR, _fs, files
+from ..sources.discovery import MOST_FILES, QC_DIR, _fs, exists, files, first_file
 
 #: Stations above which output is a directory of ranges rather than one file.
 MANY_STATIONS, MANY_RAIN_STATIONS = 3000, 1000
@@ -72,16 +72,20 @@ class Converter:
         return self._paths
 
     def kind(self) -> Kind:
-        first = self.paths[0].rsplit("/", 1)[-1] if self.paths else ""
-        return kind_of(self.path.rsplit("/", 1)[-1], first, f"{self.path}/{self.paths[0] if self.paths else ''}")
+        first = (self._paths[0] if self._paths else None) if self._paths is not None else first_file(self.spark, self.path)
+        return kind_of(self.path.rsplit("/", 1)[-1], (first or "").rsplit("/", 1)[-1], f"{self.path}/{first or ''}")
+
+    def _tasks(self) -> int | None:
+        """Tasks that read the files, where the options say so."""
+        if not exists(self.spark, f"{self.path}/{QC_DIR}"):
+            raise DatasetNotFound(self.path)
+        per_task = self.options.files_per_task
+        return per_task and max(1, -(-len(self.paths) // per_task))
 
     def parsed(self) -> DataFrame:
         """Headers and lines of all files.  One folder is listed at all depths, which takes far less than each file by its
         name; files that are not at the third level are then left out."""
-        tasks = self.options.files_per_task and max(1, -(-len(self.paths) // self.options.files_per_task))
-        lines = badc.files_below(self.spark, [f"{self.path}/{QC_DIR}"], len(self.paths), tasks)
-        below = F.substring_index("path", f"/{QC_DIR}/", -1)
-        return badc.headers(lines.where(F.size(F.split(below, "/")) == 3))
+        return badc.parsed_below(self.spark, [f"{self.path}/{QC_DIR}"], True, self._tasks())
 
     @contextmanager
     def packed(self) -> Iterator[None]:
@@ -110,6 +114,8 @@ class Converter:
         return self.spark.read.schema(df.schema).parquet(folder), folder
 
     def outcomes(self, parsed: DataFrame | None = None) -> DataFrame:
+        if parsed is None and (found := badc.outcomes_of(self.spark, self.path, self._tasks())) is not None:
+            return found
         return badc.outcomes(self.spark, self.parsed() if parsed is None else parsed, self.paths)
 
     def schema(self, parsed: DataFrame | None = None, schema: Schema | None = None) -> Schema:

@@ -18,21 +18,12 @@ from pyspark.sql import functions as F
 from ..errors import HEADER_FAILED, NO_DATA_MARKER, NOT_UTF8, OK
 from ..functions.lenient import CASTS, NA_STRINGS, present, to_double, trimmed
 from ..plans.spec import STATION_COLUMNS, Schema
-from .discovery import few_listings, packed_tasks, plain, walked
+from . import parsing
+from .discovery import each_below, each_file, few_listings, packed_tasks, plain, walked
+from .parsing import COMMENT, DATA, END_DATA, GLOBAL, HEADER_KEYS, SPECIAL
 
-# Fixed values of the file format.
-DATA, END_DATA, GLOBAL, COMMENT = "data", "end data", "G", "#"
 #: A line that begins with one of these is not blank, which is told without trimming it.
 VISIBLE = (0x21, 0x7E)
-#: Rows without any of these are fields with commas between.
-SPECIAL = ('"', "\\", "\r", "\0")
-HEADER_KEYS = {
-    "station_name": "observation_station",
-    "station_id": "midas_station_id",
-    "county": "historic_county_name",
-    "location": "location",
-    "height": "height",
-}
 
 
 def whole_files(spark: SparkSession, paths: Sequence[str] | str, **options) -> DataFrame:
@@ -144,6 +135,16 @@ def headers(df: DataFrame) -> DataFrame:
     return df.select("path", header.alias("h")).select("path", "h.*")
 
 
+def parsed_below(spark: SparkSession, folders: Sequence[str], third_level: bool = False, tasks: int | None = None) -> DataFrame:
+    """What headers() tells of the csv files at any depth under some folders, or at a dataset's third level only."""
+    return each_below(spark, folders, parsing.parsed, parsing.ddl(parsing.PARSED), third_level, tasks)
+
+
+def outcomes_of(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame | None:
+    """outcomes() of a dataset whose file system is mounted, or None: the tasks that read the files find those of zero bytes."""
+    return each_file(spark, root, parsing.outcomes, parsing.ddl(parsing.OUTCOMES), tasks)
+
+
 def outcomes(spark: SparkSession, parsed: DataFrame, paths: Sequence[str]) -> DataFrame:
     """(path, status, error, n_rows) of all files; those of zero bytes, which readers leave out, have no data marker."""
     all_files = spark.createDataFrame(pa.table({"path": pa.array(paths, pa.string())}), "path string")
@@ -169,7 +170,11 @@ def overview(parsed: DataFrame) -> Overview:
     """
     n_rows = F.col("n_rows") if "n_rows" in parsed.columns else F.size("rows")
     good = parsed.where(F.col("status") == OK).groupBy("cols").agg(F.min("path").alias("path"), F.count("*").alias("files"), F.sum(n_rows).alias("rows"))
-    found = sorted(good.collect(), key=lambda r: r["path"])
+    return _overview(good.collect())
+
+
+def _overview(rows: Sequence) -> Overview:
+    found = sorted(rows, key=lambda r: r["path"])
     lists = {r["path"]: list(r["cols"]) for r in found}
     schema = replace(Schema.of(list(lists.values())), widest=max(map(len, lists.values()), default=0))
     return Overview(sum(r["files"] for r in found), sum(r["rows"] for r in found), schema, lists)

@@ -469,3 +469,50 @@ def test_rows_are_cast_once(spark, tree, monkeypatch):
 def test_blank_lines_are_no_rows(spark, tree):
     root = tree({"a/s/f.csv": text("2023-01-01,1.0,0\n \t\n  \n\n​2023,2,0\n~,3.0,1\n")})
     assert [len(r["rows"]) for r in Converter(spark, root).parsed().collect()] == [3]
+
+
+ODD_FILES = [
+    text().encode(), text().replace("\n", "\r\n").encode(), b"\n", b"\n\n", b"data", b"data\n", b"end data\n", b"end data\ndata\nx\n", b"a,G\ndata\r\r\nb\nend data", text(end="").encode(), text("").encode(),
+    text(h="10").replace("height,G,10,m", "height,G,-1e3, ft ").encode(), text(h="+nan").encode(), text(h="NaN").encode(), text(h="-inf").encode(), text(h="1_0").encode(), text(h="١").encode(), text(h=".5").encode(), text(h="1.").encode(), text(h="1e999").encode(),
+    text(lat="", lon="").encode(), text(lat="1,2").encode(), text(name="").encode(), text(name="a,b,G,c").encode(), text(name="　x ").encode(), text(cols=" a , b,,a").encode(), text(cols="").encode(),
+    text("2023,1,0\n \t\n\x1c\n \n\n\x00\n\"a\nb\",1\n").encode(), text("data\n1,2\n data \nc\n3\n").encode(), text("x\nend data \n1\nend data\n").encode(), text().replace("midas", "#midas").encode(), text().replace("midas", " midas").encode(), text().replace(",G,", ", G,").encode(),
+    text().replace("data\n", "data\n").replace("end ", "").encode(), ("height,G,1,m\n" + text().replace("height", "h")).encode(), text(name="old").encode() + text(name="new").encode(), b"\xef\xbb\xbf" + text().encode(),
+]
+
+
+def test_tasks_parse_as_the_plan_does(spark):
+    """Python's parser tells the same of odd files as the expressions that streams use."""
+    from isohyet.sources import parsing
+
+    df = spark.createDataFrame([(str(i), x.decode()) for i, x in enumerate(ODD_FILES)], "path string, value string")
+    want = {r["path"]: tuple(map(str, r[1:])) for r in badc.headers(badc.lines_of(df)).collect()}
+    got = {str(i): tuple(map(str, parsing.parse(x))) for i, x in enumerate(ODD_FILES)}
+    assert got == want and {x[-2] for x in got.values()} == {"ok", "NoDataMarker", "HeaderParsingFailed"}
+    *_, status, error = parsing.parse(text().encode() + b"\xff")
+    assert (status, error) == ("InvalidEncoding", "not UTF-8")
+
+
+def test_outcomes_need_no_list_of_files(spark, tree, monkeypatch):
+    """The tasks that read the files find those without bytes and hidden ones; the driver lists none and joins none."""
+    from isohyet.operators import convert
+    from isohyet.sources import discovery
+
+    root = tree(ODD_TREE | {"a b/.t/f.csv": text(), "é/s+2/no_end.csv": text(end="", id="9")})
+    look = lambda: sorted(map(str, Converter(spark, root).outcomes().collect()))
+    with monkeypatch.context() as m:
+        m.setattr(discovery, "mounted", lambda *_: None)
+        want = look()
+    monkeypatch.setattr(convert, "files", None)
+    monkeypatch.setattr(badc, "outcomes", None)
+    assert look() == want and len(want) == 8 and sum("status='ok'" in x for x in want) == 3
+    assert Converter(spark, tree({}, "uk-hourly-rain-obs")).outcomes().count() == 0
+    with pytest.raises(DatasetNotFound):
+        Converter(spark, f"{root}-none").outcomes()
+
+
+def test_first_file_is_that_of_the_sorted_list(spark, tree):
+    from isohyet.sources.discovery import first_file
+
+    root = tree({"a/s/f.csv": text(), "a b/s/f.csv": text(), "a b/s!/g.csv": text(), "a b/s!/f.txt": "x", "B/s/t/f.csv": text()})
+    assert first_file(spark, root) == files(spark, root)[0] and first_file(spark, root).endswith("/a b/s!/g.csv")
+    assert first_file(spark, tree({"a/f.csv": "x"}, "uk-hourly-rain-obs")) is None
