@@ -509,7 +509,7 @@ def row_group_sizes(spark, sf_dir):
 def dataset_listing(spark, sf_dir):
     """Datasets of a folder by name, with their files, counties and stations; a station in two counties counts once."""
     s = table(spark, sf_dir, "supplier")
-    files = s.select(F.concat(F.lit("county"), F.col("s_nationkey").cast("string")).alias("county_dir"), F.concat((F.col("s_suppkey") % 40).cast("string"), F.lit("_s")).alias("station_dir"), F.col("s_name").alias("file"), F.lit("x").alias("text"))
+    files = s.select(F.concat(F.lit("county"), F.col("s_nationkey").cast("string")).alias("county_dir"), F.concat((F.col("s_suppkey") % 40).cast("string"), F.lit("_s")).alias("station_dir"), F.concat_ws("_", "s_name", F.col("s_suppkey").cast("string")).alias("file"), F.lit("x").alias("text"))
     cache = new_path(spark, "cache")
     badc_out.write_tree(files, f"{cache}/uk-daily-rain-obs")
     for other in ("parquet/qcv-1", "note.txt/qcv-1", "no-dataset"):

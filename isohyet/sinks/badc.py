@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import groupby
+from operator import itemgetter
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -48,21 +49,51 @@ def write_tree(files: DataFrame, root: str) -> int:
 NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
+#: Bytes of a file that a task holds before it writes them.
+HELD_BYTES = 1 << 20
+
+
+def _made(folder: str) -> None:
+    """Makes a folder; mostly only the last level of it is missing."""
+    try:
+        os.mkdir(folder)
+    except FileExistsError:
+        pass
+    except FileNotFoundError:
+        os.makedirs(folder, exist_ok=True)
+
+
+def _put(fd: int, data: bytes) -> None:
+    done = os.write(fd, data)
+    while done < len(data):
+        done += os.write(fd, data[done : done + (1 << 30)])
+
+
 def _writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: set[str] = set()
-        n = 0
+        n, attempt = 0, uuid.uuid4().hex
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-        for (a, b, c), same in groupby(rows, key=lambda r: r[:3]):
+        for (a, b, c), same in groupby(rows, key=itemgetter(0, 1, 2)):
             target = f"{folder}/{a}/{b}/{c}.csv"
             parent = os.path.dirname(target)
             if parent not in made:
-                os.makedirs(parent, exist_ok=True)
+                _made(parent)
                 made.add(parent)
-            part = f"{target}.{uuid.uuid4().hex}"
-            with open(part, "wb") as out:
+            part = f"{target}.{attempt}"
+            fd = os.open(part, os.O_WRONLY | os.O_CREAT | os.O_TRUNC, 0o666)
+            try:
+                held, size = [], 0
                 for row in same:
-                    out.write((row[3] or "").encode() + b"\n")
+                    held.append(row[3] or "")
+                    size += len(held[-1])
+                    if size > HELD_BYTES:
+                        _put(fd, ("\n".join(held) + "\n").encode())
+                        held, size = [], 0
+                if held:
+                    _put(fd, ("\n".join(held) + "\n").encode())
+            finally:
+                os.close(fd)
             os.replace(part, target)
             n += 1
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})

@@ -516,3 +516,28 @@ def test_first_file_is_that_of_the_sorted_list(spark, tree):
     root = tree({"a/s/f.csv": text(), "a b/s/f.csv": text(), "a b/s!/g.csv": text(), "a b/s!/f.txt": "x", "B/s/t/f.csv": text()})
     assert first_file(spark, root) == files(spark, root)[0] and first_file(spark, root).endswith("/a b/s!/g.csv")
     assert first_file(spark, tree({"a/f.csv": "x"}, "uk-hourly-rain-obs")) is None
+
+
+def test_listing_counts_suppliers_of_one_name(spark, tmp_path):
+    """Suppliers that share name, nation and station are files of their own, as the SQL counts them."""
+    from isohyet import catalog
+
+    rows = [(1, "same", 3), (41, "same", 3), (81, "other", 3), (1, "same", 4)]
+    spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    assert [tuple(r) for r in catalog.dataset_listing(spark, str(tmp_path)).collect()] == [("uk-daily-rain-obs", 4, 2, 1)]
+
+
+def test_tree_writer_holds_little_of_a_file(spark, tmp_path, monkeypatch):
+    """A file's lines are written as they come; what another task has made already is no fault."""
+    import pyarrow as pa
+
+    from isohyet.sinks import badc as badc_out
+
+    monkeypatch.setattr(badc_out, "HELD_BYTES", 3)
+    (tmp_path / "a" / "s").mkdir(parents=True)
+    lines = ["é" * 3, "", None, "xyz", "end"]
+    batches = [pa.RecordBatch.from_pydict({"a": ["a"], "b": ["s"], "c": ["f"], "text": pa.array([x], pa.string())}) for x in lines]
+    batches.append(pa.RecordBatch.from_pydict({"a": ["b"], "b": ["s"], "c": ["f"], "text": ["x"]}))
+    assert [b.to_pylist() for b in badc_out._writer(str(tmp_path))(iter(batches))] == [[{"n": 2}]]
+    assert (tmp_path / "a/s/f.csv").read_text() == "ééé\n\n\nxyz\nend\n" and (tmp_path / "b/s/f.csv").read_text() == "x\n"
+    assert sorted(p.name for p in tmp_path.rglob("*.*")) == ["f.csv", "f.csv"]
