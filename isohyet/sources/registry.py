@@ -22,7 +22,7 @@ def capability(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     folders = [f"{r.rstrip('/')}/{CAPABILITY}" for r in roots if exists(spark, f"{r.rstrip('/')}/{CAPABILITY}")]
     if not folders:
         return spark.createDataFrame([], "path string")
-    return badc.headers(badc.files_below(spark, folders))
+    return badc.parsed_below(spark, folders)
 
 
 def registry(spark: SparkSession, roots: Sequence[str], columns: Sequence[str] = ("src_id", "rec_st_ind"), na_strings: Sequence[str] = NA_STRINGS) -> DataFrame:

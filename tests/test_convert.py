@@ -541,3 +541,16 @@ def test_tree_writer_holds_little_of_a_file(spark, tmp_path, monkeypatch):
     assert [b.to_pylist() for b in badc_out._writer(str(tmp_path))(iter(batches))] == [[{"n": 2}]]
     assert (tmp_path / "a/s/f.csv").read_text() == "ééé\n\n\nxyz\nend\n" and (tmp_path / "b/s/f.csv").read_text() == "x\n"
     assert sorted(p.name for p in tmp_path.rglob("*.*")) == ["f.csv", "f.csv"]
+
+
+def test_registry_is_parsed_by_tasks(spark, tree, monkeypatch):
+    """Capability files are parsed where they are read; the last record of a station with status 9 counts."""
+    from isohyet.sources.registry import registry
+
+    cols = "src_id,rec_st_ind,met_domain_name"
+    root = tree({"a/s/f.csv": text("7,9,first\n7, 9 ,last\n7,1,none\n8,1,other\n", cols), "a/s/deep/er/g.csv": text("9,9,é\n", cols), "a/s/bad.csv": "x", "a/s/zero.csv": ""})
+    shutil.move(f"{root}/qcv-1", f"{root}/capability")
+    monkeypatch.setattr(badc, "headers", None)
+    monkeypatch.setattr(badc, "lines_of", None)
+    got = registry(spark, [root, f"{root}/none"], cols.split(","))
+    assert sorted((r["src_id"], r["rec_st_ind"], r["met_domain_name"], r["station_id"]) for r in got.collect()) == [(7, 9, "last", "00001"), (9, 9, "é", "00001")]
