@@ -120,6 +120,9 @@ class Converter:
 
     def schema(self, parsed: DataFrame | None = None, schema: Schema | None = None) -> Schema:
         """The dataset's columns, with those that are empty."""
+        if parsed is None and schema is None and self.options.empty_columns == "exact":
+            seen, counts = badc.surveyed(self.spark, self.path, self.options.na_strings, self._tasks())
+            return self._emptied(seen.schema, counts) if counts else seen.schema
         parsed = self.parsed() if parsed is None else parsed
         schema = schema or badc.dataset_schema(parsed)
         if self.options.empty_columns == "off" or not schema.columns:

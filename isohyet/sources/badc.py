@@ -19,7 +19,7 @@ from ..errors import HEADER_FAILED, NO_DATA_MARKER, NOT_UTF8, OK
 from ..functions.lenient import CASTS, NA_STRINGS, present, to_double, trimmed
 from ..plans.spec import STATION_COLUMNS, Schema
 from . import parsing
-from .discovery import each_below, each_file, few_listings, packed_tasks, plain, walked
+from .discovery import QC_DIR, each_below, each_file, few_listings, packed_tasks, plain, walked
 from .parsing import COMMENT, DATA, END_DATA, GLOBAL, HEADER_KEYS, SPECIAL
 
 #: A line that begins with one of these is not blank, which is told without trimming it.
@@ -235,6 +235,30 @@ def column_presence(rows: DataFrame, schema: Schema, na_strings: Sequence[str] =
     return {n: row[i] or 0 for i, n in enumerate(schema.columns)}
 
 
+def surveyed(spark: SparkSession, root: str, na_strings: Sequence[str] = NA_STRINGS, tasks: int | None = None) -> tuple[Overview, dict[str, int]]:
+    """overview() and column_presence() of a dataset by one look at its files.
+
+    The tasks that read the files count values in rows that only need to be split; files are looked at once more only where
+    there are rows that need the parser."""
+    folder = f"{root}/{QC_DIR}"
+    found = each_below(spark, [folder], parsing.lists(na_strings), parsing.ddl(parsing.LISTS), True, tasks)
+    zeros = F.transform("cols", lambda _: F.lit(0).cast("bigint"))
+    added = F.aggregate(F.collect_list("counts"), F.any_value(zeros), lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+    lists = found.groupBy("cols").agg(F.min("path").alias("path"), *[F.sum(c).alias(c) for c in ("files", "rows", "special")], added.alias("counts"))
+    rows = lists.collect()
+    seen = _overview(rows)
+    counts = dict.fromkeys(seen.schema.columns, 0)
+    for r in rows:
+        for name, n in dict(zip(reversed(r["cols"]), reversed(r["counts"]))).items():  # the first of two with one name counts
+            counts[name] += n
+    if any(r["special"] for r in rows):
+        special = lambda row: reduce(or_, [F.contains(row, F.lit(c)) for c in SPECIAL])
+        parsed = parsed_below(spark, [folder], True, tasks).withColumn("rows", F.filter("rows", special))
+        for name, n in column_presence(fields(parsed, seen.schema), seen.schema, na_strings).items():
+            counts[name] += n
+    return seen, counts
+
+
 def read(spark: SparkSession, paths: Sequence[str] | str, na_strings: Sequence[str] = NA_STRINGS) -> DataFrame:
     """Typed observations of some files, in one call."""
     parsed = headers(whole_files(spark, paths))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 
@@ -21,13 +21,14 @@ HEADER_KEYS = {
     "location": "location",
     "height": "height",
 }
-#: Bytes of files after which a task hands on what it has read.
-BATCH_BYTES = 4 << 20
+#: Bytes of files after which a task hands on what it has read, and lists of columns that it holds at most.
+BATCH_BYTES, MOST_LISTS = 4 << 20, 1000
 _NUMBER = re.compile(FLOAT, re.ASCII)
 _STATION = [("station_id", pa.string()), ("station_name", pa.string()), ("county", pa.string()), ("latitude", pa.float64()), ("longitude", pa.float64()), ("height", pa.float64()), ("height_units", pa.string())]
 PARSED = [("path", pa.binary()), *_STATION, ("skip_rows", pa.int32()), ("data_rows", pa.int32()), ("total_lines", pa.int32()), ("cols", pa.list_(pa.string())), ("rows", pa.list_(pa.string())), ("status", pa.string()), ("error", pa.string())]
 OUTCOMES = [("path", pa.binary()), ("status", pa.string()), ("error", pa.string()), ("n_rows", pa.int32())]
-_NAMES = {pa.binary(): "binary", pa.string(): "string", pa.float64(): "double", pa.int32(): "int", pa.list_(pa.string()): "array<string>"}
+LISTS = [("cols", pa.list_(pa.string())), ("path", pa.binary()), ("files", pa.int64()), ("rows", pa.int64()), ("special", pa.int64()), ("counts", pa.list_(pa.int64()))]
+_NAMES = {pa.binary(): "binary", pa.string(): "string", pa.float64(): "double", pa.int32(): "int", pa.int64(): "bigint", pa.list_(pa.string()): "array<string>", pa.list_(pa.int64()): "array<bigint>"}
 
 
 def ddl(columns: Sequence[tuple[str, pa.DataType]]) -> str:
@@ -130,3 +131,53 @@ def outcomes(files: Files) -> Iterator[pa.RecordBatch]:
             yield len(path) + 50, (path, status, error, n)
 
     return _batches(rows(), OUTCOMES)
+
+
+def is_special(row: str) -> bool:
+    return any(c in row for c in SPECIAL)
+
+
+def _count(rows: list[str], counts: list[int], na: frozenset[str]) -> None:
+    """Adds the values in each column of rows that only need to be split."""
+    missing = "" not in na  # then what isn't there counts, too
+    n = len(counts)
+    for row in rows:
+        fields = row.split(",")
+        for i, x in zip(range(n), fields):
+            if x not in na and x.strip(WHITE_SPACE) not in na:
+                counts[i] += 1
+        if missing:
+            for i in range(len(fields), n):
+                counts[i] += 1
+
+
+def lists(na_strings: Sequence[str]) -> Callable[[Files], Iterator[pa.RecordBatch]]:
+    """Rows of LISTS: of the files of a task that can be read and have equal column lines: the first path, files, rows,
+    those that need a parser, and for each column the values in the others."""
+    na = frozenset(na_strings)
+
+    def run(files: Files) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, ...], list] = {}
+        rows = lambda: ((0, (list(cols), *rest)) for cols, rest in held.items())
+        for path, x in files:
+            if not x:
+                continue
+            *_, cols, found, status, _ = parse(x)
+            if status != OK:
+                continue
+            plain = [r for r in found if not is_special(r)] if any(c in x for c in _SPECIAL_BYTES) else found
+            at = held.setdefault(tuple(cols), [path, 0, 0, 0, [0] * len(cols)])
+            at[0] = min(at[0], path)
+            at[1] += 1
+            at[2] += len(found)
+            at[3] += len(found) - len(plain)
+            _count(plain, at[4], na)
+            if len(held) > MOST_LISTS:
+                yield from _batches(rows(), LISTS)
+                held.clear()
+        yield from _batches(rows(), LISTS)
+
+    return run
+
+
+_SPECIAL_BYTES = [c.encode() for c in SPECIAL]

@@ -554,3 +554,23 @@ def test_registry_is_parsed_by_tasks(spark, tree, monkeypatch):
     monkeypatch.setattr(badc, "lines_of", None)
     got = registry(spark, [root, f"{root}/none"], cols.split(","))
     assert sorted((r["src_id"], r["rec_st_ind"], r["met_domain_name"], r["station_id"]) for r in got.collect()) == [(7, 9, "last", "00001"), (9, 9, "é", "00001")]
+
+
+def test_discovery_looks_at_files_once(spark, tree, monkeypatch):
+    """Values are counted by the tasks that read; only rows that need the parser are looked at once more, and all count."""
+    from isohyet.sources import parsing
+
+    plain_rows = {"a/s/1.csv": text("2023-01-01,NA,, \n2023-01-02, ,NA\n", COLS + ",x,x"), "a/s/2.csv": text("1,2\n", "prcp_amt,ob_end_ctime"), "a/s/3.csv": text("2023\n,,,,1\n", "ob_end_ctime,z"), "a/s/4.csv": "x"}
+    look = lambda root, **o: [tuple(r) for r in Converter(spark, root, options=Options(**o)).discover().collect()]
+    old = lambda root, **o: [tuple(r) for r in [r for job in [Converter(spark, root, options=Options(**o))] for r in badc.column_presence(badc.fields(job.parsed(), badc.dataset_schema(job.parsed())), badc.dataset_schema(job.parsed()), o.get("na_strings", ("NA", ""))).items()]]
+    root = tree(plain_rows)
+    counts = {o: (badc.surveyed(spark, root, o)[1], dict(old(root, na_strings=o))) for o in (("NA", ""), ("NA",), ("2023",))}
+    assert all(a == b for a, b in counts.values()) and counts["NA", ""][0] == {"ob_end_ctime": 4, "prcp_amt": 1, "prcp_amt_q": 0, "x": 0, "z": 0}
+    odd = tree({"a/s/1.csv": text('2023-01-01,"NA",\n"1,2",,"5"\n', COLS).replace("\n", "\r\n"), "a/s/2.csv": text("2023-01-03,,\n")}, "uk-daily-rain-2")
+    assert badc.surveyed(spark, odd)[1] == dict(old(odd)) == {"ob_end_ctime": 3, "prcp_amt": 0, "prcp_amt_q": 1}
+    want = look(odd)
+    monkeypatch.setattr(parsing, "MOST_LISTS", 0)
+    assert look(odd) == want and [r[0] for r in want if r[2]] == ["prcp_amt"]
+    monkeypatch.setattr(badc, "column_presence", None)
+    assert [r[0] for r in look(root) if r[2]] == ["prcp_amt_q", "x", "z"]
+    assert look(tree({}, "uk-daily-rain-3")) == []
