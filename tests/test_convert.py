@@ -574,3 +574,17 @@ def test_discovery_looks_at_files_once(spark, tree, monkeypatch):
     monkeypatch.setattr(badc, "column_presence", None)
     assert [r[0] for r in look(root) if r[2]] == ["prcp_amt_q", "x", "z"]
     assert look(tree({}, "uk-daily-rain-3")) == []
+
+
+def test_outcomes_of_names_that_are_no_text(spark, tree):
+    """Folders' names are bytes: what isn't UTF-8 is counted as well."""
+    import os
+
+    root = tree({"a b/s%1 +é/f.csv": text()})
+    folder = os.fsencode(root) + b"/qcv-1/a b/\xff\xfe%"
+    os.makedirs(folder)
+    for name, content in ((b"g\xff.csv", text(id="2").encode()), (b"zero.csv", b"")):
+        with open(folder + b"/" + name, "wb") as f:
+            f.write(content)
+    got = Converter(spark, root).outcomes().groupBy("status").sum("n_rows").collect()
+    assert sorted(map(tuple, got)) == [("NoDataMarker", 0), ("ok", 6)]
