@@ -61,16 +61,13 @@ cast({n} % 50 + 0.5 as double) as latitude, cast(-({n} % 7) - 0.25 as double) as
 
 def _events_tree(spark: SparkSession, sf_dir: str, line, columns, station_dir=None) -> str:
     """events as a rain dataset, a file for each station and month; line and columns are of a row and of a station."""
-    e = table(spark, sf_dir, "events")
-    rows = e.groupBy("user_id", F.date_format("ts", "yyyyMM").alias("month")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", line.alias("line")))), lambda x: x["line"]).alias("rows"))
-    files = rows.select(
-        F.concat(F.lit("county"), (F.col("user_id") % 3).cast("string")).alias("county_dir"),
-        (F.concat(F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit("_station")) if station_dir is None else station_dir).alias("station_dir"),
-        F.concat(F.lit("rain_"), F.col("user_id").cast("string"), F.lit("_"), "month").alias("file"),
-        badc_out.file_text(_station_head(F.col("user_id")), columns, F.col("rows")).alias("text"),
-    )
+    n = F.col("user_id")
+    county = F.concat(F.lit("county"), (n % 3).cast("string"))
+    station = F.concat(F.lpad(n.cast("string"), 5, "0"), F.lit("_station")) if station_dir is None else station_dir
+    file = F.concat(F.lit("rain_"), n.cast("string"), F.lit("_"), "month")
     root = new_path(spark, "tree") + "/uk-daily-rain-obs"
-    badc_out.write_tree(files, root)
+    key = [n, F.date_format("ts", "yyyyMM").alias("month")]
+    badc_out.write_lines(table(spark, sf_dir, "events"), root, key, ["ts", "event_id"], line, (county, station, file), _station_head(n), columns)
     return root
 
 

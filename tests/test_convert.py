@@ -588,3 +588,54 @@ def test_outcomes_of_names_that_are_no_text(spark, tree):
             f.write(content)
     got = Converter(spark, root).outcomes().groupBy("status").sum("n_rows").collect()
     assert sorted(map(tuple, got)) == [("NoDataMarker", 0), ("ok", 6)]
+
+
+def _files_of(folder):
+    import os
+
+    return {os.path.relpath(os.path.join(at, n), folder): open(os.path.join(at, n), "rb").read() for at, _, names in os.walk(folder) for n in names}
+
+
+def test_trees_of_lines_need_one_shuffle(spark, tmp_path, monkeypatch):
+    """Lines go to their files as they are: no list of a file's lines, nor a second shuffle of whole files."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from isohyet import catalog
+
+    plans, plain = [], DataFrame.mapInArrow
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, *args)
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", seen)
+    (tmp_path / "in").mkdir()
+    spark.sql("select id event_id, timestamp_ntz'2024-01-05' + make_dt_interval(0, id) ts, id % 3 user_id, 'x' event_type, id / 4 value from range(2000)").write.parquet(f"{tmp_path}/in/events.parquet")
+    root = catalog._odd_tree(spark, f"{tmp_path}/in")
+    assert [(p.count("Exchange "), p.count("collect_list")) for p in plans] == [(1, 0)]
+    found = _files_of(root.removeprefix("file:") + "/qcv-1")
+    assert len(found) == 9 and sum(x.count(b"2024-") for x in found.values()) == 2000  # three stations and months
+
+
+def test_lines_are_written_as_whole_files_were(spark, tmp_path, monkeypatch):
+    """Equal bytes, wherever Arrow's batches end; rows come in any order, with ties and with times that are not there."""
+    from pyspark.sql import functions as F
+
+    from isohyet.sinks import badc as badc_out
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = spark.range(500).selectExpr("id % 5 k", "if(id % 50 = 0, null, id % 11) t", "if(id % 2 = 0, 'é', concat('x ', id)) x", "if(id % 5 = 4, null, 'm') m").orderBy(F.rand(3))
+        k = F.col("k")
+        head = badc_out.header(F.lit("é station"), k, F.lit("c"), k, k, k, F.lit("m"))
+        names = (F.when(k < 3, F.concat(F.lit("a "), k % 2)), F.when(k > 0, F.concat(k, F.lit("%2B+é"))), F.concat(F.lit("f "), "m", k))
+        args = ([k, F.col("m")], ["t"], F.concat_ws(",", "t", "x"), names, head, F.when(k % 2 == 0, F.lit("a,b")).otherwise(F.lit("b,a")))
+        assert badc_out.write_lines(rows, f"file://{tmp_path}/new", *args) == 5
+        monkeypatch.setattr(badc_out, "mounted", lambda *_: None)
+        assert badc_out.write_lines(rows, f"file://{tmp_path}/old", *args) == 5
+        monkeypatch.undo()
+        assert badc_out.write_lines(rows.limit(0), f"file://{tmp_path}/none", *args) == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    new, old = _files_of(tmp_path / "new"), {p: x for p, x in _files_of(tmp_path / "old").items() if not p.endswith(".crc")}
+    assert len(new) == 5 and new == old and _files_of(tmp_path / "none") == {}
