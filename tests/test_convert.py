@@ -639,3 +639,10 @@ def test_lines_are_written_as_whole_files_were(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     new, old = _files_of(tmp_path / "new"), {p: x for p, x in _files_of(tmp_path / "old").items() if not p.endswith(".crc")}
     assert len(new) == 5 and new == old and _files_of(tmp_path / "none") == {}
+
+
+def test_many_folders_take_few_tasks(spark):
+    from isohyet.sources import discovery
+
+    dealt = discovery._dealt(spark, [(b"/a/%d" % i, 0) for i in range(20_000)], None)
+    assert dealt.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism and dealt.count() == 20_000
