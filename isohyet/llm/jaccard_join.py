@@ -11,7 +11,9 @@ classes the grams are cut into more parts than two linked sets of these sizes ca
 whole parts.  Each set sends a hash of each part, and those that agree in one go to the join.  The hot_grams most frequent
 grams are left out of the parts, which makes no difference to what must agree, so that a passage that very many documents
 share brings these together only where little else is in them; sets that are left with too few full parts send those of
-their whole sets, too.
+their whole sets, too.  Linked sets agree in one more part than there are spare ones, and what is empty in both is empty in each, so a
+set goes on only where others have as many of its full parts as it must share: what a set shares with others by chance grows with
+the number of sets, and would in the end join all in one group.  Chunks learn from an exchange of short hashes which parts others have.
 
 The join stores the sets of a group in a prefix tree, grams in one global order (frequent ones last, by their number of
 documents), and runs all sets down it together: sets with a common prefix share the counting of their overlap, and a set
@@ -217,19 +219,28 @@ def signatures(grams: np.ndarray, rare: np.ndarray, sizes: np.ndarray, percent:
 
     grams: those of the sets, ascending in each; rare: which of them are not frequent; sizes: of the sets.
     """
+    return needed_parts(grams, rare, sizes, percent)[:2]
+
+
+def needed_parts(grams: np.ndarray, rare: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of a part, set, cut, need) of all parts of the sets.  Two linked sets have a cut of either in which they agree in
+    as many of these parts as each of the two needs there."""
     edges = size_classes(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(edges, sizes, side="right") - 1
     doc = np.repeat(np.arange(len(sizes)), sizes)
     found = []
     for pair in (own - 1, own):  # pair p: classes p and p + 1
         good = (sizes > 0) & (pair >= 0)
-        keys, of, poor = part_keys(grams[rare], doc[rare], pair, good, edges, percent, False)
-        found += [(keys, of), part_keys(grams, doc, pair, good & poor, edges, percent, True)[:2]]
+        keys, of, poor, need = part_keys(grams[rare], doc[rare], pair, good, edges, percent, False)
+        found.append((keys, of, len(found) * len(sizes) + of, need[of]))
+        keys, of, _, need = part_keys(grams, doc, pair, good & poor, edges, percent, True)
+        found.append((keys, of, len(found) * len(sizes) + of, need[of]))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def part_keys(grams, doc, pair, good, edges, percent: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of a part, set) of the sets that are good, and which have too few full parts to agree with all others in one.
+def part_keys(grams, doc, pair, good, edges, percent: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of a part, set) of the sets that are good, which have too few full parts to agree with all others in one, and in how
+    many of the parts that it sends a set agrees with each one that it links with.
 
     whole: all grams are there, not the rare ones alone; then empty parts count where a set has too few full ones.
     """
@@ -250,10 +261,16 @@ def part_keys(grams, doc, pair, good, edges, percent: int, whole: bool) -> tuple
         counts[slot[begins]] = np.diff(np.r_[begins, len(slot)])
     of = np.repeat(np.arange(len(parts)), parts)
     # linked sets agree in spare + 1 parts: in a full one, unless both have more than spare empty ones
-    poor = np.bincount(of[counts == 0], minlength=len(parts)) > spare
+    empty = np.bincount(of[counts == 0], minlength=len(parts))
+    poor = empty > spare
     send = (counts > 0) | (whole & poor)[of] if whole else counts > 0
     tag = mix((pair[of].astype(np.uint64) << np.uint64(32)) + (np.arange(total) - first[of]).astype(np.uint64) * np.uint64(4) + np.uint64(1 + 2 * whole))
-    return mix(sums + counts * np.uint64(0x2545F4914F6CDD1D) ^ tag)[send], of[send], poor & good
+    return mix(sums + counts * np.uint64(0x2545F4914F6CDD1D) ^ tag)[send], of[send], poor & good, np.maximum(spare + 1 - empty, 1)
+
+
+def enough(shared: np.ndarray, cut: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Which parts others have, of the cuts in which others have as many as are needed."""
+    return shared & (np.bincount(cut[shared], minlength=int(cut.max(initial=-1)) + 1)[cut] >= need)
 
 
 # ------------------------------------------------------------------------------------------------------- the tree join
@@ -421,14 +438,48 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
     hot = chunks.sparkSession.sparkContext.broadcast(frequent_grams(seen, hot_docs, hot_grams))  # 16 bytes each
     with_classes = returned(chunks, (classes(seen), "classes"))
 
-    def send(chunk: Chunk, row: dict) -> Iterator[dict]:
+    def parts(chunk: Chunk, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Parts of the sets that stand for their classes, by hash: (hash, digest of the set, cut, need)."""
         sets = ChunkSets(chunk, n, row["classes"])
         leads = np.zeros(len(sets.sizes), dtype=bool)
         leads[sets.leads] = True
         grams = sets.grams[np.repeat(leads, sets.sizes)]
-        keys, of = signatures(grams, ~member(grams, hot.value[0]), sets.sizes[sets.leads], percent)
+        keys, of, cut, need = needed_parts(grams, ~member(grams, hot.value[0]), sets.sizes[sets.leads], percent)
         order = np.argsort(keys, kind="stable")
-        keys, nodes = keys[order], sets.digest[sets.leads[of[order]], 0]
+        return keys[order], sets.digest[sets.leads[of[order]], 0], cut[order], need[order]
+
+    def ask(chunk: Chunk, row: dict) -> Iterator[dict]:
+        keys = parts(chunk, row)[0]
+        edges, short = bucket_edges(keys, n_buckets), keys.astype("<u4")  # a bucket has the upper half of its keys in common, but for few bits
+        for b in np.flatnonzero(np.diff(edges)):
+            yield {"bucket": int(b), "chunk": chunk.id, "keys": short[edges[b] : edges[b + 1]].tobytes()}
+
+    def tell(t: pa.Table) -> pa.Table:
+        """For each chunk the bucket, and a bit for each of its parts there: whether there is another one like it."""
+        keys = [as_array(x, "<u4") for x in t["keys"].to_pylist()]
+        ends = np.cumsum([len(x) for x in keys])
+        keys = np.concatenate(keys)
+        order = np.argsort(keys, kind="stable")
+        first = class_starts(keys[order])
+        count = np.diff(np.r_[first, len(keys)])
+        shared = np.empty(len(keys), dtype=bool)
+        shared[order] = np.repeat(count > 1, count)
+        head = np.array(t["bucket"][0].as_py(), dtype="<i4").tobytes()
+        found = [(c, x) for c, x in zip(t["chunk"].to_pylist(), np.split(shared, ends[:-1])) if x.any()]
+        return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()), "shared": pa.array([head + np.packbits(x).tobytes() for _, x in found], pa.binary())})
+
+    with collecting(spent):
+        asked = over(with_classes, ask, "bucket int, chunk long, keys binary")
+        told = written(asked.groupBy("bucket").applyInArrow(tell, "chunk long, shared binary"), "shared")
+
+    def send(chunk: Chunk, row: dict) -> Iterator[dict]:
+        keys, nodes, cut, need = parts(chunk, row)
+        edges, shared = bucket_edges(keys, n_buckets), np.zeros(len(keys), dtype=bool)
+        for blob in row["shared"] or ():
+            b = int(as_array(blob[:4], "<i4")[0])
+            shared[edges[b] : edges[b + 1]] = np.unpackbits(as_array(blob[4:], "u1"), count=int(edges[b + 1] - edges[b]))
+        use = enough(shared, cut, need)
+        keys, nodes = keys[use], nodes[use]
         bucket = bucket_of(keys, n_buckets)
         edges = class_starts(bucket)
         for a, e in zip(edges, np.r_[edges[1:], len(keys)]):
@@ -449,7 +500,7 @@ def joined(docs: DataFrame, n: int = 3, percent: int = 90, *, chunk_bytes: int =
         blobs = [zip_(np.column_stack([a[i:e], b[i:e]]).tobytes()) for i, e in zip(edges, np.r_[edges[1:], len(chunk)])]
         return pa.table({"chunk": pa.array(chunk[edges], pa.int64()), "pairs": pa.array(blobs, pa.binary())})
 
-    sent = over(with_classes, send, "bucket int, chunk long, keys binary, nodes binary")
+    sent = over(returned(with_classes, (told, "shared")), send, "bucket int, chunk long, keys binary, nodes binary")
     met = sent.groupBy("bucket").applyInArrow(meet, "chunk long, pairs binary")
 
     def different(t: pa.Table) -> pa.Table:

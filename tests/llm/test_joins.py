@@ -132,6 +132,56 @@ def test_long_words_with_equal_patterns_differ(spark):
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_agree_in_as_many_parts_as_both_need(percent):
+    rng = np.random.default_rng(7)
+    sets = [np.unique(rng.integers(0, 2**64, m, dtype=np.uint64)) for m in [*range(1, 40), *rng.integers(40, 400, 30)]]
+    for s in sets[:69]:
+        for keep in (1, (1 + percent / 100) / 2, percent / 100):  # some of the grams go, others come
+            own = rng.choice(s, max(1, int(keep * len(s))), replace=False)
+            sets.append(np.unique(np.r_[own, rng.integers(0, 2**64, rng.integers(0, 2 + len(s) * (100 - percent) // 150), dtype=np.uint64)]))
+    sets = [np.array(x, dtype=np.uint64) for x in sorted({tuple(s.tolist()) for s in sets})]
+    sizes = np.array([len(s) for s in sets])
+    grams = np.concatenate(sets)
+    rare = ~np.isin(grams, rng.choice(grams, 2000))  # in all sets or in none
+    keys, of, cut, need = jaccard_join.needed_parts(grams, rare, sizes, percent)
+    parts = []
+    for i in range(len(sets)):
+        cuts = [(of == i) & (cut == c) for c in np.unique(cut[of == i])]
+        parts.append([(set(keys[x].tolist()), int(need[x][0])) for x in cuts])
+    linked = 0
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+            linked += 1
+            assert any(len(a & b) >= max(m, n) for a, m in parts[i] for b, n in parts[j])
+    assert linked > 50
+
+
+def test_sets_that_share_parts_by_chance_stay_apart(spark, monkeypatch):
+    """Each document has a passage in common with the next one, which is too little to link them; two are near copies."""
+    word = lambda i, k: f"a{i}x{k}"
+    data = []
+    for i in range(60):
+        own = [word(i, k) for k in range(200)]
+        own[20:80], own[120:180] = [word(-i, k) for k in range(60)], [word(-i - 1, k) for k in range(60)]
+        data.append((i, " ".join(own)))
+    data += [(100, data[7][1] + " more")]
+    shipped, real = [], jaccard_join.written
+
+    def written(df, what):
+        out = real(df, what)
+        if what == "sets":
+            shipped.extend(r.doc_id for r in out.where("grams is not null").select("doc_id").collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {tuple(r) for r in jaccard_join.linked(df, 5, 80, chunk_bytes=8000).collect()}
+    assert got == brute_join(data, 5, 80)
+    assert {7, 100} <= set(shipped) and len(shipped) < 10  # all of them, and most in one group, where one common part is enough
+
+
 def test_documents_of_frequent_grams_meet_by_whole_sets():
     """Sets without rare grams agree in parts of all their grams, and not with any other such set."""
     rng = np.random.default_rng(5)
