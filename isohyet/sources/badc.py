@@ -184,17 +184,18 @@ def dataset_schema(parsed: DataFrame) -> Schema:
     return overview(parsed).schema
 
 
-def fields(parsed: DataFrame, schema: Schema) -> DataFrame:
-    """A row per observation: station columns, cols and vals (raw fields, quotes taken off, NULL where empty)."""
+def fields(parsed: DataFrame, schema: Schema, also: Sequence[str] = ()) -> DataFrame:
+    """A row per observation: station columns, cols and vals (raw fields, quotes taken off, NULL where empty).  also: columns of
+    parsed that stay."""
     widest = schema.widest or parsed.agg(F.max(F.size("cols"))).first()[0] or 0
-    rows = parsed.where(F.col("status") == OK).select(*STATION_COLUMNS, "cols", F.explode("rows").alias("row"))
+    rows = parsed.where(F.col("status") == OK).select(*also, *STATION_COLUMNS, "cols", F.explode("rows").alias("row"))
     shape = ", ".join(f"_c{i} string" for i in range(max(widest, 1)))
     special = reduce(or_, [F.contains("row", F.lit(c)) for c in SPECIAL])
     # the parser starts anew for each row, which takes far longer than to split it
     rows = rows.withColumn("_s", special).withColumn("_f", F.from_csv(F.when(F.col("_s"), F.col("row")), F.lit(shape), {"mode": "PERMISSIVE"}))
     split = F.transform(F.split("row", ","), lambda x: F.when(x != "", x))
     vals = F.when(F.col("_s"), F.array(*[F.col(f"_f._c{i}") for i in range(max(widest, 1))])).otherwise(split)
-    return rows.select(*STATION_COLUMNS, "cols", vals.alias("vals"))
+    return rows.select(*also, *STATION_COLUMNS, "cols", vals.alias("vals"))
 
 
 def raw(name: str) -> Column:
@@ -202,17 +203,18 @@ def raw(name: str) -> Column:
     return F.get("vals", (F.array_position("cols", name) - 1).cast("int"))
 
 
-def observations(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS, counted: bool = False) -> DataFrame:
-    """Typed observations: the dataset's columns, then the station's; counted: then whether each column of the schema has a value."""
+def observations(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS, counted: bool = False, also: Sequence[str] = ()) -> DataFrame:
+    """Typed observations: the dataset's columns, then the station's; counted: then whether each column of the schema has a value.
+    also: columns of rows that come before these."""
     named = {n: t for n, t in schema.kept.items() if n not in STATION_COLUMNS}
     names = list(dict.fromkeys([*named, *schema.columns])) if counted else list(named)
     # what is used more than once is a column of its own, so it is computed once
-    raws = rows.select(*STATION_COLUMNS, *[F.array_contains("cols", n).alias(f"k{i}") for i, n in enumerate(names)], *[trimmed(raw(n)).alias(f"t{i}") for i, n in enumerate(names)])
+    raws = rows.select(*also, *STATION_COLUMNS, *[F.array_contains("cols", n).alias(f"k{i}") for i, n in enumerate(names)], *[trimmed(raw(n)).alias(f"t{i}") for i, n in enumerate(names)])
     values = [F.when(F.col(f"k{i}") & ~F.col(f"t{i}").isin(*na_strings), F.col(f"t{i}")).alias(f"v{i}") for i in range(len(names))]
     there = [(F.col(f"k{i}") & ~F.coalesce(f"t{i}", F.lit("")).isin(*na_strings)).alias(f"h{i}") for i in range(len(names)) if counted]
-    values = raws.select(*STATION_COLUMNS, *values, *there)
+    values = raws.select(*also, *STATION_COLUMNS, *values, *there)
     cols = [CASTS[t](F.col(f"v{i}")).alias(n) for i, (n, t) in enumerate(named.items())]
-    return values.select(*cols, *STATION_COLUMNS, *[F.col(f"h{names.index(n)}") for n in schema.columns if counted])
+    return values.select(*also, *cols, *STATION_COLUMNS, *[F.col(f"h{names.index(n)}") for n in schema.columns if counted])
 
 
 def observed(rows: DataFrame, schema: Schema, na_strings: Sequence[str] = NA_STRINGS) -> tuple[DataFrame, list[str], Callable[[], dict[str, int]]]:

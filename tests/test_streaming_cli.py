@@ -15,6 +15,7 @@ from isohyet.operators import observations as obs
 from isohyet.operators.convert import Converter, Options
 from isohyet.plans.spec import Kind, Schema
 from isohyet.sources import badc
+from isohyet.streaming import ingest
 from isohyet.streaming.ingest import stream
 
 from .test_convert import COLS, text
@@ -43,6 +44,30 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert told == {"1.csv": ("ok", 3, []), "2.csv": ("NoDataMarker", 0, []), "3.csv": ("ok", 1, ["new_column"])}
 
 
+def test_stream_writes_batches_together(spark, tmp_path, monkeypatch):
+    """One plan for all batches, a folder for each; what a run took and did not come to write, the next one writes."""
+    root, out, checkpoint = tmp_path / "rain", str(tmp_path / "out"), str(tmp_path / "cp")
+    for i in range(12):
+        put(root, f"a b/s{i}%20é/{i}.csv", "" if i == 5 else text(f"2023-01-05,{i}.0,0,z\n", id=f"{i:05d}"))
+    plans, real, write = [], badc.observations, ingest._write_taken
+    monkeypatch.setattr(badc, "observations", lambda *a, **k: plans.append(1) or real(*a, **k))
+    run = lambda: stream(spark, str(root), out, Schema.of([COLS.split(",")]), Kind.RAIN, checkpoint=checkpoint, files_per_batch=2).awaitTermination()
+    monkeypatch.setattr(ingest, "_write_taken", lambda *_: None)
+    run()
+    assert not os.path.exists(out)
+    monkeypatch.setattr(ingest, "_write_taken", write)
+    put(root, "a b/s12/12.csv", text("2023-01-05,12.0,0,z\n", id="00012"))
+    run()
+    run()
+    assert len(plans) == 1
+    got = spark.read.parquet(out).select("station_id", "prcp_amt", "batch").collect()
+    assert sorted((r.station_id, r.prcp_amt) for r in got) == [(f"{i:05d}", float(i)) for i in range(13) if i != 5]
+    assert {n: sum(r.batch == n for r in got) for n in range(7)} | {6: 1} == {n: 2 for n in range(6)} | {next(n for n in range(6) if sum(r.batch == n for r in got) == 1): 1, 6: 1}
+    told = spark.read.parquet(f"{out}.outcomes").collect()
+    assert sorted((r.path.removeprefix(f"file:{root}/qcv-1/"), r.status) for r in told) == sorted((f"a b/s{i}%20é/{i}.csv" if i < 12 else "a b/s12/12.csv", "ok" if i != 5 else "NoDataMarker") for i in range(13))
+    assert not [x for x in os.listdir(tmp_path) if ".parsed-" in x]
+
+
 def test_settings_in_layers(tmp_path):
     from isohyet.errors import ConfigurationError
     from isohyet.settings import settings as layered
